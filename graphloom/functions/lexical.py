@@ -13,9 +13,14 @@ from pyspark.sql import types as T
 from graphloom import model as M
 
 
+# The characters Python's ``str.strip()`` removes (``str.isspace``).
+PY_SPACE = (r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+            r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+
+
 def strip_ws(s: Column) -> Column:
-    """Strip leading and trailing whitespace (Unicode aware), like ``str.strip``."""
-    return F.regexp_replace(s, r"(?U)^\s+|\s+$", "")
+    """Strip leading and trailing whitespace exactly as ``str.strip`` does."""
+    return F.regexp_replace(s, f"^{PY_SPACE}+|{PY_SPACE}+$", "")
 
 
 def decode_utf8(b: Column) -> Column:

@@ -33,7 +33,7 @@ def decode_concept_property(key: Column, db: Column, table: Column, style: str =
     """Property name out of a dashed concept-rule key, null on no match."""
     template = CONCEPT_STYLES[style][0]
     pat = F.replace(F.replace(F.lit(template), F.lit("{db}"), db), F.lit("{table}"), F.lower(table))
-    return F.when(key.rlike(pat), F.regexp_extract(key, pat, 1))
+    return F.when(F.regexp(key, pat), F.element_at(F.regexp_extract_all(key, pat, F.lit(1)), 1))
 
 
 def decode_concept_subtype(type_id: Column, db: Column, style: str = "versioned") -> Column:
@@ -41,8 +41,9 @@ def decode_concept_subtype(type_id: Column, db: Column, style: str = "versioned"
     template = CONCEPT_STYLES[style][1]
     pat = F.replace(F.lit(template), F.lit("{db}"), db)
     return F.when(
-        type_id.rlike(pat),
-        F.struct(F.regexp_extract(type_id, pat, 1).alias("tbl"), F.regexp_extract(type_id, pat, 2).alias("id")),
+        F.regexp(type_id, pat),
+        F.struct(F.element_at(F.regexp_extract_all(type_id, pat, F.lit(1)), 1).alias("tbl"),
+                 F.element_at(F.regexp_extract_all(type_id, pat, F.lit(2)), 1).alias("id")),
     )
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from graphloom.functions.lexical import lexical
 from graphloom.mapping import Mapping
 from graphloom.operators.triples import key_column, key_text
-from graphloom.session import materialize
+from graphloom.session import materialize, partition_values
 
 REFS_SCHEMA = "tbl string, id string"
 
@@ -82,6 +82,16 @@ class ClosureResult:
         """(tbl, id) of keys expanded (emitted)."""
         return reduce(DataFrame.unionByName, self.parts) if self.parts else self.frontier.limit(0)
 
+    def compact(self) -> "ClosureResult":
+        """Write the visited set once (partitioned by table) so later joins read one input."""
+        if len(self.parts) <= 1:
+            return self
+        return ClosureResult([materialize(self.visited, "visited", "tbl")], self.frontier, self.rounds)
+
+    def tables(self) -> list[str]:
+        """Tables with visited keys, from the partition listing (no job)."""
+        return sorted({t for p in self.parts for t in partition_values(p, "tbl")})
+
 
 def _edges_of(tm, df: DataFrame) -> DataFrame | None:
     """(id, dst_tbl, dst_id) of one table: one row per row and included relation."""
@@ -105,8 +115,8 @@ def closure(spark: SparkSession, sources: dict, mapping: Mapping, roots: DataFra
     Round k expands the frontier (keys first seen in round k-1): rows of each frontier
     table yield their relation targets; targets not yet visited form the next frontier.
     Keys without a matching row are still visited, so the loop ends. Keys found in the last
-    allowed round stay in ``frontier`` (not visited). Per round the driver only reads the
-    list of tables present in the new frontier (at most one row per table).
+    allowed round stay in ``frontier`` (not visited). Per round the driver only lists the
+    table partitions of the written frontier (file metadata, no job).
     """
     parts = list(parts or [])
     edges = {t: _edges_of(mapping.tables[t], df) for t, df in sources.items() if t in mapping.tables}
@@ -117,7 +127,7 @@ def closure(spark: SparkSession, sources: dict, mapping: Mapping, roots: DataFra
     frontier = materialize(start, "frontier-0", "tbl")
     rounds = 0
     while rounds < max_rounds:
-        present = sorted(r["tbl"] for r in frontier.select("tbl").distinct().collect())
+        present = partition_values(frontier, "tbl")
         if not present:
             break
         rounds += 1

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from graphloom import model as M
 from graphloom.functions.lexical import epoch_lexical
 from graphloom.operators.sets import as_set, count_triples, delete
+from graphloom.session import materialize
 from graphloom.operators.triples import emit, iri_triple, lang_triple, typed_triple
 
 
@@ -43,9 +44,16 @@ def header_triples(spark: SparkSession, base: str, ts: int, name: str, is_ontolo
 
 
 def with_metadata(df: DataFrame, base: str, ts: int, name: str, is_ontology: bool = False,
-                  text: M.HeaderText = M.HeaderText()) -> DataFrame:
-    """The graph as a set plus its header; ``void:triples`` = distinct triples + 1."""
+                  text: M.HeaderText = M.HeaderText(), materialized: bool = True) -> DataFrame:
+    """The graph as a set plus its header; ``void:triples`` = distinct triples + 1.
+
+    The count needs the whole set before the last triple exists. With ``materialized``
+    the set is written once to the checkpoint folder and counted from the written files,
+    instead of evaluating the deduplication twice.
+    """
     body = as_set(df.unionByName(header_triples(df.sparkSession, base, ts, name, is_ontology, text)))
+    if materialized:
+        body = materialize(body, "graph")
     return body.unionByName(_count_triple(base, body))
 
 
@@ -68,7 +76,7 @@ def refresh_metadata(df: DataFrame, ts: int, base: str | None = None) -> DataFra
     else:
         b = df.sparkSession.range(1).select(F.lit(base).alias("base"))
     modified = emit(b, [typed_triple(F.col("base"), M.DCTERMS + "modified", epoch_lexical(F.lit(ts)), M.XSD_DATETIME)])
-    body = as_set(kept.unionByName(modified))
+    body = materialize(as_set(kept.unionByName(modified)), "graph")
     n = count_triples(body).crossJoin(b)
     cnt = emit(n, [typed_triple(F.col("base"), M.VOID_TRIPLES, F.col("n").cast("string"), M.XSD_NONNEGATIVEINTEGER)])
     return body.unionByName(cnt)

@@ -24,13 +24,6 @@ from graphloom.operators.sets import as_set
 from graphloom.operators.triples import empty_triples, instance_triples, key_column, key_text
 
 
-def tables_in(res: R.ClosureResult) -> list[str]:
-    """Tables with visited keys (one row per table read back from the written frontiers)."""
-    if not res.parts:
-        return []
-    return sorted(r["tbl"] for r in res.visited.select("tbl").distinct().collect())
-
-
 def closure_with_secondary(spark: SparkSession, sources: dict, mapping: Mapping, roots: DataFrame,
                            primary: str, secondary=(), max_rounds: int = 10) -> R.ClosureResult:
     """R2: primary closure, then each secondary ``(table, fk_column)`` in the listed order."""
@@ -42,7 +35,7 @@ def closure_with_secondary(spark: SparkSession, sources: dict, mapping: Mapping,
         seeds = R.secondary_roots(df, child, key_text(df, key_column(df, tm), tm), fk, parent_ids)
         res = R.closure(spark, sources, mapping, seeds.unionByName(res.frontier), parts=res.parts,
                         max_rounds=max_rounds)
-    return res
+    return res.compact()
 
 
 def emit_visited(spark: SparkSession, sources: dict, mapping: Mapping, cfg: M.GraphConfig,
@@ -50,7 +43,7 @@ def emit_visited(spark: SparkSession, sources: dict, mapping: Mapping, cfg: M.Gr
     """T1-T6 once over every visited row of every table."""
     visited = res.visited
     out = []
-    for t in tables_in(res):
+    for t in res.tables():
         if t not in sources or t not in mapping.tables:
             continue
         tm = mapping.tables[t]

@@ -50,9 +50,16 @@ LINEITEM_COLUMNS = [
 ]
 
 
+_FRAMES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """S1 source: one Parquet table of the test database."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """S1 source: one Parquet table of the test database (the lazy frame is reused, so its
+    schema is read once per session)."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _FRAMES:
+        _FRAMES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _FRAMES[key]
 
 
 def tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict:
@@ -105,3 +112,58 @@ LINEITEM_KEY_EXPR = (
 )
 
 CONFIG = M.GraphConfig("lake")
+
+
+# ---- feature layers derived from the test tables ------------------------------------------
+
+GIS = M.GraphConfig("gis")
+
+
+def layers(spark: SparkSession, sf_dir: str) -> dict:
+    """Layer frames (fid, wkt, fields...) built from whole test tables."""
+    from pyspark.sql import functions as F
+
+    from graphloom.functions.lexical import lexical
+    from graphloom.operators.features import scan_layer
+
+    emb = table(spark, sf_dir, "embeddings")
+    coord = lambda i: F.floor(F.col("embedding")[i].cast("double") * 10000).cast("string")
+    part = table(spark, sf_dir, "part")
+    price = lexical(F.col("p_retailprice"), part.schema["p_retailprice"].dataType)
+    size = F.col("p_size").cast("string")
+    rect = F.concat(F.lit("POLYGON ((0 0, "), size, F.lit(" 0, "), size, F.lit(" "), price, F.lit(", 0 "), price,
+                    F.lit(", 0 0))"))
+    lab = table(spark, sf_dir, "labels")
+    q, t = F.col("quality"), F.col("toxic")
+    labels = lab.select(
+        "doc_id",
+        F.when((q == 1) & (t == 1), F.lit(None).cast("string")).otherwise(
+            F.concat(F.lit("POINT ("), q.cast("string"), F.lit(" "), t.cast("string"), F.lit(")"))).alias("wkt"),
+        F.when(t == 1, F.lit(-333)).otherwise(q).alias("quality"),
+        t.alias("toxic"),
+        F.when(q == 0, F.lit("Geen informatie")).when(t == 1, F.lit("-777"))
+        .otherwise(F.concat(F.lit("q"), q.cast("string"))).alias("note"),
+    )
+    return {
+        "pEmbedding": scan_layer(emb, "vec_id", F.concat(F.lit("POINT ("), coord(0), F.lit(" "), coord(1), F.lit(")")),
+                                 ["label"]),
+        "vPart": scan_layer(part, "p_partkey", rect, ["p_name", "p_size", "p_retailprice"]),
+        "pLabel": scan_layer(labels, "doc_id", F.col("wkt"), ["quality", "toxic", "note"]),
+        "pPart": scan_layer(part, "p_partkey", F.concat(F.lit("POINT ("), size, F.lit(" 0)")), []),
+        "Invalid": scan_layer(part, "p_partkey", None, []),
+    }
+
+
+def layer_mapping(spark: SparkSession, sf_dir: str) -> Mapping:
+    """M4 over the layer catalogue (field names and types from the layer schemas)."""
+    key = (spark.sparkContext.applicationId, sf_dir, "layers")
+    if key not in _FRAMES:
+        ls = layers(spark, sf_dir)
+        cat = spark.createDataFrame([(n, "fid") for n in ls], "layer string, fid_column string")
+        fields = spark.createDataFrame(
+            [(n, f.name, f.dataType.simpleString()) for n, df in ls.items() for f in df.schema.fields
+             if f.name not in ("fid", "wkt")],
+            "layer string, field_name string, field_type string")
+        mc, ma, mr = infer.infer_layer_mapping(cat, fields, S.datatype_lookup(spark, DEFAULT_DATATYPES))
+        _FRAMES[key] = Mapping.from_frames("gis", mc, ma, mr)
+    return _FRAMES[key]

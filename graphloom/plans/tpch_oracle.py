@@ -15,11 +15,13 @@ XSD = "http://www.w3.org/2001/XMLSchema#"
 NULL = "CAST(NULL AS VARCHAR)"
 
 INT, DBL, STR, TS = "integer", "double", "string", "dateTime"
+PY_SPACE = (r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+            r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 
 
 def lex(col: str, kind: str) -> str:
     if kind == STR:
-        return f"regexp_replace({col}, '^\\s+|\\s+$', '', 'g')"
+        return f"regexp_replace({col}, '^{PY_SPACE}+|{PY_SPACE}+$', '', 'g')"
     if kind == TS:
         return (f"CASE WHEN date_part('microseconds', {col}) % 1000000 <> 0 "
                 f"THEN strftime({col}, '%Y-%m-%dT%H:%M:%S.%f') ELSE strftime({col}, '%Y-%m-%dT%H:%M:%S') END")
@@ -190,3 +192,182 @@ WHERE p_type = 'PROMO'
     "table_graph": TABLE_GRAPH,
     "table_graph_keys": TABLE_GRAPH_KEYS,
 }
+
+
+# ---- second batch ---------------------------------------------------------------------------
+
+NS_STORE = "http://example.org/linked_data/store/"
+SCH_STORE = "http://example.org/linked_data/schema/store/"
+XREF_NS = "http://example.org/linked_data/schema/xref/"
+SF = "http://www.opengis.net/ont/sf#"
+GEO = "http://www.opengis.net/ont/geosparql#"
+CUST = iri("Customer", "CAST(c_custkey AS VARCHAR)")
+
+
+def _distinct(*selects: str) -> str:
+    return "SELECT DISTINCT * FROM (" + "\nUNION ALL\n".join(selects) + ") u"
+
+
+SCOPE_BY_CODES = """SELECT c_custkey AS id FROM customer
+WHERE CAST(c_nationkey AS VARCHAR) IN (SELECT CAST(s_nationkey AS VARCHAR) FROM supplier WHERE s_nationkey IS NOT NULL)
+   OR NOT EXISTS (SELECT 1 FROM supplier WHERE s_nationkey IS NOT NULL)"""
+
+STAR_BINDINGS = f"""SELECT DISTINCT {iri("Customer", "CAST(c.c_custkey AS VARCHAR)")} AS s,
+  {lex("c.c_mktsegment", STR)} AS segment, CAST(c.c_acctbal AS VARCHAR) AS balance,
+  {iri("Orders", "CAST(o.o_orderkey AS VARCHAR)")} AS ordered
+FROM customer c JOIN orders o ON CAST(o.o_custkey AS VARCHAR) = CAST(c.c_custkey AS VARCHAR)
+WHERE c.c_mktsegment IS NOT NULL AND c.c_acctbal IS NOT NULL"""
+
+_POINT_NODE = f"('{NS}r' || sha1(s || '{SF}Point'))"
+ENRICH_CHAIN = f"""WITH c AS (SELECT DISTINCT {CUST} AS s, CAST(c_acctbal AS VARCHAR) AS a, CAST(c_nationkey AS VARCHAR) AS n
+           FROM customer WHERE c_acctbal IS NOT NULL AND c_nationkey IS NOT NULL),
+n AS (SELECT s, {_POINT_NODE} AS node, 'POINT (' || a || ' ' || n || ')' AS wkt FROM c)
+{_distinct(row("node", f"'{RDF_TYPE}'", f"'{SF}Point'", src="FROM n"),
+           row("s", f"'{GEO}hasGeometry'", "node", src="FROM n"),
+           row("node", f"'{GEO}asWKT'", "wkt", "literal", dt=GEO + "wktLiteral", src="FROM n"))}"""
+
+_NAMED_NODE = f"('{NS}r' || sha1(s || 'http://example.org/vocab/Named'))"
+ENRICH_LITERAL = f"""WITH c AS (SELECT {CUST} AS s, {lex("c_mktsegment", STR)} AS seg, CAST(c_acctbal AS VARCHAR) AS bal,
+                  c_name FROM customer)
+{_distinct(
+    row("s", "'http://example.org/vocab/segmentLabel'", "'Segment ' || seg || ' of ' || seg", "literal",
+        dt=XSD + "string", src="FROM c WHERE seg IS NOT NULL"),
+    row("s", "'http://example.org/vocab/balance'", "bal", "literal", dt=XSD + "double",
+        src="FROM c WHERE bal IS NOT NULL"),
+    row(_NAMED_NODE, f"'{RDF_TYPE}'", "'http://example.org/vocab/Named'", src="FROM c WHERE c_name IS NOT NULL"),
+    row("s", "'http://example.org/vocab/naming'", _NAMED_NODE, src="FROM c WHERE c_name IS NOT NULL"))}"""
+
+_ORDER_LAKE = iri("Orders", "CAST(o.o_orderkey AS VARCHAR)")
+_CUST_STORE = iri("Customer", "CAST(c.c_custkey AS VARCHAR)", NS_STORE)
+_XJOIN = "FROM orders o JOIN customer c ON CAST(o.o_custkey AS VARCHAR) = CAST(c.c_custkey AS VARCHAR)"
+XREF_LINKS = _distinct(row(_ORDER_LAKE, f"'{XREF_NS}orders_customer-c_custkey'", _CUST_STORE, src=_XJOIN))
+XREF_BACKLINKS = with_header_sql(
+    "WITH", _distinct(row(_ORDER_LAKE, f"'{XREF_NS}orders_customer-c_custkey'", _CUST_STORE, src=_XJOIN),
+                      row(_CUST_STORE, f"'{XREF_NS}customer_orders-o_custkey'", _ORDER_LAKE, src=_XJOIN)),
+    XREF_NS, "XREF", "1970-01-01T00:00:00")
+
+ALIGN_TYPES = f"""SELECT DISTINCT {iri("Customer", "CAST(c.c_custkey AS VARCHAR)")} AS s, '{RDF_TYPE}' AS p,
+  'http://example.org/otl#' || m.concept AS o, 'iri' AS o_kind, {NULL} AS o_datatype, {NULL} AS o_lang
+FROM customer c JOIN nation n ON CAST(c.c_nationkey AS VARCHAR) = CAST(n.n_nationkey AS VARCHAR)
+JOIN (VALUES ('2', 'Inland'), ('3', 'Coastal'), ('7', 'Coastal')) m(id, concept)
+  ON CAST(n.n_nationkey AS VARCHAR) = m.id"""
+
+MERGE_GRAPHS = with_header_sql("WITH", instance_sql("customer") + "\nUNION ALL\n" + instance_sql("nation"),
+                               NS, "lake", "1970-01-01T00:05:00")
+WITH_HEADER = with_header_sql("WITH", instance_sql("nation"), NS, "lake", "1970-01-01T00:00:00")
+
+MELT_FIELDS = "\nUNION ALL\n".join(
+    f"SELECT o_orderkey AS fid, '{c}' AS field, {lex(c, k)} AS value, '{t}' AS datatype FROM orders "
+    f"WHERE {c} IS NOT NULL"
+    for c, k, t in [("o_custkey", INT, "bigint"), ("o_orderstatus", STR, "string"), ("o_totalprice", DBL, "double"),
+                    ("o_orderdate", TS, "timestamp_ntz"), ("o_orderpriority", STR, "string")]
+)
+
+_DOC = f"('{NS}doc/' || CAST(doc_id AS VARCHAR))"
+NTRIPLES_ROUNDTRIP = "\nUNION ALL\n".join([
+    f"SELECT {_DOC} AS s, '{SCH}documents_text' AS p, {lex('text', STR)} AS o, 'literal' AS o_kind, "
+    f"{NULL} AS o_datatype, lang AS o_lang FROM documents WHERE text IS NOT NULL",
+    row(_DOC, f"'{SCH}documents_source'", "source", "literal", dt=XSD + "string",
+        src="FROM documents WHERE source IS NOT NULL"),
+    row(_DOC, f"'{RDF_TYPE}'", f"'{SCH}Documents'", src="FROM documents"),
+    row(_DOC, f"'{SCH}documents_n_chars'", "CAST(n_chars AS VARCHAR)", "literal", dt=XSD + "integer",
+        src="FROM documents WHERE n_chars IS NOT NULL"),
+])
+
+_NSP = "'^(.*/linked_data/)(schema/)?([a-z]*)/?'"
+NAMESPACES = f"""SELECT page_id, ns, regexp_extract(ns, {_NSP}, 1) AS base,
+  regexp_extract(ns, {_NSP}, 2) <> '' AS is_schema, regexp_extract(ns, {_NSP}, 3) AS db,
+  CASE WHEN regexp_extract(ns, {_NSP}, 3) <> ''
+       THEN regexp_extract(ns, {_NSP}, 1) || 'schema/' || regexp_extract(ns, {_NSP}, 3) || '/' END AS schema_ns
+FROM (SELECT page_id, 'http://example.org/linked_data/' || CASE WHEN starts_with(url, 'https') THEN 'schema/' ELSE '' END
+             || regexp_extract(url, '^https?://[^/]+/([a-z]*)', 1) || '/' AS ns FROM pages) t"""
+
+# ---- feature layers -------------------------------------------------------------------------
+
+NS_GIS = "http://example.org/linked_data/gis/"
+SCH_GIS = "http://example.org/linked_data/schema/gis/"
+_EX = "CAST(floor(CAST(embedding[1] AS DOUBLE) * 10000) AS BIGINT)"
+_EY = "CAST(floor(CAST(embedding[2] AS DOUBLE) * 10000) AS BIGINT)"
+_PRICE = "CAST(p_retailprice AS VARCHAR)"
+LAYER_EMB = (f"SELECT vec_id AS fid, 'POINT (' || CAST({_EX} AS VARCHAR) || ' ' || CAST({_EY} AS VARCHAR) || ')' AS wkt, "
+             f"{_EX} AS cx, {_EY} AS cy, label FROM embeddings")
+LAYER_PART = (f"SELECT p_partkey AS fid, 'POLYGON ((0 0, ' || p_size || ' 0, ' || p_size || ' ' || {_PRICE} || ', 0 ' "
+              f"|| {_PRICE} || ', 0 0))' AS wkt, p_size / 2.0 AS cx, p_retailprice / 2.0 AS cy, p_name, p_size, "
+              f"p_retailprice FROM part")
+LAYER_LABEL = ("SELECT doc_id AS fid, CASE WHEN quality = 1 AND toxic = 1 THEN NULL ELSE 'POINT (' || quality || ' ' "
+               "|| toxic || ')' END AS wkt, quality AS cx, toxic AS cy, CASE WHEN toxic = 1 THEN -333 ELSE quality END "
+               "AS quality, toxic, CASE WHEN quality = 0 THEN 'Geen informatie' WHEN toxic = 1 THEN '-777' "
+               "ELSE 'q' || quality END AS note FROM labels")
+
+
+def _in_area(x0, y0, x1, y1):
+    return f"fid > 0 AND wkt IS NOT NULL AND cx BETWEEN {x0} AND {x1} AND cy BETWEEN {y0} AND {y1}"
+
+
+FEATURE_AREA = _in_area(-500, -500, 10.3, 470.456)
+FEATURE_IN_AREA = (f"SELECT 'pEmbedding' AS layer, fid FROM ({LAYER_EMB}) e WHERE {FEATURE_AREA}\nUNION ALL\n"
+                   f"SELECT 'vPart' AS layer, fid FROM ({LAYER_PART}) p WHERE {FEATURE_AREA}")
+
+
+def feature_sql(layer_sql: str, layer: str, cls: str, gtype: str, sfc: str, where: str,
+                attrs: list[tuple[str, str, str, str]], features: bool = True) -> list[str]:
+    """T7 + T8 rows of one layer; attrs = (column, property, xsd kind, sentinel test)."""
+    s = f"('{NS_GIS}r' || sha1(CAST(fid AS VARCHAR) || '{layer}{cls}'))"
+    g = f"('{NS_GIS}r' || sha1('{gtype}' || wkt))"
+    src = f"FROM ({layer_sql}) l WHERE {where}"
+    out = []
+    if features:
+        out.append(row(s, f"'{RDF_TYPE}'", f"'{SCH_GIS}{cls}'", src=src))
+        out.append(row(s, f"'{RDFS_LABEL}'", f"'{cls} ' || CAST(fid AS VARCHAR) || ' ({gtype})'", "literal",
+                       lang="nl", src=src))
+        for col, prop, kind, keep in attrs:
+            out.append(row(s, f"'{SCH_GIS}{cls.lower()}_{prop}'", lex(col, kind), "literal", dt=XSD + kind,
+                           src=src + f" AND {col} IS NOT NULL AND {keep}"))
+    out += [
+        row(g, f"'{RDF_TYPE}'", f"'{SF}{sfc}'", src=src),
+        row(g, f"'{RDFS_LABEL}'", f"'{sfc} Geometry'", "literal", lang="nl", src=src),
+        row(s, f"'{GEO}hasGeometry'", g, src=src),
+        row(g, f"'{GEO}asWKT'", "wkt", "literal", dt=GEO + "wktLiteral", src=src),
+    ]
+    return out
+
+
+_NUM_SENT = "NOT ({c} IN (-111, -222, -333, -444, -555, -666, -777, -888, -999))"
+_TXT_SENT = ("NOT ({c} IN ('-111', '-222', '-333', '-444', '-555', '-666', '-777', '-888', '-999', "
+             "'Niet van toepassing', 'Geen informatie'))")
+FEATURE_TRIPLES = _distinct(*feature_sql(
+    LAYER_LABEL, "pLabel", "Label", "POINT", "Point", _in_area(-10, -10, 10, 10),
+    [("quality", "quality", INT, _NUM_SENT.format(c="quality")), ("toxic", "toxic", INT, _NUM_SENT.format(c="toxic")),
+     ("note", "note", STR, _TXT_SENT.format(c="note"))]))
+
+_LAYER_BODY = _distinct(
+    *feature_sql(LAYER_EMB, "pEmbedding", "Embedding", "POINT", "Point", FEATURE_AREA,
+                 [("label", "label", INT, _NUM_SENT.format(c="label"))]),
+    *feature_sql(LAYER_PART, "vPart", "Part", "POLYGON", "Polygon", FEATURE_AREA,
+                 [("p_name", "p-name", STR, _TXT_SENT.format(c="p_name")),
+                  ("p_size", "p-size", INT, _NUM_SENT.format(c="p_size")),
+                  ("p_retailprice", "p-retailprice", DBL, _NUM_SENT.format(c="p_retailprice"))]))
+LAYER_GRAPH = with_header_sql("WITH", _LAYER_BODY, NS_GIS, "gis", "1970-01-01T00:00:00")
+
+LAYER_POINT = "SELECT p_partkey AS fid, 'POINT (' || p_size || ' 0)' AS wkt, p_size AS cx, 0 AS cy FROM part"
+GEOMETRY_TRIPLES = _distinct(*feature_sql(LAYER_POINT, "pPart", "Part", "POINT", "Point", _in_area(0, -1, 100, 1), [],
+                                          features=False))
+
+ORACLE.update({
+    "scope_by_codes": SCOPE_BY_CODES,
+    "star_bindings": STAR_BINDINGS,
+    "enrich_chain": ENRICH_CHAIN,
+    "enrich_literal": ENRICH_LITERAL,
+    "xref_links": XREF_LINKS,
+    "xref_backlinks": XREF_BACKLINKS,
+    "align_types": ALIGN_TYPES,
+    "merge_graphs": MERGE_GRAPHS,
+    "with_header": WITH_HEADER,
+    "melt_fields": MELT_FIELDS,
+    "ntriples_roundtrip": NTRIPLES_ROUNDTRIP,
+    "namespaces": NAMESPACES,
+    "feature_in_area": FEATURE_IN_AREA,
+    "feature_triples": FEATURE_TRIPLES,
+    "layer_graph": LAYER_GRAPH,
+    "geometry_triples": GEOMETRY_TRIPLES,
+})

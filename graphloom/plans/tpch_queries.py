@@ -98,6 +98,234 @@ def q_table_graph_keys(spark, sf_dir):
     return res.visited
 
 
+# ---- graphs built from the test tables ---------------------------------------------------
+
+
+def flat(tm):
+    """A table mapping whose foreign-key columns are also plain attributes (integer literals),
+    as a graph that carries the key values themselves."""
+    from dataclasses import replace
+
+    from graphloom.mapping import Attr
+
+    extra = tuple(Attr(r.col, r.property, M.XSD_INTEGER) for r in tm.included_rels())
+    return replace(tm, attrs=tm.attrs + extra, rels=())
+
+
+def graph_of(spark, sf_dir, tables, cfg=CFG, flat_keys=False, relations=True, header=True):
+    """Instance triples of whole tables (T1-T6), plus the header triples (without count)."""
+    from graphloom.operators.metadata import header_triples
+
+    m = tpch.mapping(spark, sf_dir)
+    parts = []
+    for t in tables:
+        tm = flat(m.table(t)) if flat_keys else m.table(t)
+        parts.append(instance_triples(_t(spark, sf_dir, t), tm, cfg, relations=relations))
+    if header:
+        parts.append(header_triples(spark, cfg.data_ns, HEADER_TS, cfg.db))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_scope_by_codes(spark, sf_dir):
+    from graphloom.operators.patterns import codes_of
+
+    sup = graph_of(spark, sf_dir, ["supplier"], flat_keys=True, header=False)
+    codes = codes_of(sup, CFG.schema_ns + "Supplier", CFG.schema_ns + "supplier_s_nationkey")
+    cust = _t(spark, sf_dir, "customer")
+    scoped = R.scope_roots(cust, F.col("c_nationkey").cast("string"), codes)
+    return scoped.select(F.col("c_custkey").alias("id"))
+
+
+def q_star_bindings(spark, sf_dir):
+    from graphloom.operators.patterns import star
+
+    g = graph_of(spark, sf_dir, ["customer", "orders"], header=False)
+    return star(g, CFG.schema_ns + "Customer", [
+        ("segment", CFG.schema_ns + "customer_c_mktsegment"),
+        ("balance", CFG.schema_ns + "customer_c_acctbal"),
+        ("ordered", CFG.schema_ns + "customer_inv_orders"),
+    ])
+
+
+ENRICH_CHAIN_RULES = {"lake": [{
+    "source": ["sql:lake.customer/c_acctbal", "sql:lake.customer/c_nationkey"],
+    "target": {"head": M.SF + "Point", "property": M.GEO_HASGEOMETRY, "type": "URIRef",
+               "tail": {"head": M.GEO_WKTLITERAL, "property": M.GEO_ASWKT, "type": "Literal",
+                        "tail": "POINT ([c_acctbal] [c_nationkey])"}},
+}]}
+ENRICH_LITERAL_RULES = {"lake": [
+    {"source": ["sql:lake.customer/c_mktsegment"],
+     "target": {"head": M.XSD_STRING, "property": "http://example.org/vocab/segmentLabel", "type": "Literal",
+                "tail": "Segment [c_mktsegment] of [c_mktsegment]"}},
+    {"source": ["sql:lake.customer/c_acctbal"],
+     "target": {"head": M.XSD_DOUBLE, "property": "http://example.org/vocab/balance", "type": "Literal",
+                "tail": "[c_acctbal] EUR"}},
+    {"source": ["sql:lake.customer/c_name"],
+     "target": {"head": "http://example.org/vocab/Named", "property": "http://example.org/vocab/naming",
+                "type": "URIRef", "tail": "ignored [c_name]"}},
+]}
+
+
+def q_enrich_chain(spark, sf_dir):
+    from graphloom.plans.graph_jobs import enrich_graph
+
+    g = graph_of(spark, sf_dir, ["customer"], flat_keys=True)
+    return enrich_graph(g, ENRICH_CHAIN_RULES)
+
+
+def q_enrich_literal(spark, sf_dir):
+    from graphloom.plans.graph_jobs import enrich_graph
+
+    g = graph_of(spark, sf_dir, ["customer"], flat_keys=True)
+    return enrich_graph(g, ENRICH_LITERAL_RULES)
+
+
+XREF_RULES = {
+    "lake": [{"source": "sql:lake.orders/o_custkey", "target": "sql:store.customer/c_custkey"},
+             {"source": "sql:lake.bad rule", "target": "sql:store.customer/c_custkey"}],
+    "store": [{"source": "sql:store.customer/c_custkey", "target": "sql:lake.orders/o_custkey"}],
+}
+STORE = M.GraphConfig("store")
+
+
+def _xref_graphs(spark, sf_dir):
+    src = graph_of(spark, sf_dir, ["orders"], flat_keys=True)
+    tgt = graph_of(spark, sf_dir, ["customer"], cfg=STORE, flat_keys=True)
+    return src, tgt
+
+
+def q_xref_links(spark, sf_dir):
+    from graphloom.plans.graph_jobs import xref
+
+    src, tgt = _xref_graphs(spark, sf_dir)
+    return xref(src, tgt, XREF_RULES, backlinks=False)
+
+
+def q_xref_backlinks(spark, sf_dir):
+    from graphloom.plans.graph_jobs import xref
+
+    src, tgt = _xref_graphs(spark, sf_dir)
+    return xref(src, tgt, XREF_RULES, backlinks=True, ts=HEADER_TS)
+
+
+CONCEPT_RULES = {"lake": {"customer": [
+    {"otl_concept": "Inland", "property": "lake-1.0-customer-c_nationkey",
+     "subtypes": [{"name": "n2", "type_id": "lake-1.0-nation-2"}, {"name": "n3", "type_id": "lake-1.0-nation-3"}]},
+    {"otl_concept": "Coastal", "property": "lake-1.0-customer-c_nationkey",
+     "subtypes": [{"name": "n3", "type_id": "lake-1.0-nation-3"}, {"name": "n7", "type_id": "lake-1.0-nation-7"},
+                  {"name": "none", "type_id": ""}]},
+    {"otl_concept": "Unused", "property": "lake-1.0-customer-c_nationkey", "subtypes": []},
+    {"otl_concept": "Other", "property": "lake-2.0-orders-o_custkey", "subtypes": []},
+]}}
+
+
+def q_align_types(spark, sf_dir):
+    from graphloom.plans.graph_jobs import align_graph
+
+    g = graph_of(spark, sf_dir, ["customer", "nation"])
+    return align_graph(g, CONCEPT_RULES, id_property="n_nationkey")
+
+
+def q_merge_graphs(spark, sf_dir):
+    from graphloom.operators.metadata import with_metadata
+    from graphloom.plans.graph_jobs import merge_graphs
+
+    a = with_metadata(graph_of(spark, sf_dir, ["customer", "nation"], header=False), CFG.data_ns, 100, CFG.db)
+    b = with_metadata(graph_of(spark, sf_dir, ["customer"], header=False), CFG.data_ns, 200, CFG.db)
+    return merge_graphs([a, b], 300)
+
+
+def q_with_header(spark, sf_dir):
+    from graphloom.operators.metadata import with_metadata
+
+    return with_metadata(graph_of(spark, sf_dir, ["nation"], header=False), CFG.data_ns, HEADER_TS, CFG.db)
+
+
+def q_melt_fields(spark, sf_dir):
+    from graphloom.operators.features import melt_fields
+
+    orders = _t(spark, sf_dir, "orders")
+    fields = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    return melt_fields(orders.withColumnRenamed("o_orderkey", "fid"), fields)
+
+
+def q_ntriples_roundtrip(spark, sf_dir):
+    from graphloom.operators.triples import iri_triple, lang_triple, typed_triple
+    from graphloom.sources.ntriples import parse_lines, to_lines
+
+    docs = _t(spark, sf_dir, "documents")
+    s = F.concat(F.lit(CFG.data_ns + "doc/"), F.col("doc_id").cast("string"))
+    from graphloom.functions.lexical import strip_ws
+    from graphloom.operators.triples import emit
+
+    g = emit(docs, [
+        lang_triple(s, CFG.schema_ns + "documents_text", strip_ws(F.col("text")), F.col("lang")),
+        typed_triple(s, CFG.schema_ns + "documents_source", F.col("source"), M.XSD_STRING),
+        iri_triple(s, M.RDF_TYPE, CFG.schema_ns + "Documents"),
+        typed_triple(s, CFG.schema_ns + "documents_n_chars", F.col("n_chars").cast("string"), M.XSD_INTEGER),
+    ])
+    triples, _ = parse_lines(to_lines(g))
+    return triples
+
+
+def q_namespaces(spark, sf_dir):
+    from graphloom.functions.rules import schema_ns_of, source_of
+
+    pages = _t(spark, sf_dir, "pages")
+    ns = F.concat(
+        F.lit(M.DEFAULT_BASE),
+        F.when(F.col("url").startswith("https"), F.lit("schema/")).otherwise(F.lit("")),
+        F.regexp_extract(F.col("url"), r"^https?://[^/]+/([a-z]*)", 1), F.lit("/"),
+    )
+    src = source_of(ns)
+    return pages.select(
+        "page_id", ns.alias("ns"), src["base"].alias("base"), src["is_schema"].alias("is_schema"),
+        src["db"].alias("db"), schema_ns_of(ns).alias("schema_ns"),
+    )
+
+
+FEATURE_AREA = Area(x0=-500, y0=-500, x1=10.3, y1=470.456)
+LABEL_AREA = Area(x0=-10, y0=-10, x1=10, y1=10)
+LINE_AREA = Area(x0=0, y0=-1, x1=100, y1=1)
+
+
+def _layers(spark, sf_dir, names):
+    from dataclasses import replace
+
+    ls = tpch.layers(spark, sf_dir)
+    m = tpch.layer_mapping(spark, sf_dir)
+    return {n: ls[n] for n in names}, replace(m, tables={n: m.tables[n] for n in names})
+
+
+def q_feature_in_area(spark, sf_dir):
+    from graphloom.operators.features import in_scope
+
+    ls, _ = _layers(spark, sf_dir, ["pEmbedding", "vPart"])
+    parts = [in_scope(df, FEATURE_AREA).select(F.lit(n).alias("layer"), "fid") for n, df in ls.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_feature_triples(spark, sf_dir):
+    from graphloom.plans.layer_graph import layer_graph
+
+    ls, m = _layers(spark, sf_dir, ["pLabel"])
+    return layer_graph(spark, ls, m, tpch.GIS, LABEL_AREA)
+
+
+def q_layer_graph(spark, sf_dir):
+    from graphloom.plans.layer_graph import layer_graph
+
+    ls, m = _layers(spark, sf_dir, ["pEmbedding", "vPart"])
+    return layer_graph(spark, ls, m, tpch.GIS, FEATURE_AREA, ts=HEADER_TS)
+
+
+def q_geometry_triples(spark, sf_dir):
+    from graphloom.plans.layer_graph import layer_graph
+
+    ls, m = _layers(spark, sf_dir, ["pPart"])
+    return layer_graph(spark, ls, m, tpch.GIS, LINE_AREA, features=False)
+
+
 QUERIES = {
     "root_in_box": q_root_in_box,
     "root_in_box_text": q_root_in_box_text,
@@ -107,4 +335,20 @@ QUERIES = {
     "closure_capped": q_closure_capped,
     "table_graph": q_table_graph,
     "table_graph_keys": q_table_graph_keys,
+    "scope_by_codes": q_scope_by_codes,
+    "star_bindings": q_star_bindings,
+    "enrich_chain": q_enrich_chain,
+    "enrich_literal": q_enrich_literal,
+    "xref_links": q_xref_links,
+    "xref_backlinks": q_xref_backlinks,
+    "align_types": q_align_types,
+    "merge_graphs": q_merge_graphs,
+    "with_header": q_with_header,
+    "melt_fields": q_melt_fields,
+    "ntriples_roundtrip": q_ntriples_roundtrip,
+    "namespaces": q_namespaces,
+    "feature_in_area": q_feature_in_area,
+    "feature_triples": q_feature_triples,
+    "layer_graph": q_layer_graph,
+    "geometry_triples": q_geometry_triples,
 }

@@ -68,3 +68,13 @@ def materialize(df, name: str = "part", partition_by: str | None = None):
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def partition_values(df, column: str) -> list[str]:
+    """Values of a partition column of a materialized frame, read from its file listing
+    (driver-side metadata, no Spark job). An empty frame has no files and no values."""
+    import re
+    from urllib.parse import unquote
+
+    pat = re.compile(rf"/{re.escape(column)}=([^/]*)/")
+    return sorted({unquote(m.group(1)) for f in df.inputFiles() for m in [pat.search(f)] if m})
