@@ -39,62 +39,66 @@ def _coords(ring_sql: str) -> str:
     # array<array<double>> of (x, y) pairs from "x y, x y, ..."
     return (
         f"transform(regexp_extract_all({ring_sql}, '({_NUM})\\\\s+({_NUM})', 0), "
-        f"p -> transform(split(trim(p), '\\\\s+'), v -> cast(v as double)))"
+        f"pt -> transform(split(trim(pt), '\\\\s+'), v -> cast(v as double)))"
     )
 
 
-def _ring_moments(pts: str) -> str:
-    # struct(a2 = twice signed area, cx6, cy6) summed over edges by the shoelace rule
+def _bind(value_sql: str, var: str, body_sql: str) -> str:
+    """Evaluate ``value_sql`` once and use it as ``var`` in ``body_sql``."""
+    return f"element_at(transform(array({value_sql}), {var} -> {body_sql}), 1)"
+
+
+def _ring_moments(p: str) -> str:
+    # struct(a = twice the signed area, x, y = first moments times 6) by the shoelace rule;
+    # ``p`` is a lambda variable holding the ring's points
+    cross = f"({p}[i-1][0] * {p}[i][1] - {p}[i][0] * {p}[i-1][1])"
     return (
-        f"aggregate(sequence(1, greatest(size({pts}) - 1, 1)), named_struct('a', 0d, 'x', 0d, 'y', 0d), "
-        f"(acc, i) -> case when size({pts}) < 2 then acc else named_struct("
-        f"'a', acc.a + ({pts}[i-1][0] * {pts}[i][1] - {pts}[i][0] * {pts}[i-1][1]), "
-        f"'x', acc.x + ({pts}[i-1][0] + {pts}[i][0]) * ({pts}[i-1][0] * {pts}[i][1] - {pts}[i][0] * {pts}[i-1][1]), "
-        f"'y', acc.y + ({pts}[i-1][1] + {pts}[i][1]) * ({pts}[i-1][0] * {pts}[i][1] - {pts}[i][0] * {pts}[i-1][1])) end)"
+        f"aggregate(sequence(1, greatest(size({p}) - 1, 1)), named_struct('a', 0d, 'x', 0d, 'y', 0d), "
+        f"(acc, i) -> case when size({p}) < 2 then acc else named_struct("
+        f"'a', acc.a + {cross}, "
+        f"'x', acc.x + ({p}[i-1][0] + {p}[i][0]) * {cross}, "
+        f"'y', acc.y + ({p}[i-1][1] + {p}[i][1]) * {cross}) end)"
     )
 
 
-def _seg_moments(pts: str) -> str:
+def _seg_moments(p: str) -> str:
     # struct(l = total length, x, y = length-weighted midpoint sums)
-    seg = f"sqrt(pow({pts}[i][0] - {pts}[i-1][0], 2) + pow({pts}[i][1] - {pts}[i-1][1], 2))"
+    seg = f"sqrt(pow({p}[i][0] - {p}[i-1][0], 2) + pow({p}[i][1] - {p}[i-1][1], 2))"
     return (
-        f"aggregate(sequence(1, greatest(size({pts}) - 1, 1)), named_struct('l', 0d, 'x', 0d, 'y', 0d), "
-        f"(acc, i) -> case when size({pts}) < 2 then acc else named_struct("
+        f"aggregate(sequence(1, greatest(size({p}) - 1, 1)), named_struct('l', 0d, 'x', 0d, 'y', 0d), "
+        f"(acc, i) -> case when size({p}) < 2 then acc else named_struct("
         f"'l', acc.l + {seg}, "
-        f"'x', acc.x + {seg} * ({pts}[i-1][0] + {pts}[i][0]) / 2, "
-        f"'y', acc.y + {seg} * ({pts}[i-1][1] + {pts}[i][1]) / 2) end)"
+        f"'x', acc.x + {seg} * ({p}[i-1][0] + {p}[i][0]) / 2, "
+        f"'y', acc.y + {seg} * ({p}[i-1][1] + {p}[i][1]) / 2) end)"
     )
 
 
 def centroid_sql(wkt: str) -> str:
-    """SQL text of ``struct<x double, y double>``: the centroid of WKT column ``wkt``."""
+    """SQL text of ``struct<x double, y double>``: the centroid of WKT column ``wkt``.
+
+    Every ring is parsed once; intermediate arrays are bound to lambda variables, so no
+    sub-expression is evaluated twice.
+    """
     gtype = f"upper(regexp_extract({wkt}, '^\\\\s*([A-Za-z]+)', 1))"
-    pts_all = _coords(wkt)
-    points = (
-        f"named_struct('x', aggregate({pts_all}, 0d, (a, p) -> a + p[0]) / size({pts_all}), "
-        f"'y', aggregate({pts_all}, 0d, (a, p) -> a + p[1]) / size({pts_all}))"
-    )
+    points = _bind(_coords(wkt), "pts",
+                   "named_struct('x', aggregate(pts, 0d, (a, q) -> a + q[0]) / size(pts), "
+                   "'y', aggregate(pts, 0d, (a, q) -> a + q[1]) / size(pts))")
     # every innermost "(...)" is a ring or a line; "((" opens a polygon's outer ring
-    rings = f"regexp_extract_all({wkt}, '(\\\\(\\\\(|\\\\()([^()]+)\\\\)', 2)"
-    openers = f"regexp_extract_all({wkt}, '(\\\\(\\\\(|\\\\()([^()]+)\\\\)', 1)"
-    ring_m = (
-        f"zip_with({rings}, {openers}, (r, o) -> named_struct('m', {_ring_moments(_coords('r'))}, "
-        f"'w', case when o = '((' then 1d else -1d end))"
-    )
-    # area-weighted: ring centroid = (x/(3a2), y/(3a2)); weight = w*|a2|/2
+    parts = f"regexp_extract_all({wkt}, '\\\\(?\\\\([^()]+\\\\)', 0)"
+    rings = (f"transform({parts}, r -> named_struct('w', case when startswith(r, '((') then 1d else -1d end, "
+             f"'m', {_bind(_coords('r'), 'rp', _ring_moments('rp'))}))")
+    # area-weighted mean of ring centroids (x/(3a), y/(3a)) with weight w*|a|/2
     areas = (
-        f"aggregate({ring_m}, named_struct('a', 0d, 'x', 0d, 'y', 0d), (acc, r) -> named_struct("
-        f"'a', acc.a + r.w * abs(r.m.a) / 2, "
-        f"'x', acc.x + case when r.m.a = 0 then 0d else r.w * abs(r.m.a) / 2 * r.m.x / (3 * r.m.a) end, "
-        f"'y', acc.y + case when r.m.a = 0 then 0d else r.w * abs(r.m.a) / 2 * r.m.y / (3 * r.m.a) end))"
-    )
-    polygon = f"(named_struct('x', {areas}.x / {areas}.a, 'y', {areas}.y / {areas}.a))"
-    line_m = f"transform({rings}, r -> {_seg_moments(_coords('r'))})"
-    lines = (
-        f"aggregate({line_m}, named_struct('l', 0d, 'x', 0d, 'y', 0d), (acc, s) -> named_struct("
-        f"'l', acc.l + s.l, 'x', acc.x + s.x, 'y', acc.y + s.y))"
+        f"aggregate({rings}, named_struct('a', 0d, 'x', 0d, 'y', 0d), (acc, g) -> named_struct("
+        f"'a', acc.a + g.w * abs(g.m.a) / 2, "
+        f"'x', acc.x + case when g.m.a = 0 then 0d else g.w * abs(g.m.a) / 2 * g.m.x / (3 * g.m.a) end, "
+        f"'y', acc.y + case when g.m.a = 0 then 0d else g.w * abs(g.m.a) / 2 * g.m.y / (3 * g.m.a) end))"
     )
-    line = f"(named_struct('x', {lines}.x / {lines}.l, 'y', {lines}.y / {lines}.l))"
+    polygon = _bind(areas, "t", "named_struct('x', t.x / t.a, 'y', t.y / t.a)")
+    lines_m = (f"aggregate(transform({parts}, r -> {_bind(_coords('r'), 'lp', _seg_moments('lp'))}), "
+               f"named_struct('l', 0d, 'x', 0d, 'y', 0d), "
+               f"(acc, g) -> named_struct('l', acc.l + g.l, 'x', acc.x + g.x, 'y', acc.y + g.y))")
+    line = _bind(lines_m, "u", "named_struct('x', u.x / u.l, 'y', u.y / u.l)")
     return (
         f"case when {wkt} is null then null "
         f"when {gtype} in ('POINT', 'MULTIPOINT') then {points} "
@@ -111,6 +115,6 @@ def centroid(wkt_col_name: str) -> Column:
 
 def within_box(wkt_col_name: str, x0, y0, x1, y1) -> Column:
     """point, or centroid of any other geometry, inside the inclusive box; null -> false."""
-    c = centroid(wkt_col_name)
-    inside = c["x"].between(x0, x1) & c["y"].between(y0, y1)
+    test = (f"c.x between {float(x0)!r} and {float(x1)!r} and c.y between {float(y0)!r} and {float(y1)!r}")
+    inside = F.expr(_bind(centroid_sql(f"`{wkt_col_name}`"), "c", test))
     return F.coalesce(inside, F.lit(False))

@@ -67,7 +67,7 @@ def materialize(df, name: str = "part", partition_by: str | None = None):
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def partition_values(df, column: str) -> list[str]:
