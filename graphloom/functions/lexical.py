@@ -47,6 +47,7 @@ def double_lexical(x: Column) -> Column:
         .when(F.isnan(d), F.lit("nan"))
         .when(ax == float("inf"), F.when(d > 0, F.lit("inf")).otherwise(F.lit("-inf")))
         .when(ax == 0, F.lit("0.0"))
+        .when((ax >= 1e-3) & (ax < 1e7), java)  # Java prints plain digits here, as Python does
         .when((ax >= 1e-4) & (ax < 1e16), plain)
         .otherwise(F.when(java.contains("E"), sci).otherwise(java))
     )

@@ -13,7 +13,8 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 
 MAP_CLASS_SCHEMA = (
-    "tbl string, classname string, identifier string, sub_class_of string, link_table boolean, include boolean"
+    "tbl string, classname string, identifier string, sub_class_of string, link_table boolean, include boolean, "
+    "unique_key boolean"
 )
 MAP_ATTR_SCHEMA = "tbl string, col string, property string, datatype string, sub_property_of string, include boolean"
 MAP_REL_SCHEMA = (
@@ -51,6 +52,7 @@ class TableMap:
     include: bool = True
     attrs: tuple[Attr, ...] = ()
     rels: tuple[Rel, ...] = ()
+    unique_key: bool = False  # identifier is a declared single-column primary key
 
     def included_attrs(self) -> list[Attr]:
         """attributes with ``include``."""
@@ -86,7 +88,8 @@ class Mapping:
 
     def to_frames(self, spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
         cls = [
-            (m.tbl, m.classname, m.identifier, m.sub_class_of, m.link_table, m.include) for m in self.tables.values()
+            (m.tbl, m.classname, m.identifier, m.sub_class_of, m.link_table, m.include, m.unique_key)
+            for m in self.tables.values()
         ]
         att = [
             (m.tbl, a.col, a.property, a.datatype, a.sub_property_of, a.include)
@@ -126,5 +129,6 @@ class Mapping:
                 bool(r.include),
                 tuple(attrs.get(r.tbl, [])),
                 tuple(rels.get(r.tbl, [])),
+                bool(r["unique_key"]) if "unique_key" in r else False,
             )
         return Mapping(db, tables)

@@ -67,7 +67,11 @@ def inverse_foreign_keys(fk: DataFrame) -> DataFrame:
 
 
 def identifier_of(columns: DataFrame, pk: DataFrame, id_column: str = "id") -> DataFrame:
-    """A3: single-column primary key, else a column named ``id``, else null (composite -> none)."""
+    """A3: single-column primary key, else a column named ``id``, else null (composite -> none).
+
+    ``unique_key`` is true only for a declared single-column primary key: the database
+    guarantees one row per key, so triples of different rows cannot coincide.
+    """
     single = pk.groupBy("table_name").agg(
         F.count(F.lit(1)).alias("n_keys"), F.min("column_name").alias("pk_col")
     )
@@ -83,6 +87,7 @@ def identifier_of(columns: DataFrame, pk: DataFrame, id_column: str = "id") -> D
         .select(
             "table_name",
             F.coalesce(F.when(F.col("n_keys") == 1, F.col("pk_col")), F.col("id_col")).alias("identifier"),
+            F.coalesce(F.col("n_keys") == 1, F.lit(False)).alias("unique_key"),
         )
     )
 

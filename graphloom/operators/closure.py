@@ -99,12 +99,13 @@ def _edges_of(tm, df: DataFrame) -> DataFrame | None:
     if tm.identifier is None or not rels:
         return None
     key = key_column(df, tm)
-    ktxt = key_text(df, key, tm)
+    # the key is bound before the generator so it is computed once per row, not per edge
+    keyed = df.select(key_text(df, key, tm).alias("id"), *[F.col(r.col) for r in rels])
     pairs = F.array(*[
         F.struct(F.lit(r.target_table).alias("dst_tbl"), lexical(F.col(r.col), df.schema[r.col].dataType).alias("dst_id"))
         for r in rels
     ])
-    return df.select(ktxt.alias("id"), F.inline(pairs)).where(F.col("id").isNotNull() & F.col("dst_id").isNotNull())
+    return keyed.select("id", F.inline(pairs)).where(F.col("id").isNotNull() & F.col("dst_id").isNotNull())
 
 
 def closure(spark: SparkSession, sources: dict, mapping: Mapping, roots: DataFrame,

@@ -35,10 +35,20 @@ class Area:
         return (pick(self.x0, self.X_MIN), pick(self.y0, self.Y_MIN), pick(self.x1, self.X_MAX), pick(self.y1, self.Y_MAX))
 
 
+def _between(df: DataFrame, c: str, lo: float, hi: float) -> Column:
+    """Inclusive range test typed like the column, so the scan can take it (an integral
+    column gets integral bounds instead of being cast to double)."""
+    import math
+
+    if isinstance(df.schema[c].dataType, T.IntegralType):
+        return F.col(c).between(F.lit(math.ceil(lo)), F.lit(math.floor(hi)))
+    return F.col(c).between(lo, hi)
+
+
 def in_box(df: DataFrame, x: str, y: str, area: Area, unit: float = 1000.0) -> DataFrame:
     """rows whose (x, y) lie in the inclusive box; columns hold ``metres / unit``."""
     x0, y0, x1, y1 = area.bounds()
-    return df.where(F.col(x).between(x0 / unit, x1 / unit) & F.col(y).between(y0 / unit, y1 / unit))
+    return df.where(_between(df, x, x0 / unit, x1 / unit) & _between(df, y, y0 / unit, y1 / unit))
 
 
 def comma_decimal(c: Column, scale: int = 0) -> Column:

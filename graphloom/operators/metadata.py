@@ -44,14 +44,20 @@ def header_triples(spark: SparkSession, base: str, ts: int, name: str, is_ontolo
 
 
 def with_metadata(df: DataFrame, base: str, ts: int, name: str, is_ontology: bool = False,
-                  text: M.HeaderText = M.HeaderText(), materialized: bool = True) -> DataFrame:
+                  text: M.HeaderText = M.HeaderText(), materialized: bool = True,
+                  assume_set: bool = False) -> DataFrame:
     """The graph as a set plus its header; ``void:triples`` = distinct triples + 1.
 
     The count needs the whole set before the last triple exists. With ``materialized``
     the set is written once to the checkpoint folder and counted from the written files,
-    instead of evaluating the deduplication twice.
+    instead of evaluating the deduplication twice. With ``assume_set`` the caller guarantees
+    ``df`` is already a set without header triples of ``base``, so no deduplication runs.
     """
-    body = as_set(df.unionByName(header_triples(df.sparkSession, base, ts, name, is_ontology, text)))
+    header = header_triples(df.sparkSession, base, ts, name, is_ontology, text)
+    if assume_set:
+        body = df.select(*M.TRIPLE_COLUMNS).unionByName(header)
+    else:
+        body = as_set(df.unionByName(header))
     if materialized:
         body = materialize(body, "graph")
     return body.unionByName(_count_triple(base, body))

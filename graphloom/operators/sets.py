@@ -40,3 +40,27 @@ def delete(df: DataFrame, s: str | None = None, p=None, o: str | None = None) ->
 def count_triples(df: DataFrame) -> DataFrame:
     """A1: one row ``n``: the number of triples plus one (the count triple counts itself)."""
     return df.agg((F.count(F.lit(1)) + F.lit(1)).alias("n"))
+
+
+def set_union(parts: list[tuple[DataFrame, bool]]) -> DataFrame:
+    """Set union of triple frames, deduplicating only where duplicates can exist.
+
+    Each part is ``(frame, is_set)``. Frames flagged ``is_set`` must already be sets and be
+    disjoint from every other part (e.g. instances of a table keyed by a declared primary
+    key, whose class name no other part uses): they pass through without a shuffle. The
+    remaining frames are deduplicated together (X1).
+    """
+    clean = [d.select(*M.TRIPLE_COLUMNS) for d, ok in parts if ok]
+    rest = [d for d, ok in parts if not ok]
+    if rest:
+        clean.append(as_set(union_all(rest)))
+    return union_all(clean)
+
+
+def stage(df: DataFrame, name: str = "graph") -> DataFrame:
+    """Store a graph once (Parquet in the checkpoint folder), each file sorted by predicate,
+    so that repeated pattern scans read only the row groups of the predicates they name
+    (min/max statistics on ``p``) instead of recomputing or rescanning the whole graph."""
+    from graphloom.session import materialize
+
+    return materialize(df.select(*M.TRIPLE_COLUMNS).sortWithinPartitions("p", "s"), name)

@@ -121,11 +121,15 @@ def _nested(dtype) -> bool:
 
 
 def instance_structs(df: DataFrame, tm: TableMap, cfg: M.GraphConfig,
-                     attributes: bool = True, relations: bool = True, header: bool = True) -> list[Column]:
-    """The struct list of T2-T6 for one row of ``tm``'s table."""
+                     attributes: bool = True, relations: bool = True,
+                     header: bool = True) -> tuple[DataFrame, list[Column]]:
+    """T2-T6 for the rows of ``tm``'s table: returns the frame with the key text, subject
+    IRI and link-target IRIs bound as columns (each hashed once per row, not once per
+    triple) and the struct list that references them."""
     key = key_column(df, tm)
-    ktxt = key_text(df, key, tm)
-    s = instance_iri(cfg, tm.classname, ktxt)
+    df = df.withColumn("_k", key_text(df, key, tm))
+    df = df.withColumn("_s", instance_iri(cfg, tm.classname, F.col("_k")))
+    s, ktxt = F.col("_s"), F.col("_k")
     cls_iri = cfg.schema_ns + tm.classname
     structs = []
     if header:
@@ -140,13 +144,15 @@ def instance_structs(df: DataFrame, tm: TableMap, cfg: M.GraphConfig,
             lex = lexical(F.col(a.col), df.schema[a.col].dataType)
             structs.append(typed_triple(s, attr_predicate(cfg, tm.classname, a.property), lex, a.datatype))
     if relations:
-        for r in tm.included_rels():                                                           # T5, T6
+        for i, r in enumerate(tm.included_rels()):                                             # T5, T6
             if r.col not in df.columns:
                 continue
-            tgt = instance_iri(cfg, r.target_class, lexical(F.col(r.col), df.schema[r.col].dataType))
+            df = df.withColumn(f"_t{i}", instance_iri(cfg, r.target_class,
+                                                      lexical(F.col(r.col), df.schema[r.col].dataType)))
+            tgt = F.col(f"_t{i}")
             structs.append(iri_triple(s, attr_predicate(cfg, tm.classname, r.property), tgt))
             structs.append(iri_triple(tgt, inverse_predicate(cfg, r.target_class, tm.classname), s))
-    return structs
+    return df, structs
 
 
 def needed_columns(df: DataFrame, tm: TableMap, attributes: bool = True, relations: bool = True) -> list[str]:
@@ -170,4 +176,5 @@ def instance_triples(df: DataFrame, tm: TableMap, cfg: M.GraphConfig,
         return empty_triples(df.sparkSession)
     df = df.select(*needed_columns(df, tm, attributes, relations))
     df = df.where(key_column(df, tm).isNotNull())
-    return emit(df, instance_structs(df, tm, cfg, attributes, relations, header))
+    df, structs = instance_structs(df, tm, cfg, attributes, relations, header)
+    return emit(df, structs)

@@ -20,7 +20,7 @@ from graphloom.operators import enrich as EN
 from graphloom.operators import ontology as O
 from graphloom.operators import patterns as P
 from graphloom.operators.metadata import base_of, refresh_metadata, with_metadata
-from graphloom.operators.sets import as_set, merge, union_all
+from graphloom.operators.sets import as_set, merge, stage, union_all
 from graphloom.operators.triples import empty_triples
 
 
@@ -85,6 +85,7 @@ def xref(src_graph: DataFrame, tgt_graph: DataFrame, rules_doc: dict, backlinks:
     """G1: link two graphs of one kind. Datasets -> instance links (J6 + J7); ontologies ->
     cross-reference properties (T16). With ``backlinks`` the target's rules run the other way."""
     spark = src_graph.sparkSession
+    src_graph, tgt_graph = stage(src_graph, "xref-source"), stage(tgt_graph, "xref-target")
     a, b = graph_identity(src_graph, known), graph_identity(tgt_graph, known)
     if a["kind"] != b["kind"]:
         raise ValueError("graphs are of different kinds")
@@ -107,7 +108,6 @@ def xref(src_graph: DataFrame, tgt_graph: DataFrame, rules_doc: dict, backlinks:
         for s, t, _, _ in directions:
             # ontology bases are the schema namespaces themselves (no trailing slash doubled, Q12)
             rf = _rule_frame(rules, s["db"], t["db"], s["schema_ns"], t["schema_ns"], xref_ns, prefix_rule_dbs)
-            rf = rf.select("*", F.col("src_class_name").alias("src_class_n"))
             out.append(O.xref_property_triples(
                 rf.select(F.col("src_class_name").alias("src_class"), F.col("tgt_class_name").alias("tgt_class"),
                           "tgt_field", F.lit(s["schema_ns"]).alias("src_ns"), F.lit(t["schema_ns"]).alias("tgt_ns")),
@@ -127,6 +127,7 @@ def enrich_graph(graph: DataFrame, rules_doc: dict, ts: int | None = None, known
     """Per rule, J5 bindings of the source class and attributes -> T13 branch; union;
     X1; header. Rules of the graph's own source apply."""
     spark = graph.sparkSession
+    graph = stage(graph, "enrich-input")
     g = graph_identity(graph, known)
     rules = rules_doc.get(g["db"], [])
     rows = [(g["db"], i, term) for i, r in enumerate(rules) for term in r["source"]]
@@ -188,6 +189,7 @@ def align_graph(graph: DataFrame, doc: dict, id_property: str = "id", ts: int |
     """A6 dictionary -> J8 two-hop chain (instance -relation-> target -id-> value) ->
     J9 ``rdf:type`` to the concept; all rules in one join."""
     spark = graph.sparkSession
+    graph = stage(graph, "align-input")
     g = graph_identity(graph, known)
     rules = concept_rules(spark, doc, g["db"], style, prefix_len)
     cmap = P.concept_map(rules)

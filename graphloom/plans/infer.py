@@ -95,6 +95,7 @@ def infer_mapping(tables: DataFrame, columns: DataFrame, pk: DataFrame, fk: Data
         F.lit(None).cast("string").alias("sub_class_of"),
         F.lower(F.col("table_name")).startswith("ktbl").alias("link_table"),
         F.lit(True).alias("include"),
+        F.coalesce(F.col("unique_key"), F.lit(False)).alias("unique_key"),
     )
     if hints is None:
         map_rel = infer_relations(cols, fk, strip_table_prefix)
@@ -122,6 +123,7 @@ def infer_layer_mapping(layers: DataFrame, fields: DataFrame, datatypes: DataFra
         F.lit(M.GEO_FEATURE).alias("sub_class_of"),
         F.lit(False).alias("link_table"),
         F.lit(True).alias("include"),
+        F.lit(False).alias("unique_key"),
     )
     f = fields.join(kept.select("layer"), "layer", "left_semi")
     typed = C.as_xsd(f, datatypes, type_col="field_type")

@@ -11,8 +11,6 @@ Plan shape
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +18,15 @@ from graphloom import model as M
 from graphloom.mapping import Mapping
 from graphloom.operators import closure as R
 from graphloom.operators.metadata import with_metadata
-from graphloom.operators.sets import as_set
-from graphloom.operators.triples import empty_triples, instance_triples, key_column, key_text
+from graphloom.operators.sets import set_union
+from graphloom.operators.triples import (
+    attr_predicate,
+    empty_triples,
+    instance_triples,
+    inverse_predicate,
+    key_column,
+    key_text,
+)
 
 
 def closure_with_secondary(spark: SparkSession, sources: dict, mapping: Mapping, roots: DataFrame,
@@ -38,20 +43,44 @@ def closure_with_secondary(spark: SparkSession, sources: dict, mapping: Mapping,
     return res.compact()
 
 
+def instance_set(frames: list[tuple[DataFrame, object]], cfg: M.GraphConfig) -> DataFrame:
+    """T1-T6 of several tables as one set (X1), deduplicating only where rows can coincide.
+
+    Triples of a table whose identifier is a declared primary key are already distinct and
+    cannot meet triples of another table (subjects and inverse predicates carry the class
+    name), provided no other table maps to the same class; those skip the dedup shuffle.
+    """
+    names = [tm.classname for _, tm in frames]
+    parts = [(instance_triples(df, tm, cfg),
+              tm.unique_key and names.count(tm.classname) == 1 and _distinct_predicates(df, tm, cfg))
+             for df, tm in frames]
+    return set_union(parts)
+
+
+def _distinct_predicates(df: DataFrame, tm, cfg: M.GraphConfig) -> bool:
+    """No two projections of one row share a predicate (two columns with one property name,
+    or two relations to one class sharing their inverse property), so one row's triples are
+    distinct."""
+    preds = [attr_predicate(cfg, tm.classname, a.property) for a in tm.included_attrs() if a.col in df.columns]
+    for r in tm.included_rels():
+        if r.col in df.columns:
+            preds += [attr_predicate(cfg, tm.classname, r.property), inverse_predicate(cfg, r.target_class, tm.classname)]
+    return len(preds) == len(set(preds))
+
+
 def emit_visited(spark: SparkSession, sources: dict, mapping: Mapping, cfg: M.GraphConfig,
                  res: R.ClosureResult) -> DataFrame:
-    """T1-T6 once over every visited row of every table."""
+    """T1-T6 once over every visited row of every table, as a set."""
     visited = res.visited
-    out = []
+    frames = []
     for t in res.tables():
         if t not in sources or t not in mapping.tables:
             continue
         tm = mapping.tables[t]
-        rows = R.visited_rows(sources[t], tm, visited)
-        out.append(instance_triples(rows, tm, cfg))
-    if not out:
+        frames.append((R.visited_rows(sources[t], tm, visited), tm))
+    if not frames:
         return empty_triples(spark)
-    return reduce(DataFrame.unionByName, out)
+    return instance_set(frames, cfg)
 
 
 def table_graph(spark: SparkSession, sources: dict, mapping: Mapping, cfg: M.GraphConfig, roots: DataFrame,
@@ -61,5 +90,5 @@ def table_graph(spark: SparkSession, sources: dict, mapping: Mapping, cfg: M.Gra
     res = closure_with_secondary(spark, sources, mapping, roots, primary, secondary, max_rounds)
     body = emit_visited(spark, sources, mapping, cfg, res)
     if header_ts is None:
-        return as_set(body)
-    return with_metadata(body, cfg.data_ns, header_ts, cfg.db, text=header_text)
+        return body
+    return with_metadata(body, cfg.data_ns, header_ts, cfg.db, text=header_text, assume_set=True)

@@ -54,9 +54,13 @@ def q_root_in_box_text(spark, sf_dir):
 
 
 def q_instance_triples(spark, sf_dir):
+    from dataclasses import replace
+
+    from graphloom.plans.table_graph import instance_set
+
     m = tpch.mapping(spark, sf_dir)
-    parts = [instance_triples(_t(spark, sf_dir, t), m.table(t), CFG, relations=False) for t in ("orders", "customer")]
-    return as_set(reduce(DataFrame.unionByName, parts))
+    frames = [(_t(spark, sf_dir, t), replace(m.table(t), rels=())) for t in ("orders", "customer")]
+    return instance_set(frames, CFG)
 
 
 def q_link_triples(spark, sf_dir):
@@ -139,7 +143,9 @@ def q_scope_by_codes(spark, sf_dir):
 def q_star_bindings(spark, sf_dir):
     from graphloom.operators.patterns import star
 
-    g = graph_of(spark, sf_dir, ["customer", "orders"], header=False)
+    from graphloom.operators.sets import stage
+
+    g = stage(graph_of(spark, sf_dir, ["customer", "orders"], header=False))
     return star(g, CFG.schema_ns + "Customer", [
         ("segment", CFG.schema_ns + "customer_c_mktsegment"),
         ("balance", CFG.schema_ns + "customer_c_acctbal"),
@@ -264,7 +270,7 @@ def q_ntriples_roundtrip(spark, sf_dir):
         iri_triple(s, M.RDF_TYPE, CFG.schema_ns + "Documents"),
         typed_triple(s, CFG.schema_ns + "documents_n_chars", F.col("n_chars").cast("string"), M.XSD_INTEGER),
     ])
-    triples, _ = parse_lines(to_lines(g))
+    triples, _ = parse_lines(to_lines(g), spread_input=False)
     return triples
 
 

@@ -78,3 +78,17 @@ def partition_values(df, column: str) -> list[str]:
 
     pat = re.compile(rf"/{re.escape(column)}=([^/]*)/")
     return sorted({unquote(m.group(1)) for f in df.inputFiles() for m in [pat.search(f)] if m})
+
+
+def spread(df):
+    """Give a scan at least as many partitions as the cluster has cores.
+
+    A source stored as one file with one row group is read by a single task, so every
+    per-row expression after it (hashes, lexical forms) would run on one core. Such a scan
+    is spread round-robin; a source with enough splits (the normal case at scale) is left
+    as it is, without a shuffle. Filters and column pruning still reach the scan.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= want:  # file listing only, no job
+        return df
+    return df.repartition(want)

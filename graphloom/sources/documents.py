@@ -31,6 +31,7 @@ def parse_mapping(docs: DataFrame, col: str = "value") -> tuple[DataFrame, DataF
         "tbl", F.col("t.classname").alias("classname"), F.col("t.identifier").alias("identifier"),
         F.col("t.subClassOf").alias("sub_class_of"), F.coalesce("t.link_table", F.lit(False)).alias("link_table"),
         F.coalesce("t.include", F.lit(True)).alias("include"),
+        F.lit(False).alias("unique_key"),  # not carried by documents: no uniqueness assumed
     )
     map_attr = tables.select("tbl", F.explode("t.attributes").alias("col", "a")).select(
         "tbl", "col", F.col("a.property").alias("property"), F.col("a.datatype").alias("datatype"),

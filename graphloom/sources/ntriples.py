@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom import model as M
+from graphloom.session import spread
 
 _TERM = r"(<[^>]*>|_:\S+)"
 # subject, predicate, then an IRI / blank node / literal object, optional graph, final dot
@@ -55,8 +56,10 @@ def _term(c: Column) -> Column:
 
 
 def parse_lines(lines: DataFrame, col: str = "value", with_graph: bool = False,
-                keep=()) -> tuple[DataFrame, DataFrame]:
+                keep=(), spread_input: bool = True) -> tuple[DataFrame, DataFrame]:
     """Text lines -> (triples, rejects). Blank and comment lines are skipped."""
+    if spread_input:
+        lines = spread(lines)
     v = F.col(col)
     body = lines.where(~v.rlike(r"^\s*(#.*)?$"))
     ok = body.where(v.rlike(LINE))
@@ -117,7 +120,11 @@ def term_text(value: Column, kind: Column) -> Column:
 
 
 def to_lines(df: DataFrame, graph: str | None = None) -> DataFrame:
-    """Triples -> one N-Triples (or N-Quads with ``graph``) line each, column ``value``."""
+    """Triples -> one N-Triples (or N-Quads with ``graph``) line each, column ``value``.
+
+    Escaping is per-row string work, so an input read by fewer tasks than cores is spread
+    first (a no-op for inputs with enough splits)."""
+    df = spread(df)
     s_kind = F.when(F.col("s").startswith("_:"), F.lit(M.KIND_BNODE)).otherwise(F.lit(M.KIND_IRI))
     lit = F.concat(
         F.lit('"'), escape(F.col("o")), F.lit('"'),
