@@ -1 +1 @@
-
+"""graphloom: table-to-graph jobs on Spark (see README.md)."""

@@ -119,37 +119,41 @@ def as_xsd(columns: DataFrame, datatypes: DataFrame, type_col: str = "data_type"
     )
 
 
-def guess_table(relations: DataFrame, tables: DataFrame, threshold: float = 2.5,
+def guess_table(relations: DataFrame, table_names: list[str], threshold: float = 2.5,
                 strip_table_prefix: bool = False) -> DataFrame:
     """A4 + J15: guess the target table of each relation name by edit distance.
 
-    ``relations`` (rel) x ``tables`` (table_name, pos): candidates are lower-cased class names.
-    The minimum distance wins; several at the minimum -> ``?a/b?`` (unsure, in table order);
-    ``(mean - min) / pstdev < threshold`` -> ``?a?`` (unsure); zero spread -> unsure.
-    Output: (rel, target_table, unsure).
+    ``table_names`` is the catalogue's table list in listing order (metadata, one entry per
+    table); it is held as a literal array, so each relation row scores itself against every
+    candidate with array functions: no join and no shuffle. Candidates are lower-cased
+    class names. The minimum distance wins; several at the minimum -> ``?a/b?`` (unsure,
+    in table order); ``(mean - min) / pstdev < threshold`` -> ``?a?`` (unsure); zero spread
+    -> unsure (Q14). Output: (rel, target_table, unsure, z).
     """
-    cand = tables.select("table_name", "pos", F.lower(class_name(F.col("table_name"), strip_table_prefix)).alias("cn"))
-    # Relation names x catalogue tables (both catalogue-sized; the table list is broadcast)
-    d = relations.select("rel").distinct().crossJoin(F.broadcast(cand)).select(
-        "rel", "table_name", "pos", F.levenshtein(F.col("rel"), F.col("cn")).alias("dist")
-    )
-    stats = d.groupBy("rel").agg(
-        F.min("dist").alias("dmin"), F.avg("dist").alias("dmean"), F.stddev_pop("dist").alias("dsd")
-    )
-    best = d.join(stats, "rel").where(F.col("dist") == F.col("dmin")).groupBy("rel", "dmin", "dmean", "dsd").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "table_name"))).alias("cands")
-    )
-    names = F.transform(F.col("cands"), lambda x: x["table_name"])
-    tie = F.size(names) > 1
+    names = F.array(*[F.lit(n) for n in table_names])
+    cands = F.transform(names, lambda n: F.struct(
+        n.alias("table_name"), F.lower(class_name(n, strip_table_prefix)).alias("cn")))
+    scored = relations.select("rel").distinct().select(
+        "rel", F.transform(cands, lambda c: F.struct(c["table_name"].alias("table_name"),
+                                                     F.levenshtein(F.col("rel"), c["cn"]).alias("d"))).alias("ds"))
+    d = F.transform(F.col("ds"), lambda x: x["d"].cast("double"))
+    n = F.size(F.col("ds")).cast("double")
+    dmin = F.array_min(d)
+    mean = F.aggregate(d, F.lit(0.0), lambda acc, x: acc + x) / n
+    var = F.aggregate(d, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean)) / n
+    sd = F.sqrt(var)
+    best = F.transform(F.filter(F.col("ds"), lambda x: x["d"].cast("double") == dmin), lambda x: x["table_name"])
+    stats = scored.select("rel", best.alias("best"), dmin.alias("dmin"), mean.alias("dmean"), sd.alias("dsd"))
+    tie = F.size(F.col("best")) > 1
     z = F.when(F.col("dsd") > 0, (F.col("dmean") - F.col("dmin")) / F.col("dsd"))
     unsure_z = z.isNull() | (z < threshold)
-    first = F.element_at(names, 1)
+    first = F.element_at(F.col("best"), 1)
     target = (
-        F.when(tie, F.concat(F.lit("?"), F.array_join(names, "/"), F.lit("?")))
+        F.when(tie, F.concat(F.lit("?"), F.array_join(F.col("best"), "/"), F.lit("?")))
         .when(unsure_z, F.concat(F.lit("?"), first, F.lit("?")))
         .otherwise(first)
     )
-    return best.select("rel", target.alias("target_table"), (tie | unsure_z).alias("unsure"), z.alias("z"))
+    return stats.select("rel", target.alias("target_table"), (tie | unsure_z).alias("unsure"), z.alias("z"))
 
 
 def database_pairs(rules: DataFrame) -> DataFrame:

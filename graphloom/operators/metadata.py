@@ -75,14 +75,14 @@ def base_of(df: DataFrame) -> DataFrame:
 
 def refresh_metadata(df: DataFrame, ts: int, base: str | None = None) -> DataFrame:
     """Delete every ``modified`` and ``triples`` triple (all subjects), then add one of
-    each for the base (O2 unless given)."""
-    kept = as_set(delete(df, p=[M.DCTERMS + "modified", M.VOID_TRIPLES]))
+    each for the base (O2 unless given; one value read back to the driver)."""
     if base is None:
-        b = base_of(df)
-    else:
-        b = df.sparkSession.range(1).select(F.lit(base).alias("base"))
-    modified = emit(b, [typed_triple(F.col("base"), M.DCTERMS + "modified", epoch_lexical(F.lit(ts)), M.XSD_DATETIME)])
+        row = base_of(df).first()
+        if row is None:
+            raise ValueError("graph has no subject typed owl:Ontology or void:Dataset")  # Q9
+        base = row.base
+    kept = delete(df, p=[M.DCTERMS + "modified", M.VOID_TRIPLES])
+    modified = emit(_one_row(df.sparkSession),
+                    [typed_triple(base, M.DCTERMS + "modified", epoch_lexical(F.lit(ts)), M.XSD_DATETIME)])
     body = materialize(as_set(kept.unionByName(modified)), "graph")
-    n = count_triples(body).crossJoin(b)
-    cnt = emit(n, [typed_triple(F.col("base"), M.VOID_TRIPLES, F.col("n").cast("string"), M.XSD_NONNEGATIVEINTEGER)])
-    return body.unionByName(cnt)
+    return body.unionByName(_count_triple(base, body))

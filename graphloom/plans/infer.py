@@ -45,11 +45,11 @@ def infer_relations(columns: DataFrame, fk: DataFrame, strip_table_prefix: bool
     )
 
 
-def infer_guessed_relations(rel_columns: DataFrame, tables: DataFrame, threshold: float = 2.5,
+def infer_guessed_relations(rel_columns: DataFrame, table_names: list[str], threshold: float = 2.5,
                             strip_table_prefix: bool = False) -> DataFrame:
     """M2 (only hints known): target table guessed by name (A4); unsure guesses are excluded."""
     rels = rel_columns.select("table_name", "column_name", relation_name(F.col("column_name")).alias("rel"))
-    guess = C.guess_table(rels, tables, threshold, strip_table_prefix)
+    guess = C.guess_table(rels, table_names, threshold, strip_table_prefix)
     return rels.join(guess, "rel").select(
         F.col("table_name").alias("tbl"),
         F.col("column_name").alias("col"),
@@ -102,8 +102,10 @@ def infer_mapping(tables: DataFrame, columns: DataFrame, pk: DataFrame, fk: Data
         attr_cols = C.list_columns(cols, pk, fk, keys=False, drop_primary=drop_primary)
     else:
         rel_cols, attr_cols = split_by_hints(cols, hints)
-        ordered = C.filter_tables(tables, allow_prefixes, deny_prefixes).select("table_name", "pos")
-        map_rel = infer_guessed_relations(rel_cols, ordered, guess_threshold, strip_table_prefix)
+        # the candidate list is the catalogue's table names (metadata, one per table)
+        names = [r[0] for r in C.filter_tables(tables, allow_prefixes, deny_prefixes)
+                 .orderBy("pos").select("table_name").collect()]
+        map_rel = infer_guessed_relations(rel_cols, names, guess_threshold, strip_table_prefix)
     map_attr = infer_attributes(attr_cols, datatypes, technical)
     return map_class, map_attr, map_rel
 

@@ -1,8 +1,8 @@
 """N-Triples / N-Quads line formats (S7, S8, S9) and Parquet triples.
 
-Reading is ``spark.read.text`` + one regular expression per line; malformed lines go to a
-reject frame. The literal pattern takes everything up to the last quote before the
-optional tag, so it never recurses per character (safe on very long literals).
+Reading is ``spark.read.text`` + string functions per line; malformed lines go to a
+reject frame. A literal runs to the last quote before the optional tag; no pattern ever
+recurses per character, so very long literals are safe.
 """
 
 from __future__ import annotations
@@ -15,14 +15,6 @@ from pyspark.sql import functions as F
 from graphloom import model as M
 from graphloom.session import spread
 
-_TERM = r"(<[^>]*>|_:\S+)"
-# subject, predicate, then an IRI / blank node / literal object, optional graph, final dot
-LINE = (
-    r"(?s)^\s*" + _TERM + r"\s+(<[^>]*>)\s+"
-    r"(?:(<[^>]*>)|(_:\S+)|\"(.*)\"(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?)"
-    r"(?:\s+(<[^>]*>|_:\S+))?\s*\.\s*$"
-)
-
 FORMAT_EXT = {"ntriples": ".nt", "nquads": ".nq", "parquet": ".parquet"}
 
 
@@ -55,30 +47,66 @@ def _term(c: Column) -> Column:
     return F.when(c.startswith("<"), F.substring(c, F.lit(2), F.length(c) - 2)).otherwise(c)
 
 
+_SUBJ = r"^(<[^>]*>|_:\S+)$"
+_PRED = r"^<[^>]*>$"
+_OBJ_TERM = r"^(<[^>]*>|_:\S+)$"
+_TAIL = r"^(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?$"
+_TAIL_G = r"^(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?(?:\s+(<[^>]*>|_:\S+))?$"
+
+
 def parse_lines(lines: DataFrame, col: str = "value", with_graph: bool = False,
                 keep=(), spread_input: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Text lines -> (triples, rejects). Blank and comment lines are skipped."""
+    """Text lines -> (triples, rejects). Blank and comment lines are skipped.
+
+    A line is cut with plain string functions (subject and predicate are the first two
+    tokens; a literal runs to its last quote), so a long literal is scanned a few times
+    linearly instead of once per regular-expression group; only the short head and tail
+    tokens are checked with anchored patterns. Lines that do not parse are rejected.
+    """
     if spread_input:
         lines = spread(lines)
     v = F.col(col)
     body = lines.where(~v.rlike(r"^\s*(#.*)?$"))
-    ok = body.where(v.rlike(LINE))
-    g = lambda i: F.regexp_extract(v, LINE, i)
-    iri_o, bnode_o, lit_o, lang, dt = g(3), g(4), g(5), g(6), g(7)
-    kind = F.when(iri_o != "", F.lit(M.KIND_IRI)).when(bnode_o != "", F.lit(M.KIND_BNODE)).otherwise(
-        F.lit(M.KIND_LITERAL))
+    t = F.rtrim(v)
+    core = F.rtrim(F.expr(f"substring(rtrim(`{col}`), 1, length(rtrim(`{col}`)) - 1)"))
+    cut = body.select("*", t.endswith(".").alias("_dot"), F.ltrim(core).alias("_core"))
+    s_tok = F.substring_index(F.col("_core"), " ", 1)
+    cut = cut.select("*", s_tok.alias("_s"))
+    rest = F.ltrim(F.expr("substring(_core, length(_s) + 2)"))
+    cut = cut.select("*", F.substring_index(rest, " ", 1).alias("_p"), rest.alias("_rest"))
+    obj = F.ltrim(F.expr("substring(_rest, length(_p) + 2)"))
+    cut = cut.select("*", obj.alias("_o"))
+    is_lit = F.col("_o").startswith('"')
+    last_q = F.length("_o") - F.instr(F.reverse(F.col("_o")), '"') + 1
+    cut = cut.select("*", F.when(is_lit, last_q).alias("_lq"))
+    lit_body = F.expr("substring(_o, 2, _lq - 2)")
+    tail = F.ltrim(F.expr("substring(_o, _lq + 1)"))
+    cut = cut.select("*", F.when(is_lit, tail).alias("_tail"))
+    tail_re = _TAIL_G if with_graph else _TAIL
+    term = F.substring_index(F.col("_o"), " ", 1)
+    term_rest = F.ltrim(F.expr("substring(_o, length(substring_index(_o, ' ', 1)) + 2)"))
+    term_ok = (term.rlike(_OBJ_TERM) & ((term_rest == "") | (F.lit(with_graph) & term_rest.rlike(_OBJ_TERM))))
+    lit_ok = (F.col("_lq") > 1) & F.col("_tail").rlike(tail_re)
+    ok = (F.col("_dot") & F.col("_s").rlike(_SUBJ) & F.col("_p").rlike(_PRED)
+          & F.when(is_lit, lit_ok).otherwise(term_ok))
+    lang = F.regexp_extract(F.col("_tail"), tail_re, 1)
+    dt = F.regexp_extract(F.col("_tail"), tail_re, 2)
+    kind = F.when(is_lit, F.lit(M.KIND_LITERAL)).when(term.startswith("_:"), F.lit(M.KIND_BNODE)).otherwise(
+        F.lit(M.KIND_IRI))
     cols = [
-        _term(g(1)).alias("s"),
-        _term(g(2)).alias("p"),
-        F.when(iri_o != "", _term(iri_o)).when(bnode_o != "", bnode_o).otherwise(unescape(lit_o)).alias("o"),
+        _term(F.col("_s")).alias("s"),
+        _term(F.col("_p")).alias("p"),
+        F.when(is_lit, unescape(lit_body)).otherwise(_term(term)).alias("o"),
         kind.alias("o_kind"),
-        F.when((kind == M.KIND_LITERAL) & (dt != ""), dt).alias("o_datatype"),
-        F.when((kind == M.KIND_LITERAL) & (lang != ""), lang).alias("o_lang"),
+        F.when(is_lit & (dt != ""), dt).alias("o_datatype"),
+        F.when(is_lit & (lang != ""), lang).alias("o_lang"),
     ]
     if with_graph:
-        cols.append(F.when(g(8) != "", _term(g(8))).alias("g"))
-    triples = ok.select(*cols, *keep)
-    rejects = body.where(~v.rlike(LINE)).select(v.alias("line"))
+        g = F.when(is_lit, F.regexp_extract(F.col("_tail"), tail_re, 3)).otherwise(term_rest)
+        cols.append(F.when(g != "", _term(g)).alias("g"))
+    checked = cut.select("*", F.coalesce(ok, F.lit(False)).alias("_ok"))
+    triples = checked.where("_ok").select(*cols, *keep)
+    rejects = checked.where(~F.col("_ok")).select(v.alias("line"))
     return triples, rejects
 
 

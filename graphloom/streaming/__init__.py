@@ -1 +1,3 @@
-
+"""No streaming operators: the reference has no watermark, window, trigger or streaming
+state (SURVEY §2.11). Graph jobs are batch DataFrame plans; a streaming source can feed
+them through ``foreachBatch`` without anything specific to this package."""
