@@ -63,4 +63,4 @@ def stage(df: DataFrame, name: str = "graph") -> DataFrame:
     (min/max statistics on ``p``) instead of recomputing or rescanning the whole graph."""
     from graphloom.session import materialize
 
-    return materialize(df.select(*M.TRIPLE_COLUMNS).sortWithinPartitions("p", "s"), name)
+    return materialize(df.select(*M.TRIPLE_COLUMNS).sortWithinPartitions("p"), name)

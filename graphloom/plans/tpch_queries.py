@@ -259,7 +259,9 @@ def q_ntriples_roundtrip(spark, sf_dir):
     from graphloom.operators.triples import iri_triple, lang_triple, typed_triple
     from graphloom.sources.ntriples import parse_lines, to_lines
 
-    docs = _t(spark, sf_dir, "documents")
+    from graphloom.session import spread
+
+    docs = spread(_t(spark, sf_dir, "documents"))  # text work per row: use every core
     s = F.concat(F.lit(CFG.data_ns + "doc/"), F.col("doc_id").cast("string"))
     from graphloom.functions.lexical import strip_ws
     from graphloom.operators.triples import emit
@@ -270,7 +272,7 @@ def q_ntriples_roundtrip(spark, sf_dir):
         iri_triple(s, M.RDF_TYPE, CFG.schema_ns + "Documents"),
         typed_triple(s, CFG.schema_ns + "documents_n_chars", F.col("n_chars").cast("string"), M.XSD_INTEGER),
     ])
-    triples, _ = parse_lines(to_lines(g), spread_input=False)
+    triples, _ = parse_lines(to_lines(g, spread_input=False), spread_input=False)
     return triples
 
 

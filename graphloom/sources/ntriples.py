@@ -147,12 +147,13 @@ def term_text(value: Column, kind: Column) -> Column:
     return F.when(kind == M.KIND_BNODE, value).otherwise(F.concat(F.lit("<"), value, F.lit(">")))
 
 
-def to_lines(df: DataFrame, graph: str | None = None) -> DataFrame:
+def to_lines(df: DataFrame, graph: str | None = None, spread_input: bool = True) -> DataFrame:
     """Triples -> one N-Triples (or N-Quads with ``graph``) line each, column ``value``.
 
     Escaping is per-row string work, so an input read by fewer tasks than cores is spread
     first (a no-op for inputs with enough splits)."""
-    df = spread(df)
+    if spread_input:
+        df = spread(df)
     s_kind = F.when(F.col("s").startswith("_:"), F.lit(M.KIND_BNODE)).otherwise(F.lit(M.KIND_IRI))
     lit = F.concat(
         F.lit('"'), escape(F.col("o")), F.lit('"'),
