@@ -109,26 +109,41 @@ class Mapping:
 
     @staticmethod
     def from_frames(db: str, map_class: DataFrame, map_attr: DataFrame, map_rel: DataFrame) -> "Mapping":
-        """Collect catalogue-sized mapping tables into plan metadata (ordered by table, column)."""
+        """Collect catalogue-sized mapping tables into plan metadata (ordered by table, column).
+
+        The three tables come back in one job (a union of JSON rows), not three."""
+        import json
+
+        from pyspark.sql import functions as F
+
+        def tagged(tag, df, cols):
+            return df.select(F.lit(tag).alias("kind"), F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+                             .alias("row"))
+
+        cls_cols = [c for c in MAP_CLASS_SCHEMA.replace(",", " ").split()[::2] if c in map_class.columns]
+        rows = (tagged("c", map_class, cls_cols)
+                .unionByName(tagged("a", map_attr, ["tbl", "col", "property", "datatype", "sub_property_of",
+                                                    "include"]))
+                .unionByName(tagged("r", map_rel, ["tbl", "col", "property", "target_table", "target_class",
+                                                   "sub_property_of", "include"]))
+                .collect())
+        got = {"c": [], "a": [], "r": []}
+        for r in rows:
+            got[r.kind].append(json.loads(r.row))
         attrs: dict[str, list[Attr]] = {}
-        for r in map_attr.orderBy("tbl", "col").collect():
-            attrs.setdefault(r.tbl, []).append(Attr(r.col, r.property, r.datatype, r.sub_property_of, bool(r.include)))
+        for r in sorted(got["a"], key=lambda x: (x["tbl"], x["col"])):
+            attrs.setdefault(r["tbl"], []).append(
+                Attr(r["col"], r["property"], r["datatype"], r["sub_property_of"], bool(r["include"])))
         rels: dict[str, list[Rel]] = {}
-        for r in map_rel.orderBy("tbl", "col").collect():
-            rels.setdefault(r.tbl, []).append(
-                Rel(r.col, r.property, r.target_table, r.target_class, r.sub_property_of, bool(r.include))
-            )
+        for r in sorted(got["r"], key=lambda x: (x["tbl"], x["col"])):
+            rels.setdefault(r["tbl"], []).append(
+                Rel(r["col"], r["property"], r["target_table"], r["target_class"], r["sub_property_of"],
+                    bool(r["include"])))
         tables = {}
-        for r in map_class.orderBy("tbl").collect():
-            tables[r.tbl] = TableMap(
-                r.tbl,
-                r.classname,
-                r.identifier,
-                r.sub_class_of,
-                bool(r.link_table),
-                bool(r.include),
-                tuple(attrs.get(r.tbl, [])),
-                tuple(rels.get(r.tbl, [])),
-                bool(r["unique_key"]) if "unique_key" in r else False,
+        for r in sorted(got["c"], key=lambda x: x["tbl"]):
+            tables[r["tbl"]] = TableMap(
+                r["tbl"], r["classname"], r["identifier"], r["sub_class_of"], bool(r["link_table"]),
+                bool(r["include"]), tuple(attrs.get(r["tbl"], [])), tuple(rels.get(r["tbl"], [])),
+                bool(r.get("unique_key") or False),
             )
         return Mapping(db, tables)

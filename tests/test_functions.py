@@ -52,7 +52,7 @@ def test_title_case_and_layer_names(spark):
     assert one(spark, N.title_case, "élan d'or") == "Élan D'Or"
     assert one(spark, N.layer_class_name, "pAsset") == "Asset"
     assert one(spark, N.layer_attribute_name, "Road_Name") == "road-name"
-    assert one(spark, lambda c: N.concept_class_name(c, 4), "disktbl_beheer_object") == "BeheerObject"
+    assert one(spark, lambda c: N.concept_class_name(c, 4), "laketbl_beheer_object") == "BeheerObject"
 
 
 def test_layer_filter(spark):
@@ -114,7 +114,7 @@ def test_rule_decoding(spark):
     ns = spark.createDataFrame([("http://x/linked_data/lake/",), ("http://x/linked_data/schema/lake/",)], "n string")
     got = [tuple(r[0]) for r in ns.select(R.source_of(F.col("n"))).collect()]
     assert got == [("http://x/linked_data/", False, "lake"), ("http://x/linked_data/", True, "lake")]
-    k = spark.createDataFrame([("disk-1.0-customer-c_nationkey", "disk-1.0-nation-2")], "p string, s string")
-    r = k.select(R.decode_concept_property(F.col("p"), F.lit("disk"), F.lit("customer")).alias("p"),
-                 R.decode_concept_subtype(F.col("s"), F.lit("disk")).alias("s")).first()
+    k = spark.createDataFrame([("lake-1.0-customer-c_nationkey", "lake-1.0-nation-2")], "p string, s string")
+    r = k.select(R.decode_concept_property(F.col("p"), F.lit("lake"), F.lit("customer")).alias("p"),
+                 R.decode_concept_subtype(F.col("s"), F.lit("lake")).alias("s")).first()
     assert r.p == "c_nationkey" and tuple(r.s) == ("nation", "2")
