@@ -43,8 +43,13 @@ def fill_template(template: str, datatype: str, values: dict[str, Column]) -> Co
     return F.concat(*parts)
 
 
-def branch_structs(parent: Column, target: dict, ns: str, values: dict[str, Column]) -> list[Column]:
-    """The (type, link) triples of every level of a nested template under ``parent``."""
+def branch_structs(parent: Column, target: dict, ns: str, values: dict[str, Column]
+                   ) -> tuple[list[tuple[str, Column]], list[Column]]:
+    """The (type, link) triples of every level of a nested template under ``parent``.
+
+    Returns the node IRIs to bind as columns (level k hashes level k-1's column, so each
+    node is hashed once per row) and the structs that reference them."""
+    binds: list[tuple[str, Column]] = []
     structs: list[Column] = []
     level = target
     while True:
@@ -53,16 +58,21 @@ def branch_structs(parent: Column, target: dict, ns: str, values: dict[str, Colu
         if isinstance(tail, str) and level.get("type") != "URIRef":
             lex = fill_template(tail, head, values)
             structs.append(typed_triple(parent, prop, lex, head))
-            return structs
-        node = F.concat(F.lit(ns), node_hash(parent, F.lit(head)))
+            return binds, structs
+        name = f"_n{len(binds)}"
+        binds.append((name, F.concat(F.lit(ns), node_hash(parent, F.lit(head)))))
+        node = F.col(name)
         structs.append(type_of(node, head))
         structs.append(iri_triple(parent, prop, node))
         if isinstance(tail, str):  # class-node leaf: its tail text is ignored (Q29)
-            return structs
+            return binds, structs
         parent, level = node, tail
 
 
 def enrich(bindings: DataFrame, target: dict, ns: str, variables: list[str]) -> DataFrame:
     """T13 over a bindings frame (s, <var>...): every row yields its whole branch."""
     values = {f"[{v}]": F.col(v) for v in variables}
-    return emit(bindings, branch_structs(F.col("s"), target, ns, values))
+    binds, structs = branch_structs(F.col("s"), target, ns, values)
+    for name, expr in binds:
+        bindings = bindings.withColumn(name, expr)
+    return emit(bindings, structs)

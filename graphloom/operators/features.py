@@ -49,6 +49,11 @@ def _geometry_iri(cfg: M.GraphConfig) -> Column:
     return F.concat(F.lit(cfg.data_ns), node_hash(F.col("_gtype"), F.col("wkt")))
 
 
+def _bind_iris(df: DataFrame, layer_name: str, tm: TableMap, cfg: M.GraphConfig) -> DataFrame:
+    """Feature and geometry IRIs as columns, hashed once per row before the generator."""
+    return df.withColumn("_fs", _feature_iri(cfg, layer_name, tm)).withColumn("_gs", _geometry_iri(cfg))
+
+
 def typed_layer(layer: DataFrame, area: Area) -> DataFrame:
     """In-scope features with their geometry type; unknown types are left out (Q13, see
     ``rejected``)."""
@@ -57,15 +62,16 @@ def typed_layer(layer: DataFrame, area: Area) -> DataFrame:
     )
 
 
-def rejected(layer: DataFrame, area: Area) -> DataFrame:
-    """In-scope features whose geometry type has no Simple Features class."""
-    return in_scope(layer, area).where(sf_class(geometry_type(F.col("wkt"))).isNull())
+def rejected(layer: DataFrame) -> DataFrame:
+    """Features (fid > 0, with geometry) whose geometry type has no Simple Features class:
+    they cannot be placed in an area nor typed, so they are reported instead of emitted."""
+    return layer.where((F.col("fid") > 0) & F.col("wkt").isNotNull() & sf_class(geometry_type(F.col("wkt"))).isNull())
 
 
 def feature_structs(layer: DataFrame, layer_name: str, tm: TableMap, cfg: M.GraphConfig) -> list[Column]:
     """Type, label ``Class fid (GTYPE)``, one typed literal per non-null, non-sentinel
     included field (F6)."""
-    s = _feature_iri(cfg, layer_name, tm)
+    s = F.col("_fs")
     structs = [
         type_of(s, cfg.schema_ns + tm.classname),
         label_of(s, F.concat(F.lit(tm.classname + " "), F.col("fid").cast("string"), F.lit(" ("), F.col("_gtype"),
@@ -84,8 +90,7 @@ def feature_structs(layer: DataFrame, layer_name: str, tm: TableMap, cfg: M.Grap
 
 def geometry_structs(layer_name: str, tm: TableMap, cfg: M.GraphConfig) -> list[Column]:
     """Geometry node (shared by equal geometries): type, label, hasGeometry, asWKT."""
-    s = _feature_iri(cfg, layer_name, tm)
-    g = _geometry_iri(cfg)
+    s, g = F.col("_fs"), F.col("_gs")
     sfc = sf_class(F.col("_gtype"))
     return [
         type_of(g, F.concat(F.lit(M.SF), sfc)),
@@ -100,7 +105,7 @@ def feature_triples(layer: DataFrame, layer_name: str, tm: TableMap, cfg: M.Grap
     """T7 + T8 of one layer in one pass (one scan, one ``inline``)."""
     if tm.identifier is None:
         return emit(layer.limit(0), [type_of(F.lit(None).cast("string"), F.lit(None).cast("string"))])
-    df = typed_layer(layer, area)
+    df = _bind_iris(typed_layer(layer, area), layer_name, tm, cfg)
     structs = (feature_structs(df, layer_name, tm, cfg) if features else []) + (
         geometry_structs(layer_name, tm, cfg) if geometry else [])
     return emit(df, structs)
