@@ -17,6 +17,7 @@ from graphloom.functions.lexical import DEFAULT_DATATYPES
 from graphloom.mapping import Mapping
 from graphloom.plans import infer
 from graphloom.sources import catalog as S
+from graphloom.sources.tables import source
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -58,7 +59,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     schema is read once per session)."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _FRAMES:
-        _FRAMES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        _FRAMES[key] = source(spark, f"{sf_dir}/{name}.parquet", "parquet")
     return _FRAMES[key]
 
 

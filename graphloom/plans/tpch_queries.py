@@ -38,7 +38,9 @@ def order_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_root_in_box(spark, sf_dir):
-    return order_roots(spark, sf_dir).select(F.col("o_orderkey").alias("id"))
+    from graphloom.sources.tables import scan
+
+    return scan(order_roots(spark, sf_dir), select=[F.col("o_orderkey").alias("id")])
 
 
 def q_root_in_box_text(spark, sf_dir):
