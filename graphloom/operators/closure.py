@@ -144,7 +144,11 @@ def closure(spark: SparkSession, sources: dict, mapping: Mapping, roots: DataFra
             frontier = frontier.limit(0)
             continue
         cand = reduce(DataFrame.unionByName, nxt).distinct()
-        frontier = materialize(minus_refs(cand, reduce(DataFrame.unionByName, parts)), f"frontier-{rounds}", "tbl")
+        # only the visited keys of tables these relations can reach (partition pruning)
+        targets = sorted({r.target_table for t in present if t in mapping.tables
+                          for r in mapping.tables[t].included_rels()})
+        seen = reduce(DataFrame.unionByName, parts).where(F.col("tbl").isin(targets))
+        frontier = materialize(minus_refs(cand, seen), f"frontier-{rounds}", "tbl")
     return ClosureResult(parts, frontier, rounds)
 
 

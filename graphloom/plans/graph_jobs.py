@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom import model as M
-from graphloom.functions.names import class_name, concept_class_name, relation_name, xref_property_iri
+from graphloom.functions.names import concept_class_name, relation_name, xref_property_iri
 from graphloom.functions.rules import decode_concept_property, decode_concept_subtype, decode_rule, source_of
 from graphloom.operators import enrich as EN
 from graphloom.operators import ontology as O
@@ -233,5 +233,5 @@ def ontology(map_class: DataFrame, map_attr: DataFrame, map_rel: DataFrame, cfg:
     return with_metadata(body, ns, ts, cfg.db, is_ontology=True)
 
 
-__all__ = ["align_graph", "class_name", "concept_rules", "enrich_graph", "graph_identity", "merge_graphs",
-           "ontology", "xref", "xref_rules"]
+__all__ = ["align_graph", "concept_rules", "enrich_graph", "graph_identity", "merge_graphs", "ontology", "xref",
+           "xref_rules"]

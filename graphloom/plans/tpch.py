@@ -45,12 +45,6 @@ FOREIGN_KEYS = [
     ("labels", "doc_id", "documents", "doc_id"),
 ]
 
-LINEITEM_COLUMNS = [
-    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
-]
-
-
 _FRAMES: dict = {}
 
 
