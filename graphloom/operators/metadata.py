@@ -43,6 +43,9 @@ def header_triples(spark: SparkSession, base: str, ts: int, name: str, is_ontolo
     return emit(_one_row(spark), structs)
 
 
+HEADER_SIZE = 11  # distinct triples made by ``header_triples`` (the count triple not included)
+
+
 def with_metadata(df: DataFrame, base: str, ts: int, name: str, is_ontology: bool = False,
                   text: M.HeaderText = M.HeaderText(), materialized: bool = True,
                   assume_set: bool = False) -> DataFrame:

@@ -92,3 +92,14 @@ def table_graph(spark: SparkSession, sources: dict, mapping: Mapping, cfg: M.Gra
     if header_ts is None:
         return body
     return with_metadata(body, cfg.data_ns, header_ts, cfg.db, text=header_text, assume_set=True)
+
+
+def write_table_graph(spark: SparkSession, sources: dict, mapping: Mapping, cfg: M.GraphConfig, roots: DataFrame,
+                      primary: str, path: str, ts: int, secondary=(), max_rounds: int = 10, fmt: str = "ntriples",
+                      header_text: M.HeaderText = M.HeaderText()) -> str:
+    """R2 as a batch job: the instance set is written once to ``path`` (N-Triples, N-Quads
+    or Parquet) and the header with its count is appended (S9 + T14)."""
+    from graphloom.sources.ntriples import write_graph
+
+    body = table_graph(spark, sources, mapping, cfg, roots, primary, secondary, max_rounds)
+    return write_graph(body, path, cfg.data_ns, ts, cfg.db, fmt, text=header_text)

@@ -182,3 +182,27 @@ def write_triples(df: DataFrame, path: str, fmt: str = "ntriples", graph: str |
     else:
         raise ValueError(f"unsupported format {fmt}")
     return path
+
+
+def write_graph(df: DataFrame, path: str, base: str, ts: int, name: str, fmt: str = "ntriples",
+                is_ontology: bool = False, text: M.HeaderText = M.HeaderText()) -> str:
+    """S9 + T14 for a job's final output: the triples (a set that holds no header triple of
+    ``base``) are written once to ``path``; the header and the count triple (written triples
+    + header + 1) are appended as one more small part. The count is read back from the
+    written output (Parquet footers, or one parallel line count for text), so the set is
+    neither recomputed nor staged elsewhere first."""
+    from graphloom.operators.metadata import HEADER_SIZE, header_triples
+    from graphloom.operators.triples import emit, typed_triple
+
+    spark = df.sparkSession
+    path = write_triples(df, path, fmt)
+    n = (spark.read.parquet(path) if fmt == "parquet" else spark.read.text(path)).count()
+    header = header_triples(spark, base, ts, name, is_ontology, text)
+    count = emit(spark.range(1), [typed_triple(base, M.VOID_TRIPLES, F.lit(str(n + HEADER_SIZE + 1)),
+                                               M.XSD_NONNEGATIVEINTEGER)])
+    extra = header.unionByName(count).coalesce(1)
+    if fmt == "parquet":
+        extra.select(*M.TRIPLE_COLUMNS).write.mode("append").parquet(path)
+    else:
+        to_lines(extra, spread_input=False).write.mode("append").text(path)
+    return path

@@ -80,3 +80,16 @@ def test_long_literal_line(spark):
     g = emit(df, [lang_triple(F.lit("http://x/a"), "http://x/p", F.col("t"), "en")])
     back, bad = NT.parse_lines(NT.to_lines(g))
     assert back.first().o == text and bad.count() == 0
+
+
+def test_write_graph_with_header(spark, tmp_path):
+    from graphloom.plans import tpch_queries as Q
+    from graphloom.operators.metadata import with_metadata
+
+    body = Q.graph_of(spark, SF001, ["nation"], header=False)
+    base = "http://example.org/linked_data/lake/"
+    for fmt in ("ntriples", "parquet"):
+        path = NT.write_graph(body, str(tmp_path / f"g-{fmt}"), base, 0, "lake", fmt=fmt)
+        back = NT.read_triples(spark, path) if fmt == "ntriples" else spark.read.parquet(path)
+        want = with_metadata(body, base, 0, "lake")
+        assert rows(back.select(*M.TRIPLE_COLUMNS)) == rows(want)
