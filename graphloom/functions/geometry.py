@@ -77,12 +77,13 @@ def centroid_sql(wkt: str) -> str:
     """SQL text of ``struct<x double, y double>``: the centroid of WKT column ``wkt``.
 
     Every ring is parsed once; intermediate arrays are bound to lambda variables, so no
-    sub-expression is evaluated twice.
+    sub-expression is evaluated twice. A degenerate geometry (no area, no length, no point)
+    has no centroid (null), never a division error.
     """
     gtype = f"upper(regexp_extract({wkt}, '^\\\\s*([A-Za-z]+)', 1))"
     points = _bind(_coords(wkt), "pts",
-                   "named_struct('x', aggregate(pts, 0d, (a, q) -> a + q[0]) / size(pts), "
-                   "'y', aggregate(pts, 0d, (a, q) -> a + q[1]) / size(pts))")
+                   "named_struct('x', try_divide(aggregate(pts, 0d, (a, q) -> a + q[0]), size(pts)), "
+                   "'y', try_divide(aggregate(pts, 0d, (a, q) -> a + q[1]), size(pts)))")
     # every innermost "(...)" is a ring or a line; "((" opens a polygon's outer ring
     parts = f"regexp_extract_all({wkt}, '\\\\(?\\\\([^()]+\\\\)', 0)"
     rings = (f"transform({parts}, r -> named_struct('w', case when startswith(r, '((') then 1d else -1d end, "
@@ -94,11 +95,11 @@ def centroid_sql(wkt: str) -> str:
         f"'x', acc.x + case when g.m.a = 0 then 0d else g.w * abs(g.m.a) / 2 * g.m.x / (3 * g.m.a) end, "
         f"'y', acc.y + case when g.m.a = 0 then 0d else g.w * abs(g.m.a) / 2 * g.m.y / (3 * g.m.a) end))"
     )
-    polygon = _bind(areas, "t", "named_struct('x', t.x / t.a, 'y', t.y / t.a)")
+    polygon = _bind(areas, "t", "named_struct('x', try_divide(t.x, t.a), 'y', try_divide(t.y, t.a))")
     lines_m = (f"aggregate(transform({parts}, r -> {_bind(_coords('r'), 'lp', _seg_moments('lp'))}), "
                f"named_struct('l', 0d, 'x', 0d, 'y', 0d), "
                f"(acc, g) -> named_struct('l', acc.l + g.l, 'x', acc.x + g.x, 'y', acc.y + g.y))")
-    line = _bind(lines_m, "u", "named_struct('x', u.x / u.l, 'y', u.y / u.l)")
+    line = _bind(lines_m, "u", "named_struct('x', try_divide(u.x, u.l), 'y', try_divide(u.y, u.l))")
     return (
         f"case when {wkt} is null then null "
         f"when {gtype} in ('POINT', 'MULTIPOINT') then {points} "

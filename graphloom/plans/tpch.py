@@ -8,8 +8,6 @@ the inference, the review step and the data jobs together.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 
 from graphloom import model as M
@@ -81,9 +79,7 @@ def _mapping_frames(spark: SparkSession, sf_dir: str, deny=("_TMP",)):
                                deny_prefixes=list(deny))
 
 
-@lru_cache(maxsize=8)
-def _mapping_cached(sf_dir: str, db: str, app_id: str) -> Mapping:
-    spark = SparkSession.getActiveSession()
+def _infer(spark: SparkSession, sf_dir: str, db: str) -> Mapping:
     mc, ma, mr = _mapping_frames(spark, sf_dir)
     # M5: the reviewer names a derived key for lineitem, whose declared key is composite.
     ov = spark.createDataFrame([("lineitem", "identifier", "set", LINEITEM_KEY_EXPR)],
@@ -93,8 +89,12 @@ def _mapping_cached(sf_dir: str, db: str, app_id: str) -> Mapping:
 
 
 def mapping(spark: SparkSession, sf_dir: str, db: str = "lake") -> Mapping:
-    """M1 (+ M5 review) over the test catalogue, collected as plan metadata."""
-    return _mapping_cached(sf_dir, db, spark.sparkContext.applicationId)
+    """M1 (+ M5 review) over the test catalogue, collected as plan metadata (once per
+    session, database and directory)."""
+    key = (spark.sparkContext.applicationId, sf_dir, "mapping", db)
+    if key not in _FRAMES:
+        _FRAMES[key] = _infer(spark, sf_dir, db)
+    return _FRAMES[key]
 
 
 # Spark SQL text of the lineitem row hash; every value is printed by its lexical rule so

@@ -87,6 +87,7 @@ def test_centroid(spark):
         ("POLYGON ((0 0, 4 0, 4 2, 0 2, 0 0))",), ("POINT (1 2)",), ("LINESTRING (0 0, 2 0, 2 2)",),
         ("POLYGON ((0 0, 10 0, 10 10, 0 10, 0 0), (0 0, 5 0, 5 5, 0 5, 0 0))",),
         ("MULTIPOLYGON (((0 0, 2 0, 2 2, 0 2, 0 0)), ((10 10, 12 10, 12 12, 10 12, 10 10)))",), (None,),
+        ("POLYGON ((1 1, 1 1, 1 1, 1 1))",), ("POINT EMPTY",),
     ], "w string")
     got = [(r.c.x, r.c.y) if r.c else None for r in df.select(G.centroid("w").alias("c")).collect()]
     assert got[0] == (2.0, 1.0)
@@ -95,6 +96,8 @@ def test_centroid(spark):
     assert abs(got[3][0] - 35 / 6) < 1e-9 and abs(got[3][1] - 35 / 6) < 1e-9
     assert got[4] == (6.0, 6.0)
     assert got[5] is None
+    assert got[6] is None or (got[6][0] is None and got[6][1] is None)  # degenerate: no centroid, no error
+    assert got[7] is None or got[7][0] is None
 
 
 def test_area_filters(spark):
