@@ -46,10 +46,17 @@ FOREIGN_KEYS = [
 _FRAMES: dict = {}
 
 
+def _session_key(spark: SparkSession):
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001  (sessions without a local context)
+        return id(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """S1 source: one Parquet table of the test database (the lazy frame is reused, so its
     schema is read once per session)."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (_session_key(spark), sf_dir, name)
     if key not in _FRAMES:
         _FRAMES[key] = source(spark, f"{sf_dir}/{name}.parquet", "parquet")
     return _FRAMES[key]
@@ -91,7 +98,7 @@ def _infer(spark: SparkSession, sf_dir: str, db: str) -> Mapping:
 def mapping(spark: SparkSession, sf_dir: str, db: str = "lake") -> Mapping:
     """M1 (+ M5 review) over the test catalogue, collected as plan metadata (once per
     session, database and directory)."""
-    key = (spark.sparkContext.applicationId, sf_dir, "mapping", db)
+    key = (_session_key(spark), sf_dir, "mapping", db)
     if key not in _FRAMES:
         _FRAMES[key] = _infer(spark, sf_dir, db)
     return _FRAMES[key]
@@ -151,7 +158,7 @@ def layers(spark: SparkSession, sf_dir: str) -> dict:
 
 def layer_mapping(spark: SparkSession, sf_dir: str) -> Mapping:
     """M4 over the layer catalogue (field names and types from the layer schemas)."""
-    key = (spark.sparkContext.applicationId, sf_dir, "layers")
+    key = (_session_key(spark), sf_dir, "layers")
     if key not in _FRAMES:
         ls = layers(spark, sf_dir)
         cat = spark.createDataFrame([(n, "fid") for n in ls], "layer string, fid_column string")
