@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom import model as M
-from graphloom.functions.geometry import geometry_type, sf_class, within_box
+from graphloom.functions.geometry import geometry_type, sf_class
 from graphloom.functions.hashing import node_hash
 from graphloom.functions.lexical import lexical
 from graphloom.mapping import TableMap
-from graphloom.operators.filters import Area, not_sentinel
+from graphloom.operators.filters import Area, not_sentinel, within
 from graphloom.operators.triples import emit, iri_triple, label_of, type_of, typed_triple
 
 
@@ -36,9 +36,8 @@ def melt_fields(df: DataFrame, fields: list[str], id_col: str = "fid") -> DataFr
 
 
 def in_scope(layer: DataFrame, area: Area) -> DataFrame:
-    """F8 (fid > 0), F3 (point or centroid inside the area; null geometry is outside), F9."""
-    x0, y0, x1, y1 = area.bounds()
-    return layer.where((F.col("fid") > 0) & F.col("wkt").isNotNull() & within_box("wkt", x0, y0, x1, y1))
+    """F8 (fid > 0), F9 (geometry present), F3 (point or centroid inside the area)."""
+    return within(layer.where((F.col("fid") > 0) & F.col("wkt").isNotNull()), "wkt", area)
 
 
 def _feature_iri(cfg: M.GraphConfig, layer_name: str, tm: TableMap) -> Column:

@@ -8,8 +8,6 @@ skewed keys).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,13 +21,6 @@ def subjects_of(graph: DataFrame, cls) -> DataFrame:
     return graph.where((F.col("p") == M.RDF_TYPE) & (F.col("o") == c)).select("s").distinct()
 
 
-def values_of(graph: DataFrame, prop: str, name: str) -> DataFrame:
-    """(s, <name>) for one predicate; the object term is kept whole as a struct."""
-    return graph.where(F.col("p") == prop).select(
-        "s", F.struct(F.col("o").alias("v"), "o_kind", "o_datatype", "o_lang").alias(name)
-    )
-
-
 def codes_of(graph: DataFrame, cls: str, attr: str) -> DataFrame:
     """Distinct attribute values (``code``) of the subjects of a class that have it."""
     typed = subjects_of(graph, cls)
@@ -123,13 +114,3 @@ def align(chained: DataFrame, cmap: DataFrame, ns: str) -> DataFrame:
         F.lit(M.KIND_IRI).alias("o_kind"), F.lit(None).cast("string").alias("o_datatype"),
         F.lit(None).cast("string").alias("o_lang"),
     ).distinct()
-
-
-def union_rules(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
-__all__ = [
-    "align", "chain", "codes_of", "concept_map", "link", "pairs", "star", "subjects_of",
-    "union_rules", "values_of",
-]
