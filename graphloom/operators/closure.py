@@ -80,7 +80,9 @@ class ClosureResult:
     @property
     def visited(self) -> DataFrame:
         """(tbl, id) of keys expanded (emitted)."""
-        return reduce(DataFrame.unionByName, self.parts) if self.parts else self.frontier.limit(0)
+        if self.parts:
+            return reduce(DataFrame.unionByName, self.parts)
+        return self.frontier.sparkSession.createDataFrame([], REFS_SCHEMA)
 
     def compact(self) -> "ClosureResult":
         """Write the visited set once (partitioned by table) so later joins read one input."""
@@ -141,7 +143,7 @@ def closure(spark: SparkSession, sources: dict, mapping: Mapping, roots: DataFra
             hit = edges[t].join(f_ids, "id", "left_semi")
             nxt.append(hit.select(F.col("dst_tbl").alias("tbl"), F.col("dst_id").alias("id")))
         if not nxt:
-            frontier = frontier.limit(0)
+            frontier = spark.createDataFrame([], REFS_SCHEMA)
             continue
         cand = reduce(DataFrame.unionByName, nxt).distinct()
         # only the visited keys of tables these relations can reach (partition pruning)

@@ -103,7 +103,7 @@ def feature_triples(layer: DataFrame, layer_name: str, tm: TableMap, cfg: M.Grap
                     features: bool = True, geometry: bool = True) -> DataFrame:
     """T7 + T8 of one layer in one pass (one scan, one ``inline``)."""
     if tm.identifier is None:
-        return emit(layer.limit(0), [type_of(F.lit(None).cast("string"), F.lit(None).cast("string"))])
+        return layer.sparkSession.createDataFrame([], M.TRIPLE_SCHEMA)
     df = _bind_iris(typed_layer(layer, area), layer_name, tm, cfg)
     structs = (feature_structs(df, layer_name, tm, cfg) if features else []) + (
         geometry_structs(layer_name, tm, cfg) if geometry else [])
