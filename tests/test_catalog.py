@@ -150,3 +150,25 @@ def test_sql_catalogue_equivalence(cat):
     for t in tpch.TABLES:
         want = [r[0] for r in con.execute(f"DESCRIBE SELECT * FROM '{SF001}/{t}.parquet'").fetchall()]
         assert got[got.table_name == t].sort_values("ordinal").column_name.tolist() == want
+
+
+def test_table_info_two_key_join(spark):
+    cols = spark.createDataFrame([("t", "a", 56, 56), ("t", "b", 167, 167), ("t", "c", 167, 300)],
+                                 "table_name string, column_name string, system_type_id int, user_type_id int")
+    types = spark.createDataFrame([(56, 56, "int"), (167, 167, "varchar"), (167, 300, "code_t")],
+                                  "system_type_id int, user_type_id int, type_name string")
+    assert rows(C.table_info(cols, types)) == [("t", "a", "int"), ("t", "b", "varchar"), ("t", "c", "code_t")]
+
+
+def test_technical_columns_dropped(spark):
+    cols = spark.createDataFrame([("t", "TimeStamp"), ("t", "name")], "table_name string, column_name string")
+    assert rows(C.drop_technical(cols)) == [("t", "name")]
+
+
+def test_concept_rule_levelled_style(spark):
+    from graphloom.functions import rules as R
+
+    df = spark.createDataFrame([("src-niv2---processfunction-parent_id--code-", "src-location-17")], "p string, s string")
+    r = df.select(R.decode_concept_property(F.col("p"), F.lit("src"), F.lit("ProcessFunction"), "levelled").alias("p"),
+                  R.decode_concept_subtype(F.col("s"), F.lit("src"), "levelled").alias("s")).first()
+    assert r.p == "parent_id" and tuple(r.s) == ("location", "17")
