@@ -51,21 +51,28 @@ def instance_set(frames: list[tuple[DataFrame, object]], cfg: M.GraphConfig) ->
     name), provided no other table maps to the same class; those skip the dedup shuffle.
     """
     names = [tm.classname for _, tm in frames]
+    preds = [_predicates(df, tm, cfg) for df, tm in frames]
+    seen: dict[str, int] = {}
+    for ps in preds:
+        for p in set(ps):
+            seen[p] = seen.get(p, 0) + 1
     parts = [(instance_triples(df, tm, cfg),
-              tm.unique_key and names.count(tm.classname) == 1 and _distinct_predicates(df, tm, cfg))
-             for df, tm in frames]
+              tm.unique_key and names.count(tm.classname) == 1
+              and len(ps) == len(set(ps)) and all(seen[p] == 1 for p in ps))
+             for (df, tm), ps in zip(frames, preds)]
     return set_union(parts)
 
 
-def _distinct_predicates(df: DataFrame, tm, cfg: M.GraphConfig) -> bool:
-    """No two projections of one row share a predicate (two columns with one property name,
-    or two relations to one class sharing their inverse property), so one row's triples are
-    distinct."""
+def _predicates(df: DataFrame, tm, cfg: M.GraphConfig) -> list[str]:
+    """Predicates one row of ``tm`` can emit besides type and label. When they are pairwise
+    distinct (no two columns with one property name, no two relations to one class sharing
+    their inverse) and no other table emits any of them, one row's triples are distinct and
+    disjoint from every other table's."""
     preds = [attr_predicate(cfg, tm.classname, a.property) for a in tm.included_attrs() if a.col in df.columns]
     for r in tm.included_rels():
         if r.col in df.columns:
             preds += [attr_predicate(cfg, tm.classname, r.property), inverse_predicate(cfg, r.target_class, tm.classname)]
-    return len(preds) == len(set(preds))
+    return preds
 
 
 def emit_visited(spark: SparkSession, sources: dict, mapping: Mapping, cfg: M.GraphConfig,
