@@ -119,11 +119,14 @@ def closure(spark: SparkSession, sources: dict, mapping: Mapping, roots: DataFra
     table yield their relation targets; targets not yet visited form the next frontier.
     Keys without a matching row are still visited, so the loop ends. Keys found in the last
     allowed round stay in ``frontier`` (not visited). Per round the driver only lists the
-    table partitions of the written frontier (file metadata, no job).
+    table partitions of the written frontier (file metadata, no job). A table expanded in a
+    second round has its edge list (key, target table, target key) written once and read
+    from there afterwards.
     """
     parts = list(parts or [])
     edges = {t: _edges_of(mapping.tables[t], df) for t, df in sources.items() if t in mapping.tables}
     edges = {t: e for t, e in edges.items() if e is not None}
+    seen_in: dict[str, int] = {}  # rounds in which each table was expanded
     start = roots.select("tbl", "id").distinct()
     if parts:
         start = minus_refs(start, reduce(DataFrame.unionByName, parts))
@@ -139,6 +142,11 @@ def closure(spark: SparkSession, sources: dict, mapping: Mapping, roots: DataFra
         for t in present:
             if t not in edges:
                 continue
+            seen_in[t] = seen_in.get(t, 0) + 1
+            if seen_in[t] == 2:
+                # reached again (a hierarchy or several paths): write its edge list once
+                # instead of scanning the table in every later round
+                edges[t] = materialize(edges[t], f"edges-{t}")
             f_ids = frontier.where(F.col("tbl") == t).select("id")
             hit = edges[t].join(f_ids, "id", "left_semi")
             nxt.append(hit.select(F.col("dst_tbl").alias("tbl"), F.col("dst_id").alias("id")))

@@ -53,3 +53,20 @@ def test_scope_roots_empty_codes_means_all(spark):
     codes = spark.createDataFrame([("1",)], "code string")
     got = R.scope_roots(cust, F.col("c_nationkey").cast("string"), codes)
     assert got.count() == cust.where("c_nationkey = 1").count()
+
+
+def test_self_referencing_hierarchy(spark):
+    from graphloom.mapping import Mapping, Rel, TableMap
+
+    # node i points to parent i // 2: a chain of rounds over one table
+    nodes = spark.range(1, 65).selectExpr("id", "CASE WHEN id > 1 THEN id DIV 2 END AS parent")
+    tm = TableMap("node", "Node", "id", rels=(Rel("parent", "parent", "node", "Node"),), unique_key=True)
+    m = Mapping("t", {"node": tm})
+    roots = spark.createDataFrame([("node", "64"), ("node", "37")], R.REFS_SCHEMA)
+    res = R.closure(spark, {"node": nodes}, m, roots)
+    got = sorted(int(r.id) for r in res.visited.collect())
+    want = sorted({64, 32, 16, 8, 4, 2, 1, 37, 18, 9})
+    assert got == want and res.rounds == 6
+    capped = R.closure(spark, {"node": nodes}, m, roots, max_rounds=3)
+    assert sorted(int(r.id) for r in capped.visited.collect()) == sorted({64, 32, 16, 37, 18, 9})
+    assert sorted(int(r.id) for r in capped.frontier.collect()) == [4, 8]
