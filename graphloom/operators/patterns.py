@@ -52,14 +52,17 @@ def link(src_graph: DataFrame, tgt_graph: DataFrame, rules: DataFrame) -> DataFr
     """For every rule (src_class, src_prop, tgt_prop, rel IRIs), link each source subject
     to every target subject whose ``tgt_prop`` object equals the source's ``src_prop`` object
     (same lexical form, datatype and language). Empty values are skipped (F15).
-    All rules run as one join; the rule table is broadcast.
+    All rules run as one join; the rule table is broadcast. Type triples are first cut to
+    the rule classes. The caller's set operation (X1) removes repeated links.
     """
     r = F.broadcast(rules.select("rule_id", "src_class", "src_prop", "tgt_prop", "rel"))
     src_vals = src_graph.where(non_empty(F.col("o"))).join(r, src_graph["p"] == r["src_prop"]).select(
         "rule_id", "rel", "src_class", "s", "o", "o_kind", "o_datatype", "o_lang"
     )
-    typed = src_graph.where(F.col("p") == M.RDF_TYPE).select("s", F.col("o").alias("src_class"))
-    src = src_vals.join(typed, ["s", "src_class"], "left_semi").distinct()
+    classes = F.broadcast(rules.select(F.col("src_class").alias("_c")).distinct())
+    typed = src_graph.where(F.col("p") == M.RDF_TYPE).join(classes, F.col("o") == F.col("_c"), "left_semi").select(
+        "s", F.col("o").alias("src_class"))
+    src = src_vals.join(typed, ["s", "src_class"], "left_semi")
     tgt = tgt_graph.join(r.select("rule_id", "tgt_prop"), tgt_graph["p"] == F.col("tgt_prop")).select(
         "rule_id", F.col("s").alias("t"), "o", "o_kind", "o_datatype", "o_lang"
     )
@@ -78,7 +81,9 @@ def chain(graph: DataFrame, rules: DataFrame) -> DataFrame:
     """Instance -rel-> target -id-> value, for every rule (src_class, src_prop, ref_prop)
     at once; distinct (rule_key, s, value)."""
     r = F.broadcast(rules.select("rule_key", "src_class", "src_prop", "ref_prop"))
-    typed = graph.where(F.col("p") == M.RDF_TYPE).select("s", F.col("o").alias("src_class"))
+    classes = F.broadcast(rules.select(F.col("src_class").alias("_c")).distinct())
+    typed = graph.where(F.col("p") == M.RDF_TYPE).join(classes, F.col("o") == F.col("_c"), "left_semi").select(
+        "s", F.col("o").alias("src_class"))
     hop1 = graph.join(r, graph["p"] == r["src_prop"]).select("rule_key", "src_class", "ref_prop", "s",
                                                               F.col("o").alias("target"))
     hop1 = hop1.join(typed, ["s", "src_class"], "left_semi")
