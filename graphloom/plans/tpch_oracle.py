@@ -353,7 +353,15 @@ LAYER_POINT = "SELECT p_partkey AS fid, 'POINT (' || p_size || ' 0)' AS wkt, p_s
 GEOMETRY_TRIPLES = _distinct(*feature_sql(LAYER_POINT, "pPart", "Part", "POINT", "Point", _in_area(0, -1, 100, 1), [],
                                           features=False))
 
+CLASS_PAIRS = f"""SELECT DISTINCT {iri("Orders", "CAST(o_orderkey AS VARCHAR)")} AS s, {lex("o_orderpriority", STR)} AS o,
+  'literal' AS o_kind, '{XSD}string' AS o_datatype, {NULL} AS o_lang
+FROM orders WHERE o_orderpriority IS NOT NULL"""
+
+MULTI_READ = _distinct(instance_sql("customer"), instance_sql("nation"))
+
 ORACLE.update({
+    "class_pairs": CLASS_PAIRS,
+    "multi_read": MULTI_READ,
     "scope_by_codes": SCOPE_BY_CODES,
     "star_bindings": STAR_BINDINGS,
     "enrich_chain": ENRICH_CHAIN,

@@ -294,6 +294,28 @@ def q_namespaces(spark, sf_dir):
     )
 
 
+def q_class_pairs(spark, sf_dir):
+    """Distinct (subject, value) of a class and one property, over orders and customers."""
+    from graphloom.operators.patterns import pairs
+
+    g = graph_of(spark, sf_dir, ["customer", "orders"], header=False)
+    return pairs(g, CFG.schema_ns + "Orders", CFG.schema_ns + "orders_o_orderpriority")
+
+
+def q_multi_read(spark, sf_dir):
+    """S9 then S8: two graphs written as N-Triples files, read back as one graph (set)."""
+    import uuid
+
+    from graphloom.operators.sets import as_set
+    from graphloom.session import checkpoint_dir
+    from graphloom.sources.ntriples import read_triples, write_triples
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/graphloom-{uuid.uuid4().hex}"
+    a = write_triples(graph_of(spark, sf_dir, ["customer"], header=False), f"{base}/customer")
+    b = write_triples(graph_of(spark, sf_dir, ["nation", "customer"], header=False), f"{base}/nation")
+    return as_set(read_triples(spark, [a, b]))
+
+
 FEATURE_AREA = Area(x0=-500, y0=-500, x1=10.3, y1=470.456)
 LABEL_AREA = Area(x0=-10, y0=-10, x1=10, y1=10)
 LINE_AREA = Area(x0=0, y0=-1, x1=100, y1=1)
@@ -361,4 +383,6 @@ QUERIES = {
     "feature_triples": q_feature_triples,
     "layer_graph": q_layer_graph,
     "geometry_triples": q_geometry_triples,
+    "class_pairs": q_class_pairs,
+    "multi_read": q_multi_read,
 }
