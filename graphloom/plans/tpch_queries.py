@@ -122,11 +122,15 @@ def graph_of(spark, sf_dir, tables, cfg=CFG, flat_keys=False, relations=True, he
     """Instance triples of whole tables (T1-T6), plus the header triples (without count)."""
     from graphloom.operators.metadata import header_triples
 
+    from graphloom.session import spread
+
     m = tpch.mapping(spark, sf_dir)
     parts = []
     for t in tables:
         tm = flat(m.table(t)) if flat_keys else m.table(t)
-        parts.append(instance_triples(_t(spark, sf_dir, t), tm, cfg, relations=relations))
+        # whole-table projection: about ten hashed or formatted triples per row, so a
+        # single-split source is spread over the cores first (no-op with many files)
+        parts.append(instance_triples(spread(_t(spark, sf_dir, t)), tm, cfg, relations=relations))
     if header:
         parts.append(header_triples(spark, cfg.data_ns, HEADER_TS, cfg.db))
     return reduce(DataFrame.unionByName, parts)
