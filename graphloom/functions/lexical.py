@@ -54,7 +54,8 @@ def double_lexical(x: Column) -> Column:
 
 
 def timestamp_lexical(ts: Column) -> Column:
-    """ISO form ``yyyy-MM-ddTHH:mm:ss`` plus ``.ffffff`` when the fraction is not zero."""
+    """ISO form ``yyyy-MM-ddTHH:mm:ss`` plus ``.ffffff`` when the fraction is not zero
+    (instants are shown in the session time zone)."""
     frac = F.date_format(ts, "SSSSSS")
     return F.concat(
         F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"),
@@ -62,6 +63,17 @@ def timestamp_lexical(ts: Column) -> Column:
     )
 
 
+def wallclock_lexical(ts: Column) -> Column:
+    """The same ISO form for a ``TIMESTAMP_NTZ`` (wall-clock) value, without any time-zone
+    conversion: Spark prints ``yyyy-MM-dd HH:mm:ss[.f]``, which is reshaped."""
+    text = ts.cast("string")
+    frac = F.substring(text, 21, 6)
+    return F.concat(
+        F.replace(F.substring(text, 1, 19), F.lit(" "), F.lit("T")),
+        F.when(F.length(text) > 20, F.concat(F.lit("."), F.rpad(frac, 6, "0"))).otherwise(F.lit("")),
+    )
+
+
 def epoch_lexical(seconds) -> Column:
     """Epoch seconds -> ISO local timestamp (session time zone)."""
     c = seconds if isinstance(seconds, Column) else F.lit(seconds)
@@ -76,7 +88,9 @@ def lexical(c: Column, dtype: T.DataType) -> Column:
         return strip_ws(decode_utf8(c))
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return double_lexical(c)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dtype, T.TimestampNTZType):
+        return wallclock_lexical(c)
+    if isinstance(dtype, T.TimestampType):
         return timestamp_lexical(c)
     if isinstance(dtype, T.DateType):
         return F.date_format(c, "yyyy-MM-dd")

@@ -110,7 +110,7 @@ LINEITEM_KEY_EXPR = (
     "sha1(concat_ws('|', cast(l_orderkey as string), cast(l_partkey as string), cast(l_suppkey as string), "
     "cast(l_linenumber as string), cast(l_quantity as string), cast(l_extendedprice as string), "
     "cast(l_discount as string), cast(l_tax as string), l_returnflag, l_linestatus, "
-    "date_format(l_shipdate, \"yyyy-MM-dd'T'HH:mm:ss\")))"
+    "replace(substring(cast(l_shipdate as string), 1, 19), ' ', 'T')))"
 )
 
 CONFIG = M.GraphConfig("lake")

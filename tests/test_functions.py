@@ -78,6 +78,8 @@ def test_timestamp_and_strip(spark):
     df = spark.createDataFrame([("2020-01-02 03:04:05",), ("2020-01-02 03:04:05.25",)], "t string")
     got = [r[0] for r in df.select(L.timestamp_lexical(F.col("t").cast("timestamp_ntz"))).collect()]
     assert got == ["2020-01-02T03:04:05", "2020-01-02T03:04:05.250000"]
+    got = [r[0] for r in df.select(L.wallclock_lexical(F.col("t").cast("timestamp_ntz"))).collect()]
+    assert got == ["2020-01-02T03:04:05", "2020-01-02T03:04:05.250000"]
     text = "  a b\t\n　"
     assert one(spark, L.strip_ws, text) == text.strip()
 
