@@ -6,12 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom import model as M
-from graphloom.functions.lexical import epoch_lexical
 from graphloom.operators.sets import as_set, count_triples, delete
 from graphloom.session import materialize
 from graphloom.operators.triples import emit, iri_triple, lang_triple, typed_triple
 
 
+def stamp(ts: int) -> str:
+    """L15 for the job clock: epoch seconds -> ISO text in UTC. The timestamp is one job
+    parameter, so it is formatted once here and is the same whatever the session zone."""
+    from datetime import datetime, timezone
+
+    return datetime.fromtimestamp(ts, tz=timezone.utc).replace(tzinfo=None).isoformat()
+
+
 def _one_row(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.lit(1).alias("_one"))
 
@@ -29,7 +36,7 @@ def header_triples(spark: SparkSession, base: str, ts: int, name: str, is_ontolo
     title = text.title.format(db=name.upper())
     structs = [
         iri_triple(base, M.RDF_TYPE, M.OWL_ONTOLOGY if is_ontology else M.VOID_DATASET),
-        typed_triple(base, M.DCTERMS + "modified", epoch_lexical(F.lit(ts)), M.XSD_DATETIME),
+        typed_triple(base, M.DCTERMS + "modified", F.lit(stamp(ts)), M.XSD_DATETIME),
         iri_triple(base, M.DCTERMS + "creator", text.creator),
         iri_triple(base, M.DCTERMS + "publisher", text.creator),
         iri_triple(base, M.DCTERMS + "rightsHolder", text.rights_holder),
@@ -86,6 +93,6 @@ def refresh_metadata(df: DataFrame, ts: int, base: str | None = None) -> DataFra
         base = row.base
     kept = delete(df, p=[M.DCTERMS + "modified", M.VOID_TRIPLES])
     modified = emit(_one_row(df.sparkSession),
-                    [typed_triple(base, M.DCTERMS + "modified", epoch_lexical(F.lit(ts)), M.XSD_DATETIME)])
+                    [typed_triple(base, M.DCTERMS + "modified", F.lit(stamp(ts)), M.XSD_DATETIME)])
     body = materialize(as_set(kept.unionByName(modified)), "graph")
     return body.unionByName(_count_triple(base, body))
