@@ -36,7 +36,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     back to a fresh temporary folder: on a cluster a machine-local folder is not shared, so
     an unset directory is an error there.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (a session without a local context: use the setting)
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative jobs")
+        return conf
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -88,7 +94,10 @@ def spread(df):
     is spread round-robin; a source with enough splits (the normal case at scale) is left
     as it is, without a shuffle. Filters and column pruning still reach the scan.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001  (no local context: leave the plan as it is)
+        return df
     if len(df.inputFiles()) >= want:  # file listing only, no job
         return df
     return df.repartition(want)
