@@ -192,6 +192,9 @@ def q_enrich_literal(spark, sf_dir):
     return enrich_graph(g, ENRICH_LITERAL_RULES)
 
 
+# Orders are linked to customers on the customer key (a many-to-one match). A link on a
+# 25-value key such as the nation key would emit every customer x supplier pair of a
+# nation, i.e. output quadratic in the data, so the fixture does not use one.
 XREF_RULES = {
     "lake": [{"source": "sql:lake.orders/o_custkey", "target": "sql:store.customer/c_custkey"},
              {"source": "sql:lake.bad rule", "target": "sql:store.customer/c_custkey"}],
