@@ -93,3 +93,17 @@ def test_write_graph_with_header(spark, tmp_path):
         back = NT.read_triples(spark, path) if fmt == "ntriples" else spark.read.parquet(path)
         want = with_metadata(body, base, 0, "lake")
         assert rows(back.select(*M.TRIPLE_COLUMNS)) == rows(want)
+
+
+def test_write_table_graph_job_equals_query(spark, tmp_path):
+    import __spark_entry__ as E
+    from graphloom.plans import tpch
+    from graphloom.plans import tpch_queries as Q
+    from graphloom.plans.table_graph import write_table_graph
+
+    m = tpch.mapping(spark, SF001)
+    path = write_table_graph(spark, Q._sources(spark, SF001), m, Q.CFG, Q._roots(spark, SF001), "orders",
+                             str(tmp_path / "lake"), ts=Q.HEADER_TS, secondary=[("lineitem", "l_orderkey")],
+                             fmt="parquet")
+    written = spark.read.parquet(path)
+    assert rows(written) == rows(E.queries()["table_graph"](spark, SF001))
