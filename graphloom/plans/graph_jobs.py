@@ -8,6 +8,7 @@ base IRI of each input graph (one row, O2) and the decoded rule rows to unroll t
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,9 @@ from graphloom.operators.sets import as_set, merge, stage, union_all
 from graphloom.operators.triples import empty_triples
 
 
+LOG = logging.getLogger(__name__)
+
+
 # ---- graph identity ----------------------------------------------------------------------
 
 
@@ -53,14 +57,19 @@ def graph_identity(graph: DataFrame, known=None) -> dict:
 XREF_RULES_SCHEMA = "db string, rule_pos int, source string, target string"
 
 
-def xref_rules(spark: SparkSession, doc: dict) -> DataFrame:
+def xref_rules(spark: SparkSession, doc: dict, report: bool = False) -> DataFrame:
     """Rule document ``{db: [{source, target}]}`` -> decoded rows; undecodable rules are
-    dropped (Q18)."""
+    dropped (Q18) and, with ``report``, logged (the rule list is configuration-sized)."""
     rows = [(db, i, r.get("source"), r.get("target")) for db, rs in doc.items() for i, r in enumerate(rs)]
     df = spark.createDataFrame(rows, XREF_RULES_SCHEMA)
-    dec = df.select("db", "rule_pos", decode_rule(F.col("source")).alias("src"),
+    dec = df.select("db", "rule_pos", "source", "target", decode_rule(F.col("source")).alias("src"),
                     decode_rule(F.col("target")).alias("tgt"))
-    return dec.where(F.col("src").isNotNull() & F.col("tgt").isNotNull())
+    ok = F.col("src").isNotNull() & F.col("tgt").isNotNull()
+    if report:
+        for r in dec.where(~ok).select("db", "rule_pos", "source", "target").collect():
+            LOG.warning("skipped undecodable cross-reference rule %s[%d]: %s -> %s", r.db, r.rule_pos, r.source,
+                        r.target)
+    return dec.where(ok).drop("source", "target")
 
 
 def _rule_frame(rules: DataFrame, src_db: str, tgt_db: str, src_ns: str, tgt_ns: str, xref_ns: str,
@@ -94,7 +103,7 @@ def xref(src_graph: DataFrame, tgt_graph: DataFrame, rules_doc: dict, backlinks:
     for g in (a, b):
         if g["db"] not in rules_doc:
             raise ValueError(f"source not in the rules: {g['db']}")
-    rules = xref_rules(spark, rules_doc)
+    rules = xref_rules(spark, rules_doc, report=True)
     xref_ns = f"{base}schema/xref/"
     directions = [(a, b, src_graph, tgt_graph)] + ([(b, a, tgt_graph, src_graph)] if backlinks else [])
     out = []
@@ -139,10 +148,12 @@ def enrich_graph(graph: DataFrame, rules_doc: dict, ts: int | None = None, known
                          prefix_rule_dbs).alias("cls"),
         ).collect()  # rule-sized: one row per source term
         by_rule: dict[int, list] = {}
+        bad = {r.rule_pos for r in dec if r.t is None}
+        for pos in sorted(bad):  # Q18: skipped and reported
+            LOG.warning("skipped enrichment rule %d of %s: undecodable source term", pos, g["db"])
         for r in dec:
-            if r.t is None:
-                raise ValueError(f"undecodable source term in rule {r.rule_pos}")  # Q18
-            by_rule.setdefault(r.rule_pos, []).append(r)
+            if r.rule_pos not in bad:
+                by_rule.setdefault(r.rule_pos, []).append(r)
         for pos, terms in sorted(by_rule.items()):
             cls = terms[0].cls
             attrs = [t.t.prop for t in terms]

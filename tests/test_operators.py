@@ -120,3 +120,16 @@ def test_link_matches_datatype_and_skips_empty(spark):
                                   "rule_id string, src_class string, src_prop string, tgt_prop string, rel string")
     got = [(r.s, r.o) for r in P.link(src, tgt, rules).collect()]
     assert got == [("http://a/1", "http://b/1")]
+
+
+def test_undecodable_enrichment_rule_is_skipped(spark):
+    from graphloom.plans.graph_jobs import enrich_graph
+    from graphloom.plans.tpch_queries import graph_of
+    from tests.conftest import SF001
+
+    g = graph_of(spark, SF001, ["region"])
+    target = {"head": M.XSD_STRING, "property": "http://x/name", "type": "Literal", "tail": "[r_name]"}
+    doc = {"lake": [{"source": ["not a rule"], "target": target},
+                    {"source": ["sql:lake.region/r_name"], "target": target}]}
+    out = enrich_graph(g, doc)
+    assert out.count() == 5 and {r.p for r in out.collect()} == {"http://x/name"}
