@@ -157,6 +157,9 @@ def enrich_graph(graph: DataFrame, rules_doc: dict, ts: int | None = None, known
         for pos, terms in sorted(by_rule.items()):
             cls = terms[0].cls
             attrs = [t.t.prop for t in terms]
+            missing = _template_vars(rules[pos]["target"]) - {f"[{a}]" for a in attrs}
+            if missing:  # Q17: such a leaf can never be filled; its triples are left out
+                LOG.warning("enrichment rule %d of %s uses unbound variables %s", pos, g["db"], sorted(missing))
             props = [(a, f"{g['schema_ns']}{cls.lower()}_{a.lower()}") for a in attrs]
             bindings = P.star(graph, g["schema_ns"] + cls, props)
             out.append(EN.enrich(bindings, rules[pos]["target"], g["data_ns"], attrs))
@@ -166,6 +169,15 @@ def enrich_graph(graph: DataFrame, rules_doc: dict, ts: int | None = None, known
     return with_metadata(body, f"{base}schema/extra/", ts, "EXTRA")
 
 
+def _template_vars(target: dict) -> set:
+    """Variables named in the leaf template of a nested target."""
+    level = target
+    while isinstance(level.get("tail"), dict):
+        level = level["tail"]
+    tail = level.get("tail")
+    return set(EN.VAR.findall(tail)) if isinstance(tail, str) and level.get("type") != "URIRef" else set()
+
+
 # ---- type alignment (G3) -----------------------------------------------------------------
 
 CONCEPT_SCHEMA = ("db string, tbl string, rule_pos int, concept string, property string, "
