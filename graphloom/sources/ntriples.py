@@ -185,7 +185,8 @@ def write_triples(df: DataFrame, path: str, fmt: str = "ntriples", graph: str |
 
 
 def write_graph(df: DataFrame, path: str, base: str, ts: int, name: str, fmt: str = "ntriples",
-                is_ontology: bool = False, text: M.HeaderText = M.HeaderText(), graph: str | None = None) -> str:
+                is_ontology: bool = False, text: M.HeaderText = M.HeaderText(), graph: str | None = None,
+                mode: str = "error") -> str:
     """S9 + T14 for a job's final output: the triples (a set that holds no header triple of
     ``base``) are written once to ``path``; the header and the count triple (written triples
     + header + 1) are appended as one more small part. The count is read back from the
@@ -195,7 +196,7 @@ def write_graph(df: DataFrame, path: str, base: str, ts: int, name: str, fmt: st
     from graphloom.operators.triples import emit, typed_triple
 
     spark = df.sparkSession
-    path = write_triples(df, path, fmt, graph=graph)
+    path = write_triples(df, path, fmt, graph=graph, mode=mode)  # "overwrite" re-runs a failed job
     n = (spark.read.parquet(path) if fmt == "parquet" else spark.read.text(path)).count()
     header = header_triples(spark, base, ts, name, is_ontology, text)
     count = emit(spark.range(1), [typed_triple(base, M.VOID_TRIPLES, F.lit(str(n + HEADER_SIZE + 1)),
