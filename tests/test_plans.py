@@ -45,3 +45,11 @@ def test_declared_key_tables_emit_without_shuffle(spark):
 def test_no_cartesian_or_nested_loop(spark, name):
     text = plan(spark, E.queries()[name](spark, SF001))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_staged_graph_predicate_filter_reaches_scan(spark):
+    from graphloom.operators.sets import stage
+
+    g = stage(Q.graph_of(spark, SF001, ["region"]))
+    text = plan(spark, g.where(F.col("p") == "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"))
+    assert "PushedFilters: [IsNotNull(p), EqualTo(p,http://www.w3.org/1999/02/22-rdf-syntax-ns#type)]" in text
