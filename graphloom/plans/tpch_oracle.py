@@ -60,6 +60,9 @@ TABLES = {
     "orders": ("Orders", "CAST(o_orderkey AS VARCHAR)",
                [("o_orderdate", TS), ("o_orderkey", INT), ("o_orderpriority", STR), ("o_orderstatus", STR),
                 ("o_totalprice", DBL)], [("o_custkey", "Customer", "customer")]),
+    "events": ("Events", "CAST(event_id AS VARCHAR)",
+               [("event_id", INT), ("event_type", STR), ("props", STR), ("ts", TS), ("value", DBL)],
+               [("user_id", "Customer", "customer", "user")]),
     "lineitem": ("Lineitem", LINEITEM_KEY,
                  [("l_discount", DBL), ("l_extendedprice", DBL), ("l_linenumber", INT), ("l_linestatus", STR),
                   ("l_quantity", DBL), ("l_returnflag", STR), ("l_shipdate", TS), ("l_tax", DBL)],
@@ -83,9 +86,10 @@ def instance_sql(table: str, src: str | None = None, attributes=True, relations=
             parts.append(row("_s", f"'{SCH}{cls.lower()}_{col}'", lex(col, kind), "literal", dt=XSD + kind,
                              src=frm + f" WHERE {col} IS NOT NULL"))
     if relations:
-        for col, tcls, _ in rels:
+        for col, tcls, _, *prop in rels:
             tgt = iri(tcls, f"CAST({col} AS VARCHAR)")
-            parts.append(row("_s", f"'{SCH}{cls.lower()}_{col}'", tgt, src=frm + f" WHERE {col} IS NOT NULL"))
+            name = prop[0] if prop else col  # relation name (L3): a trailing id is dropped
+            parts.append(row("_s", f"'{SCH}{cls.lower()}_{name}'", tgt, src=frm + f" WHERE {col} IS NOT NULL"))
             parts.append(row(tgt, f"'{SCH}{tcls.lower()}_inv_{cls.lower()}'", "_s",
                              src=frm + f" WHERE {col} IS NOT NULL"))
     return "\nUNION ALL\n".join(parts)
@@ -98,7 +102,8 @@ EDGES = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS tbl, {key} AS id, '{tt}' AS dst_tbl, CAST({col} AS VARCHAR) AS dst_id FROM {t} "
     f"WHERE {col} IS NOT NULL"
     for t, (cls, key, attrs, rels) in TABLES.items()
-    for col, tcls, tt in rels
+    if t != "events"
+    for col, tcls, tt, *_ in rels
 )
 
 
@@ -360,6 +365,7 @@ FROM orders WHERE o_orderpriority IS NOT NULL"""
 MULTI_READ = _distinct(instance_sql("customer"), instance_sql("nation"))
 
 ORACLE.update({
+    "event_triples": "SELECT DISTINCT * FROM (" + instance_sql("events") + ") u",
     "class_pairs": CLASS_PAIRS,
     "multi_read": MULTI_READ,
     "scope_by_codes": SCOPE_BY_CODES,

@@ -301,6 +301,16 @@ def q_namespaces(spark, sf_dir):
     )
 
 
+def q_event_triples(spark, sf_dir):
+    """T1-T6 over the whole events table: fractional wall-clock timestamps, a JSON text
+    column, and a relation whose name drops its ``_id`` suffix (``user_id`` -> ``user``)."""
+    from graphloom.plans.table_graph import instance_set
+    from graphloom.session import spread
+
+    m = tpch.mapping(spark, sf_dir)
+    return instance_set([(spread(_t(spark, sf_dir, "events")), m.table("events"))], CFG)
+
+
 def q_class_pairs(spark, sf_dir):
     """Distinct (subject, value) of a class and one property, over orders and customers."""
     from graphloom.operators.patterns import pairs
@@ -390,6 +400,7 @@ QUERIES = {
     "feature_triples": q_feature_triples,
     "layer_graph": q_layer_graph,
     "geometry_triples": q_geometry_triples,
+    "event_triples": q_event_triples,
     "class_pairs": q_class_pairs,
     "multi_read": q_multi_read,
 }
