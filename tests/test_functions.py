@@ -123,3 +123,22 @@ def test_rule_decoding(spark):
     r = k.select(R.decode_concept_property(F.col("p"), F.lit("lake"), F.lit("customer")).alias("p"),
                  R.decode_concept_subtype(F.col("s"), F.lit("lake")).alias("s")).first()
     assert r.p == "c_nationkey" and tuple(r.s) == ("nation", "2")
+
+
+def test_lexical_forms_match_duckdb_on_all_values(spark):
+    """Every distinct double and timestamp of the sf0.01 tables prints as DuckDB prints it
+    (DuckDB prints doubles like Python's repr)."""
+    import duckdb
+
+    sf = "/root/testdata/sf0.01"
+    cases = [("customer", "c_acctbal"), ("orders", "o_totalprice"), ("lineitem", "l_extendedprice"),
+             ("lineitem", "l_discount"), ("events", "value"), ("orders", "o_orderdate"), ("events", "ts")]
+    for t, c in cases:
+        df = spark.read.parquet(f"{sf}/{t}.parquet")
+        got = {str(k): v for k, v in df.select(F.col(c).cast("string"), L.lexical(F.col(c), df.schema[c].dataType))
+               .distinct().collect()}
+        ts = df.schema[c].dataType.simpleString().startswith("timestamp")
+        expr = (f"CASE WHEN date_part('microseconds', {c}) % 1000000 <> 0 THEN strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') "
+                f"ELSE strftime({c}, '%Y-%m-%dT%H:%M:%S') END") if ts else f"CAST({c} AS VARCHAR)"
+        want = dict(duckdb.sql(f"SELECT DISTINCT CAST({c} AS VARCHAR), {expr} FROM '{sf}/{t}.parquet'").fetchall())
+        assert got == want, (t, c)
