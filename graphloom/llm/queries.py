@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from graphloom.llm.common import table
 from graphloom.llm.mix import mix_report
+from graphloom.llm.near import near_report
 from graphloom.llm.shard import shard_report
 
 
@@ -20,7 +21,11 @@ def op5_shard_minimax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_report(table(spark, sf_dir, "documents"))
 
 
+def op10_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_mix_sources, op5_shard_minimax)
+    for f in (op2_mix_sources, op5_shard_minimax, op10_minhash_near)
 }
