@@ -64,3 +64,39 @@ SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
        doc_id IS NOT DISTINCT FROM CASE WHEN n.n IS NULL THEN doc_id ELSE component_id END AS kept
 FROM w LEFT JOIN n USING (r) LEFT JOIN comp USING (r)
 """
+
+ORACLE["op3_secret_ledger"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+m AS (
+  SELECT r, 'assign' AS kind, 1 AS ord, 12 AS least,
+         string_split_regex(text, '((?i)password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)') AS gaps,
+         regexp_extract_all(text, '((?i)password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 0) AS found,
+         regexp_extract_all(text, '((?i)password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2) AS held
+  FROM d
+  UNION ALL
+  SELECT r, 'access', 2, 18, string_split_regex(text, 'AKIA[A-Z0-9]+'), regexp_extract_all(text, 'AKIA[A-Z0-9]+'), regexp_extract_all(text, 'AKIA[A-Z0-9]+') FROM d
+  UNION ALL
+  SELECT r, 'hex', 3, 16, string_split_regex(text, '[0-9a-f]+'), regexp_extract_all(text, '[0-9a-f]+'), regexp_extract_all(text, '[0-9a-f]+') FROM d
+  UNION ALL
+  SELECT r, 'pem', 4, 1, string_split_regex(text, '-----BEGIN ([A-Z]+ ){0,3}PRIVATE KEY-----'),
+         regexp_extract_all(text, '-----BEGIN ([A-Z]+ ){0,3}PRIVATE KEY-----'), regexp_extract_all(text, '-----BEGIN ([A-Z]+ ){0,3}PRIVATE KEY-----') FROM d
+  UNION ALL
+  SELECT r, 'jwt', 5, 1, string_split_regex(text, 'eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}'),
+         regexp_extract_all(text, 'eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}'),
+         regexp_extract_all(text, 'eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}') FROM d),
+e AS (
+  SELECT r, kind, ord, least, unnest(range(1, len(found) + 1)) AS i, unnest(found) AS f, unnest(held) AS h,
+         unnest(gaps[1:len(found)]) AS g
+  FROM m WHERE len(found) > 0),
+s AS (
+  SELECT r, kind, ord, least, f, h, sum(length(g) + length(f)) OVER (PARTITION BY r, ord ORDER BY i) AS stop FROM e),
+x AS (SELECT r, kind, ord, stop - length(f) AS start, stop FROM s WHERE length(h) >= least),
+g AS (
+  SELECT r, count(*) FILTER (ord = 1) AS n_assign, count(*) FILTER (ord = 2) AS n_access, count(*) FILTER (ord = 3) AS n_hex,
+         sha256(coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) FILTER (ord <= 3), '')) AS base_sha256,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) AS spans
+  FROM x GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       coalesce(base_sha256, sha256('')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (r)
+"""

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from graphloom.llm.common import table
 from graphloom.llm.mix import mix_report
 from graphloom.llm.near import near_report
+from graphloom.llm.secrets import secret_report
 from graphloom.llm.shard import shard_report
 
 
@@ -17,6 +18,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
 def op5_shard_minimax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_report(table(spark, sf_dir, "documents"))
 
@@ -27,5 +32,5 @@ def op10_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_mix_sources, op5_shard_minimax, op10_minhash_near)
+    for f in (op2_mix_sources, op3_secret_ledger, op5_shard_minimax, op10_minhash_near)
 }
