@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from graphloom.llm.common import table
 from graphloom.llm.decontaminate import leak_report
+from graphloom.llm.langid import language_report
 from graphloom.llm.mix import mix_report
 from graphloom.llm.near import near_report
 from graphloom.llm.secrets import secret_report
@@ -31,11 +32,15 @@ def op6_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_mix_sources, op3_secret_ledger, op5_shard_minimax, op6_template_leaks, op10_minhash_near)
+    for f in (op2_mix_sources, op3_secret_ledger, op5_shard_minimax, op6_template_leaks, op7_kneser_ney_language, op10_minhash_near)
 }
