@@ -100,3 +100,16 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
        coalesce(base_sha256, sha256('')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN g USING (r)
 """
+
+ORACLE["op8_pivot_top_k"] = r"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.r AS qr, q.vec_id AS query_id, c.vec_id, c.r,
+         list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 50 = 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id, r) AS rank FROM p)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM o WHERE rank <= 5
+"""
