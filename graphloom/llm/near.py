@@ -8,12 +8,13 @@ exact confirmation on full shingle sets, components by large-star and small-star
 3.  Pairs whose sizes allow the threshold and whose signatures agree in nearly the expected
     number of minima are confirmed on their full sets: first the pairs with a pivot, then of
     the others those that do not stand in one component already.
-4.  Larger buckets that still hold several components are divided by a second and third band
-    key (a pair at the threshold shares 13 of 32 keys on average), until each part is small;
-    what stays large after that gives its pairs between components all the same.
+4.  Larger buckets that still hold several components are divided by a second and third key
+    of the next bands (a pair at the threshold shares 13 of 32 keys on average), until each
+    part is small; what stays large gives its pairs between components all the same.
 
 A link at the threshold is missed with a probability of about 5e-8 by the bands and 1e-8 by
-the signatures (32 bands of 4 rows: (1 - 0.8^4)^32), in the large buckets about 1e-5.
+the signatures (32 bands of 4 rows: (1 - 0.8^4)^32); one that only large buckets hold with
+about 6e-7 where they are divided once, and 3e-5 where twice.
 
 Defined cases: null and wordless texts have an empty set and are linked with nothing; fewer
 words than a shingle count as one shingle; equal sets are one class whatever the ids; a null
@@ -38,7 +39,7 @@ MINIMA, ROWS = 128, 4
 BANDS = MINIMA // ROWS
 SMALL = 64  # rows of a bucket that gives all its pairs
 AGREE = 85  # of 128 two-bit minima; at similarity 0.8, 108.8 +- 4.0 agree
-DEPTH = 3  # band keys that a part of a large bucket shares
+DEPTH, REACH = 3, 4  # band keys that a part of a large bucket shares; next bands tried for each
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -147,11 +148,11 @@ def candidates(rows: DataFrame, percent: int, small: int) -> tuple[DataFrame, Da
 
     Sizes further apart than the threshold allows cannot be linked and are left out.
     """
-    members = rows.where("n > 0").select(F.explode("bands").alias("bucket"), "node", "n")
+    members = rows.where("n > 0").select(F.posexplode("bands").alias("band", "bucket"), "node", "n")
     sums = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min(F.col("node").bitwiseXOR(_salt(F.col("bucket")))).alias("lo"),
                                          F.max(F.col("node").bitwiseXOR(_salt(F.col("bucket")))).alias("hi")).where("lo <> hi")
     buckets = stage(sums.select(F.col("bucket").alias("of"), "size", F.col("lo").bitwiseXOR(_salt(F.col("bucket"))).alias("pivot")), "buckets")
-    shared = stage(members.join(buckets, F.col("bucket") == F.col("of")).select("bucket", "node", "n", "pivot", "size").distinct(), "shared")
+    shared = stage(members.join(buckets, F.col("bucket") == F.col("of")).select("bucket", "band", "node", "n", "pivot", "size").distinct(), "shared")
     pivots = shared.where("node = pivot").select(F.col("bucket").alias("of"), F.col("n").alias("n_p"))
     star = _pairs(shared.join(pivots, F.col("bucket") == F.col("of")), F.col("node"), F.col("n"), F.col("pivot"), F.col("n_p"), percent, True)
     left = shared.where(F.col("size").between(3, small)).select("bucket", "node", "n")
@@ -159,7 +160,14 @@ def candidates(rows: DataFrame, percent: int, small: int) -> tuple[DataFrame, Da
     inner = left.join(right, (F.col("bucket") == F.col("of")) & (F.col("node") < F.col("node_b")))
     every = _pairs(inner, F.col("node"), F.col("n"), F.col("node_b"), F.col("n_b"), percent, False)
     pairs = star.unionByName(every).groupBy("a", "b").agg(F.max("star").alias("star"))
-    return pairs, shared.where(F.col("size") > small).select("bucket", "node", "n")
+    return pairs, shared.where(F.col("size") > small).select("bucket", "band", "node", "n")
+
+
+def _agreeing(agree: int) -> Column:
+    """Whether the two-bit minima a0..a3 and b0..b3 agree in at least ``agree`` places."""
+    differ = [F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}")) for i in range(4)]
+    apart = F.bit_count(differ[0].bitwiseOR(differ[2])) + F.bit_count(differ[1].bitwiseOR(differ[3]))
+    return apart <= MINIMA - agree
 
 
 def signed_pairs(pairs: DataFrame, rows: DataFrame, agree: int) -> DataFrame:
@@ -167,9 +175,7 @@ def signed_pairs(pairs: DataFrame, rows: DataFrame, agree: int) -> DataFrame:
     words = rows.where("n > 0").select("node", *[F.col("sketch")[i].alias(f"w{i}") for i in range(4)]).distinct()
     one = words.select(F.col("node").alias("a"), *[F.col(f"w{i}").alias(f"a{i}") for i in range(4)])
     two = words.select(F.col("node").alias("b"), *[F.col(f"w{i}").alias(f"b{i}") for i in range(4)])
-    differ = [F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}")) for i in range(4)]
-    apart = F.bit_count(differ[0].bitwiseOR(differ[2])) + F.bit_count(differ[1].bitwiseOR(differ[3]))
-    return pairs.join(one, "a").join(two, "b").where(apart <= MINIMA - agree).select(*pairs.columns)
+    return pairs.join(one, "a").join(two, "b").where(_agreeing(agree)).select(*pairs.columns)
 
 
 def _sets(k: int):
@@ -223,30 +229,35 @@ def _labelled(frame: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
     return frame
 
 
-def divided(large: DataFrame, rows: DataFrame, labels: DataFrame, percent: int, small: int) -> DataFrame:
-    """Pairs between components inside the large buckets.
+def divided(large: DataFrame, rows: DataFrame, labels: DataFrame, percent: int, small: int, agree: int) -> DataFrame:
+    """Pairs between components inside the large buckets, signatures compared.
 
-    Members carry their component; a bucket within one component is done. The others are
-    divided by further band keys; a part of at most ``small`` rows, and at the last depth any
-    part, gives its pairs between components.
+    Members carry their component, size and signature. A bucket is divided by each of the
+    next ``REACH`` band keys; a part within one component is done, one of at most ``small``
+    rows, and at the last depth any part, gives its pairs between components.
     """
-    bands = rows.where("n > 0").select(F.col("node").alias("_n"), "bands").dropDuplicates(["_n"])
-    own = _labelled(large, labels, "node").withColumn("top", F.col("bucket"))
+    facts = rows.join(large.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    facts = stage(facts.select(F.col("node").alias("_n"), "bands", *[F.col("sketch")[i].alias(f"a{i}") for i in range(4)]), "facts")
+    words = [f"a{i}" for i in range(4)]
+    own = _labelled(large, labels, "node")
     out = None
     for depth in range(2, DEPTH + 1):
-        keys = own.join(bands, F.col("node") == F.col("_n")).select(F.explode("bands").alias("key"), "bucket", "top", "node", "n", "node_of")
-        parts = keys.where("key > top").select(F.xxhash64("bucket", "key").alias("bucket"), F.col("key").alias("top"), "node", "n", "node_of")
+        later = F.transform(F.sequence(F.lit(1), F.lit(REACH)), lambda d: (F.col("band") + d) % BANDS)
+        keys = own.join(facts, F.col("node") == F.col("_n")).select(F.explode(later).alias("band"), "bucket", "node", "n", "node_of", "bands", *words)
+        parts = keys.select(F.xxhash64("bucket", F.get("bands", "band")).alias("bucket"), "band", "node", "n", "node_of", *words)
         sums = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node_of").alias("lo"), F.max("node_of").alias("hi")).where("lo <> hi")
         parts = stage(parts.join(sums.select("bucket", "size"), "bucket"), "parts")
         left = parts if depth == DEPTH else parts.where(F.col("size") <= small)
-        right = left.select("bucket", F.col("node").alias("node_b"), F.col("n").alias("n_b"), F.col("node_of").alias("of_b"))
-        inner = left.join(right, "bucket").where((F.col("node") < F.col("node_b")) & (F.col("node_of") != F.col("of_b")))
-        pairs = _pairs(inner, F.col("node"), F.col("n"), F.col("node_b"), F.col("n_b"), percent, False)
+        right = left.select(F.col("bucket").alias("of"), F.col("node").alias("node_b"), F.col("n").alias("n_b"), F.col("node_of").alias("of_b"),
+                            *[F.col(f"a{i}").alias(f"b{i}") for i in range(4)])
+        near = (F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent) & _agreeing(agree)
+        pairs = left.join(right, (F.col("bucket") == F.col("of")) & (F.col("node") < F.col("node_b")) & (F.col("node_of") != F.col("of_b")) & near)
+        pairs = pairs.select(F.col("node").alias("a"), F.col("node_b").alias("b"))
         out = pairs if out is None else out.unionByName(pairs)
-        own = parts.where(F.col("size") > small).select("bucket", "top", "node", "n", "node_of")
+        own = parts.where(F.col("size") > small).select("bucket", "band", "node", "n", "node_of")
         if own.isEmpty():
             break
-    return out.select("a", "b").distinct()
+    return out.distinct()
 
 
 def near_components(docs: DataFrame, rows: DataFrame, k: int, percent: int, small: int = SMALL, agree: int = AGREE) -> DataFrame:
@@ -262,7 +273,7 @@ def near_components(docs: DataFrame, rows: DataFrame, k: int, percent: int, smal
     mixed = _labelled(large, labels, "node").groupBy("bucket").agg(F.min("node_of").alias("lo"), F.max("node_of").alias("hi")).where("lo <> hi")
     mixed = stage(large.join(mixed.select("bucket"), "bucket", "left_semi"), "mixed")
     if not mixed.isEmpty():
-        rest = stage(signed_pairs(divided(mixed, rows, labels, percent, small), rows, agree), "rest")
+        rest = stage(divided(mixed, rows, labels, percent, small, agree), "rest")
         more = more.unionByName(confirmed(rest, full_sets(docs, rows, nodes(rest), k), percent))
     more = stage(more, "links")
     if more.isEmpty():

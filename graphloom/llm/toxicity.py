@@ -7,8 +7,8 @@ severity is the sum of these probabilities. Features are hashed words and word b
 tell grades apart.
 
 The model is fitted on a bounded sample of labelled documents: at most ``SAMPLE`` of each
-label value, whole texts, by the order of a hash of the id; sampled rows are weighted back to
-the labels' shares. Every document is then scored on its whole text.
+label value, whole texts, by the order of a hash of the id; both values weigh the same, so the
+probabilities are for an even prior. Every document is then scored on its whole text.
 
 Grades of the ``labels`` table: 0 where toxic is 0; toxic documents get 1, or 2 where marked
 words (words that the labels show to be toxic) are at least as dense as in the median one.
@@ -35,7 +35,9 @@ from pyspark.sql import functions as F
 
 SAMPLE = 2048  # labelled documents of each label value
 BITS = 24  # of a hashed feature
-FEATURES = 8192  # kept for the fit, by their evidence in the sample
+FEATURES = 8192  # kept for the fit at most, by their evidence in the sample
+EVIDENCE = 10.0  # least of it: about five standard deviations of a feature without effect
+MOST = 7  # count from which more of a feature adds nothing
 TOXIC = 0.5  # probability of a grade above 0 from which a document is rejected
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -63,6 +65,11 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("toxic"), *made], names=["toxic", "at", "n"])
 
 
+def level(n):
+    """A feature's value: its log count, alike from ``MOST`` on."""
+    return np.log1p(np.minimum(n, MOST))
+
+
 @dataclass
 class Ordinal:
     """Weights by hashed feature, and the rising thresholds."""
@@ -91,45 +98,35 @@ class Sparse:
         return np.bincount(self.column, self.value * g[self.row], self.shape[1])
 
 
-def fit_ordinal(x: Sparse, grade: np.ndarray, weight: np.ndarray, penalty: float = 2e-4, rounds: int = 300) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(x: Sparse, grade: np.ndarray, weight: np.ndarray, penalty: float = 1e-4, rounds: int = 400, pace: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds of least weighted negative log likelihood plus L1 penalty, by
-    accelerated proximal gradient. Thresholds are a first one and positive steps, so they
-    stay in order."""
-    top = int(grade.max())
+    adaptive gradient steps (Adam) that shrink to 0, each followed by soft thresholding. The
+    thresholds are a first one and positive gaps, so they stay in order."""
+    top, rows, columns = int(grade.max()), np.arange(len(grade)), x.shape[1]
     weight = weight / weight.sum()
-    share = np.array([max(1e-6, min(1 - 1e-6, float(weight[grade > j].sum()))) for j in range(top)])
-    theta = np.log((1 - share) / share)
-    theta = np.concatenate((theta[:1], np.log(np.maximum(np.diff(theta), 0.05))))
-    w = np.zeros(x.shape[1])
-    norm = np.ones(x.shape[0]) / np.sqrt(x.shape[0])
-    curve = 1.0
-    for _ in range(12):  # largest eigenvalue of the weighted features
-        norm = x.times(x.back(norm * weight))
-        curve = np.linalg.norm(norm)
-        norm = norm / max(curve, 1e-12)
-    step = 1.0 / max(curve, 1e-6)
-    z, z_theta, before, before_theta, pace = w.copy(), theta.copy(), w.copy(), theta.copy(), 1.0
-    rows = np.arange(len(grade))
-    for _ in range(rounds):
-        cut = np.concatenate((z_theta[:1], z_theta[0] + np.cumsum(np.exp(np.minimum(z_theta[1:], 5)))))
-        up = 1 / (1 + np.exp(-np.clip(x.times(z)[:, None] - cut[None, :], -30, 30)))  # P(grade > j)
-        edge = np.hstack((np.ones((len(grade), 1)), up, np.zeros((len(grade), 1))))
-        p = np.maximum(edge[rows, grade] - edge[rows, grade + 1], 1e-9)
-        slope = np.hstack((np.zeros((len(grade), 1)), up * (1 - up), np.zeros((len(grade), 1))))
-        d = -(slope[rows, grade] - slope[rows, grade + 1]) / p * weight  # by the score
-        by_cut = np.zeros((len(grade), top + 2))
-        by_cut[rows, grade] += slope[rows, grade] / p * weight
-        by_cut[rows, grade + 1] -= slope[rows, grade + 1] / p * weight
-        g_cut = by_cut.sum(axis=0)[1:-1]
-        g_theta = np.concatenate(([g_cut.sum()], [g_cut[j:].sum() * np.exp(np.minimum(z_theta[j], 5)) for j in range(1, top)]))
-        new = z - step * x.back(d)
-        new = np.sign(new) * np.maximum(np.abs(new) - step * penalty, 0)
-        new_theta = z_theta - 2.0 * g_theta
-        pace_next = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
-        z = new + (pace - 1) / pace_next * (new - before)
-        z_theta = new_theta + (pace - 1) / pace_next * (new_theta - before_theta)
-        before, before_theta, pace = new, new_theta, pace_next
-    return before, np.concatenate((before_theta[:1], before_theta[0] + np.cumsum(np.exp(np.minimum(before_theta[1:], 5)))))
+    share = np.clip([weight[grade > j].sum() for j in range(top)], 1e-6, 1 - 1e-6)
+    start = np.log((1 - share) / share)
+    at = np.concatenate((np.zeros(columns), start[:1], np.log(np.maximum(np.diff(start), 0.1))))
+    mean, square = np.zeros_like(at), np.zeros_like(at)
+
+    def cuts() -> np.ndarray:
+        return at[columns] + np.concatenate(([0.0], np.cumsum(np.exp(at[columns + 1:]))))
+    zero = np.zeros((len(grade), 1))
+    for t in range(1, rounds + 1):
+        up = 1 / (1 + np.exp(-np.clip(x.times(at[:columns])[:, None] - cuts()[None, :], -30, 30)))  # P(grade > j)
+        edge, slope = np.hstack((zero + 1, up, zero)), np.hstack((zero, up * (1 - up), zero))
+        scale = weight / np.maximum(edge[rows, grade] - edge[rows, grade + 1], 1e-9)
+        low, high = slope[rows, grade] * scale, slope[rows, grade + 1] * scale
+        by_cut = np.bincount(grade, low, top + 2) - np.bincount(grade + 1, high, top + 2)
+        by_cut = by_cut[1:top + 1]
+        gaps = np.array([by_cut[j:].sum() for j in range(1, top)]) * np.exp(at[columns + 1:])
+        g = np.concatenate((x.back(high - low), [by_cut.sum()], gaps))
+        mean, square = 0.9 * mean + 0.1 * g, 0.99 * square + 0.01 * g * g
+        step = pace * (1 - t / (rounds + 1)) * (mean / (1 - 0.9 ** t)) / (np.sqrt(square / (1 - 0.99 ** t)) + 1e-10)
+        at = at - step
+        shrink = pace * (1 - t / (rounds + 1)) * penalty
+        at[:columns] = np.sign(at[:columns]) * np.maximum(np.abs(at[:columns]) - shrink, 0)
+    return at[:columns], cuts()
 
 
 def evidence(rows: list[tuple[np.ndarray, np.ndarray]], positive: np.ndarray) -> dict[int, float]:
@@ -145,7 +142,7 @@ def evidence(rows: list[tuple[np.ndarray, np.ndarray]], positive: np.ndarray) ->
 
 def graded(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> np.ndarray:
     """Grades 0, 1, 2 of labelled rows."""
-    marks = {f for f, z in evidence(rows, toxic).items() if z > 8}
+    marks = {f for f, z in evidence(rows, toxic).items() if z >= EVIDENCE}
     dense = np.array([sum(int(k) for f, k in zip(at.tolist(), n.tolist(), strict=True) if f in marks) / max(1, int(n.sum())) for at, n in rows])
     return np.where(toxic, np.where(dense >= np.median(dense[toxic]), 2, 1), 0)
 
@@ -168,13 +165,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
         return Ordinal()
     grade = graded(rows, toxic)
     proof = evidence(rows, toxic)
-    kept = sorted(proof, key=lambda f: (-abs(proof[f]), f))[:FEATURES]
+    kept = sorted((f for f in proof if abs(proof[f]) >= EVIDENCE), key=lambda f: (-abs(proof[f]), f))[:FEATURES]
     place = {f: i for i, f in enumerate(kept)}
     packed = []
     for at, n in rows:
         own = [(place[f], k) for f, k in zip(at.tolist(), n.tolist(), strict=True) if f in place]
-        packed.append((np.array([c for c, _ in own], np.int64), np.log1p(np.array([k for _, k in own], float))))
-    weight = np.where(toxic, shares[1] / toxic.sum(), shares[0] / (~toxic).sum())
+        packed.append((np.array([c for c, _ in own], np.int64), level(np.array([k for _, k in own], float))))
+    weight = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum())
     w, thresholds = fit_ordinal(Sparse(packed, len(kept)), grade, weight)
     return Ordinal({f: float(w[i]) for f, i in place.items() if w[i] != 0}, thresholds)
 
@@ -198,7 +195,7 @@ def severity(text: Column, model: Ordinal) -> Column:
                         own = known[word] = tuple(f for f in word_features(word) if f in weights)
                     for f in own:
                         counts[f] = counts.get(f, 0) + n
-                up = Ordinal(weights, thresholds).above(sum(weights[f] * np.log1p(n) for f, n in counts.items()))
+                up = Ordinal(weights, thresholds).above(sum(weights[f] * float(level(n)) for f, n in counts.items()))
                 out.append((float(up.sum()), float(up[0]) if len(up) else 0.0, int((up >= 0.5).sum())))
             yield pd.DataFrame(out, columns=["severity", "p_toxic", "grade"])
 
