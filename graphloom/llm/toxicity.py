@@ -10,8 +10,8 @@ The model is fitted on a bounded sample of labelled documents: at most ``SAMPLE`
 label value, whole texts, by the order of a hash of the id; both values weigh the same, so the
 probabilities are for an even prior. Every document is then scored on its whole text.
 
-Grades of the ``labels`` table: 0 where toxic is 0; toxic documents get 1, or 2 where marked
-words (words that the labels show to be toxic) are at least as dense as in the median one.
+Grades of the ``labels`` table: 0 where toxic is 0; toxic documents get 1, or 2 where they
+hold at least as many marked words (words that the labels show to be toxic) as the median one.
 
 Defined cases: a null or wordless text has only the base rate; labels without a document or
 with a null value are not used; several labels of a document count as several examples; with
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 SAMPLE = 2048  # labelled documents of each label value
 BITS = 24  # of a hashed feature
 FEATURES = 8192  # kept for the fit at most, by their evidence in the sample
-EVIDENCE = 10.0  # least of it: about five standard deviations of a feature without effect
+RATIO, EVIDENCE = 2.5, 8.0  # least log ratio, and least evidence (four standard deviations without effect)
 MOST = 7  # count from which more of a feature adds nothing
 TOXIC = 0.5  # probability of a grade above 0 from which a document is rejected
 
@@ -130,21 +130,27 @@ def fit_ordinal(x: Sparse, grade: np.ndarray, weight: np.ndarray, penalty: float
 
 
 def evidence(rows: list[tuple[np.ndarray, np.ndarray]], positive: np.ndarray) -> dict[int, float]:
-    """Log odds of each feature in positive rows, smoothed; features of one row are left out."""
+    """Features that mark positive rows, with how sure that is: the smoothed log ratio of
+    their shares, at least ``RATIO``, times the root of their rows, at least ``EVIDENCE``."""
     df, pos = Counter(), Counter()
     for (at, _), y in zip(rows, positive, strict=True):
         df.update(at.tolist())
         if y:
             pos.update(at.tolist())
     n_pos, n_neg = int(positive.sum()), int((~positive).sum())
-    return {f: float(np.log((pos[f] + 0.5) / (n_pos + 1)) - np.log((n - pos[f] + 0.5) / (n_neg + 1))) * np.sqrt(n) for f, n in df.items() if n > 1}
+    out = {}
+    for f, n in df.items():
+        ratio = float(np.log((pos[f] + 0.5) / (n_pos + 1)) - np.log((n - pos[f] + 0.5) / (n_neg + 1)))
+        if ratio >= RATIO and ratio * np.sqrt(n) >= EVIDENCE:
+            out[f] = ratio * float(np.sqrt(n))
+    return out
 
 
 def graded(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> np.ndarray:
     """Grades 0, 1, 2 of labelled rows."""
-    marks = {f for f, z in evidence(rows, toxic).items() if z >= EVIDENCE}
-    dense = np.array([sum(int(k) for f, k in zip(at.tolist(), n.tolist(), strict=True) if f in marks) / max(1, int(n.sum())) for at, n in rows])
-    return np.where(toxic, np.where(dense >= np.median(dense[toxic]), 2, 1), 0)
+    marks = evidence(rows, toxic)
+    found = np.array([sum(min(int(k), MOST) for f, k in zip(at.tolist(), n.tolist(), strict=True) if f in marks) for at, n in rows])
+    return np.where(toxic, np.where(found >= max(1, np.median(found[toxic])), 2, 1), 0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
@@ -165,7 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
         return Ordinal()
     grade = graded(rows, toxic)
     proof = evidence(rows, toxic)
-    kept = sorted((f for f in proof if abs(proof[f]) >= EVIDENCE), key=lambda f: (-abs(proof[f]), f))[:FEATURES]
+    kept = sorted(proof, key=lambda f: (-proof[f], f))[:FEATURES]
     place = {f: i for i, f in enumerate(kept)}
     packed = []
     for at, n in rows:
