@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 SAMPLE = 2048  # labelled documents of each label value
 BITS = 24  # of a hashed feature
 FEATURES = 8192  # kept for the fit at most, by their evidence in the sample
-RATIO, EVIDENCE = 2.5, 8.0  # least log ratio, and least evidence (four standard deviations without effect)
+RATIO, EVIDENCE = 3.5, 12.0  # least log ratio, and least evidence (about six standard deviations without effect)
 MOST = 7  # count from which more of a feature adds nothing
 TOXIC = 0.5  # probability of a grade above 0 from which a document is rejected
 
