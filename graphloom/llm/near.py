@@ -3,14 +3,14 @@ exact confirmation on full shingle sets, components by large-star and small-star
 
 1.  One pass over the texts gives each row its set class (hash of the sorted shingle
     hashes), set size, 32 band keys of 4 minima each, and 2 bits of all 128 minima.
-2.  Rows that share a band key share a bucket. Every bucket links its members to a pivot.
-    Buckets of at most ``SMALL`` rows give all their pairs as well.
-3.  Pairs whose sizes allow the threshold and whose signatures agree in nearly the expected
-    number of minima are confirmed on their full sets: first the pairs with a pivot, then of
-    the others those that do not stand in one component already.
-4.  Larger buckets that still hold several components are divided by a second and third key
-    of the next bands (a pair at the threshold shares 13 of 32 keys on average), until each
-    part is small; what stays large gives its pairs between components all the same.
+2.  Rows that share a band key share a bucket, and every bucket links its members to a pivot.
+    Pairs whose sizes allow the threshold and whose signatures agree in nearly the expected
+    number of minima are confirmed on their full sets; the links make first components.
+3.  Most buckets then stand in one component and are done. Of the others, those of at most
+    ``SMALL`` members give their pairs between components.
+4.  Larger ones are divided by a second and third key of the next bands (a pair at the
+    threshold shares 13 of 32 keys on average), until each part is small or in one component;
+    what stays large gives its pairs between components all the same.
 
 A link at the threshold is missed with a probability of about 5e-8 by the bands and 1e-8 by
 the signatures (32 bands of 4 rows: (1 - 0.8^4)^32); one that only large buckets hold with
@@ -37,7 +37,7 @@ from graphloom.llm.components import components
 
 MINIMA, ROWS = 128, 4
 BANDS = MINIMA // ROWS
-SMALL = 64  # rows of a bucket that gives all its pairs
+SMALL = 64  # members of a bucket that gives all its pairs between components
 AGREE = 85  # of 128 two-bit minima; at similarity 0.8, 108.8 +- 4.0 agree
 DEPTH, REACH = 3, 4  # band keys that a part of a large bucket shares; next bands tried for each
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -138,29 +138,21 @@ def _salt(bucket: Column) -> Column:
     return F.get(F.array(*[F.lit(m).cast("long") for m in masks]), F.pmod(bucket, F.lit(4)).cast("int"))
 
 
-def _pairs(frame: DataFrame, a: Column, n_a: Column, b: Column, n_b: Column, percent: int, star: bool) -> DataFrame:
-    near = (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent) & (a != b)
-    return frame.where(near).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), F.lit(star).alias("star"))
-
-
-def candidates(rows: DataFrame, percent: int, small: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs (a, b, star), and the buckets that are too large for all pairs.
+def candidates(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of bucket members with their pivot, and the members of all buckets that
+    hold several classes: (bucket, band, node, n, size).
 
     Sizes further apart than the threshold allows cannot be linked and are left out.
     """
     members = rows.where("n > 0").select(F.posexplode("bands").alias("band", "bucket"), "node", "n")
-    sums = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min(F.col("node").bitwiseXOR(_salt(F.col("bucket")))).alias("lo"),
-                                         F.max(F.col("node").bitwiseXOR(_salt(F.col("bucket")))).alias("hi")).where("lo <> hi")
+    salted = F.col("node").bitwiseXOR(_salt(F.col("bucket")))
+    sums = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min(salted).alias("lo"), F.max(salted).alias("hi")).where("lo <> hi")
     buckets = stage(sums.select(F.col("bucket").alias("of"), "size", F.col("lo").bitwiseXOR(_salt(F.col("bucket"))).alias("pivot")), "buckets")
     shared = stage(members.join(buckets, F.col("bucket") == F.col("of")).select("bucket", "band", "node", "n", "pivot", "size").distinct(), "shared")
     pivots = shared.where("node = pivot").select(F.col("bucket").alias("of"), F.col("n").alias("n_p"))
-    star = _pairs(shared.join(pivots, F.col("bucket") == F.col("of")), F.col("node"), F.col("n"), F.col("pivot"), F.col("n_p"), percent, True)
-    left = shared.where(F.col("size").between(3, small)).select("bucket", "node", "n")
-    right = left.select(F.col("bucket").alias("of"), F.col("node").alias("node_b"), F.col("n").alias("n_b"))
-    inner = left.join(right, (F.col("bucket") == F.col("of")) & (F.col("node") < F.col("node_b")))
-    every = _pairs(inner, F.col("node"), F.col("n"), F.col("node_b"), F.col("n_b"), percent, False)
-    pairs = star.unionByName(every).groupBy("a", "b").agg(F.max("star").alias("star"))
-    return pairs, shared.where(F.col("size") > small).select("bucket", "band", "node", "n")
+    near = (F.least("n", "n_p") * 100 >= F.greatest("n", "n_p") * percent) & (F.col("node") != F.col("pivot"))
+    star = shared.join(pivots, F.col("bucket") == F.col("of")).where(near).select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+    return star.distinct(), shared.select("bucket", "band", "node", "n", "size")
 
 
 def _agreeing(agree: int) -> Column:
@@ -229,56 +221,64 @@ def _labelled(frame: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
     return frame
 
 
-def divided(large: DataFrame, rows: DataFrame, labels: DataFrame, percent: int, small: int, agree: int) -> DataFrame:
-    """Pairs between components inside the large buckets, signatures compared.
+_WORDS = [f"a{i}" for i in range(4)]
+
+
+def _between(members: DataFrame, percent: int, agree: int) -> DataFrame:
+    """Pairs (a, b) of members of one bucket and several components whose sizes and
+    signatures allow a link."""
+    right = members.select(F.col("bucket").alias("of"), F.col("node").alias("node_b"), F.col("n").alias("n_b"), F.col("node_of").alias("of_b"),
+                           *[F.col(f"a{i}").alias(f"b{i}") for i in range(4)])
+    near = (F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent) & _agreeing(agree)
+    pairs = members.join(right, (F.col("bucket") == F.col("of")) & (F.col("node") < F.col("node_b")) & (F.col("node_of") != F.col("of_b")) & near)
+    return pairs.select(F.col("node").alias("a"), F.col("node_b").alias("b"))
+
 
-    Members carry their component, size and signature. A bucket is divided by each of the
-    next ``REACH`` band keys; a part within one component is done, one of at most ``small``
-    rows, and at the last depth any part, gives its pairs between components.
+def _several(members: DataFrame) -> DataFrame:
+    """The buckets that hold several components, with their sizes."""
+    sums = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node_of").alias("lo"), F.max("node_of").alias("hi"))
+    return sums.where("lo <> hi").select(F.col("bucket").alias("of"), "size")
+
+
+def open_pairs(shared: DataFrame, rows: DataFrame, labels: DataFrame, percent: int, small: int, agree: int) -> DataFrame:
+    """Pairs between components inside the buckets, sizes and signatures compared.
+
+    A bucket within one component is done. One of at most ``small`` members gives its pairs
+    between components. A larger one is divided by each of the next ``REACH`` band keys, and
+    its parts are treated likewise; at the last depth any part gives its pairs.
     """
-    facts = rows.join(large.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    facts = stage(facts.select(F.col("node").alias("_n"), "bands", *[F.col("sketch")[i].alias(f"a{i}") for i in range(4)]), "facts")
-    words = [f"a{i}" for i in range(4)]
-    own = _labelled(large, labels, "node")
-    out = None
+    own = _labelled(shared.select("bucket", "band", "node", "n"), labels, "node")
+    own = own.join(_several(own), F.col("bucket") == F.col("of")).drop("of")
+    facts = rows.join(own.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    facts = stage(facts.select(F.col("node").alias("_n"), "bands", *[F.col("sketch")[i].alias(w) for i, w in enumerate(_WORDS)]), "facts")
+    own = stage(own.join(facts.drop("bands"), F.col("node") == F.col("_n")).drop("_n"), "mixed")
+    out = _between(own.where(F.col("size") <= small), percent, agree)
     for depth in range(2, DEPTH + 1):
-        later = F.transform(F.sequence(F.lit(1), F.lit(REACH)), lambda d: (F.col("band") + d) % BANDS)
-        keys = own.join(facts, F.col("node") == F.col("_n")).select(F.explode(later).alias("band"), "bucket", "node", "n", "node_of", "bands", *words)
-        parts = keys.select(F.xxhash64("bucket", F.get("bands", "band")).alias("bucket"), "band", "node", "n", "node_of", *words)
-        sums = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node_of").alias("lo"), F.max("node_of").alias("hi")).where("lo <> hi")
-        parts = stage(parts.join(sums.select("bucket", "size"), "bucket"), "parts")
-        left = parts if depth == DEPTH else parts.where(F.col("size") <= small)
-        right = left.select(F.col("bucket").alias("of"), F.col("node").alias("node_b"), F.col("n").alias("n_b"), F.col("node_of").alias("of_b"),
-                            *[F.col(f"a{i}").alias(f"b{i}") for i in range(4)])
-        near = (F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent) & _agreeing(agree)
-        pairs = left.join(right, (F.col("bucket") == F.col("of")) & (F.col("node") < F.col("node_b")) & (F.col("node_of") != F.col("of_b")) & near)
-        pairs = pairs.select(F.col("node").alias("a"), F.col("node_b").alias("b"))
-        out = pairs if out is None else out.unionByName(pairs)
-        own = parts.where(F.col("size") > small).select("bucket", "band", "node", "n", "node_of")
+        own = own.where(F.col("size") > small).drop("size")
         if own.isEmpty():
             break
+        later = F.transform(F.sequence(F.lit(1), F.lit(REACH)), lambda d: (F.col("band") + d) % BANDS)
+        keys = own.join(facts.select("_n", "bands"), F.col("node") == F.col("_n")).select(F.explode(later).alias("band"), "bucket", "node", "n", "node_of", "bands", *_WORDS)
+        parts = keys.select(F.xxhash64("bucket", F.get("bands", "band")).alias("bucket"), "band", "node", "n", "node_of", *_WORDS)
+        own = stage(parts.join(_several(parts), F.col("bucket") == F.col("of")).drop("of"), "parts")
+        out = out.unionByName(_between(own if depth == DEPTH else own.where(F.col("size") <= small), percent, agree))
     return out.distinct()
 
 
 def near_components(docs: DataFrame, rows: DataFrame, k: int, percent: int, small: int = SMALL, agree: int = AGREE) -> DataFrame:
     """(node, component) of all classes that are linked with another class."""
-    pairs, large = candidates(rows, percent, small)
-    pairs = stage(signed_pairs(pairs, rows, agree), "pairs")
+    star, shared = candidates(rows, percent)
+    star = stage(signed_pairs(star, rows, agree), "pairs")
     nodes = lambda p: p.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = full_sets(docs, rows, nodes(pairs), k)
-    links = stage(confirmed(pairs.where("star"), sets, percent), "links")
+    sets = full_sets(docs, rows, nodes(star), k)
+    links = stage(confirmed(star, sets, percent), "links")
     labels = stage(components(links), "labels")
-    open_ = _labelled(pairs.where("NOT star").select("a", "b"), labels, "a", "b").where("a_of <> b_of").select("a", "b")
-    more = confirmed(open_, sets, percent)
-    mixed = _labelled(large, labels, "node").groupBy("bucket").agg(F.min("node_of").alias("lo"), F.max("node_of").alias("hi")).where("lo <> hi")
-    mixed = stage(large.join(mixed.select("bucket"), "bucket", "left_semi"), "mixed")
-    if not mixed.isEmpty():
-        rest = stage(divided(mixed, rows, labels, percent, small, agree), "rest")
-        more = more.unionByName(confirmed(rest, full_sets(docs, rows, nodes(rest), k), percent))
-    more = stage(more, "links")
-    if more.isEmpty():
+    rest = stage(open_pairs(shared, rows, labels, percent, small, agree).join(star, ["a", "b"], "left_anti"), "rest")
+    if rest.isEmpty():
         return labels
-    return stage(components(links.unionByName(more)), "labels")
+    more = full_sets(docs, rows, nodes(rest).join(sets.select("node"), "node", "left_anti"), k)
+    more = stage(confirmed(rest, sets.unionByName(more), percent), "links")
+    return labels if more.isEmpty() else stage(components(links.unionByName(more)), "labels")
 
 
 def named(rows: DataFrame, labels: DataFrame) -> DataFrame:
