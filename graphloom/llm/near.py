@@ -12,7 +12,7 @@ exact confirmation on full shingle sets, components by large-star and small-star
     threshold shares 13 of 32 keys on average), until each part is small or in one component;
     what stays large gives its pairs between components all the same.
 
-A link at the threshold is missed with a probability of about 5e-8 by the bands and 1e-8 by
+A link at the threshold is missed with a probability of about 5e-8 by the bands and 5e-6 by
 the signatures (32 bands of 4 rows: (1 - 0.8^4)^32); one that only large buckets hold with
 about 6e-7 where they are divided once, and 3e-5 where twice.
 
@@ -38,7 +38,7 @@ from graphloom.llm.components import components
 MINIMA, ROWS = 128, 4
 BANDS = MINIMA // ROWS
 SMALL = 64  # members of a bucket that gives all its pairs between components
-AGREE = 85  # of 128 two-bit minima; at similarity 0.8, 108.8 +- 4.0 agree
+AGREE = 90  # of 128 two-bit minima; at similarity 0.8, 108.8 +- 4.0 agree, at 0.5 80 +- 5.5
 DEPTH, REACH = 3, 4  # band keys that a part of a large bucket shares; next bands tried for each
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
