@@ -36,9 +36,9 @@ def sf_class(gtype: Column) -> Column:
 
 
 def _coords(ring_sql: str) -> str:
-    # array<array<double>> of (x, y) pairs from "x y, x y, ..."
+    # array<array<double>> of points from "x y, x y z, ...": x and y come first
     return (
-        f"transform(regexp_extract_all({ring_sql}, '({_NUM})\\\\s+({_NUM})', 0), "
+        f"transform(regexp_extract_all({ring_sql}, '({_NUM})\\\\s+({_NUM})(?:\\\\s+{_NUM})*', 0), "
         f"pt -> transform(split(trim(pt), '\\\\s+'), v -> cast(v as double)))"
     )
 
@@ -84,7 +84,9 @@ def centroid_sql(wkt: str) -> str:
     points = _bind(_coords(wkt), "pts",
                    "named_struct('x', try_divide(aggregate(pts, 0d, (a, q) -> a + q[0]), size(pts)), "
                    "'y', try_divide(aggregate(pts, 0d, (a, q) -> a + q[1]), size(pts)))")
-    # every innermost "(...)" is a ring or a line; "((" opens a polygon's outer ring
+    # every innermost "(...)" is a ring or a line; "((" opens a polygon's outer ring (blanks
+    # beside brackets are dropped first)
+    wkt = f"regexp_replace({wkt}, '\\\\s*([()])\\\\s*', '$1')"
     parts = f"regexp_extract_all({wkt}, '\\\\(?\\\\([^()]+\\\\)', 0)"
     rings = (f"transform({parts}, r -> named_struct('w', case when startswith(r, '((') then 1d else -1d end, "
              f"'m', {_bind(_coords('r'), 'rp', _ring_moments('rp'))}))")

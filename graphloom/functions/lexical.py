@@ -105,4 +105,7 @@ DEFAULT_DATATYPES = {
     M.XSD_DOUBLE: ["double", "float"],
     M.XSD_STRING: ["string"],
     M.XSD_DATETIME: ["timestamp_ntz", "timestamp"],
+    M.XSD_DECIMAL: ["decimal"],
+    M.XSD_BOOLEAN: ["boolean"],
+    M.XSD_DATE: ["date"],
 }

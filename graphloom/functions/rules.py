@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # Rule term ``model:db.table/property``. The dot is escaped, and table and property
 # may hold digits and ``_`` (property names such as ``c_nationkey``); a table may be a
 # ``?guess?``.
-RULE_PATTERN = r"^([a-z]*):([a-z]*)\.(\??[A-Za-z0-9_]*\??)(?:/)?([A-Za-z0-9_]*)$"
+RULE_PATTERN = r"^([a-z]*):([A-Za-z0-9_-]*)\.(\??[A-Za-z0-9_]*\??)(?:/)?([A-Za-z0-9_]*)$"
 
 
 def decode_rule(term: Column) -> Column:
@@ -48,7 +48,8 @@ def decode_concept_subtype(type_id: Column, db: Column, style: str = "versioned"
 
 
 # Namespace forms: ``.../linked_data/<db>/`` (data) and ``.../linked_data/schema/<db>/``.
-NS_PATTERN = r"^(.*/linked_data/)(schema/)?([a-z]*)/?"
+# The source name may hold letters, digits, ``_`` and ``-``; it is never cut.
+NS_PATTERN = r"^(.*/linked_data/)(schema/)?([A-Za-z0-9_-]*)/?$"
 
 
 def source_of(ns: Column) -> Column:

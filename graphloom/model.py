@@ -6,7 +6,7 @@ six columns; set semantics come from one ``dropDuplicates`` at the end of a job.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
@@ -40,6 +40,9 @@ XSD_STRING = XSD + "string"
 XSD_INTEGER = XSD + "integer"
 XSD_DOUBLE = XSD + "double"
 XSD_DATETIME = XSD + "dateTime"
+XSD_DECIMAL = XSD + "decimal"
+XSD_BOOLEAN = XSD + "boolean"
+XSD_DATE = XSD + "date"
 XSD_NONNEGATIVEINTEGER = XSD + "nonNegativeInteger"
 GEO_FEATURE = GEO + "Feature"
 GEO_HASGEOMETRY = GEO + "hasGeometry"
@@ -100,4 +103,3 @@ class HeaderText:
     title: str = "Linked Data Project - {db}"
     description_nl: str = "Een {kind} voor experimentele doeleinden."
     description_en: str = "An experimental {kind} for research purposes."
-    extra: dict = field(default_factory=dict)

@@ -25,10 +25,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.functions.lexical import lexical
 from graphloom.mapping import Mapping
-from graphloom.operators.triples import key_column, key_text
-from graphloom.session import materialize, partition_values
+from graphloom.operators.triples import key_column, key_text, link_text
+from graphloom.session import materialize
 
 REFS_SCHEMA = "tbl string, id string"
 
@@ -36,8 +35,8 @@ REFS_SCHEMA = "tbl string, id string"
 def refs(df: DataFrame, tbl: str, id_col: str | Column) -> DataFrame:
     """Reference set of one table from a key column (lexical text)."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    dtype = df.select(c.alias("_k")).schema["_k"].dataType
-    return df.select(F.lit(tbl).alias("tbl"), lexical(c, dtype).alias("id")).where(F.col("id").isNotNull()).distinct()
+    bound = df.select(c.alias("_k"))
+    return bound.select(F.lit(tbl).alias("tbl"), link_text("_k", bound.schema["_k"].dataType).alias("id")).where(F.col("id").isNotNull()).distinct()
 
 
 def union_refs(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -59,22 +58,26 @@ def secondary_roots(child: DataFrame, child_tbl: str, child_key: Column, fk: str
                     parent_ids: DataFrame) -> DataFrame:
     """Child rows whose foreign key is a visited parent key -> child reference set."""
     dtype = child.select(F.col(fk).alias("_k")).schema["_k"].dataType
-    hit = child.join(parent_ids.select(F.col("id").alias("_pid")), lexical(F.col(fk), dtype) == F.col("_pid"),
-                     "left_semi")
+    hit = child.join(parent_ids.select(F.col("id").alias("_pid")), link_text(fk, dtype) == F.col("_pid"), "left_semi")
     return hit.select(F.lit(child_tbl).alias("tbl"), child_key.alias("id")).where(F.col("id").isNotNull()).distinct()
 
 
 def scope_roots(roots: DataFrame, code_col: Column, codes: DataFrame) -> DataFrame:
     """Keep roots whose code is in ``codes(code)``; an empty code set means no filter."""
+    codes = materialize(codes.select("code").distinct(), "codes")
     if codes.isEmpty():
         return roots
     return roots.join(codes.select(F.col("code").alias("_code")), code_col == F.col("_code"), "left_semi")
 
 
+def _tables_in(refs_: DataFrame) -> list[str]:
+    return sorted(r["tbl"] for r in refs_.select("tbl").distinct().collect())
+
+
 @dataclass
 class ClosureResult:
     parts: list          # materialized frontiers, one per round: their union is ``visited``
-    frontier: DataFrame  # (tbl, id): discovered but not expanded when the round cap was hit
+    frontier: DataFrame  # (tbl, id): discovered but not expanded within the caller's round bound
     rounds: int
 
     @property
@@ -85,14 +88,14 @@ class ClosureResult:
         return self.frontier.sparkSession.createDataFrame([], REFS_SCHEMA)
 
     def compact(self) -> "ClosureResult":
-        """Write the visited set once (partitioned by table) so later joins read one input."""
+        """Write the visited set once so later joins read one input."""
         if len(self.parts) <= 1:
             return self
-        return ClosureResult([materialize(self.visited, "visited", "tbl")], self.frontier, self.rounds)
+        return ClosureResult([materialize(self.visited, "visited")], self.frontier, self.rounds)
 
     def tables(self) -> list[str]:
-        """Tables with visited keys, from the partition listing (no job)."""
-        return sorted({t for p in self.parts for t in partition_values(p, "tbl")})
+        """Tables with visited keys: as many rows as the catalogue has tables at most."""
+        return _tables_in(self.visited)
 
 
 def _edges_of(tm, df: DataFrame) -> DataFrame | None:
@@ -104,22 +107,26 @@ def _edges_of(tm, df: DataFrame) -> DataFrame | None:
     # the key is bound before the generator so it is computed once per row, not per edge
     keyed = df.select(key_text(df, key, tm).alias("id"), *[F.col(r.col) for r in rels])
     pairs = F.array(*[
-        F.struct(F.lit(r.target_table).alias("dst_tbl"), lexical(F.col(r.col), df.schema[r.col].dataType).alias("dst_id"))
+        F.struct(F.lit(r.target_table).alias("dst_tbl"), link_text(r.col, df.schema[r.col].dataType).alias("dst_id"))
         for r in rels
     ])
     return keyed.select("id", F.inline(pairs)).where(F.col("id").isNotNull() & F.col("dst_id").isNotNull())
 
 
 def closure(spark: SparkSession, sources: dict, mapping: Mapping, roots: DataFrame,
-            parts: list | None = None, max_rounds: int = 10) -> ClosureResult:
-    """Follow included relations forward from ``roots`` until nothing is new or the cap.
+            parts: list | None = None, max_rounds: int | None = None) -> ClosureResult:
+    """Follow included relations forward from ``roots`` until nothing is new.
+
+    Only a caller's ``max_rounds`` ends it earlier; what was found but not expanded then is
+    the result's ``frontier``. A visited key of a table that has no source or no mapping
+    fails the job.
 
     ``sources`` maps table name -> DataFrame; ``parts`` are visited sets of earlier calls.
     Round k expands the frontier (keys first seen in round k-1): rows of each frontier
     table yield their relation targets; targets not yet visited form the next frontier.
     Keys without a matching row are still visited, so the loop ends. Keys found in the last
-    allowed round stay in ``frontier`` (not visited). Per round the driver only lists the
-    table partitions of the written frontier (file metadata, no job). A table expanded in a
+    allowed round stay in ``frontier`` (not visited). Per round the driver sees only the names
+    of the tables in the written frontier. A table expanded in a
     second round has its edge list (key, target table, target key) written once and read
     from there afterwards.
     """
@@ -130,12 +137,15 @@ def closure(spark: SparkSession, sources: dict, mapping: Mapping, roots: DataFra
     start = roots.select("tbl", "id").distinct()
     if parts:
         start = minus_refs(start, reduce(DataFrame.unionByName, parts))
-    frontier = materialize(start, "frontier-0", "tbl")
+    frontier = materialize(start, "frontier-0")
     rounds = 0
-    while rounds < max_rounds:
-        present = partition_values(frontier, "tbl")
+    while max_rounds is None or rounds < max_rounds:
+        present = _tables_in(frontier)
         if not present:
             break
+        unknown = [t for t in present if t not in sources or t not in mapping.tables]
+        if unknown:
+            raise ValueError(f"keys of tables without a source or mapping were reached: {', '.join(unknown)}")
         rounds += 1
         parts.append(frontier)
         nxt = []
@@ -154,11 +164,11 @@ def closure(spark: SparkSession, sources: dict, mapping: Mapping, roots: DataFra
             frontier = spark.createDataFrame([], REFS_SCHEMA)
             continue
         cand = reduce(DataFrame.unionByName, nxt).distinct()
-        # only the visited keys of tables these relations can reach (partition pruning)
+        # only the visited keys of tables these relations can reach
         targets = sorted({r.target_table for t in present if t in mapping.tables
                           for r in mapping.tables[t].included_rels()})
         seen = reduce(DataFrame.unionByName, parts).where(F.col("tbl").isin(targets))
-        frontier = materialize(minus_refs(cand, seen), f"frontier-{rounds}", "tbl")
+        frontier = materialize(minus_refs(cand, seen), f"frontier-{rounds}")
     return ClosureResult(parts, frontier, rounds)
 
 

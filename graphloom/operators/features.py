@@ -82,7 +82,7 @@ def feature_structs(layer: DataFrame, layer_name: str, tm: TableMap, cfg: M.Grap
         dtype = layer.schema[a.col].dataType
         c = F.col(a.col)
         lex = F.when(not_sentinel(c, dtype), lexical(c, dtype))
-        pred = f"{cfg.schema_ns}{tm.classname.lower()}_{a.property}"
+        pred = f"{cfg.schema_ns}{tm.classname.lower()}_{a.property.lower()}"
         structs.append(typed_triple(s, pred, lex, a.datatype))
     return structs
 

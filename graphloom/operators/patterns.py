@@ -32,13 +32,22 @@ def star(graph: DataFrame, cls: str, props: list[tuple[str, str]]) -> DataFrame:
     """J5 + A2: subjects of ``cls`` having all of ``props`` [(var, predicate)].
 
     One row per combination of values (multi-valued properties multiply), distinct;
-    columns ``s`` and one string column per variable (the lexical value).
+    columns ``s`` and one string column per variable (the lexical value). Joins use
+    positional names, so a variable may be called anything; one that repeats ``s`` or an
+    earlier variable (in any case) gets ``_2``, ``_3``, ... appended.
     """
-    out = subjects_of(graph, cls)
-    for var, prop in props:
-        vals = graph.where(F.col("p") == prop).select("s", F.col("o").alias(var))
-        out = out.join(vals, "s")
-    return out.distinct()
+    out = subjects_of(graph, cls).select(F.col("s").alias("_s"))
+    for i, (_, prop) in enumerate(props):
+        vals = graph.where(F.col("p") == prop).select(F.col("s").alias(f"_s{i}"), F.col("o").alias(f"_v{i}"))
+        out = out.join(vals, F.col("_s") == F.col(f"_s{i}")).drop(f"_s{i}")
+    names = ["s"]
+    for var, _ in props:
+        taken, name, n = {x.lower() for x in names}, var, 1
+        while name.lower() in taken:
+            n += 1
+            name = f"{var}_{n}"
+        names.append(name)
+    return out.toDF(*names).distinct()
 
 
 def pairs(graph: DataFrame, cls: str, prop: str) -> DataFrame:
@@ -111,9 +120,11 @@ def concept_map(rules: DataFrame) -> DataFrame:
 
 
 def align(chained: DataFrame, cmap: DataFrame, ns: str) -> DataFrame:
-    """(rule_key, id) -> concept lookup on the broadcast dictionary; emit ``rdf:type``."""
-    hit = chained.join(F.broadcast(cmap.select("rule_key", "id", "concept")),
-                       (chained["rule_key"] == cmap["rule_key"]) & (chained["value"] == cmap["id"]))
+    """(rule_key, id) -> concept lookup in the dictionary; emit ``rdf:type``. Ids that
+    are whole numbers are compared as numbers (``02`` is 2)."""
+    number = lambda c: F.regexp_replace(F.trim(c), r"^0+(?=[0-9]+$)", "")
+    hit = chained.join(cmap.select("rule_key", "id", "concept"),
+                       (chained["rule_key"] == cmap["rule_key"]) & (number(chained["value"]) == number(cmap["id"])))
     return hit.select(
         chained["s"].alias("s"), F.lit(M.RDF_TYPE).alias("p"), F.concat(F.lit(ns), F.col("concept")).alias("o"),
         F.lit(M.KIND_IRI).alias("o_kind"), F.lit(None).cast("string").alias("o_datatype"),

@@ -6,6 +6,8 @@ no per-column union, no Python per row. Null objects are dropped after the inlin
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,6 +104,31 @@ def key_text(df: DataFrame, key: Column, tm: TableMap) -> Column:
     return key.cast("string")
 
 
+def link_text(col: str, dtype: T.DataType) -> Column:
+    """``str(value)`` of a foreign key, by the rule of ``key_text``: text is not stripped, so
+    a link target is the very IRI of the row it names."""
+    return F.col(col) if dtype.simpleString() == "string" else lexical(F.col(col), dtype)
+
+
+def rejected_columns(df: DataFrame, tm: TableMap) -> list[tuple[str, str, str]]:
+    """(table, column, reason) of every included column that cannot give triples: it is not
+    in the table, or its values are nested and have no lexical form."""
+    wanted = [a.col for a in tm.included_attrs()] + [r.col for r in tm.included_rels()]
+    missing = [(tm.tbl, c, "missing") for c in dict.fromkeys(wanted) if c not in df.columns]
+    nested = [(tm.tbl, c, "nested") for c in dict.fromkeys(wanted) if c in df.columns and _nested(df.schema[c].dataType)]
+    return missing + nested
+
+
+def _check(df: DataFrame, tm: TableMap) -> None:
+    """A missing column fails the job; a nested one is named in a warning."""
+    rejected = rejected_columns(df, tm)
+    missing = [c for _, c, why in rejected if why == "missing"]
+    if missing:
+        raise ValueError(f"mapped columns are not in table {tm.tbl}: {', '.join(missing)}")
+    for _, c, _ in rejected:
+        warnings.warn(f"column {c} of table {tm.tbl} is nested and gives no triples", stacklevel=3)
+
+
 def instance_iri(cfg: M.GraphConfig, cls: str | Column, key_txt: Column) -> Column:
     """T1."""
     return mint_iri(cfg.data_ns, cls, key_txt)
@@ -139,16 +166,13 @@ def instance_structs(df: DataFrame, tm: TableMap, cfg: M.GraphConfig,
         ]
     if attributes:
         for a in tm.included_attrs():                                                          # T4
-            if a.col not in df.columns or _nested(df.schema[a.col].dataType):
-                continue  # nested values have no lexical form: rejected
+            if _nested(df.schema[a.col].dataType):
+                continue  # no lexical form: see ``rejected_columns``
             lex = lexical(F.col(a.col), df.schema[a.col].dataType)
             structs.append(typed_triple(s, attr_predicate(cfg, tm.classname, a.property), lex, a.datatype))
     if relations:
         for i, r in enumerate(tm.included_rels()):                                             # T5, T6
-            if r.col not in df.columns:
-                continue
-            df = df.withColumn(f"_t{i}", instance_iri(cfg, r.target_class,
-                                                      lexical(F.col(r.col), df.schema[r.col].dataType)))
+            df = df.withColumn(f"_t{i}", instance_iri(cfg, r.target_class, link_text(r.col, df.schema[r.col].dataType)))
             tgt = F.col(f"_t{i}")
             structs.append(iri_triple(s, attr_predicate(cfg, tm.classname, r.property), tgt))
             structs.append(iri_triple(tgt, inverse_predicate(cfg, r.target_class, tm.classname), s))
@@ -174,6 +198,7 @@ def instance_triples(df: DataFrame, tm: TableMap, cfg: M.GraphConfig,
     """T1-T6 over every row of ``df`` whose identifier is not null."""
     if tm.identifier is None:
         return empty_triples(df.sparkSession)
+    _check(df, tm)
     df = df.select(*needed_columns(df, tm, attributes, relations))
     df = df.where(key_column(df, tm).isNotNull())
     df, structs = instance_structs(df, tm, cfg, attributes, relations, header)

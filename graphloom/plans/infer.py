@@ -175,5 +175,9 @@ def apply_overrides(frame: DataFrame, overrides: DataFrame, keys=("tbl", "col"),
                 (e["action"] == "confirm") & C.is_guess(c), F.substring(c, F.lit(2), F.length(c) - 2)
             )
         edited = edited.otherwise(c)
-        out.append(F.when(in_scope & e.isNotNull(), edited).otherwise(c).alias(f.name))
+        value = F.when(in_scope & e.isNotNull(), edited).otherwise(c)
+        if f.name == "unique_key":  # an identifier that was edited is no declared key any more
+            moved = in_scope & F.col("_edits")["identifier"].isNotNull()
+            value = F.when(moved & e.isNull(), F.lit(False)).otherwise(value)
+        out.append(value.alias(f.name))
     return joined.select(*out)

@@ -30,7 +30,7 @@ from graphloom.operators.triples import (
 
 
 def closure_with_secondary(spark: SparkSession, sources: dict, mapping: Mapping, roots: DataFrame,
-                           primary: str, secondary=(), max_rounds: int = 10) -> R.ClosureResult:
+                           primary: str, secondary=(), max_rounds: int | None = None) -> R.ClosureResult:
     """R2: primary closure, then each secondary ``(table, fk_column)`` in the listed order."""
     res = R.closure(spark, sources, mapping, roots, max_rounds=max_rounds)
     for child, fk in secondary:
@@ -81,9 +81,7 @@ def emit_visited(spark: SparkSession, sources: dict, mapping: Mapping, cfg: M.Gr
     visited = res.visited
     frames = []
     for t in res.tables():
-        if t not in sources or t not in mapping.tables:
-            continue
-        tm = mapping.tables[t]
+        tm = mapping.tables[t]  # the closure has checked that source and mapping are there
         frames.append((R.visited_rows(sources[t], tm, visited), tm))
     if not frames:
         return empty_triples(spark)
@@ -91,10 +89,12 @@ def emit_visited(spark: SparkSession, sources: dict, mapping: Mapping, cfg: M.Gr
 
 
 def table_graph(spark: SparkSession, sources: dict, mapping: Mapping, cfg: M.GraphConfig, roots: DataFrame,
-                primary: str, secondary=(), max_rounds: int = 10, header_ts: int | None = None,
+                primary: str, secondary=(), max_rounds: int | None = None, header_ts: int | None = None,
                 header_text: M.HeaderText = M.HeaderText()) -> DataFrame:
     """R2 end to end: instance triples of everything reachable, as a set, plus the header."""
     res = closure_with_secondary(spark, sources, mapping, roots, primary, secondary, max_rounds)
+    if max_rounds is not None and not res.frontier.isEmpty():
+        raise ValueError(f"the graph reaches further than {max_rounds} rounds")
     body = emit_visited(spark, sources, mapping, cfg, res)
     if header_ts is None:
         return body
@@ -102,7 +102,7 @@ def table_graph(spark: SparkSession, sources: dict, mapping: Mapping, cfg: M.Gra
 
 
 def write_table_graph(spark: SparkSession, sources: dict, mapping: Mapping, cfg: M.GraphConfig, roots: DataFrame,
-                      primary: str, path: str, ts: int, secondary=(), max_rounds: int = 10, fmt: str = "ntriples",
+                      primary: str, path: str, ts: int, secondary=(), max_rounds: int | None = None, fmt: str = "ntriples",
                       header_text: M.HeaderText = M.HeaderText()) -> str:
     """R2 as a batch job: the instance set is written once to ``path`` (N-Triples, N-Quads
     or Parquet) and the header with its count is appended (S9 + T14)."""

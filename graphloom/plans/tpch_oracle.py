@@ -96,7 +96,7 @@ def instance_sql(table: str, src: str | None = None, attributes=True, relations=
 
 
 ORDER_ROOTS = ("SELECT o_orderkey FROM orders WHERE o_totalprice BETWEEN 100000 AND 110000 "
-               "AND o_orderkey BETWEEN 0 AND 629000")
+               "AND o_orderkey BETWEEN 0 AND 1000000000000000")
 
 EDGES = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS tbl, {key} AS id, '{tt}' AS dst_tbl, CAST({col} AS VARCHAR) AS dst_id FROM {t} "
@@ -385,3 +385,21 @@ ORACLE.update({
     "layer_graph": LAYER_GRAPH,
     "geometry_triples": GEOMETRY_TRIPLES,
 })
+
+ORACLE["reach_deep"] = """WITH RECURSIVE reach(id) AS (
+  SELECT o_orderkey FROM orders WHERE o_orderkey >= 1024
+  UNION
+  SELECT o.o_orderkey // 2 FROM reach r JOIN orders o ON o.o_orderkey = r.id
+)
+SELECT 'node' AS tbl, CAST(id AS VARCHAR) AS id FROM reach"""
+
+_SEG = "(SELECT *, ' ' || c_mktsegment || '  ' AS seg FROM customer)"
+_CUST_IRI, _SEG_IRI = iri("Customer", "CAST(c_custkey AS VARCHAR)"), iri("Segment", "seg")
+ORACLE["text_key_graph"] = "\nUNION\n".join([
+    row(_CUST_IRI, f"'{RDF_TYPE}'", f"'{SCH}Customer'", src=f"FROM {_SEG} t"),
+    row(_CUST_IRI, f"'{RDFS_LABEL}'", "'Customer ' || CAST(c_custkey AS VARCHAR)", "literal", lang="nl", src=f"FROM {_SEG} t"),
+    row(_CUST_IRI, f"'{SCH}customer_segment'", _SEG_IRI, src=f"FROM {_SEG} t"),
+    row(_SEG_IRI, f"'{SCH}segment_inv_customer'", _CUST_IRI, src=f"FROM {_SEG} t"),
+    row(_SEG_IRI, f"'{RDF_TYPE}'", f"'{SCH}Segment'", src=f"FROM {_SEG} t"),
+    row(_SEG_IRI, f"'{RDFS_LABEL}'", "'Segment ' || seg", "literal", lang="nl", src=f"FROM {_SEG} t"),
+])

@@ -22,7 +22,8 @@ CFG = tpch.CONFIG
 HEADER_TS = 0  # header timestamps are parameters; fixed so results are reproducible
 
 # Job parameters of the area queries (box in metres; unset bounds take the default extent).
-ORDERS_AREA = Area(x0=100000, y0=0, x1=110000)
+ORDERS_AREA = Area(x0=100000, y0=0, x1=110000, y1=1e15)  # every order key
+DEEP_FROM = 1024
 PART_AREA = Area(x0=920, y0=10, x1=950, y1=30)
 PART_CONTEXT = "PROMO"
 
@@ -91,6 +92,33 @@ def q_closure_capped(spark, sf_dir):
     return res.visited
 
 
+def q_reach_deep(spark, sf_dir):
+    """R1 on a hierarchy: every order key points to half of it, so keys are up to 10 and more
+    hops from the roots."""
+    from graphloom.mapping import Mapping, Rel, TableMap
+
+    nodes = _t(spark, sf_dir, "orders").select("o_orderkey", F.expr("o_orderkey DIV 2").alias("parent"))
+    tm = TableMap("node", "Node", "o_orderkey", rels=(Rel("parent", "parent", "node", "Node"),))
+    roots = R.refs(nodes.where(F.col("o_orderkey") >= DEEP_FROM), "node", "o_orderkey")
+    return R.closure(spark, {"node": nodes}, Mapping("lake", {"node": tm}), roots).visited
+
+
+def q_text_key_graph(spark, sf_dir):
+    """T1, T5, T6, J1 on text keys with blanks around them: customers and their segments."""
+    from graphloom.mapping import Mapping, Rel, TableMap
+    from graphloom.plans.table_graph import table_graph
+
+    key = F.concat(F.lit(" "), F.col("c_mktsegment"), F.lit("  "))
+    customers = _t(spark, sf_dir, "customer").select("c_custkey", key.alias("segment"))
+    segments = customers.select(F.col("segment").alias("code")).distinct()
+    m = Mapping("lake", {
+        "customer": TableMap("customer", "Customer", "c_custkey", rels=(Rel("segment", "segment", "segment", "Segment"),)),
+        "segment": TableMap("segment", "Segment", "code"),
+    })
+    roots = R.refs(customers, "customer", "c_custkey")
+    return table_graph(spark, {"customer": customers, "segment": segments}, m, CFG, roots, "customer")
+
+
 def q_table_graph(spark, sf_dir):
     m = tpch.mapping(spark, sf_dir)
     return table_graph(spark, _sources(spark, sf_dir), m, CFG, _roots(spark, sf_dir), "orders",
@@ -122,15 +150,11 @@ def graph_of(spark, sf_dir, tables, cfg=CFG, flat_keys=False, relations=True, he
     """Instance triples of whole tables (T1-T6), plus the header triples (without count)."""
     from graphloom.operators.metadata import header_triples
 
-    from graphloom.session import spread
-
     m = tpch.mapping(spark, sf_dir)
     parts = []
     for t in tables:
         tm = flat(m.table(t)) if flat_keys else m.table(t)
-        # whole-table projection: about ten hashed or formatted triples per row, so a
-        # single-split source is spread over the cores first (no-op with many files)
-        parts.append(instance_triples(spread(_t(spark, sf_dir, t)), tm, cfg, relations=relations))
+        parts.append(instance_triples(_t(spark, sf_dir, t), tm, cfg, relations=relations))
     if header:
         parts.append(header_triples(spark, cfg.data_ns, HEADER_TS, cfg.db))
     return reduce(DataFrame.unionByName, parts)
@@ -268,9 +292,7 @@ def q_ntriples_roundtrip(spark, sf_dir):
     from graphloom.operators.triples import iri_triple, lang_triple, typed_triple
     from graphloom.sources.ntriples import parse_lines, to_lines
 
-    from graphloom.session import spread
-
-    docs = spread(_t(spark, sf_dir, "documents"))  # text work per row: use every core
+    docs = _t(spark, sf_dir, "documents")
     s = F.concat(F.lit(CFG.data_ns + "doc/"), F.col("doc_id").cast("string"))
     from graphloom.functions.lexical import strip_ws
     from graphloom.operators.triples import emit
@@ -281,7 +303,7 @@ def q_ntriples_roundtrip(spark, sf_dir):
         iri_triple(s, M.RDF_TYPE, CFG.schema_ns + "Documents"),
         typed_triple(s, CFG.schema_ns + "documents_n_chars", F.col("n_chars").cast("string"), M.XSD_INTEGER),
     ])
-    triples, _ = parse_lines(to_lines(g, spread_input=False), spread_input=False)
+    triples, _ = parse_lines(to_lines(g))
     return triples
 
 
@@ -305,10 +327,8 @@ def q_event_triples(spark, sf_dir):
     """T1-T6 over the whole events table: fractional wall-clock timestamps, a JSON text
     column, and a relation whose name drops its ``_id`` suffix (``user_id`` -> ``user``)."""
     from graphloom.plans.table_graph import instance_set
-    from graphloom.session import spread
-
     m = tpch.mapping(spark, sf_dir)
-    return instance_set([(spread(_t(spark, sf_dir, "events")), m.table("events"))], CFG)
+    return instance_set([(_t(spark, sf_dir, "events"), m.table("events"))], CFG)
 
 
 def q_class_pairs(spark, sf_dir):
@@ -394,6 +414,8 @@ QUERIES = {
     "merge_graphs": q_merge_graphs,
     "with_header": q_with_header,
     "melt_fields": q_melt_fields,
+    "reach_deep": q_reach_deep,
+    "text_key_graph": q_text_key_graph,
     "ntriples_roundtrip": q_ntriples_roundtrip,
     "namespaces": q_namespaces,
     "feature_in_area": q_feature_in_area,

@@ -57,7 +57,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
-def materialize(df, name: str = "part", partition_by: str | None = None):
+def materialize(df, name: str = "part"):
     """Cut lineage: write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     One pass over the data (a reliable ``checkpoint`` computes its input twice unless it is
@@ -69,35 +69,5 @@ def materialize(df, name: str = "part", partition_by: str | None = None):
     spark = df.sparkSession
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/graphloom-{uuid.uuid4().hex}/{name}"
-    writer = df.write.mode("error")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
-
-
-def partition_values(df, column: str) -> list[str]:
-    """Values of a partition column of a materialized frame, read from its file listing
-    (driver-side metadata, no Spark job). An empty frame has no files and no values."""
-    import re
-    from urllib.parse import unquote
-
-    pat = re.compile(rf"/{re.escape(column)}=([^/]*)/")
-    return sorted({unquote(m.group(1)) for f in df.inputFiles() for m in [pat.search(f)] if m})
-
-
-def spread(df):
-    """Give a scan at least as many partitions as the cluster has cores.
-
-    A source stored as one file with one row group is read by a single task, so every
-    per-row expression after it (hashes, lexical forms) would run on one core. Such a scan
-    is spread round-robin; a source with enough splits (the normal case at scale) is left
-    as it is, without a shuffle. Filters and column pruning still reach the scan.
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001  (no local context: leave the plan as it is)
-        return df
-    if len(df.inputFiles()) >= want:  # file listing only, no job
-        return df
-    return df.repartition(want)

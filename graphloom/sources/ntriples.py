@@ -8,12 +8,12 @@ recurses per character, so very long literals are safe.
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom import model as M
-from graphloom.session import spread
 
 FORMAT_EXT = {"ntriples": ".nt", "nquads": ".nq", "parquet": ".parquet"}
 
@@ -42,9 +42,30 @@ def unescape(c: Column) -> Column:
     return F.replace(out, F.lit(hold), F.lit("\\"))
 
 
+# Characters that an IRI must not hold in these formats (fixed by the format).
+_IRI_BAD = r"[\x00-\x20<>\"{}|^`\\]"
+
+
+def escape_iri(c: Column) -> Column:
+    """IRI -> IRI body: forbidden characters (a space in a column name) become ``\\uXXXX``."""
+    coded = F.array_join(F.transform(F.split(c, ""), lambda x: F.when(
+        x.rlike(_IRI_BAD), F.concat(F.lit("\\u"), F.lpad(F.hex(F.ascii(x)), 4, "0"))).otherwise(x)), "")
+    return F.when(c.rlike(_IRI_BAD), coded).otherwise(c)
+
+
+def unescape_iri(c: Column) -> Column:
+    """``\\uXXXX`` in an IRI body -> its character."""
+    pieces = F.split(c, r"(?=\\u[0-9A-Fa-f]{4})")
+    decoded = F.array_join(F.transform(pieces, lambda p: F.when(
+        p.rlike(r"^\\u[0-9A-Fa-f]{4}"),
+        F.concat(F.decode(F.unhex(F.substring(p, 3, 4)), "UTF-16BE"), F.substring(p, 7, 1 << 30)),
+    ).otherwise(p)), "")
+    return F.when(c.contains("\\u"), decoded).otherwise(c)
+
+
 def _term(c: Column) -> Column:
     """``<iri>`` -> iri; ``_:b`` stays as is (kind tells them apart)."""
-    return F.when(c.startswith("<"), F.substring(c, F.lit(2), F.length(c) - 2)).otherwise(c)
+    return F.when(c.startswith("<"), unescape_iri(F.substring(c, F.lit(2), F.length(c) - 2))).otherwise(c)
 
 
 _SUBJ = r"^(<[^>]*>|_:\S+)$"
@@ -55,16 +76,15 @@ _TAIL_G = r"^(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?(?:\s+(<[^>]*>|_:\S+))?$"
 
 
 def parse_lines(lines: DataFrame, col: str = "value", with_graph: bool = False,
-                keep=(), spread_input: bool = True) -> tuple[DataFrame, DataFrame]:
+                keep=(), fail: bool = False) -> tuple[DataFrame, DataFrame]:
     """Text lines -> (triples, rejects). Blank and comment lines are skipped.
 
     A line is cut with plain string functions (subject and predicate are the first two
     tokens; a literal runs to its last quote), so a long literal is scanned a few times
     linearly instead of once per regular-expression group; only the short head and tail
-    tokens are checked with anchored patterns. Lines that do not parse are rejected.
+    tokens are checked with anchored patterns. Lines that do not parse are rejected; with
+    ``fail`` the first of them fails the job.
     """
-    if spread_input:
-        lines = spread(lines)
     v = F.col(col)
     body = lines.where(~v.rlike(r"^\s*(#.*)?$"))
     t = F.rtrim(v)
@@ -104,24 +124,26 @@ def parse_lines(lines: DataFrame, col: str = "value", with_graph: bool = False,
     if with_graph:
         g = F.when(is_lit, F.regexp_extract(F.col("_tail"), tail_re, 3)).otherwise(term_rest)
         cols.append(F.when(g != "", _term(g)).alias("g"))
-    checked = cut.select("*", F.coalesce(ok, F.lit(False)).alias("_ok"))
+    bad = F.raise_error(F.concat(F.lit("line is not in the format: "), v)).cast("boolean") if fail else F.lit(False)
+    checked = cut.select("*", F.when(F.coalesce(ok, F.lit(False)), F.lit(True)).otherwise(bad).alias("_ok"))
     triples = checked.where("_ok").select(*cols, *keep)
     rejects = checked.where(~F.col("_ok")).select(v.alias("line"))
     return triples, rejects
 
 
 def read_triples(spark: SparkSession, paths, with_graph: bool = False) -> DataFrame:
-    """Read one or several N-Triples/N-Quads files as one graph.
+    """Read one or several N-Triples/N-Quads graphs as one graph.
 
     Lines are read whole (a literal with newlines is escaped in the format, so one triple is
-    one line). Blank-node labels are made unique per input file (a hash of the file name is
-    prefixed), since labels only have meaning inside one file.
+    one line). A line that does not parse fails the job (``read_triples_with_rejects`` gives
+    such lines back instead). Blank-node labels only have meaning inside one graph: each path
+    of ``paths`` is a graph, whatever its number of part files, and its labels are prefixed
+    with a hash of that path.
     """
-    if isinstance(paths, str):
-        paths = [paths]
-    lines = spark.read.text(list(paths)).withColumn("_file", F.input_file_name())
-    triples, _ = parse_lines(lines, with_graph=with_graph, keep=["_file"])
-    out = relabel_bnodes(triples)
+    graphs = [paths] if isinstance(paths, str) else list(paths)
+    read = [relabel_bnodes(parse_lines(spark.read.text(p).withColumn("_file", F.lit(p)), with_graph=with_graph, keep=["_file"], fail=True)[0])
+            for p in graphs]
+    out = reduce(DataFrame.unionByName, read)
     return out.select(*M.TRIPLE_COLUMNS, *(["g"] if with_graph else []))
 
 
@@ -133,7 +155,7 @@ def read_triples_with_rejects(spark: SparkSession, paths) -> tuple[DataFrame, Da
 
 
 def relabel_bnodes(triples: DataFrame, file_col: str = "_file") -> DataFrame:
-    """Prefix blank-node labels with a hash of their input file."""
+    """Prefix blank-node labels with a hash of the graph they come from."""
     tag = F.substring(F.sha1(F.col(file_col)), 1, 12)
     fix = lambda c, is_b: F.when(is_b, F.concat(F.lit("_:f"), tag, F.lit("_"), F.substring(c, 3, 1 << 30))).otherwise(c)
     rest = [c for c in triples.columns if c not in ("s", "o")]
@@ -144,16 +166,11 @@ def relabel_bnodes(triples: DataFrame, file_col: str = "_file") -> DataFrame:
 
 
 def term_text(value: Column, kind: Column) -> Column:
-    return F.when(kind == M.KIND_BNODE, value).otherwise(F.concat(F.lit("<"), value, F.lit(">")))
-
+    return F.when(kind == M.KIND_BNODE, value).otherwise(F.concat(F.lit("<"), escape_iri(value), F.lit(">")))
 
-def to_lines(df: DataFrame, graph: str | None = None, spread_input: bool = True) -> DataFrame:
-    """Triples -> one N-Triples (or N-Quads with ``graph``) line each, column ``value``.
 
-    Escaping is per-row string work, so an input read by fewer tasks than cores is spread
-    first (a no-op for inputs with enough splits)."""
-    if spread_input:
-        df = spread(df)
+def to_lines(df: DataFrame, graph: str | None = None) -> DataFrame:
+    """Triples -> one N-Triples (or N-Quads with ``graph``) line each, column ``value``."""
     s_kind = F.when(F.col("s").startswith("_:"), F.lit(M.KIND_BNODE)).otherwise(F.lit(M.KIND_IRI))
     lit = F.concat(
         F.lit('"'), escape(F.col("o")), F.lit('"'),
@@ -162,7 +179,7 @@ def to_lines(df: DataFrame, graph: str | None = None, spread_input: bool = True)
         .otherwise(F.lit("")),
     )
     obj = F.when(F.col("o_kind") == M.KIND_LITERAL, lit).otherwise(term_text(F.col("o"), F.col("o_kind")))
-    parts = [term_text(F.col("s"), s_kind), F.concat(F.lit("<"), F.col("p"), F.lit(">")), obj]
+    parts = [term_text(F.col("s"), s_kind), F.concat(F.lit("<"), escape_iri(F.col("p")), F.lit(">")), obj]
     if graph is not None:
         parts.append(F.lit(f"<{graph}>"))
     return df.select(F.concat_ws(" ", *parts, F.lit(".")).alias("value"))
@@ -205,5 +222,5 @@ def write_graph(df: DataFrame, path: str, base: str, ts: int, name: str, fmt: st
     if fmt == "parquet":
         extra.select(*M.TRIPLE_COLUMNS).write.mode("append").parquet(path)
     else:
-        to_lines(extra, graph if fmt == "nquads" else None, spread_input=False).write.mode("append").text(path)
+        to_lines(extra, graph if fmt == "nquads" else None).write.mode("append").text(path)
     return path
