@@ -7,11 +7,12 @@ to one class (transitively); shorter lines only with equal ones. Of each class t
 1.  A line is split into EDITS + 1 even segments; two lines within EDITS edits share one of
     them. A line is indexed under (its length, segment number, segment) and probes, for its
     own and each smaller length in reach, the substrings whose place the edits allow.
-2.  Every index bucket links its hits to a pivot; a bucket of at most ``SMALL`` lines gives all
-    its pairs as well. Pairs are verified by a banded bit-parallel edit distance.
-3.  Larger buckets that still hold several classes are divided by the halves of the other
-    segments: EDITS edits leave at least one of these 2 * EDITS halves whole. Each part gives
-    its pairs between classes, whatever its size.
+2.  Every index bucket links its hits to a pivot; pairs are verified by a banded bit-parallel
+    edit distance, and the links make first classes. Most buckets then hold one class.
+3.  Of the others, those of at most ``SMALL`` lines give their pairs between classes. Larger
+    ones are divided by the halves of the other segments: EDITS edits leave at least one of
+    these 2 * EDITS halves whole. Lengths and parities of characters and pairs of neighbours,
+    which EDITS edits can change only so far, are compared inside the join.
 
 Defined cases: a null text has no lines; an empty one has one blank line; equal rows are
 treated alike; rows that share an id count as one document, a null id is the last one; an
@@ -34,7 +35,8 @@ from graphloom.llm.components import components
 
 EDITS = 2
 LEAST = 16
-SMALL = 64
+SMALL = 64  # lines of a bucket that gives all its pairs between classes
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def line_hash(line: Column) -> Column:
@@ -162,10 +164,6 @@ def _probing(edits: int, least: int, index_only: bool):
     return run
 
 
-def _ordered(frame: DataFrame, a: str, b: str) -> DataFrame:
-    return frame.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-
-
 def _verified(edits: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -184,11 +182,36 @@ def verified(pairs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
 def _finer(edits: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = [(k, node, of) for bucket, node, of, line in zip(batch["bucket"], batch["node"], batch["of"], batch["line"], strict=True) for k in finer(line, bucket, edits)]
-            yield pd.DataFrame(out, columns=["part", "node", "of"])
+            out = [(k, r.node, r.of, len(r.line), r.bag_a, r.bag_b) for r in batch.itertuples(index=False) for k in finer(r.line, r.bucket, edits)]
+            yield pd.DataFrame(out, columns=["part", "node", "of", "size", "bag_a", "bag_b"])
     return run
 
 
+def bags(line: str) -> tuple[int, int]:
+    """Parities of a line's characters and of its pairs of neighbours, 64 kinds each. An edit
+    changes at most two characters' and four pairs' counts."""
+    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    pairs = (codes[:-1] * _ODD + codes[1:]) * _ODD >> np.uint64(58)
+    odd = [np.bincount(x.astype(np.int64), minlength=64) & 1 for x in (codes % np.uint64(64), pairs)]
+    packed = np.packbits(np.array(odd, np.uint8), axis=1, bitorder="little").view(np.int64)
+    return int(packed[0, 0]), int(packed[1, 0])
+
+
+def _bagged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        found = [bags(line) for line in batch["line"]]
+        yield batch[["node", "line"]].assign(bag_a=[a for a, _ in found], bag_b=[b for _, b in found])
+
+
+def _between(left: DataFrame, right: DataFrame, edits: int) -> DataFrame:
+    """Pairs (a, b) of one part and two classes whose lengths and parities allow the edits."""
+    other = right.select(F.col("part").alias("_part"), *[F.col(c).alias(f"o_{c}") for c in ("node", "of", "size", "bag_a", "bag_b")])
+    flips = lambda c: F.bit_count(F.col(c).bitwiseXOR(F.col(f"o_{c}")))
+    near = (F.abs(F.col("size") - F.col("o_size")) <= edits) & (flips("bag_a") <= 2 * edits) & (flips("bag_b") <= 4 * edits)
+    joined = left.join(other, (F.col("part") == F.col("_part")) & (F.col("node") != F.col("o_node")) & (F.col("of") != F.col("o_of")) & near)
+    return joined.select(F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b")).distinct()
+
+
 def _classed(frame: DataFrame, labels: DataFrame) -> DataFrame:
     own = labels.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
     return frame.join(own, F.col("node") == F.col("_n"), "left").withColumn("of", F.coalesce("_c", "node")).drop("_n", "_c")
@@ -204,37 +227,30 @@ def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST, small:
     # the pivot is one end or the other by bucket, so that a group has more than one
     pivot = F.when(F.col("bucket") % 2 == 0, F.col("lo")).otherwise(F.col("hi"))
     hits = stage(hits.select("bucket", "node", "indexed", "n", pivot.alias("pivot")).distinct(), "hits")
-    star = _ordered(hits, "node", "pivot").distinct()
-    middle = hits.where(F.col("n").between(2, small))
-    members = middle.where("indexed").select("bucket", F.col("node").alias("other"))
-    every = _ordered(middle.join(members, "bucket"), "node", "other").distinct()
-    pairs = stage(star.withColumn("star", F.lit(True)).unionByName(every.withColumn("star", F.lit(False))).groupBy("a", "b").agg(F.max("star").alias("star")), "pairs")
-    large = hits.where(F.col("n") > small).select("bucket", "node").distinct()
-
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_n")).unionByName(large.select(F.col("node").alias("_n"))).distinct()
     lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).select(line_hash(F.col("line")).alias("node"), "line")
-    lines = stage(lines.where(F.length("line") >= least).join(wanted, F.col("node") == F.col("_n"), "left_semi").distinct(), "lines")
+    lines = lines.where(F.length("line") >= least).join(hits.select(F.explode(F.array("node", "pivot")).alias("_n")).distinct(), F.col("node") == F.col("_n"), "left_semi").distinct()
+    lines = stage(lines.mapInPandas(_bagged, "node long, line string, bag_a long, bag_b long"), "lines")
     clash = lines.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if not clash.isEmpty():
         raise ValueError("two lines share a 64-bit hash")
 
-    links = stage(verified(pairs.where("star"), lines, edits), "links")
+    star = hits.where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    links = stage(verified(star, lines, edits), "links")
     labels = stage(components(links), "labels")
-    open_ = pairs.where("NOT star").select(F.col("a").alias("node"), "b")
-    open_ = _classed(open_, labels).select(F.col("node").alias("a"), F.col("of").alias("of_a"), F.col("b").alias("node"))
-    open_ = _classed(open_, labels).where("of <> of_a").select("a", F.col("node").alias("b"))
-    more = verified(open_, lines, edits)
-    mixed = _classed(large, labels)
-    several = mixed.groupBy("bucket").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo <> hi").select("bucket")
-    mixed = stage(mixed.join(several, "bucket", "left_semi"), "mixed")
-    if not mixed.isEmpty():
-        parts = mixed.join(lines, "node").select("bucket", "node", "of", "line").mapInPandas(_finer(edits), "part long, node long, of long")
-        ends = parts.groupBy("part").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo <> hi").select("part")
-        parts = stage(parts.join(ends, "part", "left_semi"), "parts")
-        right = parts.select("part", F.col("node").alias("b"), F.col("of").alias("of_b"))
-        rest = parts.join(right, "part").where((F.col("node") < F.col("b")) & (F.col("of") != F.col("of_b"))).select(F.col("node").alias("a"), "b").distinct()
-        more = more.unionByName(verified(rest, lines, edits))
-    more = stage(more, "links")
+    own = _classed(hits.select("bucket", "node", "indexed", "n").distinct(), labels)
+    several = own.groupBy("bucket").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo <> hi").select("bucket")
+    own = own.join(several, "bucket", "left_semi").join(lines.select("node", "bag_a", "bag_b", F.length("line").alias("size")), "node")
+    own = stage(own, "mixed")
+    if own.isEmpty():
+        return labels
+    some = own.where(F.col("n") <= small)
+    rest = _between(some.withColumnRenamed("bucket", "part"), some.where("indexed").withColumnRenamed("bucket", "part"), edits)
+    large = own.where(F.col("n") > small).select("bucket", "node", "of").distinct()
+    parts = large.join(lines, "node").mapInPandas(_finer(edits), "part long, node long, of long, size int, bag_a long, bag_b long")
+    ends = parts.groupBy("part").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo <> hi").select("part")
+    parts = stage(parts.join(ends, "part", "left_semi"), "parts")
+    rest = stage(rest.unionByName(_between(parts, parts, edits)).distinct(), "rest")
+    more = stage(verified(rest, lines, edits), "links")
     return labels if more.isEmpty() else stage(components(links.unionByName(more)), "labels")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from graphloom.llm.decontaminate import decontaminate, leak_report
 from graphloom.llm.langid import hashes, language_report, letters
 from graphloom.llm.licenses import license_report
-from graphloom.llm.lines import drop_lines, line_report, probes, within
+from graphloom.llm.lines import bags, drop_lines, line_report, probes, within
 from graphloom.llm.secrets import RULES, scan_versions, secret_report
 from graphloom.llm.topk import top_k
 from graphloom.llm.toxicity import Sparse, drop_toxic, fit_ordinal, toxicity_report
@@ -87,6 +87,16 @@ def test_banded_distance():
             assert within(a, b, limit) == (_distance(a, b) <= limit), (a, b, limit)
 
 
+def test_parities_bound_the_edits():
+    rng = random.Random(9)
+    for _ in range(500):
+        a = "".join(rng.choice("abcdefghé😀") for _ in range(rng.randrange(16, 40)))
+        n = rng.randrange(3)
+        one, two = bags(a), bags(_edited(rng, a, n))
+        flips = [bin((x ^ y) & (1 << 64) - 1).count("1") for x, y in zip(one, two)]
+        assert flips[0] <= 2 * n and flips[1] <= 4 * n
+
+
 def test_probes_reach_every_near_line():
     rng = random.Random(6)
     for _ in range(400):
