@@ -101,5 +101,5 @@ class HeaderText:
     subject: str = "http://example.org/topics/Asset_management"
     language: str = ISO639 + "nl"
     title: str = "Linked Data Project - {db}"
-    description_nl: str = "Een {kind} voor experimentele doeleinden."
-    description_en: str = "An experimental {kind} for research purposes."
+    description_nl: str = "Triples van deze {kind}, afgeleid uit tabellen."
+    description_en: str = "Triples of this {kind}, derived from tables."

@@ -149,8 +149,8 @@ DCT = "http://purl.org/dc/terms/"
 def header_sql(base: str, name: str, ts_text: str, kind: str = "dataset") -> str:
     typ = "http://www.w3.org/2002/07/owl#Ontology" if kind == "ontology" else "http://rdfs.org/ns/void#Dataset"
     title = f"Linked Data Project - {name.upper()}"
-    d_nl = f"Een {kind} voor experimentele doeleinden."
-    d_en = f"An experimental {kind} for research purposes."
+    d_nl = f"Triples van deze {kind}, afgeleid uit tabellen."
+    d_en = f"Triples of this {kind}, derived from tables."
     rows = [
         (RDF_TYPE, typ, "iri", None, None),
         (DCT + "modified", ts_text, "literal", XSD + "dateTime", None),
