@@ -15,8 +15,8 @@ hold at least as many marked words (words that the labels show to be toxic) as t
 
 Defined cases: a null or wordless text has only the base rate; labels without a document or
 with a null value are not used; several labels of a document count as several examples; with
-no labels of both values nothing is learned, and every severity is 0; an empty table gives no
-rows; further columns stay as they are.
+no labels of both values, or no feature that tells them apart, nothing is learned, and every
+severity is 0 and no row toxic; an empty table gives no rows; further columns stay as they are.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ SAMPLE = 2048  # labelled documents of each label value
 BITS = 24  # of a hashed feature
 FEATURES = 8192  # kept for the fit at most, by their evidence in the sample
 RATIO, EVIDENCE = 3.5, 12.0  # least log ratio, and least evidence (about six standard deviations without effect)
+RATIO_SHARE, EVIDENCE_SHARE = 0.4, 0.7  # of the highest possible log ratio, and of the best evidence, where these are less
 MOST = 7  # count from which more of a feature adds nothing
 TOXIC = 0.5  # probability of a grade above 0 from which a document is rejected
 
@@ -131,19 +132,24 @@ def fit_ordinal(x: Sparse, grade: np.ndarray, weight: np.ndarray, penalty: float
 
 def evidence(rows: list[tuple[np.ndarray, np.ndarray]], positive: np.ndarray) -> dict[int, float]:
     """Features that mark positive rows, with how sure that is: the smoothed log ratio of
-    their shares, at least ``RATIO``, times the root of their rows, at least ``EVIDENCE``."""
+    their shares, at least ``RATIO``, times the root of their rows, at least ``EVIDENCE``.
+    Few rows cannot give so much. There, the floors are shares of the log ratio that a feature
+    of all positive and no other rows has, and of the best evidence found."""
     df, pos = Counter(), Counter()
     for (at, _), y in zip(rows, positive, strict=True):
         df.update(at.tolist())
         if y:
             pos.update(at.tolist())
     n_pos, n_neg = int(positive.sum()), int((~positive).sum())
+    most = float(np.log((n_pos + 0.5) / (n_pos + 1)) - np.log(0.5 / (n_neg + 1)))
+    least = min(RATIO, RATIO_SHARE * most)
     out = {}
     for f, n in df.items():
         ratio = float(np.log((pos[f] + 0.5) / (n_pos + 1)) - np.log((n - pos[f] + 0.5) / (n_neg + 1)))
-        if ratio >= RATIO and ratio * np.sqrt(n) >= EVIDENCE:
+        if ratio >= least:
             out[f] = ratio * float(np.sqrt(n))
-    return out
+    sure = min(EVIDENCE, EVIDENCE_SHARE * max(out.values(), default=0.0))
+    return {f: e for f, e in out.items() if e >= sure}
 
 
 def graded(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> np.ndarray:
@@ -179,7 +185,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
         packed.append((np.array([c for c, _ in own], np.int64), level(np.array([k for _, k in own], float))))
     weight = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum())
     w, thresholds = fit_ordinal(Sparse(packed, len(kept)), grade, weight)
-    return Ordinal({f: float(w[i]) for f, i in place.items() if w[i] != 0}, thresholds)
+    weights = {f: float(w[i]) for f, i in place.items() if w[i] != 0}
+    return Ordinal(weights, thresholds) if weights else Ordinal()
 
 
 def severity(text: Column, model: Ordinal) -> Column:

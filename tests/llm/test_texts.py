@@ -290,3 +290,30 @@ def test_top_k_matches_brute_force(spark, block):
     out = [tuple(r) for r in top_k(df.withColumn("row", F.lit(1)), pivots=8, block=block).collect()]
     assert sorted(out, key=str) == sorted(want, key=str)
     assert top_k(df.where("false")).collect() == []
+
+
+INSULTS = {"scum", "moron", "loser", "disgusting", "worthless", "trash", "clown", "stupid", "pathetic", "idiot"}
+
+
+def _insulting(text):
+    return bool(INSULTS & set(re.findall(r"[^\W\d_]+", (text or "").lower())))
+
+
+@pytest.mark.parametrize("toxic, clean", [(11, 76), (100, 5), (20, 300)])
+def test_toxicity_learns_from_few_labels(small_docs, spark, toxic, clean):
+    sf = "sf0.001" if clean == 76 else "sf0.1"
+    docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{n}.parquet") for n in ("documents", "labels"))
+    few = labels.where("toxic = 1").orderBy("doc_id").limit(toxic).union(labels.where("toxic = 0").orderBy("doc_id").limit(clean))
+    train = docs.join(few.select("doc_id"), "doc_id", "left_semi")
+    out = toxicity_report(train.union(small_docs.withColumn("doc_id", -1 - F.col("doc_id"))), few).where("doc_id < 0").collect()
+    bad = {r["doc_id"] for r in small_docs.collect() if _insulting(r["text"])}
+    found = {-1 - r["doc_id"] for r in out if r["toxic"]}
+    assert len(found & bad) >= 0.85 * len(bad) and len(found - bad) <= 0.1 * (len(out) - len(bad))
+
+
+def test_toxicity_without_evidence_rejects_nothing(docs_of, spark):
+    rows = [(i, "the same words everywhere") for i in range(20)]
+    for cut in (5, 10, 15):
+        labels = spark.createDataFrame([(i, int(i < cut)) for i in range(20)], "doc_id long, toxic int")
+        assert not any(r["toxic"] for r in toxicity_report(docs_of(rows), labels).collect())
+        assert drop_toxic(docs_of(rows), labels).count() == len(rows)
