@@ -9,7 +9,8 @@ sentence), token for token, so a question with other numbers or names keeps its
     ``WINDOW`` - 1 tokens always holds one of the document's windows, so none is missed.
 2.  Each hit is a diagonal (document position minus item position). On the few documents
     with hits, the item is laid along its diagonals: a document is contaminated by an item if
-    ``RUN`` tokens in a row agree and each of the item's slot values stands for one value only.
+    ``RUN`` tokens in a row are equal, or a maximal run of at least ``RUN`` agreeing tokens has
+    one value only for each of the item's slot values in it.
 
 An item of fewer than ``RUN`` tokens has to occur as a whole; for each such length the
 documents give all windows of that length. Items under ``LEAST`` tokens are too short to
@@ -87,6 +88,26 @@ def _longest(equal: Column) -> Column:
     return F.aggregate(equal, zero, step, lambda acc: acc["most"])
 
 
+def _slots(pairs: Column) -> Column:
+    return F.filter(pairs, lambda z: (z["a"] == z["b"]) & z["a"].isin(NUMBER, UNIT, NAME))
+
+
+def _consistent(pairs: Column) -> Column:
+    """Whether each of the item's slot values stands for one value."""
+    values = F.array_distinct(F.transform(_slots(pairs), lambda z: F.struct(z["a"].alias("a"), z["x"].alias("x"), z["y"].alias("y"))))
+    names = F.array_distinct(F.transform(_slots(pairs), lambda z: F.struct(z["a"].alias("a"), z["x"].alias("x"))))
+    return F.size(values) == F.size(names)
+
+
+def _runs(pairs: Column, agree: Column, least: Column) -> Column:
+    """The maximal runs of at least ``least`` agreeing pairs, each an array of pairs."""
+    n = F.size(agree)
+    places = F.filter(F.transform(agree, lambda x, i: F.when(~x, i)), lambda i: i.isNotNull())
+    ends = F.concat(F.array(F.lit(-1)), places, F.array(n))
+    spans = F.transform(F.slice(ends, 2, n + 1), lambda e, i: F.struct((F.get(ends, i) + 2).alias("from"), (e - F.get(ends, i) - 1).alias("n")))
+    return F.transform(F.filter(spans, lambda r: r["n"] >= least), lambda r: F.slice(pairs, r["from"], r["n"]))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_hash, item_id, run, slots, item_tokens): a row for each document key and
     benchmark row that contaminates it. ``run`` is the longest run of agreeing tokens,
@@ -119,13 +140,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     of = lambda c: F.slice(c, F.col("skip") + 1, F.size(c) + 1)
     pairs = F.arrays_zip(of(F.col("item_template")).alias("a"), F.col("t").alias("b"), of(F.col("item_raw")).alias("x"), F.col("r").alias("y"))
     both = both.select("doc_id", "text_hash", "item_row", "item_id", F.size("item_template").alias("item_tokens"), pairs.alias("pairs"))
-    slots = F.filter("pairs", lambda z: (z["a"] == z["b"]) & z["a"].isin(NUMBER, UNIT, NAME))
-    values = F.array_distinct(F.transform(slots, lambda z: F.struct(z["a"].alias("a"), z["x"].alias("x"), z["y"].alias("y"))))
-    names = F.array_distinct(F.transform(slots, lambda z: F.struct(z["a"].alias("a"), z["x"].alias("x"))))
-    run = _longest(F.transform("pairs", lambda z: F.coalesce(z["a"] == z["b"], F.lit(False))))
-    judged = both.select("doc_id", "text_hash", "item_row", "item_id", "item_tokens", run.alias("run"), F.size(slots).alias("slots"),
-                         (F.size(values) == F.size(names)).alias("consistent"))
-    good = judged.where(F.col("consistent") & (F.col("run") >= F.least(F.col("item_tokens"), F.lit(RUN))))
+    agree = F.transform("pairs", lambda z: F.coalesce(z["a"] == z["b"], F.lit(False)))
+    equal = F.transform("pairs", lambda z: F.coalesce(z["x"] == z["y"], F.lit(False)))
+    least = F.least(F.col("item_tokens"), F.lit(RUN))
+    both = both.select("*", agree.alias("agree"), _longest(agree).alias("run"), _longest(equal).alias("copied")).where(F.col("run") >= least)
+    good = both.where((F.col("copied") >= least) | F.exists(_runs(F.col("pairs"), F.col("agree"), least), _consistent))
+    good = good.select("doc_id", "text_hash", "item_row", "item_id", "item_tokens", "run", F.size(_slots(F.col("pairs"))).alias("slots"))
     return good.groupBy("doc_id", "text_hash", "item_row", "item_id", "item_tokens").agg(F.max("run").alias("run"), F.max("slots").alias("slots")).drop("item_row")
 
 

@@ -317,3 +317,14 @@ def test_toxicity_without_evidence_rejects_nothing(docs_of, spark):
         labels = spark.createDataFrame([(i, int(i < cut)) for i in range(20)], "doc_id long, toxic int")
         assert not any(r["toxic"] for r in toxicity_report(docs_of(rows), labels).collect())
         assert drop_toxic(docs_of(rows), labels).count() == len(rows)
+
+
+def test_slots_count_within_the_run(docs_of, spark):
+    plain = [f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}" for i in range(60)]
+    words = [*plain[:9], "2019", *plain[9:35], "2019", *plain[35:55], "2019", *plain[55:]]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    changed = [*words[:36], "2020", *words[37:]]
+    part = [*words[:30], "other", "text", "here", "and", "now", "so", "2020", "it", "goes"]
+    swapped = ["2021" if w == "2019" else w for w in words[:30]] + part[30:]
+    out = {r["doc_id"] for r in leak_report(docs_of([(i, " ".join(t)) for i, t in enumerate((words, changed, part, swapped))]), items).collect()}
+    assert out == {0, 1, 2, 3}
