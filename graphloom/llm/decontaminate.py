@@ -2,11 +2,15 @@
 
 Texts become tokens: runs of letters and digits in lower case. Their templates have typed
 placeholders for numbers, units (after a number) and names (capitalised words inside a
-sentence), token for token, so a question with other numbers or names keeps its template.
-
-1.  Documents give every ``WINDOW``-th window of ``WINDOW`` template tokens, benchmark items
-    give all their windows, and the two are hash-joined. A shared run of ``RUN`` = 2 *
-    ``WINDOW`` - 1 tokens always holds one of the document's windows, so none is missed.
+sentence, and the same words at its start), token for token, so a question with other numbers
+or names keeps its template. After a colon, quote, bracket or dash, words of ``OPENERS`` are
+no names.
+
+1.  Documents give every ``WINDOW``-th window of ``WINDOW`` tokens, benchmark items give all
+    their windows, both as templates and as they are, and the two are hash-joined. A shared
+    run of ``RUN`` = 2 * ``WINDOW`` - 1 tokens of either form always holds one of the
+    document's windows, so none is missed and a copy does not depend on capitals. Tokens
+    agree if they are equal in either form.
 2.  Each hit is a diagonal (document position minus item position). On the few documents
     with hits, the item is laid along its diagonals: a document is contaminated by an item if
     ``RUN`` tokens in a row are equal, or a maximal run of at least ``RUN`` agreeing tokens has
@@ -34,40 +38,75 @@ RUN = 2 * WINDOW - 1
 UNITS = ("km", "m", "cm", "mm", "mi", "mile", "miles", "ft", "foot", "feet", "inch", "inches", "kg", "g", "mg", "lb", "lbs", "oz", "ton", "tons",
          "l", "ml", "liter", "liters", "litre", "litres", "s", "sec", "second", "seconds", "min", "minute", "minutes", "h", "hour", "hours",
          "day", "days", "week", "weeks", "month", "months", "year", "years", "percent", "dollar", "dollars", "euro", "euros", "cent", "cents",
-         "usd", "eur", "mph", "kmh", "kb", "mb", "gb", "degrees")
+         "usd", "eur", "mph", "kmh", "kb", "mb", "gb", "degrees",
+         "meter", "meters", "metre", "metres", "kilometer", "kilometers", "kilometre", "kilometres", "centimeter", "centimeters", "centimetre",
+         "centimetres", "millimeter", "millimeters", "millimetre", "millimetres", "yard", "yards", "yd", "gram", "grams", "gramme", "grammes",
+         "kilogram", "kilograms", "kilo", "kilos", "milligram", "milligrams", "pound", "pounds", "ounce", "ounces", "tonne", "tonnes", "t",
+         "milliliter", "milliliters", "millilitre", "millilitres", "cl", "gallon", "gallons", "pint", "pints", "quart", "quarts", "cup", "cups",
+         "ms", "millisecond", "milliseconds", "secs", "mins", "hr", "hrs", "decade", "decades", "century", "centuries", "degree", "celsius",
+         "fahrenheit", "kelvin", "gbp", "penny", "pence", "pennies", "yen", "rupee", "rupees", "tb", "byte", "bytes", "kilobytes", "megabytes",
+         "gigabytes", "hz", "khz", "mhz", "ghz", "w", "kw", "mw", "kwh", "watt", "watts", "kilowatt", "kilowatts", "v", "volt", "volts", "amp",
+         "amps", "ampere", "amperes", "ohm", "ohms", "j", "kj", "joule", "joules", "n", "newton", "newtons", "cal", "kcal", "calorie", "calories",
+         "pa", "kpa", "pascal", "pascals", "bar", "acre", "acres", "hectare", "hectares", "ha", "knot", "knots", "kph", "mol", "mole", "moles")
+
+# Words that start a question or a sentence and are no names there.
+OPENERS = ("What", "Which", "Who", "Whom", "Whose", "How", "When", "Where", "Why", "If", "The", "An", "In", "On", "At", "For", "From", "To", "Of",
+           "By", "With", "Is", "Are", "Was", "Were", "Do", "Does", "Did", "Can", "Could", "Will", "Would", "Should", "Has", "Have", "Had", "There",
+           "This", "That", "These", "Those", "It", "He", "She", "We", "They", "You", "Each", "Every", "All", "Some", "Suppose", "Given", "Let",
+           "Find", "Calculate", "Compute", "Determine", "Name", "Write", "Consider", "After", "Before", "During", "Since", "While", "As", "And", "But", "Or", "Not", "No", "Yes")
 
 NUMBER, UNIT, NAME = "\u0001", "\u0002", "\u0003"
+_FIRST = "\u0004"  # before a capitalised word that starts a sentence
+_CAPITAL = r"\p{Lu}\p{Ll}+(?![\p{L}\p{N}])"
+_NAMED = rf"(?:(?<=[\p{{L}}\p{{N}},] )|(?<=: )(?!(?:{'|'.join(OPENERS)})(?![\p{{L}}\p{{N}}]))){_CAPITAL}"
 
 
 def _raw(text: Column) -> Column:
-    """Words, sentence ends and decimal points; everything else is one space."""
-    return F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{L}\p{N}.,!?\n]+", " ")
+    """Words, sentence ends, decimal points, and a colon for what may open a sentence;
+    everything else is one space."""
+    opened = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x00-\x09\x0B-\x20]*[:;\"“”„«»()\[\]{}–—][^\p{L}\p{N}.,!?\n]*", " : ")
+    return F.regexp_replace(opened, r"[^\p{L}\p{N}.,!?:\n]+", " ")
 
 
 def _tokens(raw: Column) -> Column:
     """Tokens of a raw text: sentence marks go, decimal points inside numbers stay."""
-    flat = F.regexp_replace(F.lower(raw), r"(?:[.,](?!\p{N})|(?<!\p{N})[.,]|[!?\s])+", " ")
+    flat = F.regexp_replace(F.lower(raw), r"(?:[.,](?!\p{N})|(?<!\p{N})[.,]|[!?:\s])+", " ")
     return F.filter(F.split(flat, " "), lambda t: t != "")
 
 
 def _template(raw: Column) -> Column:
-    named = F.regexp_replace(raw, r"(?<=[\p{L}\p{N},] )\p{Lu}\p{Ll}+(?![\p{L}\p{N}])", NAME)
-    number = F.regexp_replace(named, r"(?<![\p{L}\p{N}])\p{N}+(?:[.,]\p{N}+)*(?![\p{L}\p{N}])", NUMBER)
-    unit = F.regexp_replace(number, rf"(?i)(?<={NUMBER} )(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", UNIT)
-    return F.when(raw.rlike(r"\p{N}"), unit).otherwise(named)
+    """Tokens of a raw text with its placeholders."""
+    named = F.regexp_replace(raw, _NAMED, NAME)
+    first = F.regexp_replace(named, rf"(?<![\p{{L}}\p{{N}}])(?={_CAPITAL})", _FIRST)
+    number = F.regexp_replace(first, r"(?<![\p{L}\p{N}])\p{N}+(?:[.,]\p{N}+)*(?![\p{L}\p{N}])", NUMBER)
+    unit = F.regexp_replace(number, rf"(?i)(?<={NUMBER} (?:: )?)(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", UNIT)
+    return _tokens(F.when(raw.rlike(r"\p{N}"), unit).otherwise(first))
+
+
+def _known(template: Column, names: Column) -> Column:
+    """Template tokens whose first words of sentences are placeholders if they are names elsewhere."""
+    word = lambda t: F.when(F.array_contains(names, t), NAME).otherwise(F.substr(t, F.lit(2)))
+    return F.transform(template, lambda t: F.when(F.startswith(t, F.lit(_FIRST)), word(t)).otherwise(t))
 
 
 def templates(rows: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` plus ``raw`` and ``template``: two token arrays of equal length."""
     raws = rows.select(*keep, _raw(F.col("text")).alias("_raw"))
-    return raws.select(*keep, _tokens(F.col("_raw")).alias("raw"), _tokens(_template(F.col("_raw"))).alias("template"))
+    made = raws.select(*keep, _tokens(F.col("_raw")).alias("raw"), _template(F.col("_raw")).alias("_template"),
+                       F.array_distinct(F.regexp_extract_all("_raw", F.lit(_NAMED), F.lit(0))).alias("_names"))
+    firsts = F.filter("_template", lambda t: F.startswith(t, F.lit(_FIRST)))
+    again = F.array_intersect(firsts, F.transform("_names", lambda n: F.concat(F.lit(_FIRST), F.lower(n))))
+    made = made.select(*keep, "raw", "_template", again.alias("_again"))
+    return made.select(*keep, "raw", _known(F.col("_template"), F.col("_again")).alias("template"))
 
 
 def _windows(size: int, step: int) -> Column:
-    """(at, hash) of the windows of ``size`` template tokens at every ``step``-th place."""
+    """(at, hash) of the windows of ``size`` tokens at every ``step``-th place, as a template
+    and, where that differs, as they are."""
     last = F.size("template") - size
     at = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(step))).otherwise(F.array().cast("array<int>"))
-    return F.explode(F.transform(at, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice("template", i + 1, F.lit(size))).alias("hash"))))
+    of = lambda i: F.array_distinct(F.array(*[F.xxhash64(F.slice(c, i + 1, F.lit(size))) for c in ("template", "raw")]))
+    return F.explode(F.flatten(F.transform(at, lambda i: F.transform(of(i), lambda h: F.struct(i.alias("at"), h.alias("hash"))))))
 
 
 def _hits(docs: DataFrame, items: DataFrame, size: int, step: int) -> DataFrame:
@@ -115,7 +154,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = templates(benchmark.select("item_id", "text", F.xxhash64("item_id", "text").alias("item_row")), ["item_id", "item_row"])
     items = stage(items.where(F.size("template") >= LEAST), "items")
     keyed = templates(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), ["doc_id", "text_hash"])
-    plain = keyed.select("doc_id", "text_hash", "template")
+    plain = keyed.select("doc_id", "text_hash", "raw", "template")
     long_ = items.where(F.size("template") >= RUN)
     found = _hits(plain, long_, WINDOW, WINDOW)
     shorter = items.where(F.size("template") < RUN).select(F.size("template").alias("n")).distinct()
@@ -140,7 +179,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     of = lambda c: F.slice(c, F.col("skip") + 1, F.size(c) + 1)
     pairs = F.arrays_zip(of(F.col("item_template")).alias("a"), F.col("t").alias("b"), of(F.col("item_raw")).alias("x"), F.col("r").alias("y"))
     both = both.select("doc_id", "text_hash", "item_row", "item_id", F.size("item_template").alias("item_tokens"), pairs.alias("pairs"))
-    agree = F.transform("pairs", lambda z: F.coalesce(z["a"] == z["b"], F.lit(False)))
+    agree = F.transform("pairs", lambda z: F.coalesce((z["a"] == z["b"]) | (z["x"] == z["y"]), F.lit(False)))
     equal = F.transform("pairs", lambda z: F.coalesce(z["x"] == z["y"], F.lit(False)))
     least = F.least(F.col("item_tokens"), F.lit(RUN))
     both = both.select("*", agree.alias("agree"), _longest(agree).alias("run"), _longest(equal).alias("copied")).where(F.col("run") >= least)

@@ -328,3 +328,14 @@ def test_slots_count_within_the_run(docs_of, spark):
     swapped = ["2021" if w == "2019" else w for w in words[:30]] + part[30:]
     out = {r["doc_id"] for r in leak_report(docs_of([(i, " ".join(t)) for i, t in enumerate((words, changed, part, swapped))]), items).collect()}
     assert out == {0, 1, 2, 3}
+
+
+def test_copies_do_not_depend_on_capitals(docs_of, spark):
+    items = spark.createDataFrame([(1, "What is the capital of France?"), (2, "Tom has 3 big apples and then Tom buys 4 pounds of ripe red apples from Anna"),
+                                   (3, "In which old town did Anna Berg and her brother Karl first meet the young painter Paul Moss")], "item_id long, text string")
+    tom, anna = items.collect()[1]["text"], items.collect()[2]["text"]
+    rows = [(1, "Question: What is the capital of France?"), (2, "they asked \"What is the capital of Spain?\""), (3, "WHAT IS THE CAPITAL OF FRANCE"), (4, "what is the capital of france"),
+            (5, tom.replace("Tom", "Jim").replace("Anna", "Lisa").replace("pounds", "kilograms")), (6, anna.lower()), (7, anna.upper()), (8, "(" + anna + ")"), (9, "When is the capital of France"),
+            (10, "what was the capital of france")]
+    out = {(r["doc_id"], r["item_id"]) for r in leak_report(docs_of(rows), items).collect()}
+    assert out == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 2), (6, 3), (7, 3), (8, 3)}
