@@ -83,10 +83,12 @@ def _template(raw: Column) -> Column:
     return _tokens(F.when(raw.rlike(r"\p{N}"), unit).otherwise(first))
 
 
-def _known(template: Column, names: Column) -> Column:
-    """Template tokens whose first words of sentences are placeholders if they are names elsewhere."""
-    word = lambda t: F.when(F.array_contains(names, t), NAME).otherwise(F.substr(t, F.lit(2)))
-    return F.transform(template, lambda t: F.when(F.startswith(t, F.lit(_FIRST)), word(t)).otherwise(t))
+def _known(template: Column, again: Column) -> Column:
+    """Template tokens whose first words of sentences are placeholders if they are in ``again``.
+    The array is bound to a variable, so that it is made once a row and not once a token."""
+    word = lambda t, names: F.when(F.array_contains(names, t), NAME).otherwise(F.substr(t, F.lit(2)))
+    of = lambda names: F.transform(template, lambda t: F.when(F.startswith(t, F.lit(_FIRST)), word(t, names)).otherwise(t))
+    return F.get(F.transform(F.array(again), of), F.lit(0))
 
 
 def templates(rows: DataFrame, keep: list[str]) -> DataFrame:
