@@ -164,19 +164,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         found = found.unionByName(_hits(plain, items.where(F.size("template") == n), n, 1))
     diagonals = stage(found.distinct(), "diagonals")
 
-    places = diagonals.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("item_row", "diagonal")).alias("places"))
-    places = places.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "places")
-    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    marked = texts.join(places, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-    marked = templates(marked, ["doc_id", "text_hash", "places"])
-    widest = items.agg(F.max(F.size("template"))).first()[0] or 0
-
-    def laid(p: Column) -> Column:  # the document's tokens from the item's first place on
-        start = F.greatest(p["diagonal"], F.lit(0))
-        room = F.lit(widest)
-        return F.struct(p["item_row"].alias("item_row"), (start - p["diagonal"]).alias("skip"),
-                        F.slice("template", start + 1, room).alias("t"), F.slice("raw", start + 1, room).alias("r"))
-    along = marked.select("doc_id", "text_hash", F.explode(F.transform("places", laid)).alias("p")).select("doc_id", "text_hash", "p.*")
+    widest = max(items.agg(F.max(F.size("template"))).first()[0] or 0, 1)
+    marked = diagonals.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").join(marked, same, "left_semi")
+
+    def block(i: Column) -> Column:  # twice as wide as an item, so a diagonal's tokens are in one block
+        return F.struct(i.alias("_block"), *[F.slice(c, i * widest + 1, F.lit(2 * widest)).alias(c) for c in ("template", "raw")])
+    held = F.transform(F.sequence(F.lit(0), F.floor((F.size("template") - 1) / widest).cast("int")), block)
+    blocks = templates(texts, ["doc_id", "text_hash"]).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.explode(held).alias("b"))
+    start = F.greatest("diagonal", F.lit(0))  # the document's tokens from the item's first place on
+    spots = diagonals.select("doc_id", "text_hash", "item_row", (start - F.col("diagonal")).alias("skip"), F.floor(start / widest).cast("int").alias("block"), (start % widest).alias("at"))
+    along = spots.join(blocks.select("_id", "_hash", "b.*"), same & (F.col("block") == F.col("_block")))
+    room = lambda c: F.slice(c, F.col("at") + 1, F.lit(widest))
+    along = along.select("doc_id", "text_hash", "item_row", "skip", room("template").alias("t"), room("raw").alias("r"))
     both = along.join(items.withColumnsRenamed({"raw": "item_raw", "template": "item_template"}), "item_row")
     of = lambda c: F.slice(c, F.col("skip") + 1, F.size(c) + 1)
     pairs = F.arrays_zip(of(F.col("item_template")).alias("a"), F.col("t").alias("b"), of(F.col("item_raw")).alias("x"), F.col("r").alias("y"))

@@ -339,3 +339,11 @@ def test_copies_do_not_depend_on_capitals(docs_of, spark):
             (10, "what was the capital of france")]
     out = {(r["doc_id"], r["item_id"]) for r in leak_report(docs_of(rows), items).collect()}
     assert out == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 2), (6, 3), (7, 3), (8, 3)}
+
+
+def test_hits_of_a_numeric_document_spread_over_rows(docs_of, spark, monkeypatch):
+    monkeypatch.setattr(F, "collect_list", lambda *a: pytest.fail("hits of a document in one row"))
+    items = spark.createDataFrame([(1, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 is a row of numbers"), (2, ITEMS[4][1])], "item_id long, text string")
+    rows = [(1, " ".join(str(i) for i in range(100, 3100))), (2, "5 " * 200 + ITEMS[4][1]), (3, "7 " * 12), (None, "9 8 " * 50)]
+    out = sorted(((r["doc_id"], r["item_id"]) for r in leak_report(docs_of(rows), items).collect()), key=str)
+    assert (1, 1) in out and (2, 2) in out and not any(d == 3 for d, _ in out)
