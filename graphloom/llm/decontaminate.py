@@ -58,28 +58,28 @@ OPENERS = ("What", "Which", "Who", "Whom", "Whose", "How", "When", "Where", "Why
 NUMBER, UNIT, NAME = "\u0001", "\u0002", "\u0003"
 _FIRST = "\u0004"  # before a capitalised word that starts a sentence
 _CAPITAL = r"\p{Lu}\p{Ll}+(?![\p{L}\p{N}])"
-_NAMED = rf"(?:(?<=[\p{{L}}\p{{N}},] )|(?<=: )(?!(?:{'|'.join(OPENERS)})(?![\p{{L}}\p{{N}}]))){_CAPITAL}"
+_NAMED = rf"(?=\p{{Lu}}\p{{Ll}})(?:(?<=[\p{{L}}\p{{N}},] )|(?<=: )(?!(?:{'|'.join(OPENERS)})(?![\p{{L}}\p{{N}}]))){_CAPITAL}"
 
 
 def _raw(text: Column) -> Column:
     """Words, sentence ends, decimal points, and a colon for what may open a sentence;
     everything else is one space."""
-    opened = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x00-\x09\x0B-\x20]*[:;\"“”„«»()\[\]{}–—][^\p{L}\p{N}.,!?\n]*", " : ")
+    opened = F.regexp_replace(F.coalesce(text, F.lit("")), r"[:;\"“”„«»()\[\]{}–—][^\p{L}\p{N}.,!?\n]*", " : ")
     return F.regexp_replace(opened, r"[^\p{L}\p{N}.,!?:\n]+", " ")
 
 
 def _tokens(raw: Column) -> Column:
     """Tokens of a raw text: sentence marks go, decimal points inside numbers stay."""
     flat = F.regexp_replace(F.lower(raw), r"(?:[.,](?!\p{N})|(?<!\p{N})[.,]|[!?:\s])+", " ")
-    return F.filter(F.split(flat, " "), lambda t: t != "")
+    return F.array_remove(F.split(flat, " "), "")
 
 
 def _template(raw: Column) -> Column:
     """Tokens of a raw text with its placeholders."""
     named = F.regexp_replace(raw, _NAMED, NAME)
-    first = F.regexp_replace(named, rf"(?<![\p{{L}}\p{{N}}])(?={_CAPITAL})", _FIRST)
+    first = F.regexp_replace(named, rf"(?=\p{{Lu}}\p{{Ll}})(?<![\p{{L}}\p{{N}}])(?={_CAPITAL})", _FIRST)
     number = F.regexp_replace(first, r"(?<![\p{L}\p{N}])\p{N}+(?:[.,]\p{N}+)*(?![\p{L}\p{N}])", NUMBER)
-    unit = F.regexp_replace(number, rf"(?i)(?<={NUMBER} (?:: )?)(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", UNIT)
+    unit = F.regexp_replace(number, rf"(?i)({NUMBER} (?:: )?)(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"$1{UNIT}")
     return _tokens(F.when(raw.rlike(r"\p{N}"), unit).otherwise(first))
 
 
@@ -88,7 +88,8 @@ def _known(template: Column, again: Column) -> Column:
     The array is bound to a variable, so that it is made once a row and not once a token."""
     word = lambda t, names: F.when(F.array_contains(names, t), NAME).otherwise(F.substr(t, F.lit(2)))
     of = lambda names: F.transform(template, lambda t: F.when(F.startswith(t, F.lit(_FIRST)), word(t, names)).otherwise(t))
-    return F.get(F.transform(F.array(again), of), F.lit(0))
+    bare = F.array_remove(F.split(F.translate(F.concat_ws(" ", template), _FIRST, ""), " "), "")
+    return F.get(F.transform(F.array(again), lambda names: F.when(F.size(names) == 0, bare).otherwise(of(names))), F.lit(0))
 
 
 def templates(rows: DataFrame, keep: list[str]) -> DataFrame:
