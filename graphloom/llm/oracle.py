@@ -113,3 +113,57 @@ p AS (
 o AS (SELECT *, row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id, r) AS rank FROM p)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM o WHERE rank <= 5
 """
+
+ORACLE["op11_segment_negatives"] = r"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, c.r, c.vec_id, a.label = c.label AS same,
+         list_sum(list_transform(list_zip(a.e, c.e), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v a JOIN v c ON a.r <> c.r WHERE a.vec_id % 100 = 0),
+pos AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id, r) AS place FROM p WHERE same) WHERE place <= 5),
+neg AS (
+  SELECT pos.anchor_id, pos.vec_id AS positive_id, pos.score AS positive_score, p.vec_id AS negative_id, p.score AS negative_score,
+         row_number() OVER (PARTITION BY pos.ar, pos.r ORDER BY p.score DESC, p.vec_id, p.r) AS rank
+  FROM pos JOIN p ON p.ar = pos.ar AND NOT p.same AND 30 * pos.score <= 100 * p.score AND 100 * p.score <= 90 * pos.score)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 10
+"""
+
+ORACLE["op13_run_diagonals"] = r"""
+WITH c AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+           lambda h, b: list_reduce(list_prepend(xor(h, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+             lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS h0
+  FROM documents),
+b AS (SELECT d, doc_id, ws, len(ws)::BIGINT AS n, xor(h0, 4294967295) AS h FROM c),
+k AS (
+  SELECT *, (h // 10) % greatest(n, 1) AS a, 1 + (n - (h // 10) % greatest(n, 1)) // (3 + (h // 10) % 8) AS p FROM b),
+t AS (
+  SELECT d, doc_id, n, CASE WHEN n > 0 AND h % 10 = 0
+           THEN list_transform(range(0, n), lambda i: ws[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE ws END AS ws
+  FROM k),
+w AS (SELECT d, unnest(range(0, n)) AS i, unnest(ws) AS word FROM t),
+gram AS (SELECT d, n, i, array_to_string(ws[i + 1:i + 5], ' ') AS g FROM (SELECT d, n, ws, unnest(range(0, n - 4)) AS i FROM t WHERE n > 5)),
+seed AS (SELECT x.d, x.i, y.i - x.i AS q FROM gram x JOIN gram y ON x.d = y.d AND x.g = y.g AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+island AS (SELECT d, q, i, i - row_number() OVER (PARTITION BY d, q ORDER BY i) AS isle FROM seed),
+long AS (
+  SELECT d, q, min(i) AS start, max(i) + 5 + q AS stop FROM island GROUP BY d, q, isle
+  HAVING max(i) + 5 + q - min(i) >= greatest(6, 4 * q)),
+run AS (
+  SELECT d, q AS period, start, stop - start AS length FROM long x
+  WHERE NOT EXISTS (SELECT 1 FROM long y WHERE y.d = x.d AND y.q < x.q AND y.start <= x.start AND y.stop >= x.stop)),
+best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY d ORDER BY length::DOUBLE / period DESC, start, period) AS place FROM run) WHERE place = 1),
+lines AS (
+  SELECT d, count(*) AS n_runs, sha256(string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period)) AS digest FROM run GROUP BY d),
+dropped AS (SELECT DISTINCT d, unnest(range(start + period, start + length)) AS i FROM run),
+kept AS (SELECT d, string_agg(word, ' ' ORDER BY i) AS text FROM w ANTI JOIN dropped USING (d, i) GROUP BY d)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       coalesce(digest, sha256('')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM t LEFT JOIN lines USING (d) LEFT JOIN best USING (d) LEFT JOIN kept USING (d)
+"""

@@ -14,6 +14,8 @@ from graphloom.llm.licenses import license_report
 from graphloom.llm.lines import line_report
 from graphloom.llm.mix import mix_report
 from graphloom.llm.near import near_report
+from graphloom.llm.negatives import negative_report
+from graphloom.llm.runs import run_report
 from graphloom.llm.secrets import secret_report
 from graphloom.llm.shard import shard_report
 from graphloom.llm.topk import top_k
@@ -60,10 +62,19 @@ def op10_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_report(table(spark, sf_dir, "documents"))
 
 
+def op11_segment_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negative_report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_run_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ordinal_toxicity, op2_mix_sources, op3_secret_ledger, op4_line_edit_dedup, op5_shard_minimax, op6_template_leaks,
-        op7_kneser_ney_language, op8_pivot_top_k, op9_license_digests, op10_minhash_near,
+        op7_kneser_ney_language, op8_pivot_top_k, op9_license_digests, op10_minhash_near, op11_segment_negatives,
+        op13_run_diagonals,
     )
 }
