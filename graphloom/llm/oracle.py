@@ -133,6 +133,35 @@ neg AS (
 SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 10
 """
 
+ORACLE["op12_count_tree_jaccard"] = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+sh AS (
+  SELECT DISTINCT r, list_aggregate(ws[i:i + 3], 'string_agg', ' ') AS s
+  FROM (SELECT r, ws, unnest(range(1, greatest(2, len(ws) - 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT r, count(*) AS n FROM sh GROUP BY r),
+sig AS (SELECT r, md5(string_agg(s, '|' ORDER BY s)) AS g FROM sh GROUP BY r),
+g AS (SELECT g, min(r) AS r FROM sig GROUP BY g),
+rep AS (SELECT sh.r, s, n FROM sh JOIN g USING (r) JOIN n USING (r)),
+inter AS (
+  SELECT a.r AS a, b.r AS b, a.n AS na, b.n AS nb, count(*) AS shared
+  FROM rep a JOIN rep b ON a.s = b.s AND a.r <> b.r AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY ALL),
+link AS (SELECT a, b FROM inter WHERE 100 * shared >= 85 * (na + nb - shared)),
+reach AS (
+  SELECT r AS a, r AS b FROM g
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+own AS (SELECT sig.r, reach.b FROM sig JOIN g USING (g) JOIN reach ON reach.a = g.r),
+members AS (SELECT g.r AS b, min(w.doc_id) AS least FROM sig JOIN g USING (g) JOIN w ON w.r = sig.r GROUP BY g.r),
+comp AS (SELECT own.r, min(least) AS component_id FROM own JOIN members USING (b) GROUP BY own.r)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
+       CASE WHEN n.n IS NULL THEN doc_id ELSE component_id END AS component_id
+FROM w LEFT JOIN n USING (r) LEFT JOIN comp USING (r)
+"""
+
 ORACLE["op13_run_diagonals"] = r"""
 WITH c AS (
   SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,

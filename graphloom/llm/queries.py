@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from graphloom.llm.common import table
 from graphloom.llm.decontaminate import leak_report
+from graphloom.llm.jaccard import jaccard_report
 from graphloom.llm.langid import language_report
 from graphloom.llm.licenses import license_report
 from graphloom.llm.lines import line_report
@@ -66,6 +67,10 @@ def op11_segment_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negative_report(table(spark, sf_dir, "embeddings"))
 
 
+def op12_count_tree_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_report(table(spark, sf_dir, "documents"))
+
+
 def op13_run_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_report(table(spark, sf_dir, "documents"))
 
@@ -75,6 +80,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_ordinal_toxicity, op2_mix_sources, op3_secret_ledger, op4_line_edit_dedup, op5_shard_minimax, op6_template_leaks,
         op7_kneser_ney_language, op8_pivot_top_k, op9_license_digests, op10_minhash_near, op11_segment_negatives,
-        op13_run_diagonals,
+        op12_count_tree_jaccard, op13_run_diagonals,
     )
 }
