@@ -14,11 +14,13 @@ sets always share one of those. All blocks with the same least class make up one
 each group gets its own tree:
 
 1.  One pass gives each row its class (128-bit hash of the set) and sums the fine groups.
-2.  A second pass gives the keys; blocks with several classes name their members' group.
-3.  Groups are cut by hash into tiles of about ``TILE`` sets, each with one common
-    member; every tile is joined by its tree. Only links between parts not yet connected are
-    verified and returned, so a tile returns fewer links than it has members.
-4.  Components of these links end most groups. Where a group of several tiles still has
+2.  A second pass gives keys and points; blocks with several classes name their members' group.
+3.  The points of a group are joined by their tree; what the surviving pairs connect becomes a
+    group of its own, the other members go. (Groups of over ``POINTS`` members skip this.)
+4.  Groups are cut by hash into tiles of about ``TILE`` sets, each with one common
+    member; every tile is joined by its tree with its full sets. Only links between parts not yet
+    connected are verified and returned, so a tile returns fewer links than it has members.
+5.  Components of these links end most groups. Where a group of several tiles still has
     several components, pairs of its tiles are joined too, across and between components only.
 
 No pair is ever returned that is not needed, no group is held by one task beyond two tiles,
@@ -48,6 +50,7 @@ COORDINATES = 64  # groups whose counts make a point
 FINE = 1 << 16  # groups whose sums order the n-grams; the driver holds one number for each
 FANOUT = 16
 TILE = 512  # sets of a tile
+POINTS = 4096  # members of a group whose points are joined before any sets are fetched
 _AT_ONCE = 1 << 15  # pairs whose bounds are computed at once
 
 
@@ -198,19 +201,30 @@ def keys_of(shingles: np.ndarray, sums: np.ndarray, percent: int) -> np.ndarray:
     return shingles[np.lexsort((shingles, sums[(shingles >> np.uint64(48)).astype(np.int64)]))[:count]]
 
 
+def packed(counts: np.ndarray) -> bytes:
+    return counts.astype(np.uint16 if counts.max(initial=0) < 1 << 16 else np.int32).tobytes()
+
+
+def unpacked(point_: bytes) -> np.ndarray:
+    return np.frombuffer(point_, np.uint16 if len(point_) == 2 * COORDINATES else np.int32).astype(np.int32)
+
+
+_KEYED = "hi long, lo long, n long, keys array<long>, point binary"
+
+
 def _keys(k: int, sums: np.ndarray, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()  # a task's own copies give keys once
+        kinds = [pa.int64()] * 3 + [pa.list_(pa.int64()), pa.binary()]
         for batch in batches:
-            lo, keys = [], []
+            out = []
             for text in batch.column("text"):
                 s = shingle_set(text.as_py(), k)
                 if not len(s) or (of := class_of(s)) in seen:
                     continue
                 seen.add(of)
-                lo.append(of[0])
-                keys.append(keys_of(s, sums, percent).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(lo, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["lo", "keys"])
+                out.append((of[1], of[0], len(s), keys_of(s, sums, percent).astype(np.int64), packed(point(s))))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)], names=[c.split()[0] for c in _KEYED.split(", ")])
     return run
 
 
@@ -221,48 +235,104 @@ def classes_of(facts: DataFrame) -> DataFrame:
     return stage(one.withColumn("node", F.monotonically_increasing_id()), "classes")
 
 
-def groups_of(docs: DataFrame, classes: DataFrame, sums: np.ndarray, k: int, percent: int) -> DataFrame:
+def groups_of(keyed: DataFrame, classes: DataFrame) -> DataFrame:
     """(pivot, node): the members of every group, a group for each least class of a block."""
-    keys = docs.select("text").mapInArrow(_keys(k, sums, percent), "lo long, keys array<long>")
-    members = stage(keys.select("lo", F.explode("keys").alias("key")), "members")
+    members = keyed.select("lo", F.explode("keys").alias("key"))
     blocks = members.groupBy("key").agg(F.min("lo").alias("pivot"), F.max("lo").alias("last")).where("pivot < last").select(F.col("key").alias("of"), "pivot")
     named = members.join(blocks, F.col("key") == F.col("of")).select("pivot", "lo").distinct()
     twice = classes.groupBy("lo").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("lo").alias("pivot"), "lo")  # classes that share half a hash
     return stage(named.unionByName(twice).join(classes.select("lo", "node"), "lo").select("pivot", "node"), "groups")
 
 
+def _runs(batches: Iterator[pa.RecordBatch], by: list[str], columns: list[str]) -> Iterator[list[tuple] | None]:
+    """The rows of each run that agrees in ``by``; None at the end of each batch."""
+    key, held = None, []
+    for batch in batches:
+        keys = zip(*(batch.column(c).to_pylist() for c in by), strict=True)
+        for now, row in zip(keys, zip(*(batch.column(c).to_pylist() for c in columns), strict=True), strict=True):
+            if now != key:
+                yield held
+                key, held = now, []
+            held.append(row)
+        yield None
+    yield held
+
+
+def _parted(percent: int):
+    """Joins the points of each group by their tree and returns what the pairs left connect."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[int, int]] = []
+        for held in _runs(batches, ["pivot"], ["node", "n", "point"]):
+            if held is None:
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["pivot", "node"])
+                out = []
+                continue
+            rows = {x[0]: x for x in held}
+            nodes = sorted(rows)
+            if len(nodes) < 2:
+                continue
+            tree = CountTree(np.array([unpacked(rows[x][2]) for x in nodes]), np.array([rows[x][1] for x in nodes], np.int64))
+            parent = list(range(len(nodes)))
+            for left, right in tree.pairs(percent):
+                for i, j in zip(left.tolist(), right.tolist(), strict=True):
+                    a, b = _root(parent, i), _root(parent, j)
+                    parent[max(a, b)] = min(a, b)
+            roots = [_root(parent, i) for i in range(len(nodes))]
+            several = {r for i, r in enumerate(roots) if r != i}
+            out += [(nodes[r], nodes[i]) for i, r in enumerate(roots) if r in several]
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["pivot", "node"])
+    return run
+
+
+def narrowed(groups: DataFrame, keyed: DataFrame, classes: DataFrame, percent: int, most: int) -> DataFrame:
+    """The groups without the members that no bound of their points lets be linked, cut into
+    what the other pairs connect. Groups of over ``most`` members stay as they are."""
+    sizes = groups.groupBy("pivot").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select(F.col("pivot").alias("of"), "m")
+    sized = stage(groups.join(sizes, F.col("pivot") == F.col("of")).select("pivot", "node", (F.col("m") > most).alias("large")), "sized")
+    wanted = classes.join(sized.where("NOT large").select("node").distinct(), "node", "left_semi").select(F.col("hi").alias("_hi"), F.col("lo").alias("_lo"), "node")
+    points = keyed.join(wanted, (F.col("hi") == F.col("_hi")) & (F.col("lo") == F.col("_lo"))).select("node", "n", "point").dropDuplicates(["node"])
+    small = sized.where("NOT large").select("pivot", "node").join(points, "node")
+    cut = small.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(_parted(percent), "pivot long, node long")
+    # the names of large groups are halves of hashes, those of cut ones are nodes: kept apart by the flag
+    named = cut.select(F.lit(False).alias("large"), "pivot", "node").unionByName(sized.where("large").select("large", "pivot", "node"))
+    return stage(named.select(F.when(F.col("large"), F.xxhash64("pivot")).otherwise(F.col("pivot")).alias("pivot"), "node").distinct(), "narrowed")
+
+
 def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            node, held = [], []
-            for a, hi, lo, text in zip(*(batch.column(c) for c in ("node", "hi", "lo", "text")), strict=True):
-                if a.as_py() in seen:
+            at, held = [], []
+            for i, (node, hi, lo, text) in enumerate(zip(*(batch.column(c) for c in ("node", "hi", "lo", "text")), strict=True)):
+                if node.as_py() in seen:
                     continue
                 s = shingle_set(text.as_py(), k)
                 if class_of(s) == (lo.as_py(), hi.as_py()):
-                    seen.add(a.as_py())
-                    node.append(a.as_py())
+                    seen.add(node.as_py())
+                    at.append(i)
                     held.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(held, pa.binary())], names=["node", "shingles"])
+            take = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(take), pa.array(held, pa.binary()), batch.column("targets").take(take)], names=["node", "shingles", "targets"])
     return run
 
 
-def sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """(node, shingles) of the given classes, from rows with their class's least text hash."""
-    wanted = classes.join(nodes.distinct(), "node", "left_semi").select(F.col("text_hash").alias("_hash"), "node", "hi", "lo")
+def with_sets(docs: DataFrame, classes: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """``rows`` (node and others) with the full set of each class as ``shingles``; the texts are
+    those with the class's least text hash, so only what is needed is shuffled as a set."""
+    others = [c for c in rows.columns if c != "node"]
+    targets = rows.groupBy("node").agg(F.collect_list(F.struct(*others)).alias("targets"))  # as many as a set has keys, at most
+    wanted = classes.select("node", "hi", "lo", "text_hash").join(targets, "node").withColumnRenamed("text_hash", "_hash")
     texts = docs.select(F.xxhash64("text").alias("text_hash"), "text").join(wanted, F.col("text_hash") == F.col("_hash"))
-    return stage(texts.select("node", "hi", "lo", "text").mapInArrow(_sets(k), "node long, shingles binary"), "sets")
+    kind = f"node long, shingles binary, targets {targets.schema['targets'].dataType.simpleString()}"
+    found = texts.select("node", "hi", "lo", "targets", "text").mapInArrow(_sets(k), kind)
+    return found.select("node", "shingles", F.inline("targets"))
 
 
 def _joined(percent: int, by: list[str], parted: bool):
     """Joins every run of rows that agree in ``by`` (sorted) by its tree; the rows of a run
     are held, which is two tiles at most."""
     def links(held: list[tuple]) -> list[tuple[int, int]]:
-        first: dict[int, tuple] = {}
-        for x in held:
-            first.setdefault(x[0], x)
-        rows = list(first.values())
+        rows = list({x[0]: x for x in held}.values())
         if len(rows) < 2:
             return []
         sets = [np.frombuffer(x[1], np.uint64) for x in rows]
@@ -270,31 +340,26 @@ def _joined(percent: int, by: list[str], parted: bool):
         return [(rows[i][0], rows[j][0]) for i, j in found]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-        columns = ["node", "shingles", *(["part", "side"] if parted else [])]
+        out: list[tuple[int, int]] = []
         made = lambda out: pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
-        for batch in batches:
-            out: list[tuple[int, int]] = []
-            keys = zip(*(batch.column(c).to_pylist() for c in by), strict=True)
-            rows = zip(*(batch.column(c).to_pylist() for c in columns), strict=True)
-            for now, row in zip(keys, rows, strict=True):
-                if now != key:
-                    out += links(held)
-                    key, held = now, []
-                held.append(row)
-            yield made(out)
-        yield made(links(held))
+        for held in _runs(batches, by, ["node", "shingles", *(["part", "side"] if parted else [])]):
+            if held is None:
+                yield made(out)
+                out = []
+            else:
+                out += links(held)
+        yield made(out)
     return run
 
 
-def links_of(groups: DataFrame, sets: DataFrame, percent: int, tile: int) -> DataFrame:
+def links_of(groups: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int, tile: int) -> DataFrame:
     """Links (a, b) that connect all that links between members of a group connect."""
     sizes = groups.groupBy("pivot").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("common"))
     sizes = stage(sizes.where("m > 1").select(F.col("pivot").alias("of"), F.ceil(F.col("m") / tile).cast("int").alias("tiles"), "common"), "sizes")
     dealt = groups.join(sizes, F.col("pivot") == F.col("of")).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     dealt = stage(dealt.select("pivot", "node", "tiles", "tile"), "dealt")
     common = sizes.where("tiles > 1").select(F.col("of").alias("pivot"), F.col("common").alias("node"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
-    alone = dealt.select("pivot", "node", "tile").unionByName(common).join(sets, "node")
+    alone = with_sets(docs, classes, dealt.select("pivot", "node", "tile").unionByName(common), k)
     by = ["pivot", "tile"]
     links = stage(alone.repartition(*by).sortWithinPartitions(*by).mapInArrow(_joined(percent, by, False), "a long, b long"), "links")
     large = dealt.where("tiles > 1")
@@ -305,20 +370,21 @@ def links_of(groups: DataFrame, sets: DataFrame, percent: int, tile: int) -> Dat
     several = parted.groupBy("pivot").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select(F.col("pivot").alias("of"))
     other = F.explode(F.filter(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: t != F.col("tile")))
     across = parted.join(several, F.col("pivot") == F.col("of")).select("pivot", "node", "part", F.col("tile").alias("side"), other.alias("other"))
-    across = across.select("pivot", F.least("side", "other").alias("t1"), F.greatest("side", "other").alias("t2"), "node", "part", "side").join(sets, "node")
+    across = across.select("pivot", F.least("side", "other").alias("t1"), F.greatest("side", "other").alias("t2"), "node", "part", "side")
     by = ["pivot", "t1", "t2"]
-    more = across.repartition(*by).sortWithinPartitions(*by).mapInArrow(_joined(percent, by, True), "a long, b long")
+    more = with_sets(docs, classes, across, k).repartition(*by).sortWithinPartitions(*by).mapInArrow(_joined(percent, by, True), "a long, b long")
     return stage(links.unionByName(more), "links")
 
 
-def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, tile: int = TILE) -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, tile: int = TILE, most: int = POINTS) -> DataFrame:
     """doc_id, n_shingles, component_id of every row: sets of k-word n-grams are linked at
     100 * intersection >= percent * union; a component is named by its smallest id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     facts = stage(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_facts(k), _FACTS), "facts")
     classes = classes_of(facts)
-    groups = groups_of(docs, classes, rarity(facts), k, percent)
-    links = links_of(groups, sets_of(docs, classes, groups.select("node"), k), percent, tile)
+    keyed = stage(docs.select("text").mapInArrow(_keys(k, rarity(facts), percent), _KEYED), "keyed")
+    groups = narrowed(groups_of(keyed, classes), keyed, classes, percent, most)
+    links = links_of(groups, docs, classes, k, percent, tile)
     labels = stage(components(links), "labels").select(F.col("node").alias("_n"), "component")
     named = classes.join(labels, F.col("node") == F.col("_n"), "left").select("hi", "lo", "doc_id", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
