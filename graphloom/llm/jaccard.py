@@ -15,13 +15,15 @@ each group gets its own tree:
 
 1.  One pass gives each row its class (128-bit hash of the set) and sums the fine groups.
 2.  A second pass gives keys and points; blocks with several classes name their members' group.
-3.  The points of a group are joined by their tree; what the surviving pairs connect becomes a
+3.  Points have about a sixteenth as many coordinates as their set has n-grams: with fewer, points
+    of unrelated long texts are too alike to be told apart. The points of a group are joined by their tree; what the surviving pairs connect becomes a
     group of its own, the other members go. (Groups of over ``POINTS`` members skip this.)
-4.  Groups are cut by hash into tiles of about ``TILE`` sets, each with one common
-    member; every tile is joined by its tree with its full sets. Only links between parts not yet
-    connected are verified and returned, so a tile returns fewer links than it has members.
-5.  Components of these links end most groups. Where a group of several tiles still has
-    several components, pairs of its tiles are joined too, across and between components only.
+4.  Each class first meets one of its groups. Groups are cut by hash into tiles of about ``TILE``
+    sets, each with one common member; every tile is joined by its tree with its full sets. Only
+    links between parts not yet connected are verified and returned, so a tile returns fewer
+    links than it has members.
+5.  Components of these links end most groups. Where a group still holds several components, all
+    pairs of its tiles are joined, between components only.
 
 No pair is ever returned that is not needed, no group is held by one task beyond two tiles,
 and no link between different texts is lost.
@@ -46,7 +48,7 @@ from graphloom.llm.components import components
 from graphloom.llm.near import _class_of as class_of
 from graphloom.llm.near import shingle_set
 
-COORDINATES = 64  # groups whose counts make a point
+LEAST_BITS, MOST_BITS = 6, 12  # a point has 64 to 4,096 coordinates, about a sixteenth of its set's size
 FINE = 1 << 16  # groups whose sums order the n-grams; the driver holds one number for each
 FANOUT = 16
 TILE = 512  # sets of a tile
@@ -54,9 +56,35 @@ POINTS = 4096  # members of a group whose points are joined before any sets are
 _AT_ONCE = 1 << 15  # pairs whose bounds are computed at once
 
 
+def bits_of(size: int) -> int:
+    """The resolution of a set's point. Sets that can be linked differ by one step at most."""
+    return min(max((size - 1) // 16, 0).bit_length(), MOST_BITS) if size > 16 << LEAST_BITS else LEAST_BITS
+
+
 def point(shingles: np.ndarray) -> np.ndarray:
-    """Counts of the groups of a set's n-gram hashes."""
-    return np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=COORDINATES)
+    """Counts of the groups of a set's n-gram hashes; a group is named by the upper bits."""
+    bits = bits_of(len(shingles))
+    return np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.int32)
+
+
+def folded(point_: np.ndarray, bits: int) -> np.ndarray:
+    """A point with fewer coordinates: neighbouring groups are added."""
+    return point_.reshape(1 << bits, -1).sum(axis=1, dtype=np.int32)
+
+
+def candidate_pairs(points: list[np.ndarray], sizes: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places that no bound drops: a tree for each resolution joins the points of that
+    resolution with each other and with the folded points of the next one."""
+    bits = np.array([len(p).bit_length() - 1 for p in points])
+    for level in sorted(set(bits.tolist())):
+        at = np.flatnonzero((bits == level) | (bits == level + 1))
+        if len(at) < 2:
+            continue
+        finer = bits[at] > level
+        for a, b in CountTree(np.array([folded(points[i], level) for i in at]), sizes[at]).pairs(percent):
+            own = ~(finer[a] & finer[b])
+            if own.any():
+                yield at[a[own]], at[b[own]]
 
 
 class CountTree:
@@ -68,7 +96,7 @@ class CountTree:
         by_size = np.argsort(sizes, kind="stable")
         wide = points.var(axis=0).argmax()
         self.order = np.concatenate([s[np.argsort(points[s, wide], kind="stable")] for s in np.split(by_size, range(slab, len(sizes), slab))])
-        self.levels = [(points[self.order].astype(np.int32), sizes[self.order])]
+        self.levels = [(points[self.order], sizes[self.order])]
         while len(self.levels[-1][1]) > FANOUT:
             corner, least = self.levels[-1]
             starts = np.arange(0, len(least), FANOUT)
@@ -77,11 +105,11 @@ class CountTree:
     def _fit(self, level: int, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
         """Which pairs of a level may hold linked sets: overlap <= sum of the minima."""
         corner, least = self.levels[level]
-        out = np.empty(len(a), bool)
-        for i in range(0, len(a), _AT_ONCE):
-            x, y = a[i:i + _AT_ONCE], b[i:i + _AT_ONCE]
+        out, step = np.empty(len(a), bool), max(1, (_AT_ONCE << LEAST_BITS) // corner.shape[1])
+        for i in range(0, len(a), step):
+            x, y = a[i:i + step], b[i:i + step]
             most = np.minimum(corner[x], corner[y]).sum(axis=1, dtype=np.int64)
-            out[i:i + _AT_ONCE] = (100 + percent) * most >= percent * (least[x] + least[y])
+            out[i:i + step] = (100 + percent) * most >= percent * (least[x] + least[y])
         return out
 
     def pairs(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -122,15 +150,11 @@ def forest(sets: list[np.ndarray], percent: int, parts: list[int] | None = None,
     sizes = np.array([len(s) for s in sets], np.int64)
     first: dict[int, int] = {}
     parent = [first.setdefault(p, i) for i, p in enumerate(parts)] if parts else list(range(len(sets)))
-    if len(sets) == 2:
-        tree_pairs: Iterator = iter([(np.array([0]), np.array([1]))])
-    else:
-        tree_pairs = CountTree(np.array([point(s) for s in sets]), sizes).pairs(percent)
     words, ids = np.unique(np.concatenate(sets), return_inverse=True)
     own = np.split(ids, np.cumsum(sizes)[:-1])
     marked, marks = -1, np.zeros(len(words), bool)
     out = []
-    for left, right in tree_pairs:
+    for left, right in candidate_pairs([point(s) for s in sets], sizes, percent):
         for labels in (parts, sides):
             if labels:
                 of = np.array(labels)
@@ -202,11 +226,13 @@ def keys_of(shingles: np.ndarray, sums: np.ndarray, percent: int) -> np.ndarray:
 
 
 def packed(counts: np.ndarray) -> bytes:
-    return counts.astype(np.uint16 if counts.max(initial=0) < 1 << 16 else np.int32).tobytes()
+    """Counts as bytes, with the width of one count before them."""
+    kind = np.uint8 if counts.max(initial=0) < 1 << 8 else np.int32
+    return bytes([kind().itemsize]) + counts.astype(kind).tobytes()
 
 
 def unpacked(point_: bytes) -> np.ndarray:
-    return np.frombuffer(point_, np.uint16 if len(point_) == 2 * COORDINATES else np.int32).astype(np.int32)
+    return np.frombuffer(point_, np.uint8 if point_[0] == 1 else np.int32, offset=1).astype(np.int32)
 
 
 _KEYED = "hi long, lo long, n long, keys array<long>, point binary"
@@ -271,9 +297,9 @@ def _parted(percent: int):
             nodes = sorted(rows)
             if len(nodes) < 2:
                 continue
-            tree = CountTree(np.array([unpacked(rows[x][2]) for x in nodes]), np.array([rows[x][1] for x in nodes], np.int64))
+            points, sizes = [unpacked(rows[x][2]) for x in nodes], np.array([rows[x][1] for x in nodes], np.int64)
             parent = list(range(len(nodes)))
-            for left, right in tree.pairs(percent):
+            for left, right in candidate_pairs(points, sizes, percent):
                 for i, j in zip(left.tolist(), right.tolist(), strict=True):
                     a, b = _root(parent, i), _root(parent, j)
                     parent[max(a, b)] = min(a, b)
@@ -352,25 +378,38 @@ def _joined(percent: int, by: list[str], parted: bool):
     return run
 
 
+def _tiled(groups: DataFrame, tile: int) -> DataFrame:
+    """(pivot, node, tiles, tile, common) of every group with several members."""
+    sizes = groups.groupBy("pivot").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("common")).where("m > 1")
+    sizes = sizes.select(F.col("pivot").alias("of"), F.ceil(F.col("m") / tile).cast("int").alias("tiles"), "common")
+    own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int").alias("tile")
+    return stage(groups.join(sizes, F.col("pivot") == F.col("of")).select("pivot", "node", "tiles", own, "common"), "tiled")
+
+
 def links_of(groups: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int, tile: int) -> DataFrame:
-    """Links (a, b) that connect all that links between members of a group connect."""
-    sizes = groups.groupBy("pivot").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("common"))
-    sizes = stage(sizes.where("m > 1").select(F.col("pivot").alias("of"), F.ceil(F.col("m") / tile).cast("int").alias("tiles"), "common"), "sizes")
-    dealt = groups.join(sizes, F.col("pivot") == F.col("of")).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-    dealt = stage(dealt.select("pivot", "node", "tiles", "tile"), "dealt")
-    common = sizes.where("tiles > 1").select(F.col("of").alias("pivot"), F.col("common").alias("node"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
-    alone = with_sets(docs, classes, dealt.select("pivot", "node", "tile").unionByName(common), k)
+    """Links (a, b) that connect all that links between members of a group connect.
+
+    First every class meets one of its groups only, tile by tile. Most groups then are in one
+    component; of the others all pairs of tiles are joined, between components only.
+    """
+    first = _tiled(groups.groupBy("node").agg(F.min("pivot").alias("pivot")), tile)
+    common = first.where("tiles > 1 AND node = common").select("pivot", "node", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
     by = ["pivot", "tile"]
+    alone = with_sets(docs, classes, first.select("pivot", "node", "tile").unionByName(common), k)
     links = stage(alone.repartition(*by).sortWithinPartitions(*by).mapInArrow(_joined(percent, by, False), "a long, b long"), "links")
-    large = dealt.where("tiles > 1")
-    if large.isEmpty():
-        return links
     labels = stage(components(links), "labels").select(F.col("node").alias("_n"), "component")
-    parted = stage(large.join(labels, F.col("node") == F.col("_n"), "left").select("pivot", "node", "tiles", "tile", F.coalesce("component", "node").alias("part")), "parted")
-    several = parted.groupBy("pivot").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select(F.col("pivot").alias("of"))
-    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: t != F.col("tile")))
-    across = parted.join(several, F.col("pivot") == F.col("of")).select("pivot", "node", "part", F.col("tile").alias("side"), other.alias("other"))
-    across = across.select("pivot", F.least("side", "other").alias("t1"), F.greatest("side", "other").alias("t2"), "node", "part", "side")
+    parted = groups.join(labels, F.col("node") == F.col("_n"), "left").select("pivot", "node", F.coalesce("component", "node").alias("part"))
+    parted = stage(parted, "parted")
+    several = parted.groupBy("pivot").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select(F.col("pivot").alias("of"))
+    open_ = parted.join(several, F.col("pivot") == F.col("of"), "left_semi")
+    if open_.isEmpty():
+        return links
+    tiled = _tiled(open_.select("pivot", "node"), tile).select(F.col("pivot").alias("of"), F.col("node").alias("_n"), "tiles", F.col("tile").alias("side"))
+    every = open_.join(tiled, (F.col("pivot") == F.col("of")) & (F.col("node") == F.col("_n")))
+    every = every.select("pivot", "node", "part", "side", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+    # on the diagonal every member is a side of its own
+    side = F.when(F.col("side") == F.col("other"), F.col("node")).otherwise(-1 - F.col("side"))
+    across = every.select("pivot", F.least("side", "other").alias("t1"), F.greatest("side", "other").alias("t2"), "node", "part", side.alias("side"))
     by = ["pivot", "t1", "t2"]
     more = with_sets(docs, classes, across, k).repartition(*by).sortWithinPartitions(*by).mapInArrow(_joined(percent, by, True), "a long, b long")
     return stage(links.unionByName(more), "links")

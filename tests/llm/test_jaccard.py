@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from graphloom.llm.jaccard import CountTree, forest, jaccard_components, keys_of, point
+from graphloom.llm.jaccard import CountTree, bits_of, candidate_pairs, folded, forest, jaccard_components, keys_of, packed, point, unpacked
 
 
 def _brute(rows, k=4, percent=85):
@@ -90,6 +90,22 @@ def test_tree_keeps_every_link_and_drops_unrelated_pairs():
     assert len(kept) < 0.05 * 600 * 599 / 2
 
 
+def test_points_of_all_resolutions_keep_links_and_tell_long_texts_apart():
+    rng = np.random.default_rng(4)
+    assert [bits_of(n) for n in (0, 1, 1024, 1025, 2048, 2049, 65536, 10**6)] == [6, 6, 6, 7, 7, 8, 12, 12]
+    sets = []
+    for n in (900, 1000, 1024, 1025, 1100, 2040, 2060, 9000):
+        base = rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2)
+        for share in (0, 0.04, 0.07):
+            sets.append(np.unique(np.concatenate((base[:int(n * (1 - share))], rng.integers(0, 2**63, int(n * share)).astype(np.uint64)))))
+    points = [point(s) for s in sets]
+    assert all((unpacked(packed(p)) == p).all() for p in points)
+    assert (folded(points[-1], 6) == np.bincount((sets[-1] >> np.uint64(58)).astype(int), minlength=64)).all()
+    kept = {(min(i, j), max(i, j)) for a, b in candidate_pairs(points, np.array([len(s) for s in sets]), 85) for i, j in zip(a.tolist(), b.tolist(), strict=True)}
+    links = {(i, j) for j in range(len(sets)) for i in range(j) if _linked(sets[i], sets[j], 85)}
+    assert links == kept
+
+
 def test_forest_connects_what_links_connect():
     sets = _sets(np.random.default_rng(2), 150)
     root = list(range(150))
