@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.common import hex_long, stage
 
-BINS = 1 << 14  # histogram rows that the driver holds at once
+BINS = 1 << 14  # parts into which the driver has its open ranges divided at once
+RANGES = 64  # open ranges that are divided at once
 SUBS = 256  # parts in which the rows of one group are numbered
 
 
@@ -56,22 +57,44 @@ class Ends:
     """What the driver knows of the group ends: some ends, and which gaps hide others."""
 
     def __init__(self, ends: DataFrame, total: int, bins: int = BINS):
-        self.ends, self.total, self.bins = ends, total, bins
-        self.known, self.hidden = [0], [False]  # hidden[i]: ends between known[i - 1] and known[i]
+        self.ends, self.total, self.bins, self.divisions = ends, total, bins, 0
+        self.known, self.hidden = [0, total], [False, True]  # hidden[i]: ends between known[i - 1] and known[i]
         self.divide([(0, total)])
 
-    def divide(self, ranges: list[tuple[int, int]]) -> None:
-        """Learn the last end of every part of the given ranges (bounded by known ends)."""
-        each = max(2, self.bins // len(ranges))
+    def parts(self, ranges: list[tuple[int, int]], each: int) -> list[tuple[int, int, int]]:
+        """(first end, last end, number of ends) of every part of the ranges that has any."""
         part = F.lit(None).cast("long")
-        for k, (a, b) in reversed(list(enumerate(ranges))):
+        for k, (a, b) in enumerate(ranges):
             width = -(-(b - a) // each)
             part = F.when((F.col("end") > a) & (F.col("end") <= b), F.lit(k * each) + F.floor((F.col("end") - a - 1) / F.lit(width))).otherwise(part)
-        found = self.ends.withColumn("part", part).where("part IS NOT NULL").groupBy("part").agg(F.max("end").alias("end"), F.count(F.lit(1)).alias("n")).collect()
-        new = {r["end"]: r["n"] > 1 for r in found}
-        old = {e: h for e, h in zip(self.known, self.hidden, strict=True) if not any(a < e <= b for a, b in ranges)}
-        merged = sorted((old | new).items())
-        self.known, self.hidden = [e for e, _ in merged], [h for _, h in merged]
+        found = self.ends.withColumn("part", part).where("part IS NOT NULL").groupBy("part")
+        return [tuple(r)[1:] for r in found.agg(F.min("end").alias("first"), F.max("end").alias("last"), F.count(F.lit(1)).alias("n")).collect()]
+
+    def open_ranges(self, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """Runs of neighbouring gaps in the spans that hide ends: the widest ``RANGES`` of them."""
+        out: list[tuple[int, int]] = []
+        for a, b, hidden in zip(self.known, self.known[1:], self.hidden[1:], strict=False):
+            if hidden and any(a < y and b > x for x, y in spans):
+                if out and out[-1][1] == a:
+                    out[-1] = (out[-1][0], b)
+                else:
+                    out.append((a, b))
+        return sorted(sorted(out, key=lambda r: r[0] - r[1])[:RANGES])
+
+    def divide(self, spans: list[tuple[int, int]]) -> None:
+        """Learn the first and last end of every part of the open ranges. Known ends are kept, and
+        a range holds ends that are not known, so each division learns some."""
+        ranges = self.open_ranges(spans)
+        if not ranges:
+            raise AssertionError("no gap is left to divide")
+        self.divisions += 1
+        known = dict(zip(self.known, self.hidden, strict=True))
+        for first, last, n in self.parts(ranges, max(2, self.bins // len(ranges))):
+            inside = self.known[bisect_left(self.known, first):bisect_right(self.known, last)]
+            inside = sorted({first, last, *inside})
+            known.update(dict.fromkeys(inside, n > len(inside)))
+            known[first] = False  # nothing lies between two parts' ends
+        self.known, self.hidden = map(list, zip(*sorted(known.items()), strict=True))
 
     def reach(self, start: int, capacity: int, hopeful: bool) -> int:
         """The furthest end a shard from ``start`` can take: for sure, or at the very best."""
@@ -101,14 +124,7 @@ class Ends:
 def capacity_of(known: Ends, shards: int) -> int:
     """The smallest capacity, after dividing as many ranges as it takes to be sure."""
     while (low := known.least(shards, True)) < (high := known.least(shards, False)):
-        ranges: list[tuple[int, int]] = []
-        for a, b in zip(known.path(low, shards, False), known.path(high, shards, True), strict=True):
-            a, b = known.known[bisect_right(known.known, a) - 1], known.known[min(bisect_left(known.known, b), len(known.known) - 1)]
-            if ranges and a <= ranges[-1][1]:
-                ranges[-1] = (ranges[-1][0], max(b, ranges[-1][1]))
-            elif b > a:
-                ranges.append((a, b))
-        known.divide(ranges)
+        known.divide(list(zip(known.path(low, shards, False), known.path(high, shards, True), strict=True)))
     return high
 
 

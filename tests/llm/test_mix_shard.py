@@ -108,3 +108,33 @@ def test_shard_edges(docs_of):
     wide = docs_of(rows).withColumns({"shard": F.lit("mine"), "digest": F.lit("d")}).drop("shard")
     assert shard_documents(wide).columns == [*wide.columns, "shard"]
     assert shard_documents(docs_of([(i, "same text") for i in range(50)])).select("shard").distinct().count() == 1
+
+
+@pytest.mark.parametrize("bins", [8, 1 << 14])
+@pytest.mark.parametrize("kind", ["one hot", "two hot", "pareto"])
+def test_hot_and_heavy_tailed_sizes_end_in_few_divisions(spark, monkeypatch, kind, bins):
+    import random
+
+    from graphloom.llm import shard as S
+
+    rng = random.Random(kind)
+    sizes = [int(rng.paretovariate(1.1) * 500) if kind == "pareto" else rng.randint(200, 6000) for _ in range(2000)]
+    for at in {"one hot": [1000], "two hot": [7, 1500], "pareto": []}[kind]:
+        sizes[at] = sum(sizes) // 3
+    made = []
+
+    class Counted(S.Ends):
+        def __init__(self, *args):
+            made.append(self)
+            super().__init__(*args)
+
+    monkeypatch.setattr(S, "Ends", Counted)
+    rows = spark.createDataFrame([(f"{i:08x}", s) for i, s in enumerate(sizes)], "digest string, size long")
+    _, cuts, capacity = S.shard_plan(rows, 16, bins)
+    assert capacity == _least_capacity(sizes, 16) and len(cuts) == 15
+    assert made[0].divisions <= 10
+    shard, loads = 0, [0] * 16
+    for i, s in enumerate(sizes):
+        shard = sum(c is None or f"{i:08x}" > c for c in cuts)
+        loads[shard] += s
+    assert max(loads) <= capacity
