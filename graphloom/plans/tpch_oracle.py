@@ -403,3 +403,7 @@ ORACLE["text_key_graph"] = "\nUNION\n".join([
     row(_SEG_IRI, f"'{RDF_TYPE}'", f"'{SCH}Segment'", src=f"FROM {_SEG} t"),
     row(_SEG_IRI, f"'{RDFS_LABEL}'", "'Segment ' || seg", "literal", lang="nl", src=f"FROM {_SEG} t"),
 ])
+
+ORACLE["bnode_roundtrip"] = """SELECT 'conv' || conv_id AS label, count(*) AS n_texts, sum(length(text))::BIGINT AS n_chars,
+       count(DISTINCT turn) AS n_turns, max(turn)::BIGINT AS last_turn
+FROM conversations GROUP BY conv_id"""

@@ -289,8 +289,8 @@ def q_melt_fields(spark, sf_dir):
 
 
 def q_ntriples_roundtrip(spark, sf_dir):
+    """S9 then S7: texts with line feeds and quotes, written as N-Triples files and read back."""
     from graphloom.operators.triples import iri_triple, lang_triple, typed_triple
-    from graphloom.sources.ntriples import parse_lines, to_lines
 
     docs = _t(spark, sf_dir, "documents")
     s = F.concat(F.lit(CFG.data_ns + "doc/"), F.col("doc_id").cast("string"))
@@ -303,8 +303,41 @@ def q_ntriples_roundtrip(spark, sf_dir):
         iri_triple(s, M.RDF_TYPE, CFG.schema_ns + "Documents"),
         typed_triple(s, CFG.schema_ns + "documents_n_chars", F.col("n_chars").cast("string"), M.XSD_INTEGER),
     ])
-    triples, _ = parse_lines(to_lines(g))
-    return triples
+    return _written_and_read(spark, g)
+
+
+def q_bnode_roundtrip(spark, sf_dir):
+    """S9 then S8: a graph of blank nodes, several part files; every conversation is a node with
+    its turns in order. One node is one node in all files: turns are counted by it."""
+    from graphloom.operators.triples import emit, iri_triple, typed_triple
+
+    turns = _t(spark, sf_dir, "conversations")
+    node = F.concat(F.lit("_:conv"), F.col("conv_id").cast("string"))
+    mark = lambda t: t.withField("o_kind", F.lit(M.KIND_BNODE))
+    s = F.concat(F.lit(CFG.data_ns + "turn/"), F.col("conv_id").cast("string"), F.lit("/"), F.col("turn").cast("string"))
+    g = emit(turns, [
+        mark(iri_triple(s, CFG.schema_ns + "turn_of", node)),
+        typed_triple(node, CFG.schema_ns + "conversation_turn", F.col("turn").cast("string"), M.XSD_INTEGER),
+        typed_triple(s, CFG.schema_ns + "turn_text", F.col("text"), M.XSD_STRING),
+    ])
+    back = _written_and_read(spark, g.repartition(7, "o"))
+    of = back.where(F.col("p") == CFG.schema_ns + "turn_of").select("s", F.col("o").alias("node"))
+    text = back.where(F.col("p") == CFG.schema_ns + "turn_text").select(F.col("s").alias("t"), "o")
+    spoken = of.join(text, F.col("s") == F.col("t")).groupBy("node").agg(F.count(F.lit(1)).alias("n_texts"), F.sum(F.length("o")).alias("n_chars"))
+    numbered = back.where(F.col("p") == CFG.schema_ns + "conversation_turn").groupBy(F.col("s").alias("n"))
+    turns_of = numbered.agg(F.count(F.lit(1)).alias("n_turns"), F.max(F.col("o").cast("long")).alias("last_turn"))
+    label = F.regexp_extract("node", "^_:f[0-9a-f]+_(.*)$", 1)
+    return spoken.join(turns_of, F.col("node") == F.col("n")).select(label.alias("label"), "n_texts", "n_chars", "n_turns", "last_turn")
+
+
+def _written_and_read(spark, g):
+    import uuid
+
+    from graphloom.session import checkpoint_dir
+    from graphloom.sources.ntriples import read_triples, write_triples
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/graphloom-{uuid.uuid4().hex}"
+    return read_triples(spark, write_triples(g, f"{base}/graph"))
 
 
 def q_namespaces(spark, sf_dir):
@@ -417,6 +450,7 @@ QUERIES = {
     "reach_deep": q_reach_deep,
     "text_key_graph": q_text_key_graph,
     "ntriples_roundtrip": q_ntriples_roundtrip,
+    "bnode_roundtrip": q_bnode_roundtrip,
     "namespaces": q_namespaces,
     "feature_in_area": q_feature_in_area,
     "feature_triples": q_feature_triples,

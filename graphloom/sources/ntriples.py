@@ -1,8 +1,10 @@
 """N-Triples / N-Quads line formats (S7, S8, S9) and Parquet triples.
 
-Reading is ``spark.read.text`` + string functions per line; malformed lines go to a
-reject frame. A literal runs to the last quote before the optional tag; no pattern ever
-recurses per character, so very long literals are safe.
+Reading is ``spark.read.text`` and one pattern per line, put together from one possessive
+pattern per term: each term is scanned once from left to right, nothing is given back, and no
+loop recurses, so very long literals are safe. A line that the grammar does not allow goes to a
+reject frame or fails the job. Texts and IRIs with escapes are then cut into escapes and plain
+pieces, each decoded by itself.
 """
 
 from __future__ import annotations
@@ -26,20 +28,34 @@ def escape(c: Column) -> Column:
     return out
 
 
+_HEX4 = "[0-9A-Fa-f]{4}"
+#: One escape, a pair of escaped surrogates, or text without escapes.
+_PIECE = rf"\\U[0-9A-Fa-f]{{8}}|\\u[Dd][89ABab][0-9A-Fa-f]{{2}}\\u{_HEX4}|\\u{_HEX4}|(?s:\\.)|[^\\]++"
+
+
+def _decoded(piece: Column) -> Column:
+    """The text that a piece stands for. UTF-16 keeps U+FEFF, which UTF-32 takes for a mark."""
+    def code(start: int, digits: int, charset: str) -> Column:
+        return F.decode(F.unhex(F.substring(piece, start, digits)), charset)
+    letter = F.substring(piece, 2, 1)
+    pair = F.decode(F.unhex(F.concat(F.substring(piece, 3, 4), F.substring(piece, 9, 4))), "UTF-16BE")
+    return (F.when(~piece.startswith("\\"), piece)
+            .when(letter == "u", F.when(F.length(piece) > 6, pair).otherwise(code(3, 4, "UTF-16BE")))
+            .when(letter == "U", F.when(F.substring(piece, 3, 4) == "0000", code(7, 4, "UTF-16BE")).otherwise(code(3, 8, "UTF-32")))
+            .otherwise(F.translate(letter, "tbnrf", "\t\b\n\r\f")))
+
+
 def unescape(c: Column) -> Column:
-    """N-Triples string body -> text: ``\\\\ \\" \\n \\r \\t \\b \\f \\'`` and ``\\uXXXX``."""
-    hold = "\u0000"
-    out = F.replace(c, F.lit("\\\\"), F.lit(hold))
-    for esc, raw in (('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ("\\b", "\b"), ("\\f", "\f"),
-                     ("\\'", "'")):
-        out = F.replace(out, F.lit(esc), F.lit(raw))
-    pieces = F.split(out, r"(?=\\u[0-9A-Fa-f]{4})")
-    decoded = F.array_join(F.transform(pieces, lambda p: F.when(
-        p.rlike(r"^\\u[0-9A-Fa-f]{4}"),
-        F.concat(F.decode(F.unhex(F.substring(p, 3, 4)), "UTF-16BE"), F.substring(p, 7, 1 << 30)),
-    ).otherwise(p)), "")
-    out = F.when(out.contains("\\u"), decoded).otherwise(out)
-    return F.replace(out, F.lit(hold), F.lit("\\"))
+    """Body of a valid term -> text: ``\\\\ \\" \\' \\t \\b \\n \\r \\f``, ``\\uXXXX`` and ``\\UXXXXXXXX``.
+
+    Text without backslashes is taken as it is, and without the rarer escapes by plain
+    replacements; only the rest is cut into pieces.
+    """
+    common = c
+    for esc, raw in (('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t")):
+        common = F.replace(common, F.lit(esc), F.lit(raw))
+    pieces = F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_PIECE), F.lit(0)), _decoded), "")
+    return F.when(~c.contains("\\"), c).when(c.rlike(r"\\[^\"nrt]"), pieces).otherwise(common)
 
 
 # Characters that an IRI must not hold in these formats (fixed by the format).
@@ -53,79 +69,57 @@ def escape_iri(c: Column) -> Column:
     return F.when(c.rlike(_IRI_BAD), coded).otherwise(c)
 
 
-def unescape_iri(c: Column) -> Column:
-    """``\\uXXXX`` in an IRI body -> its character."""
-    pieces = F.split(c, r"(?=\\u[0-9A-Fa-f]{4})")
-    decoded = F.array_join(F.transform(pieces, lambda p: F.when(
-        p.rlike(r"^\\u[0-9A-Fa-f]{4}"),
-        F.concat(F.decode(F.unhex(F.substring(p, 3, 4)), "UTF-16BE"), F.substring(p, 7, 1 << 30)),
-    ).otherwise(p)), "")
-    return F.when(c.contains("\\u"), decoded).otherwise(c)
-
-
 def _term(c: Column) -> Column:
     """``<iri>`` -> iri; ``_:b`` stays as is (kind tells them apart)."""
-    return F.when(c.startswith("<"), unescape_iri(F.substring(c, F.lit(2), F.length(c) - 2))).otherwise(c)
-
-
-_SUBJ = r"^(<[^>]*>|_:\S+)$"
-_PRED = r"^<[^>]*>$"
-_OBJ_TERM = r"^(<[^>]*>|_:\S+)$"
-_TAIL = r"^(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?$"
-_TAIL_G = r"^(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?(?:\s+(<[^>]*>|_:\S+))?$"
+    return F.when(c.startswith("<"), unescape(F.substring(c, F.lit(2), F.length(c) - 2))).otherwise(c)
+
+
+# The terms of the N-Triples grammar. An escape names a character, so half a
+# surrogate pair is none; a whole pair is taken for its character.
+_UCHAR = (r"\\u(?:[0-9A-CE-Fa-ce-f][0-9A-Fa-f]{3}|[Dd][0-7][0-9A-Fa-f]{2}|[Dd][89ABab][0-9A-Fa-f]{2}\\u[Dd][C-Fc-f][0-9A-Fa-f]{2})"
+          r"|\\U(?:0000(?:[0-9A-CE-Fa-ce-f][0-9A-Fa-f]{3}|[Dd][0-7][0-9A-Fa-f]{2})|000[1-9A-Fa-f][0-9A-Fa-f]{4}|0010[0-9A-Fa-f]{4})")
+_IRI = rf"<(?:[^\x00-\x20<>\"{{}}|^`\\]++|{_UCHAR})*+>"
+_NAME_START = (r"A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u02FF\u0370-\u037D\u037F-\u1FFF\u200C-\u200D\u2070-\u218F\u2C00-\u2FEF"
+               r"\u3001-\uD7FF\uF900-\uFDCF\uFDF0-\uFFFD\x{10000}-\x{EFFFF}_:")
+_BNODE = rf"_:[{_NAME_START}0-9](?:\.*+[{_NAME_START}0-9\u00B7\u0300-\u036F\u203F-\u2040-]++)*+"
+_STRING = rf"[^\"\\\r\n]*+(?:(?:\\[tbnrf\"'\\]|{_UCHAR})[^\"\\\r\n]*+)*+"
+_LANG = r"[A-Za-z]++(?:-[A-Za-z0-9]++)*+"
+_GAP = r"[\t ]*+"
+_NOTE = r"(?s:#.*+)?+"
+_NODE = rf"{_IRI}|{_BNODE}"
+#: Groups: subject, predicate, object (IRI or blank node), literal, language, datatype, graph.
+_LINE = (rf"\A{_GAP}({_NODE}){_GAP}({_IRI}){_GAP}(?:({_NODE})|\"({_STRING})\"(?:{_GAP}(?:@({_LANG})|\^\^{_GAP}({_IRI})))?+){_GAP}"
+         rf"%s\.{_GAP}{_NOTE}\z")
+_TRIPLE_LINE, _QUAD_LINE = _LINE % "()", _LINE % rf"(?:({_NODE}){_GAP})?+"
 
 
 def parse_lines(lines: DataFrame, col: str = "value", with_graph: bool = False,
                 keep=(), fail: bool = False) -> tuple[DataFrame, DataFrame]:
     """Text lines -> (triples, rejects). Blank and comment lines are skipped.
 
-    A line is cut with plain string functions (subject and predicate are the first two
-    tokens; a literal runs to its last quote), so a long literal is scanned a few times
-    linearly instead of once per regular-expression group; only the short head and tail
-    tokens are checked with anchored patterns. Lines that do not parse are rejected; with
-    ``fail`` the first of them fails the job.
+    A line is matched as a whole, once, and cut into its terms by line feeds, which no term and
+    no line holds. Lines that do not match are rejected; with ``fail`` the first of them
+    fails the job.
     """
     v = F.col(col)
-    body = lines.where(~v.rlike(r"^\s*(#.*)?$"))
-    t = F.rtrim(v)
-    core = F.rtrim(F.expr(f"substring(rtrim(`{col}`), 1, length(rtrim(`{col}`)) - 1)"))
-    cut = body.select("*", t.endswith(".").alias("_dot"), F.ltrim(core).alias("_core"))
-    s_tok = F.substring_index(F.col("_core"), " ", 1)
-    cut = cut.select("*", s_tok.alias("_s"))
-    rest = F.ltrim(F.expr("substring(_core, length(_s) + 2)"))
-    cut = cut.select("*", F.substring_index(rest, " ", 1).alias("_p"), rest.alias("_rest"))
-    obj = F.ltrim(F.expr("substring(_rest, length(_p) + 2)"))
-    cut = cut.select("*", obj.alias("_o"))
-    is_lit = F.col("_o").startswith('"')
-    last_q = F.length("_o") - F.instr(F.reverse(F.col("_o")), '"') + 1
-    cut = cut.select("*", F.when(is_lit, last_q).alias("_lq"))
-    lit_body = F.expr("substring(_o, 2, _lq - 2)")
-    tail = F.ltrim(F.expr("substring(_o, _lq + 1)"))
-    cut = cut.select("*", F.when(is_lit, tail).alias("_tail"))
-    tail_re = _TAIL_G if with_graph else _TAIL
-    term = F.substring_index(F.col("_o"), " ", 1)
-    term_rest = F.ltrim(F.expr("substring(_o, length(substring_index(_o, ' ', 1)) + 2)"))
-    term_ok = (term.rlike(_OBJ_TERM) & ((term_rest == "") | (F.lit(with_graph) & term_rest.rlike(_OBJ_TERM))))
-    lit_ok = (F.col("_lq") > 1) & F.col("_tail").rlike(tail_re)
-    ok = (F.col("_dot") & F.col("_s").rlike(_SUBJ) & F.col("_p").rlike(_PRED)
-          & F.when(is_lit, lit_ok).otherwise(term_ok))
-    lang = F.regexp_extract(F.col("_tail"), tail_re, 1)
-    dt = F.regexp_extract(F.col("_tail"), tail_re, 2)
-    kind = F.when(is_lit, F.lit(M.KIND_LITERAL)).when(term.startswith("_:"), F.lit(M.KIND_BNODE)).otherwise(
-        F.lit(M.KIND_IRI))
+    body = lines.where(~v.rlike(rf"\A{_GAP}{_NOTE}\z"))
+    found = F.when(~v.contains("\n"), F.regexp_replace(v, _QUAD_LINE if with_graph else _TRIPLE_LINE, "\n$1\n$2\n$3\n$4\n$5\n$6\n$7"))
+    cut = body.select("*", F.split(found, "\n").alias("_t"))
+    ok = F.coalesce(F.size("_t") == 8, F.lit(False))
+    bad = F.raise_error(F.concat(F.lit("line is not in the format: "), v)).cast("boolean") if fail else F.lit(False)
+    checked = cut.select("*", F.when(ok, F.lit(True)).otherwise(bad).alias("_ok"))
+    term = lambda i: F.get("_t", F.lit(i))
+    is_lit = term(3) == ""
     cols = [
-        _term(F.col("_s")).alias("s"),
-        _term(F.col("_p")).alias("p"),
-        F.when(is_lit, unescape(lit_body)).otherwise(_term(term)).alias("o"),
-        kind.alias("o_kind"),
-        F.when(is_lit & (dt != ""), dt).alias("o_datatype"),
-        F.when(is_lit & (lang != ""), lang).alias("o_lang"),
+        _term(term(1)).alias("s"),
+        _term(term(2)).alias("p"),
+        F.when(is_lit, unescape(term(4))).otherwise(_term(term(3))).alias("o"),
+        F.when(is_lit, F.lit(M.KIND_LITERAL)).when(term(3).startswith("_:"), F.lit(M.KIND_BNODE)).otherwise(F.lit(M.KIND_IRI)).alias("o_kind"),
+        F.when(term(6) != "", _term(term(6))).alias("o_datatype"),
+        F.when(term(5) != "", term(5)).alias("o_lang"),
     ]
     if with_graph:
-        g = F.when(is_lit, F.regexp_extract(F.col("_tail"), tail_re, 3)).otherwise(term_rest)
-        cols.append(F.when(g != "", _term(g)).alias("g"))
-    bad = F.raise_error(F.concat(F.lit("line is not in the format: "), v)).cast("boolean") if fail else F.lit(False)
-    checked = cut.select("*", F.when(F.coalesce(ok, F.lit(False)), F.lit(True)).otherwise(bad).alias("_ok"))
+        cols.append(F.when(term(7) != "", _term(term(7))).alias("g"))
     triples = checked.where("_ok").select(*cols, *keep)
     rejects = checked.where(~F.col("_ok")).select(v.alias("line"))
     return triples, rejects
@@ -175,13 +169,13 @@ def to_lines(df: DataFrame, graph: str | None = None) -> DataFrame:
     lit = F.concat(
         F.lit('"'), escape(F.col("o")), F.lit('"'),
         F.when(F.col("o_lang").isNotNull(), F.concat(F.lit("@"), F.col("o_lang")))
-        .when(F.col("o_datatype").isNotNull(), F.concat(F.lit("^^<"), F.col("o_datatype"), F.lit(">")))
+        .when(F.col("o_datatype").isNotNull(), F.concat(F.lit("^^<"), escape_iri(F.col("o_datatype")), F.lit(">")))
         .otherwise(F.lit("")),
     )
     obj = F.when(F.col("o_kind") == M.KIND_LITERAL, lit).otherwise(term_text(F.col("o"), F.col("o_kind")))
     parts = [term_text(F.col("s"), s_kind), F.concat(F.lit("<"), escape_iri(F.col("p")), F.lit(">")), obj]
     if graph is not None:
-        parts.append(F.lit(f"<{graph}>"))
+        parts.append(F.concat(F.lit("<"), escape_iri(F.lit(graph)), F.lit(">")))
     return df.select(F.concat_ws(" ", *parts, F.lit(".")).alias("value"))
 
 
