@@ -53,6 +53,7 @@ class TableMap:
     attrs: tuple[Attr, ...] = ()
     rels: tuple[Rel, ...] = ()
     unique_key: bool = False  # identifier is a declared single-column primary key
+    row_key: bool = False  # rows with equal keys are equal (a key over all columns); they may repeat
 
     def included_attrs(self) -> list[Attr]:
         """attributes with ``include``."""

@@ -1,10 +1,11 @@
 """Table -> graph job (R2): roots, closure, secondary tables, one emission, header.
 
 Plan shape
-1. Roots: an area filter on the primary table (F1/F2), pushed to the scan; key text only.
+1. Roots: an area filter on the primary table (F1/F2), pushed to the scan; keys only.
 2. R1 closure over key and FK columns, frontier written per round (see ``closure``).
 3. Each secondary table is seeded by J2 (child rows whose FK is a visited primary key),
-   together with the unfinished frontier, and closed again with the shared visited set.
+   together with the unfinished frontier, and closed again with the shared visited set. The
+   rows' own relations are followed in that pass; a derived key is made only for its IRIs.
 4. T1-T6 once per table over ``visited ⋉ table`` (one scan per table, one ``inline``),
    union, X1, then the header (T14).
 """
@@ -24,8 +25,6 @@ from graphloom.operators.triples import (
     empty_triples,
     instance_triples,
     inverse_predicate,
-    key_column,
-    key_text,
 )
 
 
@@ -34,13 +33,8 @@ def closure_with_secondary(spark: SparkSession, sources: dict, mapping: Mapping,
     """R2: primary closure, then each secondary ``(table, fk_column)`` in the listed order."""
     res = R.closure(spark, sources, mapping, roots, max_rounds=max_rounds)
     for child, fk in secondary:
-        df = sources[child]
-        tm = mapping.tables[child]
-        parent_ids = res.visited.where(F.col("tbl") == primary).select("id")
-        seeds = R.secondary_roots(df, child, key_text(df, key_column(df, tm), tm), fk, parent_ids)
-        res = R.closure(spark, sources, mapping, seeds.unionByName(res.frontier), parts=res.parts,
-                        max_rounds=max_rounds)
-    return res.compact()
+        res.reach.seed_children(child, fk, primary, max_rounds)
+    return res
 
 
 def instance_set(frames: list[tuple[DataFrame, object]], cfg: M.GraphConfig) -> DataFrame:
@@ -78,11 +72,8 @@ def _predicates(df: DataFrame, tm, cfg: M.GraphConfig) -> list[str]:
 def emit_visited(spark: SparkSession, sources: dict, mapping: Mapping, cfg: M.GraphConfig,
                  res: R.ClosureResult) -> DataFrame:
     """T1-T6 once over every visited row of every table, as a set."""
-    visited = res.visited
-    frames = []
-    for t in res.tables():
-        tm = mapping.tables[t]  # the closure has checked that source and mapping are there
-        frames.append((R.visited_rows(sources[t], tm, visited), tm))
+    # the closure has checked that source and mapping are there
+    frames = [(res.reach.rows_of(t), mapping.tables[t]) for t in res.tables()]
     if not frames:
         return empty_triples(spark)
     return instance_set(frames, cfg)

@@ -8,6 +8,8 @@ the inference, the review step and the data jobs together.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
 from graphloom import model as M
@@ -92,7 +94,8 @@ def _infer(spark: SparkSession, sf_dir: str, db: str) -> Mapping:
     ov = spark.createDataFrame([("lineitem", "identifier", "set", LINEITEM_KEY_EXPR)],
                                "tbl string, field string, action string, value string")
     mc = infer.apply_overrides(mc, ov, keys=("tbl",), excluded_only=False)
-    return Mapping.from_frames(db, mc, ma, mr)
+    m = Mapping.from_frames(db, mc, ma, mr)
+    return m.with_table(replace(m.table("lineitem"), row_key=True))  # the derived key covers every column
 
 
 def mapping(spark: SparkSession, sf_dir: str, db: str = "lake") -> Mapping:

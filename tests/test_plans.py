@@ -24,12 +24,33 @@ def test_box_filter_pushed_to_scan(spark):
 
 
 def test_closure_round_reads_keys_only(spark):
-    m = tpch.mapping(spark, SF001)
     orders = tpch.table(spark, SF001, "orders")
-    edges = R._edges_of(m.table("orders"), orders)
-    ids = spark.createDataFrame([("1",)], "id string")
-    text = plan(spark, edges.join(ids, "id", "left_semi"))
+    reach = R.Reach(spark, tpch.tables(spark, SF001, ["customer", "orders"]), tpch.mapping(spark, SF001))
+    edges = reach.edges("orders", orders)
+    ids = spark.createDataFrame([(1,)], "_key bigint")
+    text = plan(spark, edges.join(ids, F.col("key") == F.col("_key"), "left_semi"))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in text
+    # few keys are pushed to the scan
+    text = plan(spark, reach.targets("orders", edges.where(F.col("key").isin([1, 5, 9]))))
+    assert "In(o_orderkey, [1,5,9])" in text
+
+
+def test_run_time_filter_reaches_the_scan(spark):
+    """A large frontier filters the table by a Bloom filter on the bare key column."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+                "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        orders = tpch.table(spark, SF001, "orders")
+        reach = R.Reach(spark, tpch.tables(spark, SF001, ["customer", "orders"]), tpch.mapping(spark, SF001))
+        reach.frontier = orders.where("o_totalprice > 100000").select(F.lit("orders").alias("tbl"), F.col("o_orderkey").alias("k"), F.lit(None).cast("string").alias("c"))
+        text = plan(spark, reach._step("orders", None))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "might_contain" in text and "xxhash64(o_orderkey" in text
 
 
 def test_declared_key_tables_emit_without_shuffle(spark):
