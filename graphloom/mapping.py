@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from graphloom.session import values
 
 MAP_CLASS_SCHEMA = (
     "tbl string, classname string, identifier string, sub_class_of string, link_table boolean, include boolean, "
@@ -103,9 +104,9 @@ class Mapping:
             for r in m.rels
         ]
         return (
-            spark.createDataFrame(cls, MAP_CLASS_SCHEMA),
-            spark.createDataFrame(att, MAP_ATTR_SCHEMA),
-            spark.createDataFrame(rel, MAP_REL_SCHEMA),
+            values(spark, cls, MAP_CLASS_SCHEMA),
+            values(spark, att, MAP_ATTR_SCHEMA),
+            values(spark, rel, MAP_REL_SCHEMA),
         )
 
     @staticmethod

@@ -114,7 +114,7 @@ def as_xsd(columns: DataFrame, datatypes: DataFrame, type_col: str = "data_type"
     A source type listed under several XSD types takes the smallest IRI (deterministic).
     """
     lookup = datatypes.groupBy("source_type").agg(F.min("xsd").alias("xsd"))
-    return columns.join(F.broadcast(lookup), columns[type_col] == lookup["source_type"], "left").select(
+    return columns.join(lookup, columns[type_col] == lookup["source_type"], "left").select(
         *[columns[c] for c in columns.columns], F.coalesce(lookup["xsd"], F.lit(M.XSD_ANYTYPE)).alias("datatype")
     )
 

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from graphloom.mapping import Mapping
 from graphloom.operators.triples import key_column, key_text, link_text
-from graphloom.session import materialize
+from graphloom.session import materialize, values
 
 REFS_SCHEMA = "tbl string, id string"
 TYPED_SCHEMA = "tbl string, k bigint, c string"
@@ -95,8 +95,9 @@ class Reach:
     def __init__(self, spark: SparkSession, sources: dict, mapping: Mapping):
         self.spark, self.sources, self.mapping = spark, sources, mapping
         self.runs: list[tuple[int, DataFrame]] = []  # (rows, typed keys); their union was visited
-        self.frontier = spark.createDataFrame([], TYPED_SCHEMA)
+        self.frontier = values(spark, [], TYPED_SCHEMA)
         self.rounds = 0
+        self.left_over = False  # whether the frontier may hold keys
         self.seen: set[str] = set()  # tables with visited keys
         self.alone: dict[str, DataFrame] = {}  # child tables reached by ``seed_children`` only: their rows
         self.native = {t: self._is_native(t) for t in mapping.tables}
@@ -216,7 +217,7 @@ class Reach:
                 pair = [key.alias("k"), F.lit(None).cast("string").alias("c")] if self.native[t] else [F.lit(None).cast("bigint").alias("k"), key.alias("c")]
                 own = rows.select(F.lit(t).alias("tbl"), *pair)
                 parts.append(own.where(F.col("k").isNotNull() | F.col("c").isNotNull()).distinct())
-        return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], TYPED_SCHEMA)
+        return reduce(DataFrame.unionByName, parts) if parts else values(self.spark, [], TYPED_SCHEMA)
 
     def rows_of(self, tbl: str) -> DataFrame:
         """``visited semi-join table``."""
@@ -228,13 +229,16 @@ class Reach:
 
     # ---- rounds -----------------------------------------------------------------------------
 
-    def expand(self, roots: DataFrame, max_rounds: int | None = None, found: DataFrame | None = None) -> None:
+    def expand(self, roots: DataFrame | None, max_rounds: int | None = None, found: DataFrame | None = None) -> None:
         """Follow relations from typed ``roots`` and the frontier left over until nothing is new,
         or for ``max_rounds``. ``found`` are targets of rows that count as expanded in round one."""
-        self.frontier = materialize(self._new(roots.unionByName(self.frontier)), "frontier")
-        rounds = 0
+        if roots is not None:
+            self.frontier = materialize(self._new(roots.unionByName(self.frontier)), "frontier")
+        rounds, known_empty = 0, roots is None and not self.left_over
+        self.left_over = False
         while max_rounds is None or rounds < max_rounds:
-            n, present = self._present()
+            n, present = (0, {}) if known_empty else self._present()
+            known_empty = False
             if not present and found is None:
                 break
             unknown = [t for t in present if t not in self.sources or t not in self.mapping.tables]
@@ -247,10 +251,12 @@ class Reach:
             steps = [x for x in (self._step(t, keys) for t, keys in present.items()) if x is not None] + ([found] if found is not None else [])
             found = None
             if not steps:
-                self.frontier = self.spark.createDataFrame([], TYPED_SCHEMA)
-                continue
+                self.frontier = values(self.spark, [], TYPED_SCHEMA)
+                break
             reached = {r.target_table for t in [*present, *self.alone] for r in self.mapping.tables[t].included_rels()}
             self.frontier = materialize(self._new(reduce(DataFrame.unionByName, steps), reached), "frontier")
+        else:
+            self.left_over = True  # a bound ended it
         self.rounds += rounds
 
     def seed_children(self, child: str, fk: str, parent: str, max_rounds: int | None = None) -> None:
@@ -268,13 +274,15 @@ class Reach:
             ids, link = self.text(parents).select(F.col("id").alias("_parent")), link_text(fk, df.schema[fk].dataType)
         rows = df.join(ids, link == F.col("_parent"), "left_semi")
         if (tm.unique_key or tm.row_key) and tm.identifier is not None and not self._relations_to(child) and child not in self.seen:
-            pending = not self.frontier.where(F.col("tbl") == child).isEmpty()
-            if not pending:
-                self.seen.add(child)
-                edges = self.edges(child, rows)
-                self.alone[child] = rows
-                self.expand(self.spark.createDataFrame([], TYPED_SCHEMA), max_rounds, None if edges is None else self.targets(child, edges))
-                return
+            self.seen.add(child)
+            edges = self.edges(child, rows)
+            self.alone[child] = rows
+            self.expand(None, max_rounds, None if edges is None else self.targets(child, edges))
+            return
+        if child in self.alone:  # reached by a second foreign key: its keys count from now on
+            keys = materialize(self.visited_keys(child), "visited")
+            del self.alone[child]
+            self._add_run(keys.count(), keys)
         name = "k" if self.native[child] else "c"
         key = self._key(rows, child)
         seeds = rows.select(F.lit(child).alias("tbl"), *[(key if n == name else F.lit(None).cast(t)).alias(n) for n, t in (("k", "bigint"), ("c", "string"))])

@@ -76,3 +76,16 @@ def enrich(bindings: DataFrame, target: dict, ns: str, variables: list[str]) ->
     for name, expr in binds:
         bindings = bindings.withColumn(name, expr)
     return emit(bindings, structs)
+
+
+def enrich_all(bindings: DataFrame, targets: dict[int, tuple[dict, dict[str, Column]]], ns: str) -> DataFrame:
+    """T13 over the bindings (rule_id, s, v0, ...) of many rules: each row yields the branch of its
+    own rule. ``targets``: rule_id -> (template, its variables as columns)."""
+    rule = F.col("rule_id")
+    by_rule = {i: branch_structs(F.col("s"), target, ns, own) for i, (target, own) in sorted(targets.items())}
+    for level in range(max(len(binds) for binds, _ in by_rule.values())):
+        nodes = [F.when(rule == i, binds[level][1]) for i, (binds, _) in by_rule.items() if len(binds) > level]
+        bindings = bindings.withColumn(f"_n{level}", F.coalesce(*nodes))
+    branches = F.coalesce(*[F.when(rule == i, F.array(*structs)) for i, (_, structs) in by_rule.items()])
+    out = bindings.select(F.inline(branches))
+    return out.where(F.col("s").isNotNull() & F.col("p").isNotNull() & F.col("o").isNotNull())

@@ -16,6 +16,7 @@ from graphloom.functions.lexical import lexical
 from graphloom.mapping import TableMap
 from graphloom.operators.filters import Area, not_sentinel, within
 from graphloom.operators.triples import emit, iri_triple, label_of, type_of, typed_triple
+from graphloom.session import values
 
 
 def scan_layer(df: DataFrame, fid: str | Column, wkt: Column | None, fields: list[str]) -> DataFrame:
@@ -103,7 +104,7 @@ def feature_triples(layer: DataFrame, layer_name: str, tm: TableMap, cfg: M.Grap
                     features: bool = True, geometry: bool = True) -> DataFrame:
     """T7 + T8 of one layer in one pass (one scan, one ``inline``)."""
     if tm.identifier is None:
-        return layer.sparkSession.createDataFrame([], M.TRIPLE_SCHEMA)
+        return values(layer.sparkSession, [], M.TRIPLE_SCHEMA)
     df = _bind_iris(typed_layer(layer, area), layer_name, tm, cfg)
     structs = (feature_structs(df, layer_name, tm, cfg) if features else []) + (
         geometry_structs(layer_name, tm, cfg) if geometry else [])

@@ -62,7 +62,7 @@ def class_triples(map_class: DataFrame, ns: str, lang: str = M.DEFAULT_LANG) ->
 
 def _with_class(frame: DataFrame, map_class: DataFrame) -> DataFrame:
     cls = included_classes(map_class).select("tbl", "classname")
-    return frame.where(F.col("include")).join(F.broadcast(cls), "tbl")
+    return frame.where(F.col("include")).join(cls, "tbl")
 
 
 def datatype_property_triples(map_class: DataFrame, map_attr: DataFrame, ns: str,

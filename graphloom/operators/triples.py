@@ -16,6 +16,7 @@ from graphloom import model as M
 from graphloom.functions.hashing import mint_iri
 from graphloom.functions.lexical import lexical
 from graphloom.mapping import TableMap
+from graphloom.session import values
 
 def _null() -> Column:
     return F.lit(None).cast("string")
@@ -81,7 +82,7 @@ def emit(df: DataFrame, structs: list[Column]) -> DataFrame:
 
 
 def empty_triples(spark) -> DataFrame:
-    return spark.createDataFrame([], M.TRIPLE_SCHEMA)
+    return values(spark, [], M.TRIPLE_SCHEMA)
 
 
 # ---- T1-T6: instances of one mapped table ----------------------------------------------

@@ -23,6 +23,7 @@ from graphloom.operators import patterns as P
 from graphloom.operators.metadata import base_of, refresh_metadata, with_metadata
 from graphloom.operators.sets import as_set, merge, stage, union_all
 from graphloom.operators.triples import empty_triples
+from graphloom.session import values
 
 
 LOG = logging.getLogger(__name__)
@@ -61,7 +62,7 @@ def xref_rules(spark: SparkSession, doc: dict, report: bool = False) -> DataFram
     """Rule document ``{db: [{source, target}]}`` -> decoded rows; undecodable rules are
     dropped (Q18) and, with ``report``, logged (the rule list is configuration-sized)."""
     rows = [(db, i, r.get("source"), r.get("target")) for db, rs in doc.items() for i, r in enumerate(rs)]
-    df = spark.createDataFrame(rows, XREF_RULES_SCHEMA)
+    df = values(spark, rows, XREF_RULES_SCHEMA)
     dec = df.select("db", "rule_pos", "source", "target", decode_rule(F.col("source")).alias("src"),
                     decode_rule(F.col("target")).alias("tgt"))
     ok = F.col("src").isNotNull() & F.col("tgt").isNotNull()
@@ -133,16 +134,16 @@ def xref(src_graph: DataFrame, tgt_graph: DataFrame, rules_doc: dict, backlinks:
 
 def enrich_graph(graph: DataFrame, rules_doc: dict, ts: int | None = None, known=None,
                  prefix_rule_dbs=(), base: str = M.DEFAULT_BASE) -> DataFrame:
-    """Per rule, J5 bindings of the source class and attributes -> T13 branch; union;
-    X1; header. Rules of the graph's own source apply."""
+    """J5 bindings of the source classes and attributes of all rules in one pass -> T13
+    branches; X1; header. Rules of the graph's own source apply."""
     spark = graph.sparkSession
     graph = stage(graph, "enrich-input")
     g = graph_identity(graph, known)
     rules = rules_doc.get(g["db"], [])
     rows = [(g["db"], i, term) for i, r in enumerate(rules) for term in r["source"]]
-    out = []
+    patterns, targets = [], {}
     if rows:
-        dec = spark.createDataFrame(rows, "db string, rule_pos int, term string").select(
+        dec = values(spark, rows, "db string, rule_pos int, term string").select(
             "rule_pos", decode_rule(F.col("term")).alias("t"),
             O.rule_class(decode_rule(F.col("term"))["model"], F.col("db"), decode_rule(F.col("term"))["tbl"],
                          prefix_rule_dbs).alias("cls"),
@@ -160,10 +161,9 @@ def enrich_graph(graph: DataFrame, rules_doc: dict, ts: int | None = None, known
             missing = _template_vars(rules[pos]["target"]) - {f"[{a}]" for a in attrs}
             if missing:  # Q17: such a leaf can never be filled; its triples are left out
                 LOG.warning("enrichment rule %d of %s uses unbound variables %s", pos, g["db"], sorted(missing))
-            props = [(a, f"{g['schema_ns']}{cls.lower()}_{a.lower()}") for a in attrs]
-            bindings = P.star(graph, g["schema_ns"] + cls, props)
-            out.append(EN.enrich(bindings, rules[pos]["target"], g["data_ns"], attrs))
-    body = reduce(DataFrame.unionByName, out) if out else empty_triples(spark)
+            patterns.append((pos, g["schema_ns"] + cls, [f"{g['schema_ns']}{cls.lower()}_{a.lower()}" for a in attrs]))
+            targets[pos] = (rules[pos]["target"], {f"[{a}]": F.col(f"v{i}") for i, a in reversed(list(enumerate(attrs)))})
+    body = EN.enrich_all(P.stars(graph, patterns), targets, g["data_ns"]) if patterns else empty_triples(spark)
     if ts is None:
         return as_set(body)
     return with_metadata(body, f"{base}schema/extra/", ts, "EXTRA")
@@ -193,7 +193,7 @@ def concept_rules(spark: SparkSession, doc: dict, db: str, style: str = "version
          [(j, s.get("name"), s.get("type_id")) for j, s in enumerate(r.get("subtypes", []))])
         for tbl, rs in doc.get(db, {}).items() for i, r in enumerate(rs)
     ]
-    df = spark.createDataFrame(rows, CONCEPT_SCHEMA)
+    df = values(spark, rows, CONCEPT_SCHEMA)
     prop = decode_concept_property(F.col("property"), F.col("db"), F.col("tbl"), style)
     subs = F.transform(F.col("subtypes"), lambda s: F.struct(
         s["pos"].alias("pos"),

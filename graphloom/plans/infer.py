@@ -20,6 +20,7 @@ from graphloom.functions.names import (
 )
 from graphloom.mapping import MAP_REL_SCHEMA
 from graphloom.operators import catalog as C
+from graphloom.session import values
 
 
 def split_by_hints(columns: DataFrame, hints: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -137,7 +138,7 @@ def infer_layer_mapping(layers: DataFrame, fields: DataFrame, datatypes: DataFra
         F.lit(None).cast("string").alias("sub_property_of"),
         F.lit(True).alias("include"),
     )
-    map_rel = layers.sparkSession.createDataFrame([], MAP_REL_SCHEMA)
+    map_rel = values(layers.sparkSession, [], MAP_REL_SCHEMA)
     return map_class, map_attr, map_rel
 
 

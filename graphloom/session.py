@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "graphloom") -> SparkSession:
@@ -28,6 +31,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def values(spark: SparkSession, rows: list, schema: str | T.StructType) -> DataFrame:
+    """Rule and catalogue rows (configuration-sized) as an inline relation.
+
+    Unlike rows handed over one by one, an inline relation has a size that the optimizer knows, so
+    joins with it are broadcast by Spark's own size check, and plans over such rows alone run
+    without shuffles.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    columns = list(zip(*(tuple(r) for r in rows), strict=True)) or [()] * len(schema)
+    fields = to_arrow_schema(schema)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, fields, strict=True)], schema=fields), schema)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for reliable checkpoints.
 

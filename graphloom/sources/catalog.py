@@ -15,6 +15,7 @@ Schemas:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from graphloom.session import values
 
 TABLES_SCHEMA = "table_name string, table_type string, pos int"
 COLUMNS_SCHEMA = "table_name string, column_name string, data_type string, ordinal int"
@@ -27,7 +28,7 @@ def cat_tables(spark: SparkSession, frames: dict, table_type: str = "BASE TABLE"
     """S4 from named DataFrames; ``extra`` adds (name, type) rows such as views."""
     rows = [(n, table_type) for n in frames] + list(extra)
     rows = [(n, t, i) for i, (n, t) in enumerate(rows, 1)]
-    return spark.createDataFrame(rows, TABLES_SCHEMA)
+    return values(spark, rows, TABLES_SCHEMA)
 
 
 def cat_columns(spark: SparkSession, frames: dict, extra=()) -> DataFrame:
@@ -37,7 +38,7 @@ def cat_columns(spark: SparkSession, frames: dict, extra=()) -> DataFrame:
         for n, df in frames.items()
         for i, f in enumerate(df.schema.fields, 1)
     ] + list(extra)
-    return spark.createDataFrame(rows, COLUMNS_SCHEMA)
+    return values(spark, rows, COLUMNS_SCHEMA)
 
 
 def cat_from_spark(spark: SparkSession, database: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -48,9 +49,9 @@ def cat_from_spark(spark: SparkSession, database: str | None = None) -> tuple[Da
         tables.append((t.name, kind, len(tables) + 1))
         for i, c in enumerate(spark.catalog.listColumns(t.name, database), 1):
             columns.append((t.name, c.name, c.dataType, i))
-    return spark.createDataFrame(tables, TABLES_SCHEMA), spark.createDataFrame(columns, COLUMNS_SCHEMA)
+    return values(spark, tables, TABLES_SCHEMA), values(spark, columns, COLUMNS_SCHEMA)
 
 
 def datatype_lookup(spark: SparkSession, lookup: dict) -> DataFrame:
     """``{xsd_iri: [source types]}`` -> rows (xsd, source_type)."""
-    return spark.createDataFrame([(x, s) for x, ss in lookup.items() for s in ss], DATATYPES_SCHEMA)
+    return values(spark, [(x, s) for x, ss in lookup.items() for s in ss], DATATYPES_SCHEMA)

@@ -138,3 +138,15 @@ def test_secondary_rows_of_a_repeated_key(spark):
         got = {(r.tbl, r.id) for r in res.visited.collect()}
         assert {i for t, i in got if t == "thing"} == want and ("child", "a") in got and ("child", "b") not in got
         assert res.tables() == ["child", "parent", "thing"]
+
+
+def test_a_child_reached_by_two_foreign_keys(spark):
+    from graphloom.mapping import Mapping, Rel, TableMap
+
+    parent = spark.createDataFrame([(1,), (2,)], "id long")
+    child = spark.createDataFrame([(10, 1, 9), (11, 9, 1), (12, 1, 1), (13, 9, 9)], "id long, p long, q long")
+    tables = {"parent": TableMap("parent", "P", "id", unique_key=True), "child": TableMap("child", "C", "id", unique_key=True, rels=(Rel("p", "p", "parent", "P"),))}
+    roots = spark.createDataFrame([("parent", "1")], R.REFS_SCHEMA)
+    res = closure_with_secondary(spark, {"parent": parent, "child": child}, Mapping("t", tables), roots, "parent", [("child", "p"), ("child", "q")])
+    assert sorted(r.id for r in res.visited.where("tbl = 'child'").collect()) == ["10", "11", "12"]
+    assert sorted(r.id for r in res.reach.rows_of("child").collect()) == [10, 11, 12]

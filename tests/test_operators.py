@@ -104,6 +104,60 @@ def test_star_multiplies_multi_values(spark):
                    ("http://x/s", "2", "b")]
 
 
+def _star_graph(spark, hub=3000):
+    """A hub with ``hub`` values of p and 40 of q, a third of all triples or more; small subjects."""
+    iri = lambda a, c: F.concat(F.lit(a), c.cast("string"))
+    one = lambda s, p, o: F.struct(s.alias("s"), F.lit(p).alias("p"), o.alias("o"))
+    i = F.col("id")
+    small = spark.range(500).select(F.inline(F.array(
+        one(iri("http://x/", i), M.RDF_TYPE, iri("http://x/C", i % 2)), one(iri("http://x/", i), "http://x/p", iri("v", i % 7)),
+        one(iri("http://x/", i), "http://x/p", iri("w", i)), one(iri("http://x/", F.when(i % 3 > 0, i).otherwise(F.lit(1))), "http://x/q", iri("q", i % 5)))))
+    big = spark.range(hub).select(F.inline(F.array(
+        one(F.lit("http://x/hub"), M.RDF_TYPE, F.lit("http://x/C0")), one(F.lit("http://x/hub"), "http://x/p", iri("p", i)), one(F.lit("http://x/hub"), "http://x/q", iri("q", i % 40)))))
+    rest = [F.lit(M.KIND_LITERAL).alias("o_kind"), F.lit(None).cast("string").alias("o_datatype"), F.lit(None).cast("string").alias("o_lang")]
+    return small.unionByName(big).distinct().select("*", *rest)
+
+
+def test_hub_values_are_spread_without_changing_the_result(spark):
+    g = _star_graph(spark)
+    props = [("p", "http://x/p"), ("q", "http://x/q")]
+    plain, spread = rows(P.star(g, "http://x/C0", props)), rows(P.star(g, "http://x/C0", props, least=300))
+    assert spread == plain and len(plain) == len(set(plain)) and sum(r[0] == "http://x/hub" for r in plain) == 3000 * 40
+    assert P.hubs(g, ["http://x/p", "http://x/q"], 300) == [("http://x/p", "http://x/hub", 3000)]
+    out = P.stars(g, [(0, "http://x/C0", [p for _, p in props])], 300)
+    text = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    assert "hashpartitioning(rule_id" in text and "cell" in text  # a hub's slices go to different tasks
+
+
+def test_hubs_in_several_properties_make_a_grid(spark):
+    g = _star_graph(spark, 900)
+    rules = [(0, "http://x/C0", ["http://x/p", "http://x/q"]), (1, "http://x/C0", ["http://x/q", "http://x/p", "http://x/q"]), (2, "http://x/C1", ["http://x/p"]), (3, "http://x/C0", [])]
+    a, b = P.stars(g, rules), P.stars(g, rules, least=20)
+    assert rows(a.select(*[F.coalesce(c, F.lit("-")) for c in a.columns])) == rows(b.select(*[F.coalesce(c, F.lit("-")) for c in b.columns]))
+    counts = {r.rule_id: r.n for r in a.groupBy("rule_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    hub = {0: 900 * 40, 1: 900 * 40 * 40}
+    assert all(counts[i] > n for i, n in hub.items()) and counts[3] == 251
+
+
+def test_fifty_enrichment_rules_are_one_scan(spark):
+    from graphloom.plans.graph_jobs import enrich_graph
+    from graphloom.plans.tpch_queries import graph_of
+    from tests.conftest import SF001
+
+    g = graph_of(spark, SF001, ["region"])
+    rule = lambda i: {"source": ["sql:lake.region/r_name"] + ["sql:lake.region/r_regionkey"] * (i % 2),
+                      "target": {"head": f"http://x/H{i}", "property": "http://x/p", "type": "URIRef",
+                                 "tail": {"head": M.XSD_STRING, "property": f"http://x/name{i}", "type": "Literal", "tail": f"{i} [r_name]"}}}
+    plans = {}
+    for n in (2, 50):
+        out = enrich_graph(g, {"lake": [rule(i) for i in range(n)]})
+        assert out.count() == 5 * 3 * n
+        text = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+        text = text[text.index("== Initial Plan ==") if "== Initial Plan ==" in text else 0:]
+        plans[n] = (text.count("FileScan"), text.count("Join"), text.count("Exchange"))
+    assert plans[2] == plans[50] and plans[50][0] == 1
+
+
 def test_link_matches_datatype_and_skips_empty(spark):
     src = emit(spark.range(1), [
         iri_triple(F.lit("http://a/1"), M.RDF_TYPE, "http://a/C"),
