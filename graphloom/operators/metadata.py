@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from graphloom import model as M
 from graphloom.operators.sets import as_set, count_triples, delete
-from graphloom.session import materialize
+from graphloom.session import materialize_counted
 from graphloom.operators.triples import emit, iri_triple, lang_triple, typed_triple
 
 
@@ -28,6 +28,13 @@ def _count_triple(base, counted: DataFrame) -> DataFrame:
     return emit(n, [typed_triple(base, M.VOID_TRIPLES, F.col("n").cast("string"), M.XSD_NONNEGATIVEINTEGER)])
 
 
+def _written_with_count(body: DataFrame, base: str, more: int = 0) -> tuple[DataFrame, DataFrame]:
+    """The set written once, and its count triple (``more`` triples that join it later, and the
+    count triple itself, included). The count is taken while the set is written (A1)."""
+    body, n = materialize_counted(body, "graph")
+    return body, emit(_one_row(body.sparkSession), [typed_triple(base, M.VOID_TRIPLES, F.lit(str(n + more + 1)), M.XSD_NONNEGATIVEINTEGER)])
+
+
 def header_triples(spark: SparkSession, base: str, ts: int, name: str, is_ontology: bool = False,
                    text: M.HeaderText = M.HeaderText()) -> DataFrame:
     """T14 without the count: type, modified, creator, publisher, rights holder, language,
@@ -59,7 +66,7 @@ def with_metadata(df: DataFrame, base: str, ts: int, name: str, is_ontology: boo
     """The graph as a set plus its header; ``void:triples`` = distinct triples + 1.
 
     The count needs the whole set before the last triple exists. With ``materialized``
-    the set is written once to the checkpoint folder and counted from the written files,
+    the set is written once to the checkpoint folder and counted in that very job,
     instead of evaluating the deduplication twice. With ``assume_set`` the caller guarantees
     ``df`` is already a set without header triples of ``base``, so no deduplication runs.
     """
@@ -68,9 +75,10 @@ def with_metadata(df: DataFrame, base: str, ts: int, name: str, is_ontology: boo
         body = df.select(*M.TRIPLE_COLUMNS).unionByName(header)
     else:
         body = as_set(df.unionByName(header))
-    if materialized:
-        body = materialize(body, "graph")
-    return body.unionByName(_count_triple(base, body))
+    if not materialized:
+        return body.unionByName(_count_triple(base, body))
+    body, count = _written_with_count(body, base)
+    return body.unionByName(count)
 
 
 def base_of(df: DataFrame) -> DataFrame:
@@ -85,14 +93,52 @@ def base_of(df: DataFrame) -> DataFrame:
 
 def refresh_metadata(df: DataFrame, ts: int, base: str | None = None) -> DataFrame:
     """Delete every ``modified`` and ``triples`` triple (all subjects), then add one of
-    each for the base (O2 unless given; one value read back to the driver)."""
+    each for the base (O2 unless given; one value read back to the driver).
+
+    The rest of the graph is deduplicated and written once, sorted by predicate, and counted in that
+    job; the base is looked up in what was written. The two new triples cannot be in it.
+    """
+    kept = as_set(delete(df, p=[M.DCTERMS + "modified", M.VOID_TRIPLES])).sortWithinPartitions("p")
+    body, n = materialize_counted(kept, "graph")
     if base is None:
-        row = base_of(df).first()
+        row = base_of(body).first()
         if row is None:
             raise ValueError("graph has no subject typed owl:Ontology or void:Dataset")  # Q9
         base = row.base
-    kept = delete(df, p=[M.DCTERMS + "modified", M.VOID_TRIPLES])
-    modified = emit(_one_row(df.sparkSession),
-                    [typed_triple(base, M.DCTERMS + "modified", F.lit(stamp(ts)), M.XSD_DATETIME)])
-    body = materialize(as_set(kept.unionByName(modified)), "graph")
-    return body.unionByName(_count_triple(base, body))
+    return body.unionByName(_refreshed(df.sparkSession, base, ts, n))
+
+
+def _refreshed(spark: SparkSession, base: str, ts: int, n: int) -> DataFrame:
+    """The two triples of a refresh, for a graph of ``n`` others."""
+    return emit(_one_row(spark), [typed_triple(base, M.DCTERMS + "modified", F.lit(stamp(ts)), M.XSD_DATETIME),
+                                  typed_triple(base, M.VOID_TRIPLES, F.lit(str(n + 2)), M.XSD_NONNEGATIVEINTEGER)])
+
+
+# ---- stored graphs ---------------------------------------------------------------------------
+
+#: Folders of a stored graph: the triples that a refresh replaces, and all others.
+REFRESHED, REST = "group=refreshed", "group=rest"
+
+
+def store_graph(df: DataFrame, path: str, ts: int, base: str | None = None) -> str:
+    """T15 for a graph that stays on disk: a Parquet folder with two partitions, the two
+    refreshed triples and the rest. A later ``refresh_store`` rewrites only the first."""
+    refresh = [M.DCTERMS + "modified", M.VOID_TRIPLES]
+    as_set(delete(df, p=refresh)).sortWithinPartitions("p").write.mode("error").parquet(f"{path}/{REST}")
+    return refresh_store(df.sparkSession, path, ts, base)
+
+
+def refresh_store(spark: SparkSession, path: str, ts: int, base: str | None = None) -> str:
+    """Replace the refreshed triples of a stored graph; the rest is counted from its footers."""
+    rest = spark.read.schema(M.TRIPLE_SCHEMA).parquet(f"{path}/{REST}")
+    if base is None:
+        row = base_of(rest).first()
+        if row is None:
+            raise ValueError("graph has no subject typed owl:Ontology or void:Dataset")
+        base = row.base
+    _refreshed(spark, base, ts, rest.count()).coalesce(1).write.mode("overwrite").parquet(f"{path}/{REFRESHED}")
+    return path
+
+
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(M.TRIPLE_SCHEMA).parquet(f"{path}/{REST}", f"{path}/{REFRESHED}").select(*M.TRIPLE_COLUMNS)

@@ -21,7 +21,7 @@ from graphloom.operators import enrich as EN
 from graphloom.operators import ontology as O
 from graphloom.operators import patterns as P
 from graphloom.operators.metadata import base_of, refresh_metadata, with_metadata
-from graphloom.operators.sets import as_set, merge, stage, union_all
+from graphloom.operators.sets import as_set, stage, union_all
 from graphloom.operators.triples import empty_triples
 from graphloom.session import values
 
@@ -239,7 +239,7 @@ def merge_graphs(graphs: list[DataFrame], ts: int) -> DataFrame:
     """Set union of at least two graphs, then the header refresh (T15) for the base (O2)."""
     if len(graphs) < 2:
         raise ValueError("merging needs at least two graphs")
-    return refresh_metadata(merge(graphs), ts)
+    return refresh_metadata(union_all(graphs), ts)
 
 
 def ontology(map_class: DataFrame, map_attr: DataFrame, map_rel: DataFrame, cfg: M.GraphConfig,

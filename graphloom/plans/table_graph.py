@@ -12,6 +12,9 @@ Plan shape
 
 from __future__ import annotations
 
+import logging
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +28,12 @@ from graphloom.operators.triples import (
     empty_triples,
     instance_triples,
     inverse_predicate,
+    key_column,
+    key_text,
 )
 
+LOG = logging.getLogger(__name__)
+
 
 def closure_with_secondary(spark: SparkSession, sources: dict, mapping: Mapping, roots: DataFrame,
                            primary: str, secondary=(), max_rounds: int | None = None) -> R.ClosureResult:
@@ -37,12 +44,24 @@ def closure_with_secondary(spark: SparkSession, sources: dict, mapping: Mapping,
     return res
 
 
-def instance_set(frames: list[tuple[DataFrame, object]], cfg: M.GraphConfig) -> DataFrame:
+def repeated_keys(frames: list[tuple[DataFrame, object]]) -> set[int]:
+    """Places of the frames in which a declared key is not unique: keys are counted, by
+    themselves, in one job for all frames."""
+    keyed = [df.select(F.lit(i).alias("frame"), key_text(df, key_column(df, tm), tm).alias("key")) for i, (df, tm) in enumerate(frames) if tm.unique_key]
+    if not keyed:
+        return set()
+    counts = reduce(DataFrame.unionByName, keyed).where(F.col("key").isNotNull()).groupBy("frame", "key").agg(F.count(F.lit(1)).alias("n"))
+    return {r.frame for r in counts.where("n > 1").select("frame").distinct().collect()}  # a row for each table at most
+
+
+def instance_set(frames: list[tuple[DataFrame, object]], cfg: M.GraphConfig, check_keys: bool = True) -> DataFrame:
     """T1-T6 of several tables as one set (X1), deduplicating only where rows can coincide.
 
     Triples of a table whose identifier is a declared primary key are already distinct and
     cannot meet triples of another table (subjects and inverse predicates carry the class
     name), provided no other table maps to the same class; those skip the dedup shuffle.
+    A declaration is checked first (``repeated_keys``): a key that repeats is reported, and
+    its table is deduplicated like any other.
     """
     names = [tm.classname for _, tm in frames]
     preds = [_predicates(df, tm, cfg) for df, tm in frames]
@@ -50,11 +69,14 @@ def instance_set(frames: list[tuple[DataFrame, object]], cfg: M.GraphConfig) ->
     for ps in preds:
         for p in set(ps):
             seen[p] = seen.get(p, 0) + 1
-    parts = [(instance_triples(df, tm, cfg),
-              tm.unique_key and names.count(tm.classname) == 1
-              and len(ps) == len(set(ps)) and all(seen[p] == 1 for p in ps))
-             for (df, tm), ps in zip(frames, preds)]
-    return set_union(parts)
+    alone = [tm.unique_key and names.count(tm.classname) == 1 and len(ps) == len(set(ps)) and all(seen[p] == 1 for p in ps)
+             for (_, tm), ps in zip(frames, preds, strict=True)]
+    if check_keys and any(alone):
+        places = [i for i, ok in enumerate(alone) if ok]
+        for k in sorted(repeated_keys([frames[i] for i in places])):
+            alone[places[k]] = False
+            LOG.warning("declared key %s of table %s is not unique", frames[places[k]][1].identifier, frames[places[k]][1].tbl)
+    return set_union([(instance_triples(df, tm, cfg), ok) for (df, tm), ok in zip(frames, alone, strict=True)])
 
 
 def _predicates(df: DataFrame, tm, cfg: M.GraphConfig) -> list[str]:

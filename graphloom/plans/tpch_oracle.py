@@ -407,3 +407,6 @@ ORACLE["text_key_graph"] = "\nUNION\n".join([
 ORACLE["bnode_roundtrip"] = """SELECT 'conv' || conv_id AS label, count(*) AS n_texts, sum(length(text))::BIGINT AS n_chars,
        count(DISTINCT turn) AS n_turns, max(turn)::BIGINT AS last_turn
 FROM conversations GROUP BY conv_id"""
+
+TABLES["events_by_user"] = ("Events", "CAST(user_id AS VARCHAR)", *TABLES["events"][2:])
+ORACLE["event_user_triples"] = "SELECT DISTINCT * FROM (" + instance_sql("events_by_user", "events") + ") u"

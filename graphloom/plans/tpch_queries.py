@@ -364,6 +364,16 @@ def q_event_triples(spark, sf_dir):
     return instance_set([(_t(spark, sf_dir, "events"), m.table("events"))], CFG)
 
 
+def q_event_user_triples(spark, sf_dir):
+    """X1 with a declared key that does not hold: events by ``user_id``, said to be unique."""
+    from dataclasses import replace
+
+    from graphloom.plans.table_graph import instance_set
+
+    tm = replace(tpch.mapping(spark, sf_dir).table("events"), identifier="user_id", unique_key=True)
+    return instance_set([(_t(spark, sf_dir, "events"), tm)], CFG)
+
+
 def q_class_pairs(spark, sf_dir):
     """Distinct (subject, value) of a class and one property, over orders and customers."""
     from graphloom.operators.patterns import pairs
@@ -451,6 +461,7 @@ QUERIES = {
     "text_key_graph": q_text_key_graph,
     "ntriples_roundtrip": q_ntriples_roundtrip,
     "bnode_roundtrip": q_bnode_roundtrip,
+    "event_user_triples": q_event_user_triples,
     "namespaces": q_namespaces,
     "feature_in_area": q_feature_in_area,
     "feature_triples": q_feature_triples,

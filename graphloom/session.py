@@ -6,7 +6,8 @@ import os
 import tempfile
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -74,6 +75,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def materialize_counted(df: DataFrame, name: str = "part") -> tuple[DataFrame, int]:
+    """``materialize`` and the number of rows, counted while they are written."""
+    seen = Observation()
+    return materialize(df.observe(seen, F.count(F.lit(1)).alias("n")), name), seen.get["n"]
+
+
 def materialize(df, name: str = "part"):
     """Cut lineage: write ``df`` as Parquet under the shared checkpoint folder and read it back.
 

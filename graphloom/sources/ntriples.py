@@ -12,7 +12,7 @@ from __future__ import annotations
 import os
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom import model as M
@@ -200,15 +200,15 @@ def write_graph(df: DataFrame, path: str, base: str, ts: int, name: str, fmt: st
                 mode: str = "error") -> str:
     """S9 + T14 for a job's final output: the triples (a set that holds no header triple of
     ``base``) are written once to ``path``; the header and the count triple (written triples
-    + header + 1) are appended as one more small part. The count is read back from the
-    written output (Parquet footers, or one parallel line count for text), so the set is
-    neither recomputed nor staged elsewhere first."""
+    + header + 1) are appended as one more small part. The count is taken in the writing job,
+    so the set is neither recomputed nor read back."""
     from graphloom.operators.metadata import HEADER_SIZE, header_triples
     from graphloom.operators.triples import emit, typed_triple
 
     spark = df.sparkSession
-    path = write_triples(df, path, fmt, graph=graph, mode=mode)  # "overwrite" re-runs a failed job
-    n = (spark.read.parquet(path) if fmt == "parquet" else spark.read.text(path)).count()
+    seen = Observation()
+    path = write_triples(df.observe(seen, F.count(F.lit(1)).alias("n")), path, fmt, graph=graph, mode=mode)  # "overwrite" re-runs a failed job
+    n = seen.get["n"]
     header = header_triples(spark, base, ts, name, is_ontology, text)
     count = emit(spark.range(1), [typed_triple(base, M.VOID_TRIPLES, F.lit(str(n + HEADER_SIZE + 1)),
                                                M.XSD_NONNEGATIVEINTEGER)])
