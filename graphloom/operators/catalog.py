@@ -6,7 +6,7 @@ query that takes one table name becomes one join over all tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom import model as M
@@ -66,6 +66,56 @@ def inverse_foreign_keys(fk: DataFrame) -> DataFrame:
     )
 
 
+# ---- the same over raw system tables, with their own keys ---------------------------------
+#
+# tables (object_id, name), columns (object_id, column_id, name, system_type_id, user_type_id),
+# types (system_type_id, user_type_id, name), constraints (object_id, name), key_columns
+# (constraint_id, position, parent_id, parent_column_id, referenced_id, referenced_column_id).
+# Two tables of one name (in two schemas) stay two, since all joins go by id.
+
+
+def _columns_by_id(tables: DataFrame, columns: DataFrame, side: str) -> DataFrame:
+    """(``side``_id, ``side``_column_id, ``side``_table, ``side``_column)."""
+    named = tables.select(F.col("object_id").alias(f"{side}_id"), F.col("name").alias(f"{side}_table"))
+    own = columns.select(F.col("object_id").alias(f"{side}_id"), F.col("column_id").alias(f"{side}_column_id"), F.col("name").alias(f"{side}_column"))
+    return own.join(named, f"{side}_id")
+
+
+def described_columns(tables: DataFrame, columns: DataFrame, types: DataFrame) -> DataFrame:
+    """(object_id, table_name, column_name, data_type); a type is found by both of its ids, so
+    an alias type is told from its base type. Columns without a known type are left out."""
+    names = types.select("system_type_id", "user_type_id", F.col("name").alias("data_type"))
+    own = columns.select("object_id", "system_type_id", "user_type_id", F.col("name").alias("column_name"))
+    found = own.join(names, ["system_type_id", "user_type_id"]).join(tables.select("object_id", F.col("name").alias("table_name")), "object_id")
+    return found.select("object_id", "table_name", "column_name", "data_type")
+
+
+def key_links(tables: DataFrame, columns: DataFrame, key_columns: DataFrame) -> DataFrame:
+    """(constraint_id, position, table_name, column_name, referenced_table, referenced_column):
+    every column pair of every foreign key, those of composite keys in order."""
+    parent, referenced = _columns_by_id(tables, columns, "parent"), _columns_by_id(tables, columns, "referenced")
+    found = key_columns.join(parent, ["parent_id", "parent_column_id"]).join(referenced, ["referenced_id", "referenced_column_id"])
+    return found.select("constraint_id", "position", F.col("parent_table").alias("table_name"), F.col("parent_column").alias("column_name"),
+                        "referenced_table", "referenced_column")
+
+
+def inverse_key_links(tables: DataFrame, columns: DataFrame, constraints: DataFrame, key_columns: DataFrame) -> DataFrame:
+    """(key_name, foreign_table, foreign_column, parent_table, parent_column): who references
+    each table, under the constraint's own name. A composite key is shown by its first pair."""
+    first = key_links(tables, columns, key_columns.where(F.col("position") == 1))
+    names = constraints.select(F.col("object_id").alias("constraint_id"), F.col("name").alias("key_name"))
+    return first.join(names, "constraint_id").select(
+        "key_name", F.col("table_name").alias("foreign_table"), F.col("column_name").alias("foreign_column"),
+        F.col("referenced_table").alias("parent_table"), F.col("referenced_column").alias("parent_column"))
+
+
+def foreign_keys_of(tables: DataFrame, columns: DataFrame, key_columns: DataFrame) -> DataFrame:
+    """The key export that the mapping inference reads, from the raw tables."""
+    links = key_links(tables, columns, key_columns)
+    return links.select("table_name", "column_name", F.col("referenced_table").alias("ref_table"), F.col("referenced_column").alias("ref_column"),
+                        F.row_number().over(Window.orderBy("constraint_id", "position")).alias("pos"))  # catalogue-sized
+
+
 def identifier_of(columns: DataFrame, pk: DataFrame, id_column: str = "id") -> DataFrame:
     """A3: single-column primary key, else a column named ``id``, else null (composite -> none).
 

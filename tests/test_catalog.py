@@ -172,3 +172,45 @@ def test_concept_rule_levelled_style(spark):
     r = df.select(R.decode_concept_property(F.col("p"), F.lit("src"), F.lit("ProcessFunction"), "levelled").alias("p"),
                   R.decode_concept_subtype(F.col("s"), F.lit("src"), "levelled").alias("s")).first()
     assert r.p == "parent_id" and tuple(r.s) == ("location", "17")
+
+
+def test_joins_over_raw_system_tables(spark):
+    """J10 to J12 against SQL over the same tables: composite keys, alias types, equal names."""
+    import duckdb
+
+    from graphloom.session import values
+
+    raw = {
+        "tables": ("object_id int, name string", [(1, "orders"), (2, "customer"), (3, "region"), (4, "orders"), (5, "line")]),
+        "columns": ("object_id int, column_id int, name string, system_type_id int, user_type_id int",
+                    [(1, 1, "id", 56, 56), (1, 2, "cust", 56, 56), (1, 3, "code", 167, 300), (2, 1, "id", 56, 56), (2, 2, "region", 56, 56), (2, 3, "note", 99, 99),
+                     (3, 1, "id", 56, 56), (4, 1, "id", 167, 167), (4, 2, "part", 56, 56), (5, 1, "o_id", 167, 167), (5, 2, "o_part", 56, 56), (9, 1, "gone", 56, 56)]),
+        "types": ("system_type_id int, user_type_id int, name string", [(56, 56, "int"), (167, 167, "varchar"), (167, 300, "code_t")]),
+        "constraints": ("object_id int, name string", [(100, "FK_orders_customer"), (101, "FK_customer_region"), (102, "FK_line_orders"), (103, "FK_self")]),
+        "key_columns": ("constraint_id int, position int, parent_id int, parent_column_id int, referenced_id int, referenced_column_id int",
+                        [(100, 1, 1, 2, 2, 1), (101, 1, 2, 2, 3, 1), (102, 1, 5, 1, 4, 1), (102, 2, 5, 2, 4, 2), (103, 1, 3, 1, 3, 1), (104, 1, 9, 1, 3, 1)]),
+    }
+    con, f = duckdb.connect(), {}
+    for name, (schema, data) in raw.items():
+        f[name] = values(spark, data, schema)
+        con.execute(f"CREATE TABLE {name} ({schema.replace(' string', ' varchar')})")
+        con.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(data[0]))})", data)
+
+    def same(frame, sql):
+        assert rows(frame) == sorted(con.execute(sql).fetchall())
+        assert "SortMergeJoin" not in frame._jdf.queryExecution().toString()
+
+    same(C.described_columns(f["tables"], f["columns"], f["types"]), """
+        SELECT t.object_id, t.name, c.name, y.name FROM tables t, columns c, types y
+        WHERE t.object_id = c.object_id AND c.system_type_id = y.system_type_id AND c.user_type_id = y.user_type_id""")
+    same(C.key_links(f["tables"], f["columns"], f["key_columns"]), """
+        SELECT k.constraint_id, k.position, a.name, x.name, b.name, z.name FROM key_columns k, tables a, columns x, tables b, columns z
+        WHERE a.object_id = k.parent_id AND x.object_id = a.object_id AND x.column_id = k.parent_column_id
+          AND b.object_id = k.referenced_id AND z.object_id = b.object_id AND z.column_id = k.referenced_column_id""")
+    same(C.inverse_key_links(f["tables"], f["columns"], f["constraints"], f["key_columns"]), """
+        SELECT f.name, a.name, x.name, b.name, z.name FROM constraints f, key_columns k, tables a, columns x, tables b, columns z
+        WHERE f.object_id = k.constraint_id AND k.position = 1 AND a.object_id = k.parent_id AND x.object_id = a.object_id AND x.column_id = k.parent_column_id
+          AND b.object_id = k.referenced_id AND z.object_id = b.object_id AND z.column_id = k.referenced_column_id""")
+    export = C.foreign_keys_of(f["tables"], f["columns"], f["key_columns"])
+    assert [r.pos for r in export.orderBy("pos").collect()] == list(range(1, 6))
+    assert ("orders", "cust", "customer", "id") in {tuple(r)[:4] for r in export.collect()}
