@@ -89,8 +89,9 @@ def thresholds(docs: DataFrame, targets: DataFrame) -> DataFrame:
     return joined.select("p.source", "source_size", "target", "whole", F.coalesce(cut, F.lit(0)).cast("long").alias("cut"))
 
 
-def copies(hash_: Column) -> Column:
-    return (F.col("whole") + F.when(hash_ < F.col("cut"), 1).otherwise(0)).cast("long")
+def copies(hash_: Column, size: Column) -> Column:
+    """How often a document is taken; one without words has no part in the rest of a budget."""
+    return (F.col("whole") + F.when((hash_ < F.col("cut")) & (size > 0), 1).otherwise(0)).cast("long")
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -106,7 +107,7 @@ def plan_mix(sizes: DataFrame, weights: Sequence[int], share: float, most: float
 def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """The mixed corpus: the rows of ``docs`` with all their columns, taken rows repeated."""
     plan = plan_mix(sized(docs), weights, share, most).select(F.col("source").alias("_source"), "whole", "cut")
-    n = copies(doc_hash(F.col("text_id"), F.col("text_of")))
+    n = copies(doc_hash(F.col("text_id"), F.col("text_of")), word_count(F.col("text_of")))
     own = docs.select(F.struct("*").alias("row"), F.col("source").alias("source_of"), F.col("doc_id").alias("text_id"), F.col("text").alias("text_of"))
     taken = own.join(plan, F.col("source_of").eqNullSafe(F.col("_source"))).select("row", n.alias("n")).where("n > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select("row.*")
@@ -117,4 +118,4 @@ def mix_report(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float
     sizes = sized(docs)
     plan = plan_mix(sizes, weights, share, most).withColumnRenamed("source", "_source")
     joined = sizes.join(plan, F.col("source").eqNullSafe(F.col("_source")))
-    return joined.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * copies(F.col("hash"))).alias("taken"))
+    return joined.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * copies(F.col("hash"), F.col("size"))).alias("taken"))

@@ -138,3 +138,11 @@ def test_hot_and_heavy_tailed_sizes_end_in_few_divisions(spark, monkeypatch, kin
         shard = sum(c is None or f"{i:08x}" > c for c in cuts)
         loads[shard] += s
     assert max(loads) <= capacity
+
+
+def test_an_empty_text_is_not_taken_beyond_its_whole_copies(docs_of):
+    from graphloom.llm.mix import mix
+
+    rows = [(i, None, None, "b") for i in range(40)] + [(100 + i, "w " * (1 + i % 7), None, "ab"[i % 2]) for i in range(60)]
+    taken = mix(docs_of(rows)).groupBy("doc_id").count().collect()
+    assert max(r["count"] for r in taken) <= 2
