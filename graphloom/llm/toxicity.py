@@ -161,7 +161,7 @@ def graded(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> np.n
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
     """The model of (doc_id, text) and (doc_id, toxic)."""
-    usable = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").select("doc_id", "toxic")
+    usable = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").select("doc_id", "toxic").distinct()
     shares = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     order = F.xxhash64("doc_id", F.lit("toxicity"))
     chosen = None
@@ -170,7 +170,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
         chosen = some if chosen is None else chosen.unionByName(some)
     if len(shares) < 2:
         return Ordinal()
-    found = docs.select("doc_id", "text").join(chosen, "doc_id").select("toxic", "text").mapInArrow(_featured, "toxic int, at array<int>, n array<int>").collect()
+    texts = docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))  # one for each label
+    found = texts.select("toxic", "text").mapInArrow(_featured, "toxic int, at array<int>, n array<int>").collect()
     rows = [(np.array(r["at"], np.int64), np.array(r["n"], np.int64)) for r in found]
     toxic = np.array([r["toxic"] == 1 for r in found], bool)
     if not toxic.any() or toxic.all():
