@@ -70,8 +70,9 @@ class Ends:
         found = self.ends.withColumn("part", part).where("part IS NOT NULL").groupBy("part")
         return [tuple(r)[1:] for r in found.agg(F.min("end").alias("first"), F.max("end").alias("last"), F.count(F.lit(1)).alias("n")).collect()]
 
-    def open_ranges(self, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-        """Runs of neighbouring gaps in the spans that hide ends: the widest ``RANGES`` of them."""
+    def open_ranges(self, spans: list[tuple[int, int]], joined: bool) -> list[tuple[int, int]]:
+        """Runs of neighbouring gaps in the spans that hide ends, ``RANGES`` at most: with
+        ``joined`` the nearest runs become one, else the widest are taken."""
         out: list[tuple[int, int]] = []
         for a, b, hidden in zip(self.known, self.known[1:], self.hidden[1:], strict=False):
             if hidden and any(a < y and b > x for x, y in spans):
@@ -79,22 +80,30 @@ class Ends:
                     out[-1] = (out[-1][0], b)
                 else:
                     out.append((a, b))
-        return sorted(sorted(out, key=lambda r: r[0] - r[1])[:RANGES])
+        if len(out) <= RANGES or not joined:
+            return sorted(sorted(out, key=lambda r: r[0] - r[1])[:RANGES])
+        apart = sorted(range(1, len(out)), key=lambda i: out[i - 1][1] - out[i][0])[:RANGES - 1]
+        starts = [0, *sorted(apart), len(out)]
+        return [(out[i][0], out[j - 1][1]) for i, j in zip(starts, starts[1:], strict=False)]
 
     def divide(self, spans: list[tuple[int, int]]) -> None:
-        """Learn the first and last end of every part of the open ranges. Known ends are kept, and
-        a range holds ends that are not known, so each division learns some."""
-        ranges = self.open_ranges(spans)
-        if not ranges:
-            raise AssertionError("no gap is left to divide")
-        self.divisions += 1
-        known = dict(zip(self.known, self.hidden, strict=True))
-        for first, last, n in self.parts(ranges, max(2, self.bins // len(ranges))):
-            inside = self.known[bisect_left(self.known, first):bisect_right(self.known, last)]
-            inside = sorted({first, last, *inside})
-            known.update(dict.fromkeys(inside, n > len(inside)))
-            known[first] = False  # nothing lies between two parts' ends
-        self.known, self.hidden = map(list, zip(*sorted(known.items()), strict=True))
+        """Learn the first and last end of every part of the open ranges. What is known is kept. If
+        joined ranges were too wide to show anything new, the widest runs are divided alone: these
+        shrink with each division, until they show all."""
+        for joined in (True, False):
+            before = len(self.known), sum(self.hidden)
+            ranges = self.open_ranges(spans, joined)
+            if not ranges:
+                raise AssertionError("no gap is left to divide")
+            self.divisions += 1
+            known = dict(zip(self.known, self.hidden, strict=True))
+            for first, last, n in self.parts(ranges, max(2, self.bins // len(ranges))):
+                inside = sorted({first, last, *self.known[bisect_left(self.known, first):bisect_right(self.known, last)]})
+                known.update({e: n > len(inside) and known.get(e, True) for e in inside})
+                known[first] = False  # nothing lies between two parts' ends
+            self.known, self.hidden = map(list, zip(*sorted(known.items()), strict=True))
+            if (len(self.known), sum(self.hidden)) != before:
+                return
 
     def reach(self, start: int, capacity: int, hopeful: bool) -> int:
         """The furthest end a shard from ``start`` can take: for sure, or at the very best."""
