@@ -19,14 +19,20 @@ SF_CLASS = {
     "MULTILINESTRING": "MultiLineString",
     "MULTIPOLYGON": "MultiPolygon",
     "MULTISURFACE": "MultiSurface",
+    "GEOMETRYCOLLECTION": "GeometryCollection",
 }
 
 _NUM = r"[-+]?[0-9]*\\.?[0-9]+(?:[eE][-+]?[0-9]+)?"
 
 
+# The keyword of a text, after the spatial reference that extended WKT puts before it.
+_KEYWORD = r"^\s*(?:(?i:SRID)\s*=\s*[0-9]+\s*;\s*)?([A-Za-z]+)"
+
+
 def geometry_type(wkt: Column) -> Column:
-    """WKT keyword in upper case (``POINT``, ``POLYGON`` ...); null for null text."""
-    return F.upper(F.regexp_extract(wkt, r"^\s*([A-Za-z]+)", 1))
+    """WKT keyword in upper case (``POINT``, ``POLYGON`` ...); null for null text. A leading
+    ``SRID=...;`` is passed over."""
+    return F.upper(F.regexp_extract(wkt, _KEYWORD, 1))
 
 
 def sf_class(gtype: Column) -> Column:
@@ -73,14 +79,29 @@ def _seg_moments(p: str) -> str:
     )
 
 
-def centroid_sql(wkt: str) -> str:
-    """SQL text of ``struct<x double, y double>``: the centroid of WKT column ``wkt``.
+_BODY = "\\\\s*(?:[ZzMm]{1,2}\\\\s*)?\\\\((?:[^()]|\\\\([^()]*\\\\))*\\\\)"
+
+
+def _of_collection(kind: str) -> str:
+    """Centroid of a collection ``whole`` by its members of the highest dimension: members of
+    lower dimension are cut out, what is left is one geometry with several parts."""
+    lower = {"POLYGON": "POINT|LINESTRING", "LINESTRING": "POINT", "POINT": ""}[kind]
+    text = f"regexp_replace(whole, '(?i)(?:MULTI)?(?:{lower}){_BODY}', '')" if lower else "whole"
+    named = f"regexp_replace({text}, '^[^(]*', 'MULTI{kind} ')"
+    return _bind(named, "part", centroid_sql("part", False))
+
+
+def centroid_sql(wkt: str, nested: bool = True) -> str:
+    """SQL text of ``struct<x double, y double>``: the centroid of WKT column ``wkt``. A collection
+    (``nested``) has that of its members of the highest dimension.
 
     Every ring is parsed once; intermediate arrays are bound to lambda variables, so no
     sub-expression is evaluated twice. A degenerate geometry (no area, no length, no point)
     has no centroid (null), never a division error.
     """
-    gtype = f"upper(regexp_extract({wkt}, '^\\\\s*([A-Za-z]+)', 1))"
+    original = wkt
+    gtype = f"upper(regexp_extract({wkt}, '{_KEYWORD.replace(chr(92), chr(92) * 2)}', 1))"
+    wkt = f"regexp_replace({wkt}, '^\\\\s*(?i:SRID)[^;]*;', '')"
     points = _bind(_coords(wkt), "pts",
                    "named_struct('x', try_divide(aggregate(pts, 0d, (a, q) -> a + q[0]), size(pts)), "
                    "'y', try_divide(aggregate(pts, 0d, (a, q) -> a + q[1]), size(pts)))")
@@ -102,6 +123,11 @@ def centroid_sql(wkt: str) -> str:
                f"named_struct('l', 0d, 'x', 0d, 'y', 0d), "
                f"(acc, g) -> named_struct('l', acc.l + g.l, 'x', acc.x + g.x, 'y', acc.y + g.y))")
     line = _bind(lines_m, "u", "named_struct('x', try_divide(u.x, u.l), 'y', try_divide(u.y, u.l))")
+    if nested:
+        return _bind(f"{original}", "whole", (
+            f"case when {gtype.replace(original, 'whole')} <> 'GEOMETRYCOLLECTION' then {centroid_sql('whole', False)} "
+            f"when whole rlike '(?i)POLYGON' then {_of_collection('POLYGON')} "
+            f"when whole rlike '(?i)LINESTRING' then {_of_collection('LINESTRING')} else {_of_collection('POINT')} end"))
     return (
         f"case when {wkt} is null then null "
         f"when {gtype} in ('POINT', 'MULTIPOINT') then {points} "

@@ -1,5 +1,6 @@
 """Golden micro-cases worked by hand from the reference code (FIXTURES.md section 4)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from graphloom.functions import geometry as G
@@ -142,3 +143,29 @@ def test_lexical_forms_match_duckdb_on_all_values(spark):
                 f"ELSE strftime({c}, '%Y-%m-%dT%H:%M:%S') END") if ts else f"CAST({c} AS VARCHAR)"
         want = dict(duckdb.sql(f"SELECT DISTINCT CAST({c} AS VARCHAR), {expr} FROM '{sf}/{t}.parquet'").fetchall())
         assert got == want, (t, c)
+
+
+def test_extended_and_collected_geometry(spark):
+    """A spatial reference before the keyword; collections by their members of the highest dimension."""
+    from graphloom.functions.geometry import centroid, geometry_type, sf_class
+
+    square = "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 3 1, 3 3, 1 3, 1 1))"
+    cases = [
+        ("SRID=28992;POINT (3 4)", "POINT", (3, 4)),
+        (" srid = 4326 ; LINESTRING (0 0, 2 0)", "LINESTRING", (1, 0)),
+        (f"SRID=28992;{square}", "POLYGON", (2, 2)),
+        (f"GEOMETRYCOLLECTION (POINT (100 100), {square}, LINESTRING (50 50, 60 60, 50 60))", "GEOMETRYCOLLECTION", (2, 2)),
+        ("SRID=1;GEOMETRYCOLLECTION(POLYGON((0 0,2 0,2 2,0 2,0 0)),MULTIPOLYGON(((4 0,6 0,6 2,4 2,4 0))))", "GEOMETRYCOLLECTION", (3, 1)),
+        ("GEOMETRYCOLLECTION (POINT (9 9), MULTILINESTRING ((0 0, 2 0), (4 0, 6 0)))", "GEOMETRYCOLLECTION", (3, 0)),
+        ("GEOMETRYCOLLECTION Z (POINT Z (1 1 5), MULTIPOINT ((3 3), (5 5)))", "GEOMETRYCOLLECTION", (3, 3)),
+        ("GEOMETRYCOLLECTION EMPTY", "GEOMETRYCOLLECTION", None),
+        (None, None, None),
+    ]
+    df = spark.createDataFrame([(i, w) for i, (w, _, _) in enumerate(cases)], "i int, w string")
+    got = df.select("i", geometry_type(F.col("w")).alias("t"), sf_class(geometry_type(F.col("w"))).alias("c"), centroid("w").alias("m")).orderBy("i").collect()
+    for (wkt, kind, want), r in zip(cases, got, strict=True):
+        assert r.t == kind and (kind != "GEOMETRYCOLLECTION" or r.c == "GeometryCollection")
+        if want is None:
+            assert r.m is None or r.m.x is None
+        else:
+            assert (r.m.x, r.m.y) == pytest.approx(want), wkt

@@ -62,9 +62,9 @@ def test_declared_key_tables_emit_without_shuffle(spark):
     assert "HashAggregate" in plan(spark, instance_set(li, Q.CFG))  # derived key: deduplicated
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(Q.QUERIES))
 def test_no_cartesian_or_nested_loop(spark, name):
-    text = plan(spark, E.queries()[name](spark, SF001))
+    text = plan(spark, Q.QUERIES[name](spark, SF001))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
