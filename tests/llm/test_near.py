@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from graphloom.llm.components import components
-from graphloom.llm.near import near_dedup, near_report
+from graphloom.llm.near import apart, near_dedup, near_report
 
 
 def _brute(rows, k=4, percent=80):
@@ -49,10 +49,10 @@ def _corpus(seed, groups=6, copies=30):
     return rows
 
 
-@pytest.mark.parametrize("small", [64, 3])
-def test_near_matches_brute_force(docs_of, small):
+@pytest.mark.parametrize("tile", [512, 3])
+def test_near_matches_brute_force(docs_of, tile):
     rows = _corpus(7)
-    out = near_report(docs_of(rows), small=small).collect()
+    out = near_report(docs_of(rows), tile=tile).collect()
     assert sorted(map(tuple, out), key=str) == _brute(rows)
 
 
@@ -70,6 +70,38 @@ def test_near_dedup_keeps_one_of_each(docs_of):
     assert sum(not (r["text"] or "").split() for r in out) == 3
 
 
+def test_near_shared_passage(docs_of):
+    """Texts that share half their words, at many similarities around the threshold: no link
+    is lost in a bucket that holds them all."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(3000)]
+    base = [rng.choice(words) for _ in range(120)]
+    rows = []
+    for i in range(260):
+        own = list(base)
+        for at in rng.sample(range(120), rng.choice([1, 2, 3, 4, 5, 6])):
+            own[at] = rng.choice(words)
+        rows.append((i, " ".join(own)))
+    for tile in (512, 40):
+        assert sorted(map(tuple, near_report(docs_of(rows), tile=tile).collect()), key=str) == _brute(rows)
+
+
+def test_sets_that_share_half_a_hash(spark):
+    rows = spark.createDataFrame([(1, 4, 7, 70), (2, 4, 7, 71), (3, 4, 7, 71), (4, 4, 8, 80), (5, 0, None, None)], "doc_id long, n long, node long, check long")
+    out = {r["doc_id"]: (r["node"], r["lo"]) for r in apart(rows).collect()}
+    assert out[2] == out[3] and out[1][0] != out[2][0] and out[4] == (8, 8) and out[5] == (None, None)
+    assert [out[i][1] for i in (1, 2)] == [7, 7]
+
+
+def test_near_dedup_repeated_ids(docs_of):
+    """Rows equal in id and text: the one that stays does not depend on the order."""
+    rows = [(1, "one two three four five six")] * 3
+    wide = [docs_of(rows).withColumn("source", F.lit(x)) for x in "cab"]
+    for order in ((0, 1, 2), (2, 0, 1)):
+        docs = wide[order[0]].unionByName(wide[order[1]]).unionByName(wide[order[2]])
+        assert [r["source"] for r in near_dedup(docs).collect()] == ["a"]
+
+
 def test_near_empty(docs_of):
     assert near_report(docs_of([])).collect() == []
     assert near_dedup(docs_of([])).collect() == []
