@@ -1,11 +1,11 @@
 """Licence scans by canonical digest.
 
-A text is put into canonical form (lower case, copyright lines dropped, equivalent spellings
+A text is put into canonical form (lower case, copyright and title lines dropped, equivalent spellings
 made one, punctuation and spacing reduced to single spaces), and the SHA-256 of the whole
 form is hash-joined to the digests of known licence texts. Whole documents are compared, and
 so is every line of a document, which finds one-line notices.
 
-Defined cases: a null or empty text, and one that only holds copyright lines, has no licence;
+Defined cases: a null or empty text, and one that only holds copyright or title lines, has no licence;
 two known texts with one canonical form give the smaller identifier; repeated rows are
 answered each; an empty table gives no rows; further columns are left out.
 """
@@ -57,6 +57,21 @@ following conditions are met:
 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
 documentation and/or other materials provided with the distribution.
 
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT
+HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT
+LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON
+ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE
+USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("BSD-3-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this
+software without specific prior written permission.
+
 THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
 LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT
 HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT
@@ -93,13 +108,17 @@ and limitations under the License."""),
 distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""),
 )
 
-COPYRIGHT = (r"(?m)^[^a-z0-9\n©]*(?:copyright\s*(?:\(c\)|©|[0-9]{4}|by |<|\[)|\(c\)\s*(?:copyright|[0-9]{4}|by )|©|all rights reserved[^a-z0-9\n]*$)[^\n]*$")
+COPYRIGHT = (r"(?m)^[^a-z0-9\n©]*(?:copyright\s*(?:\(c\)|©|[0-9]{4}|by |<|\[|the [^\n]*(?:authors?|contributors?|developers?|project|foundation)[^a-z0-9\n]*$)|\(c\)\s*(?:copyright|[0-9]{4}|by )|©|all rights reserved[^a-z0-9\n]*$)[^\n]*$")
+
+# A line that only names a licence whose text follows.
+TITLE = r"(?m)^[^a-z0-9\n]*(?:the )?(?:mit|isc|zlib|(?:(?:new|simplified|modified|revised) )?bsd|bsd [23]-clause(?: \"?(?:new|revised|simplified)\"?(?: or \"?(?:new|revised|simplified)\"?)?)?) licen[cs]e(?: \((?:mit|isc|zlib|bsd)\))?[^a-z0-9\n]*$"
 
 
 def canonical_lines(text: Column) -> Column:
     """Canonical form with line ends kept."""
     low = F.lower(F.coalesce(text, F.lit("")))
     low = F.when(low.rlike("copyright|©|all rights reserved|\\(c\\)"), F.regexp_replace(low, COPYRIGHT, "")).otherwise(low)
+    low = F.when(low.rlike("(?:mit|isc|zlib|bsd|clause|simplified\"?|revised\"?|new\"?) licen[cs]e"), F.regexp_replace(low, TITLE, "")).otherwise(low)
     plain = F.regexp_replace(low, r"[^\p{L}\p{N}\n]+", " ")
     spelled = plain
     for variant, usual in EQUIVALENT:

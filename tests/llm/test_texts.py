@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.decontaminate import decontaminate, leak_report
 from graphloom.llm.langid import hashes, language_report, letters
-from graphloom.llm.licenses import license_report
+from graphloom.llm.licenses import KNOWN, license_report
 from graphloom.llm.lines import bags, drop_lines, line_report, probes, within
 from graphloom.llm.secrets import RULES, scan_versions, secret_report
 from graphloom.llm.topk import top_k
@@ -211,6 +211,18 @@ def test_licenses(docs_of):
     assert license_report(docs_of([])).collect() == []
 
 
+def test_license_files_with_titles_and_holders(docs_of):
+    text = {name: form for name, form in KNOWN if len(form) > 500}
+    heads = {"MIT": ["MIT License\n\nCopyright (c) 2020 Someone", "The MIT License (MIT)\nCopyright © 2020 Someone", "# MIT Licence\nCopyright The Foo Authors"],
+             "ISC": ["ISC License\n\nCopyright (c) 2020, Someone"], "Zlib": ["zlib license\n(C) 1995 Someone"],
+             "BSD-2-Clause": ["BSD 2-Clause \"Simplified\" License\n\nCopyright 2020 Someone", "Simplified BSD License\nCopyright the Foo project"],
+             "BSD-3-Clause": ["BSD 3-Clause License\n\nCopyright (c) 2020, Someone\nAll rights reserved.", "BSD 3-Clause \"New\" or \"Revised\" License"]}
+    cases = [(name, f"{head}\n\n{text[name]}") for name, all_ in heads.items() for head in all_]
+    cases += [(None, "MIT License"), (None, "The MIT License is short\n" + text["MIT"]), (None, "Copyright The Foo Authors")]
+    out = {r["doc_id"]: r["license"] for r in license_report(docs_of([(i, x) for i, (_, x) in enumerate(cases)])).collect()}
+    assert [out[i] for i in range(len(cases))] == [name for name, _ in cases]
+
+
 def test_language_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = language_report(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
