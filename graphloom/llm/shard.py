@@ -10,7 +10,8 @@ digests, so texts are never shuffled.
 
 Defined cases: a null text counts one byte and forms its own group before all others; equal
 rows go to one shard and get distinct slots; with fewer groups than shards, some shards
-stay empty; an empty table gives an empty result; further columns stay as they are.
+stay empty; an empty table gives an empty result; further columns stay as they are, but
+an earlier shard column is replaced.
 """
 
 from __future__ import annotations
@@ -179,9 +180,10 @@ def shard_of(digest_: Column, cuts: list[str | None]) -> Column:
 
 
 def shard_documents(docs: DataFrame, shards: int = 16, column: str = "shard") -> DataFrame:
-    """``docs`` with all its columns plus ``column``: shard 0 to ``shards`` - 1 by bytes."""
+    """``docs`` with all its columns plus ``column``: shard 0 to ``shards`` - 1 by bytes. A
+    column that ``docs`` has under that name gives way."""
     text = F.col("_text")
-    own = docs.select(F.struct("*").alias("_row"), F.col("text").alias("_text"))
+    own = docs.drop(column).select(F.struct("*").alias("_row"), F.col("text").alias("_text"))
     _, cuts, _ = shard_plan(own.select(digest(text).alias("digest"), size_of(text).alias("size")), shards)
     return own.select("_row.*", shard_of(digest(text), cuts).alias(column))
 
