@@ -55,10 +55,12 @@ OPENERS = ("What", "Which", "Who", "Whom", "Whose", "How", "When", "Where", "Why
            "This", "That", "These", "Those", "It", "He", "She", "We", "They", "You", "Each", "Every", "All", "Some", "Suppose", "Given", "Let",
            "Find", "Calculate", "Compute", "Determine", "Name", "Write", "Consider", "After", "Before", "During", "Since", "While", "As", "And", "But", "Or", "Not", "No", "Yes")
 
-NUMBER, UNIT, NAME = "\u0001", "\u0002", "\u0003"
-_FIRST = "\u0004"  # before a capitalised word that starts a sentence
+# Marks before a token: a number, a unit after a number, a name, a capitalised word that starts a
+# sentence. The first three stand for the whole token in a template.
+NUMBER, UNIT, NAME, _FIRST = "\u0001", "\u0002", "\u0003", "\u0004"
 _CAPITAL = r"\p{Lu}\p{Ll}+(?![\p{L}\p{N}])"
 _NAMED = rf"(?=\p{{Lu}}\p{{Ll}})(?:(?<=[\p{{L}}\p{{N}},] )|(?<=: )(?!(?:{'|'.join(OPENERS)})(?![\p{{L}}\p{{N}}]))){_CAPITAL}"
+_NUMBERS = r"\p{N}+(?:[.,]\p{N}+)*"
 
 
 def _raw(text: Column) -> Column:
@@ -68,56 +70,60 @@ def _raw(text: Column) -> Column:
     return F.regexp_replace(opened, r"[^\p{L}\p{N}.,!?:\n]+", " ")
 
 
-def _tokens(raw: Column) -> Column:
-    """Tokens of a raw text: sentence marks go, decimal points inside numbers stay."""
-    flat = F.regexp_replace(F.lower(raw), r"(?:[.,](?!\p{N})|(?<!\p{N})[.,]|[!?:\s])+", " ")
-    return F.array_remove(F.split(flat, " "), "")
-
+def _marked(raw: Column) -> Column:
+    """The tokens of a raw text in lower case, each behind its mark if it has one, one space
+    apart: sentence marks go, decimal points inside numbers stay."""
+    named = F.regexp_replace(raw, _NAMED, f"{NAME}$0")
+    first = F.regexp_replace(named, rf"(?=\p{{Lu}}\p{{Ll}})(?<![\p{{L}}\p{{N}}{NAME}])(?={_CAPITAL})", _FIRST)
+    number = F.regexp_replace(first, rf"(?=\p{{N}})(?<![\p{{L}}\p{{N}}]){_NUMBERS}(?![\p{{L}}\p{{N}}])", f"{NUMBER}$0")
+    unit = F.regexp_replace(number, rf"(?i)({NUMBER}{_NUMBERS} (?:: )?)((?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}]))", f"$1{UNIT}$2")
+    marked = F.when(raw.rlike(r"\p{N}"), unit).otherwise(first)
+    return F.trim(F.regexp_replace(F.lower(marked), r"(?=[.,!?:\s])(?:[!?:\s]|[.,](?!\p{N})|(?<!\p{N})[.,])+", " "))
 
-def _template(raw: Column) -> Column:
-    """Tokens of a raw text with its placeholders."""
-    named = F.regexp_replace(raw, _NAMED, NAME)
-    first = F.regexp_replace(named, rf"(?=\p{{Lu}}\p{{Ll}})(?<![\p{{L}}\p{{N}}])(?={_CAPITAL})", _FIRST)
-    number = F.regexp_replace(first, r"(?<![\p{L}\p{N}])\p{N}+(?:[.,]\p{N}+)*(?![\p{L}\p{N}])", NUMBER)
-    unit = F.regexp_replace(number, rf"(?i)({NUMBER} (?:: )?)(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"$1{UNIT}")
-    return _tokens(F.when(raw.rlike(r"\p{N}"), unit).otherwise(first))
 
-
-def _known(template: Column, again: Column) -> Column:
-    """Template tokens whose first words of sentences are placeholders if they are in ``again``.
-    The array is bound to a variable, so that it is made once a row and not once a token."""
-    word = lambda t, names: F.when(F.array_contains(names, t), NAME).otherwise(F.substr(t, F.lit(2)))
-    of = lambda names: F.transform(template, lambda t: F.when(F.startswith(t, F.lit(_FIRST)), word(t, names)).otherwise(t))
-    bare = F.array_remove(F.split(F.translate(F.concat_ws(" ", template), _FIRST, ""), " "), "")
-    return F.get(F.transform(F.array(again), lambda names: F.when(F.size(names) == 0, bare).otherwise(of(names))), F.lit(0))
+def _split(flat: Column) -> Column:
+    return F.array_remove(F.split(flat, " "), "")
 
 
 def templates(rows: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` plus ``raw`` and ``template``: two token arrays of equal length."""
+    """``keep`` plus ``raw`` and ``template``: two token arrays of equal length. Marks are set
+    once a text and both arrays are cut from the marked text; the first word of a sentence is
+    a name where the same text has it as a name elsewhere."""
     raws = rows.select(*keep, _raw(F.col("text")).alias("_raw"))
-    made = raws.select(*keep, _tokens(F.col("_raw")).alias("raw"), _template(F.col("_raw")).alias("_template"),
-                       F.array_distinct(F.regexp_extract_all("_raw", F.lit(_NAMED), F.lit(0))).alias("_names"))
-    firsts = F.filter("_template", lambda t: F.startswith(t, F.lit(_FIRST)))
-    again = F.array_intersect(firsts, F.transform("_names", lambda n: F.concat(F.lit(_FIRST), F.lower(n))))
-    made = made.select(*keep, "raw", "_template", again.alias("_again"))
-    return made.select(*keep, "raw", _known(F.col("_template"), F.col("_again")).alias("template"))
-
-
-def _windows(size: int, step: int) -> Column:
-    """(at, hash) of the windows of ``size`` tokens at every ``step``-th place, as a template
-    and, where that differs, as they are."""
+    flat = raws.select(*keep, _marked(F.col("_raw")).alias("_flat"))
+    marked = lambda mark: F.array_distinct(F.regexp_extract_all("_flat", F.lit(f"{mark}([^ ]+)"), F.lit(1)))
+    again = flat.select(*keep, "_flat", F.array_join(F.array_intersect(marked(_FIRST), marked(NAME)), "|").alias("_again"))
+    named = F.regexp_replace("_flat", F.concat(F.lit(f"{_FIRST}(?:"), F.col("_again"), F.lit(")(?![^ ])")), F.lit(NAME + "_"))
+    known = F.when(F.col("_again") == "", F.col("_flat")).otherwise(named)
+    template = F.regexp_replace(F.translate(known, _FIRST, ""), f"([{NUMBER}{UNIT}{NAME}])[^ ]+", "$1")
+    bare = F.translate("_flat", NUMBER + UNIT + NAME + _FIRST, "")
+    return again.select(*keep, _split(bare).alias("raw"), _split(template).alias("template"))
+
+
+def _windows(size: int, step: int, kind: int) -> Column:
+    """(kind, at, hash) of the windows of ``size`` tokens at every ``step``-th place, as a
+    template and, where that differs, as they are."""
     last = F.size("template") - size
     at = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(step))).otherwise(F.array().cast("array<int>"))
     of = lambda i: F.array_distinct(F.array(*[F.xxhash64(F.slice(c, i + 1, F.lit(size))) for c in ("template", "raw")]))
-    return F.explode(F.flatten(F.transform(at, lambda i: F.transform(of(i), lambda h: F.struct(i.alias("at"), h.alias("hash"))))))
-
-
-def _hits(docs: DataFrame, items: DataFrame, size: int, step: int) -> DataFrame:
-    """(doc key, item, diagonal) of every window that a document and an item share. The
-    item side is staged, so Spark knows its size and broadcasts it only if it is small."""
-    ours = stage(items.select("item_row", _windows(size, 1).alias("w")).select("item_row", F.col("w.at").alias("item_at"), F.col("w.hash").alias("hash")), "windows")
-    theirs = docs.select("doc_id", "text_hash", _windows(size, step).alias("w")).select("doc_id", "text_hash", F.col("w.at").alias("at"), F.col("w.hash").alias("hash"))
-    return theirs.join(ours, "hash").select("doc_id", "text_hash", "item_row", (F.col("at") - F.col("item_at")).alias("diagonal"))
+    return F.flatten(F.transform(at, lambda i: F.transform(of(i), lambda h: F.struct(F.lit(kind).alias("kind"), i.alias("at"), h.alias("hash")))))
+
+
+def _hits(docs: DataFrame, items: DataFrame, short: list[int]) -> DataFrame:
+    """(doc key, item, diagonal) of every window that a document and an item share: windows of
+    all lengths in one pass over the documents. ``short`` has the lengths of the items that
+    must occur whole (kind: their length), the longer ones are of kind 0. The item side is
+    staged, so Spark knows its size and broadcasts it only if it is small."""
+    n = F.size("template")
+    own = F.when(n >= RUN, _windows(WINDOW, 1, 0))
+    for size in short:
+        own = own.when(n == size, _windows(size, 1, size))
+    ours = items.select("item_row", F.explode(own).alias("w"))
+    ours = stage(ours.select("item_row", F.col("w.kind").alias("_kind"), F.col("w.at").alias("item_at"), F.col("w.hash").alias("_hash")), "windows")
+    every = F.concat(_windows(WINDOW, WINDOW, 0), *[_windows(size, 1, size) for size in short])
+    theirs = docs.select("doc_id", "text_hash", F.explode(every).alias("w")).select("doc_id", "text_hash", "w.*")
+    joined = theirs.join(ours, (F.col("hash") == F.col("_hash")) & (F.col("kind") == F.col("_kind")))
+    return joined.select("doc_id", "text_hash", "item_row", (F.col("at") - F.col("item_at")).alias("diagonal"))
 
 
 def _longest(equal: Column) -> Column:
@@ -158,11 +164,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = stage(items.where(F.size("template") >= LEAST), "items")
     keyed = templates(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), ["doc_id", "text_hash"])
     plain = keyed.select("doc_id", "text_hash", "raw", "template")
-    long_ = items.where(F.size("template") >= RUN)
-    found = _hits(plain, long_, WINDOW, WINDOW)
     shorter = items.where(F.size("template") < RUN).select(F.size("template").alias("n")).distinct()
-    for n in sorted(r["n"] for r in shorter.collect()):  # at most RUN - LEAST lengths
-        found = found.unionByName(_hits(plain, items.where(F.size("template") == n), n, 1))
+    found = _hits(plain, items, sorted(r["n"] for r in shorter.collect()))  # at most RUN - LEAST lengths
     diagonals = stage(found.distinct(), "diagonals")
 
     widest = max(items.agg(F.max(F.size("template"))).first()[0] or 0, 1)
