@@ -58,9 +58,20 @@ def set_union(parts: list[tuple[DataFrame, bool]]) -> DataFrame:
 
 
 def stage(df: DataFrame, name: str = "graph") -> DataFrame:
-    """Store a graph once (Parquet in the checkpoint folder), each file sorted by predicate,
-    so that repeated pattern scans read only the row groups of the predicates they name
-    (min/max statistics on ``p``) instead of recomputing or rescanning the whole graph."""
+    """Store a graph once (Parquet in the checkpoint folder), so that repeated pattern scans do
+    not recompute it. Triples are written as they come: a sort by predicate would hold all
+    triples of a task, and a table file of a few MB gives one task a gigabyte of them. A job
+    that knows which terms it can meet stages ``named`` triples only."""
     from graphloom.session import materialize
 
-    return materialize(df.select(*M.TRIPLE_COLUMNS).sortWithinPartitions("p"), name)
+    return materialize(df.select(*M.TRIPLE_COLUMNS), name)
+
+
+def named(graph: DataFrame, classes: set[str], predicates: set[str]) -> DataFrame:
+    """The triples that patterns over these classes and predicates can meet, whatever the
+    graph's namespace (it is not known before the graph is read): names are compared by what
+    follows the last ``/``. The types that tell what a graph is (O2) are among them."""
+    tail = lambda c: F.substring_index(c, "/", -1)
+    tails = lambda names: sorted({n.rsplit("/", 1)[-1] for n in names})
+    typed = F.col("o").isin(M.OWL_ONTOLOGY, M.VOID_DATASET) | tail(F.col("o")).isin(tails(classes))
+    return graph.where(((F.col("p") == M.RDF_TYPE) & typed) | tail(F.col("p")).isin(tails(predicates)))

@@ -9,6 +9,7 @@ base IRI of each input graph (one row, O2) and the decoded rule rows to unroll t
 from __future__ import annotations
 
 import logging
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from graphloom.operators import enrich as EN
 from graphloom.operators import ontology as O
 from graphloom.operators import patterns as P
 from graphloom.operators.metadata import base_of, refresh_metadata, with_metadata
-from graphloom.operators.sets import as_set, stage, union_all
+from graphloom.operators.sets import as_set, named, stage, union_all
 from graphloom.operators.triples import empty_triples
 from graphloom.session import values
 
@@ -90,12 +91,29 @@ def _rule_frame(rules: DataFrame, src_db: str, tgt_db: str, src_ns: str, tgt_ns:
     )
 
 
+def _terms(spark: SparkSession, terms: list[tuple[str, str]], prefix_rule_dbs=()) -> tuple[set[str], set[str]]:
+    """Class and predicate names (without namespace) that rule terms ``(db, term)`` name."""
+    t = decode_rule(F.col("term"))
+    cls = O.rule_class(t["model"], F.col("db"), t["tbl"], prefix_rule_dbs)
+    rows = values(spark, terms, "db string, term string").where(t.isNotNull()).select(
+        cls.alias("cls"), F.concat(F.lower(cls), F.lit("_"), F.lower(t["prop"])).alias("p")).collect()  # rule-sized
+    return {r.cls for r in rows if r.cls is not None}, {r.p for r in rows if r.p is not None}
+
+
+def _xref_terms(doc: dict) -> list[tuple[str, str]]:
+    """The terms of all cross-reference rules; a target is a term of the source that it names."""
+    terms = [(db, r.get("source")) for db, rs in doc.items() for r in rs]
+    targets = [r.get("target") for rs in doc.values() for r in rs]
+    return terms + [(re.split("[:.]", t)[1], t) for t in targets if t and re.match("[^:.]*:[^:.]*[.]", t)]
+
+
 def xref(src_graph: DataFrame, tgt_graph: DataFrame, rules_doc: dict, backlinks: bool = False,
          ts: int | None = None, known=None, prefix_rule_dbs=(), base: str = M.DEFAULT_BASE) -> DataFrame:
     """G1: link two graphs of one kind. Datasets -> instance links (J6 + J7); ontologies ->
     cross-reference properties (T16). With ``backlinks`` the target's rules run the other way."""
     spark = src_graph.sparkSession
-    src_graph, tgt_graph = stage(src_graph, "xref-source"), stage(tgt_graph, "xref-target")
+    classes, predicates = _terms(spark, _xref_terms(rules_doc), prefix_rule_dbs)
+    src_graph, tgt_graph = stage(named(src_graph, classes, predicates), "xref-source"), stage(named(tgt_graph, classes, predicates), "xref-target")
     a, b = graph_identity(src_graph, known), graph_identity(tgt_graph, known)
     if a["kind"] != b["kind"]:
         raise ValueError("graphs are of different kinds")
@@ -137,7 +155,8 @@ def enrich_graph(graph: DataFrame, rules_doc: dict, ts: int | None = None, known
     """J5 bindings of the source classes and attributes of all rules in one pass -> T13
     branches; X1; header. Rules of the graph's own source apply."""
     spark = graph.sparkSession
-    graph = stage(graph, "enrich-input")
+    classes, predicates = _terms(spark, [(db, term) for db, rs in rules_doc.items() for r in rs for term in r.get("source") or ()], prefix_rule_dbs)
+    graph = stage(named(graph, classes, predicates), "enrich-input")
     g = graph_identity(graph, known)
     rules = rules_doc.get(g["db"], [])
     rows = [(g["db"], i, term) for i, r in enumerate(rules) for term in r["source"]]
@@ -206,13 +225,24 @@ def concept_rules(spark: SparkSession, doc: dict, db: str, style: str = "version
     ).withColumn("prefix_len", F.lit(prefix_len))
 
 
+def _concept_terms(spark: SparkSession, doc: dict, id_property: str, style: str, prefix_len: int) -> tuple[set[str], set[str]]:
+    """Class and predicate names (without namespace) that the concept rules of any source name."""
+    if not doc:
+        return set(), set()
+    rules = reduce(DataFrame.unionByName, [concept_rules(spark, doc, db, style, prefix_len) for db in doc])
+    cls = concept_class_name(F.col("tbl"), prefix_len)
+    refs = F.transform("subtypes", lambda s: F.concat(F.lower(concept_class_name(s["tbl"], prefix_len)), F.lit("_" + id_property)))
+    rows = rules.select(cls.alias("cls"), F.concat(F.lower(cls), F.lit("_"), F.col("relation")).alias("p"), refs.alias("refs")).collect()  # rule-sized
+    return {r.cls for r in rows if r.cls is not None}, {p for r in rows for p in [r.p, *(r.refs or ())] if p is not None}
+
+
 def align_graph(graph: DataFrame, doc: dict, id_property: str = "id", ts: int | None = None,
                 concept_ns: str = "http://example.org/otl#", style: str = "versioned", prefix_len: int = 0,
                 known=None, base: str = M.DEFAULT_BASE) -> DataFrame:
     """A6 dictionary -> J8 two-hop chain (instance -relation-> target -id-> value) ->
     J9 ``rdf:type`` to the concept; all rules in one join."""
     spark = graph.sparkSession
-    graph = stage(graph, "align-input")
+    graph = stage(named(graph, *_concept_terms(spark, doc, id_property, style, prefix_len)), "align-input")
     g = graph_identity(graph, known)
     rules = concept_rules(spark, doc, g["db"], style, prefix_len)
     cmap = P.concept_map(rules)
