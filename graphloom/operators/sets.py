@@ -6,13 +6,29 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from graphloom import model as M
 
 
 def as_set(df: DataFrame) -> DataFrame:
-    """Each triple once (nulls compare equal). Partial aggregation runs before the
-    shuffle, so repeated triples (``rdf:type`` of one class) collapse map-side."""
+    """Each triple once (nulls compare equal). Triples are dealt out before they are
+    compared, so a task holds a shuffle partition of them, and not all that a table file gives:
+    most triples occur once, and aggregating them before the shuffle would hold them for
+    nothing. Where a few triples come from very many rows, see ``collapsed``."""
+    return df.select(*M.TRIPLE_COLUMNS).repartition(*M.TRIPLE_COLUMNS).dropDuplicates(M.TRIPLE_COLUMNS)
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt to as many tasks as the session has shuffle partitions, by all their plain
+    columns, so that the rows of a hot key are dealt out as well."""
+    columns = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
+def collapsed(df: DataFrame) -> DataFrame:
+    """``as_set`` of triples that many rows may repeat (a hot key): they are aggregated before
+    the shuffle, too. The rows they are made of should be ``spread``."""
     return df.select(*M.TRIPLE_COLUMNS).dropDuplicates(M.TRIPLE_COLUMNS)
 
 
@@ -48,12 +64,12 @@ def set_union(parts: list[tuple[DataFrame, bool]]) -> DataFrame:
     Each part is ``(frame, is_set)``. Frames flagged ``is_set`` must already be sets and be
     disjoint from every other part (e.g. instances of a table keyed by a declared primary
     key, whose class name no other part uses): they pass through without a shuffle. The
-    remaining frames are deduplicated together (X1).
+    remaining frames are deduplicated together (X1); keys may be hot in them.
     """
     clean = [d.select(*M.TRIPLE_COLUMNS) for d, ok in parts if ok]
     rest = [d for d, ok in parts if not ok]
     if rest:
-        clean.append(as_set(union_all(rest)))
+        clean.append(collapsed(union_all(rest)))
     return union_all(clean)
 
 

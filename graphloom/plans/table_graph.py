@@ -22,7 +22,7 @@ from graphloom import model as M
 from graphloom.mapping import Mapping
 from graphloom.operators import closure as R
 from graphloom.operators.metadata import with_metadata
-from graphloom.operators.sets import set_union
+from graphloom.operators.sets import set_union, spread
 from graphloom.operators.triples import (
     attr_predicate,
     empty_triples,
@@ -30,6 +30,7 @@ from graphloom.operators.triples import (
     inverse_predicate,
     key_column,
     key_text,
+    needed_columns,
 )
 
 LOG = logging.getLogger(__name__)
@@ -61,7 +62,8 @@ def instance_set(frames: list[tuple[DataFrame, object]], cfg: M.GraphConfig, che
     cannot meet triples of another table (subjects and inverse predicates carry the class
     name), provided no other table maps to the same class; those skip the dedup shuffle.
     A declaration is checked first (``repeated_keys``): a key that repeats is reported, and
-    its table is deduplicated like any other.
+    its table is deduplicated like any other. The rows of such tables are spread first, so no
+    task holds all triples of a table file.
     """
     names = [tm.classname for _, tm in frames]
     preds = [_predicates(df, tm, cfg) for df, tm in frames]
@@ -76,7 +78,12 @@ def instance_set(frames: list[tuple[DataFrame, object]], cfg: M.GraphConfig, che
         for k in sorted(repeated_keys([frames[i] for i in places])):
             alone[places[k]] = False
             LOG.warning("declared key %s of table %s is not unique", frames[places[k]][1].identifier, frames[places[k]][1].tbl)
-    return set_union([(instance_triples(df, tm, cfg), ok) for (df, tm), ok in zip(frames, alone, strict=True)])
+    parts = []
+    for (df, tm), ok in zip(frames, alone, strict=True):
+        if not ok and tm.identifier is not None:
+            df = spread(df.select(*needed_columns(df, tm)))
+        parts.append((instance_triples(df, tm, cfg), ok))
+    return set_union(parts)
 
 
 def _predicates(df: DataFrame, tm, cfg: M.GraphConfig) -> list[str]:

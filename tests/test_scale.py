@@ -56,3 +56,35 @@ def test_enrichment_stages_named_triples_without_a_sort(spark, staged):
     assert [r[2] for r in rows(got)] == ["One!"]
     assert "Sort" not in plan(spark, staged["enrich-input"])
     assert {r.p for r in staged["enrich-input"].collect()} == {M.RDF_TYPE, SCHEMA + "customer_c_name"}
+
+
+def _tree(spark, df):
+    return spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple").splitlines()
+
+
+def test_a_set_is_compared_after_triples_are_dealt_out(spark):
+    """Aggregation before the shuffle would hold every triple of a task."""
+    g = _graph(spark)
+    lines = _tree(spark, as_set(g.unionByName(g)))
+    below = lines[next(i for i, x in enumerate(lines) if "Exchange" in x):]
+    assert any("Aggregate" in x for x in lines) and not any("Aggregate" in x for x in below)
+    assert rows(as_set(g.unionByName(g))) == rows(g)
+
+
+def test_rows_with_keys_that_may_repeat_are_spread(spark):
+    """One table file is one task; its triples are compared in as many as there are partitions, and
+    the triples of a hot key are collapsed before they are shuffled."""
+    from graphloom.mapping import Attr, Mapping, Rel, TableMap
+    from graphloom.plans.table_graph import instance_set
+
+    df = spark.range(0, 4000, numPartitions=1).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"), F.col("id").alias("n"), F.array("id").alias("nested"))
+    tm = TableMap("t", "Thing", "k", attrs=(Attr("n", "n", M.XSD_INTEGER),), rels=(Rel("k", "k", "t", "Thing"),))
+    got = instance_set([(df, Mapping("lake", {"t": tm}).table("t"))], Q.CFG)
+    lines = _tree(spark, got)
+    exchanges = [i for i, x in enumerate(lines) if "Exchange" in x]
+    assert len(exchanges) == 2 and "REPARTITION_BY_NUM" in lines[exchanges[1]]
+    assert any("Aggregate" in x for x in lines[exchanges[0]:exchanges[1]])
+    hot, single = 1334, 1333  # rows of the hot key; keys of one row; rows without a key give nothing
+    assert got.count() == (4 + hot) + 5 * single
+    assert got.distinct().count() == got.count()
