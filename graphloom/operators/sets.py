@@ -15,8 +15,10 @@ def as_set(df: DataFrame) -> DataFrame:
     """Each triple once (nulls compare equal). Triples are dealt out before they are
     compared, so a task holds a shuffle partition of them, and not all that a table file gives:
     most triples occur once, and aggregating them before the shuffle would hold them for
-    nothing. Where a few triples come from very many rows, see ``collapsed``."""
-    return df.select(*M.TRIPLE_COLUMNS).repartition(*M.TRIPLE_COLUMNS).dropDuplicates(M.TRIPLE_COLUMNS)
+    nothing. Where a few triples come from very many rows, see ``collapsed``. Subject and object
+    deal them out: a column that is one value in all rows is no key of the comparison, and Spark
+    would shuffle once more for it."""
+    return df.select(*M.TRIPLE_COLUMNS).repartition("s", "o").dropDuplicates(M.TRIPLE_COLUMNS)
 
 
 def spread(rows: DataFrame) -> DataFrame:

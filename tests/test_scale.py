@@ -69,6 +69,9 @@ def test_a_set_is_compared_after_triples_are_dealt_out(spark):
     below = lines[next(i for i, x in enumerate(lines) if "Exchange" in x):]
     assert any("Aggregate" in x for x in lines) and not any("Aggregate" in x for x in below)
     assert rows(as_set(g.unionByName(g))) == rows(g)
+    for c in ("p", "o_kind"):  # the same of triples that share a column
+        lines = _tree(spark, as_set(g.withColumn(c, F.lit("x"))))
+        assert len([x for x in lines if "Exchange" in x]) == 1
 
 
 def test_rows_with_keys_that_may_repeat_are_spread(spark):
@@ -88,3 +91,22 @@ def test_rows_with_keys_that_may_repeat_are_spread(spark):
     hot, single = 1334, 1333  # rows of the hot key; keys of one row; rows without a key give nothing
     assert got.count() == (4 + hot) + 5 * single
     assert got.distinct().count() == got.count()
+
+
+def test_links_stage_named_triples_without_a_sort(spark, staged):
+    src, tgt = Q._xref_graphs(spark, SF001)
+    got = G.xref(src, tgt, Q.XREF_RULES, backlinks=True)
+    own = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
+    for name, predicate, cls in [("xref-source", SCHEMA + "orders_o_custkey", SCHEMA + "Orders"), ("xref-target", Q.STORE.schema_ns + "customer_c_custkey", Q.STORE.schema_ns + "Customer")]:
+        assert "Sort" not in plan(spark, staged[name])
+        kinds = {(r.p, r.o if r.p == own else None) for r in staged[name].select("p", F.when(F.col("p") == own, F.col("o")).alias("o")).distinct().collect()}
+        assert kinds == {(own, M.VOID_DATASET), (own, cls), (predicate, None)}
+    n = spark.read.parquet(f"{SF001}/orders.parquet").join(spark.read.parquet(f"{SF001}/customer.parquet"), F.col("o_custkey") == F.col("c_custkey")).count()
+    assert got.count() == 2 * n
+
+
+def test_a_rule_of_another_source_does_not_hide_triples(spark, staged):
+    """What a graph is shows after it was read: terms of all sources of the rules are staged."""
+    src, tgt = Q._xref_graphs(spark, SF001)
+    rules = {"other": [{"source": "sql:other.x/y", "target": "sql:lake.orders/o_totalprice"}, {"source": None}], **Q.XREF_RULES}
+    assert rows(G.xref(src, tgt, rules)) == rows(G.xref(src, tgt, Q.XREF_RULES))
