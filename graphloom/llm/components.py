@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from graphloom.llm.common import stage
@@ -36,10 +36,11 @@ def components(edges: DataFrame) -> DataFrame:
     now = stage(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b").distinct(), "edges")
     mark = None
     while True:
-        now = stage(_small_star(_large_star(now)), "edges")
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(seen) == mark:
+        seen = Observation()  # taken while the edges are written, so a round is one job
+        sums = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hashes")]
+        now = stage(_small_star(_large_star(now)).observe(seen, *sums), "edges")
+        if seen.get == mark:
             break
-        mark = tuple(seen)
+        mark = seen.get
     centres = now.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(centres)

@@ -159,6 +159,14 @@ def graded(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> np.n
     return np.where(toxic, np.where(found >= max(1, np.median(found[toxic])), 2, 1), 0)
 
 
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The lists of a column, as views of its chunks."""
+    out = []
+    for chunk in column.chunks:
+        out += np.split(chunk.flatten().to_numpy(), np.cumsum(chunk.value_lengths().to_numpy())[:-1]) if len(chunk) else []
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
     """The model of (doc_id, text) and (doc_id, toxic)."""
     usable = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").select("doc_id", "toxic").distinct()
@@ -171,9 +179,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
     if len(shares) < 2:
         return Ordinal()
     texts = docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))  # one for each label
-    found = texts.select("toxic", "text").mapInArrow(_featured, "toxic int, at array<int>, n array<int>").collect()
-    rows = [(np.array(r["at"], np.int64), np.array(r["n"], np.int64)) for r in found]
-    toxic = np.array([r["toxic"] == 1 for r in found], bool)
+    found = texts.select("toxic", "text").mapInArrow(_featured, "toxic int, at array<int>, n array<int>").toArrow()
+    # as arrays all along: the sample's numbers as Python objects would take ten times the driver's memory
+    rows = list(zip(_lists(found.column("at")), _lists(found.column("n")), strict=True))
+    toxic = found.column("toxic").to_numpy() == 1
     if not toxic.any() or toxic.all():
         return Ordinal()
     grade = graded(rows, toxic)
